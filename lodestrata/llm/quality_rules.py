@@ -19,9 +19,9 @@ STOP_WORDS = {
 THRESHOLDS = [
     ("too_few_words", "n_words", 20, None),
     ("word_length", "mean_word_chars", 1.5, 20.0),
-    ("symbols", "symbol_ratio", None, 0.25),
-    ("stop_words", "stop_word_ratio", 0.005, None),
-    ("repeated_lines", "dup_line_ratio", None, 0.5),
+    ("symbols", "symbol_ratio", None, 0.05),
+    ("stop_words", "stop_word_ratio", 0.06, None),
+    ("repeated_lines", "dup_line_ratio", None, 0.4),
     ("repeated_words", "repeat_word_ratio", None, 0.3),
 ]
 _SPACE = "[ \\t-\\r]+"
