@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lodestrata.llm import media_ts, mixing, packing, quality_rules
+from lodestrata.llm import media_ts, minhash_dedup, mixing, packing, quality_rules
 from lodestrata.session import table
 
 QUERIES: dict = {}
@@ -110,3 +110,28 @@ SELECT doc_id, size, source_size, target, source,
         + greatest(0, least(size, budget - CASE WHEN source_size > 0 THEN budget // source_size ELSE 0 END * source_size - before)))::BIGINT AS taken
 FROM p
 """
+
+
+@_query
+def op2_minhash_near_dedup(spark, sf_dir):
+    return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op2_minhash_near_dedup"] = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ \t\n\x0b\x0c\r]+') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+         ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) END) AS g FROM d),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+f AS (SELECT g FROM s GROUP BY g HAVING count(*) > 1),
+p AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id WHERE a.g IN (SELECT g FROM f) GROUP BY 1, 2),
+e AS (
+  SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+u AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+r(a, b) AS (SELECT a, b FROM u UNION SELECT r.a, u.b FROM r JOIN u ON r.b = u.a),
+c AS (SELECT a, least(a, min(b)) AS m FROM r GROUP BY a)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, coalesce(c.m, d.doc_id) AS component_id, coalesce(c.m, d.doc_id) = d.doc_id AS kept
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN c ON c.a = d.doc_id
+"""
