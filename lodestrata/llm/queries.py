@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lodestrata.llm import media_ts, minhash_dedup, mixing, packing, quality_rules
+from lodestrata.llm import media_ts, minhash_dedup, mixing, packing, quality_rules, suffix_dedup
 from lodestrata.session import table
 
 QUERIES: dict = {}
@@ -135,3 +135,8 @@ c AS (SELECT a, least(a, min(b)) AS m FROM r GROUP BY a)
 SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, coalesce(c.m, d.doc_id) AS component_id, coalesce(c.m, d.doc_id) = d.doc_id AS kept
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN c ON c.a = d.doc_id
 """
+
+
+@_query
+def op6_suffix_array_dedup(spark, sf_dir):
+    return suffix_dedup.repeated_spans(table(spark, sf_dir, "documents")).drop("digest")
