@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lodestrata.llm import media_ts, minhash_dedup, mixing, packing, quality_rules, suffix_dedup
+from lodestrata.llm import hmm_score, media_ts, minhash_dedup, mixing, packing, quality_rules, suffix_dedup
 from lodestrata.session import table
 
 QUERIES: dict = {}
@@ -140,3 +140,13 @@ FROM d LEFT JOIN n USING (doc_id) LEFT JOIN c ON c.a = d.doc_id
 @_query
 def op6_suffix_array_dedup(spark, sf_dir):
     return suffix_dedup.repeated_spans(table(spark, sf_dir, "documents")).drop("digest")
+
+
+def _fold(n: int) -> str:
+    """Whether a document is held out: crc32 of its id as text is divisible by n."""
+    return f"crc32(coalesce(cast(doc_id as string), '')) % {n} = 0"
+
+
+@_query
+def op4_lm_scoring(spark, sf_dir):
+    return hmm_score.scores(table(spark, sf_dir, "documents"), _fold(10))
