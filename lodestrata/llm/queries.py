@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lodestrata.llm import hmm_score, media_ts, minhash_dedup, mixing, packing, quality_rules, suffix_dedup
+from lodestrata.llm import hmm_score, language_id, media_ts, minhash_dedup, mixing, packing, quality_rules, suffix_dedup, toxicity
 from lodestrata.session import table
 
 QUERIES: dict = {}
@@ -150,3 +150,19 @@ def _fold(n: int) -> str:
 @_query
 def op4_lm_scoring(spark, sf_dir):
     return hmm_score.scores(table(spark, sf_dir, "documents"), _fold(10))
+
+
+@_query
+def op5_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), f"NOT ({_fold(5)})")
+    out = toxicity.score(docs, model).withColumn("held_out", F.expr(_fold(5)))
+    return out.select("doc_id", "held_out", "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"), "evidence")
+
+
+@_query
+def op1_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.fit(docs.filter(f"NOT ({_fold(5)})"))
+    out = language_id.predict(docs, model).withColumn("held_out", F.expr(_fold(5)))
+    return out.select("doc_id", "held_out", "lang_pred", "score", "rejected")

@@ -10,6 +10,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 _P = 0x9E3779B97F4A7C15 | 1
 _PINV = pow(_P, -1, 1 << 64)
@@ -18,6 +21,8 @@ _tables: dict[str, np.ndarray] = {}
 
 IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+NOT_LETTER = np.ones(256, bool)
+NOT_LETTER[[*range(65, 91), *range(97, 123), *range(128, 256)]] = False
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
@@ -75,11 +80,11 @@ def raw(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 class Words:
     """Words of all rows of a string column: ``row`` (of each word), ``start``/``end`` bytes, ``first`` (n + 1 word offsets by row)."""
 
-    def __init__(self, col: pa.Array, lower: bool = True):
+    def __init__(self, col: pa.Array, lower: bool = True, apart: np.ndarray = IS_SPACE):
         buf, self.offsets = raw(col)
         self.buf = LOWER[buf] if lower else buf
         n = len(self.offsets) - 1
-        word = ~IS_SPACE[self.buf]
+        word = ~apart[self.buf]
         edge = np.zeros(len(word) + 1, bool)
         edge[self.offsets] = True
         before = np.concatenate(([False], word[:-1])) if len(word) else word
@@ -136,3 +141,16 @@ def grams(h: np.ndarray, first: np.ndarray, n: int, short: bool = False) -> tupl
             order = np.argsort(gr, kind="stable")
             g, gr = g[order], gr[order]
     return g, gr
+
+
+def sample_by(rows: DataFrame, group: str, most: int, total: int, *key: str) -> DataFrame:
+    """A fixed hash sample of about ``most`` rows of each group and about ``total`` in all, with column ``fraction``.
+
+    Whether a row is in depends on its key and its group's count only, so reruns agree. The counts
+    by group are one row per group.
+    """
+    counts = rows.groupBy(group).agg(F.count("*").alias("_n"))
+    sizes = counts.withColumn("_each", F.least(F.lit(float(most)), F.lit(float(total)) / F.greatest(F.count("*").over(Window.partitionBy()), F.lit(1))))
+    sizes = sizes.select(F.col(group).alias("_g"), F.least(F.lit(1.0), F.col("_each") / F.col("_n")).alias("fraction"))
+    place = F.pmod(F.xxhash64(*key, F.lit("sample")), F.lit(1 << 40)) / float(1 << 40)
+    return rows.join(F.broadcast(sizes), rows[group] == sizes["_g"]).filter(place < F.col("fraction")).drop("_g")
