@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lodestrata.llm import hmm_score, language_id, media_ts, minhash_dedup, mixing, packing, quality_rules, suffix_dedup, toxicity
+from lodestrata.llm import hmm_score, html_extract, language_id, media_ts, minhash_dedup, mixing, packing, quality_rules, suffix_dedup, toxicity
 from lodestrata.session import table
 
 QUERIES: dict = {}
@@ -166,3 +166,8 @@ def op1_language_id(spark, sf_dir):
     model = language_id.fit(docs.filter(f"NOT ({_fold(5)})"))
     out = language_id.predict(docs, model).withColumn("held_out", F.expr(_fold(5)))
     return out.select("doc_id", "held_out", "lang_pred", "score", "rejected")
+
+
+@_query
+def op3_html_extraction(spark, sf_dir):
+    return html_extract.extract(table(spark, sf_dir, "pages"))
