@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 #: Rows of one bucket, about.
-BUCKET_ROWS = 50_000
+BUCKET_ROWS = 10_000
 _HEX = 6
 
 
@@ -72,3 +72,21 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most_epochs: int
     epochs = F.when(F.col("source_size") > 0, F.expr("budget div source_size")).otherwise(F.lit(0))
     part = F.greatest(F.lit(0), F.least(F.col("size"), F.col("budget") - epochs * F.col("source_size") - F.col("_before") - F.col("_within")))
     return d.select("doc_id", "source", "size", "source_size", "target", (epochs * F.col("size") + part).cast("bigint").alias("taken"), *carry)
+
+
+def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most_epochs: int = 3) -> DataFrame:
+    """The documents of the mix, with the columns of ``docs``: a row for each whole time that one is taken, and one for a part.
+
+    A part is the text's first words with what stands between them; n_chars follows the text where
+    present. Documents without words are not in the mix.
+    """
+    others = tuple(c for c in docs.columns if c not in ("doc_id", "source"))
+    d = mix(docs, weights, most_epochs, carry=others).filter("taken > 0")
+    d = d.withColumn("_part", F.expr("taken % size")).withColumn("_times", F.expr("taken div size").cast("int") + F.when(F.col("_part") > 0, 1).otherwise(0))
+    d = d.withColumn("_time", F.explode(F.sequence(F.lit(1), F.col("_times"))))
+    cut = (F.col("_part") > 0) & (F.col("_time") == F.col("_times"))
+    words = F.split("text", "(?<=[^ \\t-\\r])(?=[ \\t-\\r])")
+    d = d.withColumn("text", F.when(cut, F.array_join(F.slice(words, F.lit(1), F.col("_part").cast("int")), "")).otherwise(F.col("text")))
+    if "n_chars" in docs.columns:
+        d = d.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return d.select(*docs.columns)

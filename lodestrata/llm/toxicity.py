@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestrata.llm.textkit import NOT_LETTER, Words, mix, sample_by, slices
+from lodestrata.llm.work import short_batches
 
 SAMPLE = 5_000  # labelled examples of each label, about; the documented bound of the classifier's sample
 TERMS = 4_096  # selected terms, at most
@@ -185,6 +186,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: str, sample: int = SAMPLE) ->
     by a hash of the id, about ``sample`` rows a label, and is what the driver holds.
     """
     spark = docs.sparkSession
+    short_batches(spark)
     known = labels.filter(F.expr(learn) & F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max(F.when(F.col("toxic") > 0, 1).otherwise(0)).alias("label"))
     chosen = sample_by(known, "label", sample, 2 * sample, "doc_id").select(F.col("doc_id").cast("long").alias("_id"), "label", "fraction")
     texts = _texts(docs)
@@ -231,6 +233,15 @@ def fit(docs: DataFrame, labels: DataFrame, learn: str, sample: int = SAMPLE) ->
     return model
 
 
+def one_score(index: BlockMaxIndex, m: dict, terms: np.ndarray, weights: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+    """The calibrated score of a text's vector, with its nearest examples and their cosines."""
+    near, cosine = index.nearest(terms, weights, NEAREST)
+    if not len(near):
+        return m["prior"] if len(terms) else m["none"], near, cosine
+    raw = vote(near, cosine, m["labels"])
+    return float(np.interp(raw, *m["knots"])) if m["knots"] is not None else raw, near, cosine
+
+
 def score(docs: DataFrame, model: dict) -> DataFrame:
     """doc_id, score, and the ids of the nearest examples, nearest first, with their cosines.
 
@@ -246,14 +257,24 @@ def score(docs: DataFrame, model: dict) -> DataFrame:
             for batch in slices(whole, "text"):
                 out, ids, cosines = [], [], []
                 for t, w in vectors(batch.column(1), m["terms"], m["idf"]):
-                    near, cosine = index.nearest(t, w, NEAREST)
-                    if len(near):
-                        raw = vote(near, cosine, m["labels"])
-                        out.append(float(np.interp(raw, *m["knots"])) if m["knots"] is not None else raw)
-                    else:
-                        out.append(m["none"] if not len(t) else m["prior"])
+                    value, near, cosine = one_score(index, m, t, w)
+                    out.append(value)
                     ids.append(m["ids"][near].tolist())
                     cosines.append(cosine.tolist())
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.float64()), pa.array(ids, pa.list_(pa.int64())), pa.array(cosines, pa.list_(pa.float64()))], ["doc_id", "score", "evidence", "cosines"])
 
     return _texts(docs).mapInArrow(run, "doc_id long, score double, evidence array<long>, cosines array<double>")
+
+
+def without_toxic(docs: DataFrame, model: dict, least: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` whose texts score below ``least``; all columns pass through as they are."""
+    shared, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shared.value
+        index = BlockMaxIndex(m["examples"], len(m["terms"]))
+        for whole in batches:
+            for batch in slices(whole, "text"):
+                yield batch.filter(pa.array([one_score(index, m, t, w)[0] < least for t, w in vectors(batch.column(at), m["terms"], m["idf"])], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
