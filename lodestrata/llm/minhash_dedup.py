@@ -2,9 +2,9 @@
 
 Exact copies (equal shingle sets) collapse to one representative before any bucket is made. In a
 bucket, candidates are star-shaped: each member against the smallest id. Links are confirmed on full
-shingle sets. Where a bucket's members then still lie in different components, the next members
-become hubs in turn, in doubling rounds and against other components only, until none is untested;
-so a star misses no link that its bucket holds, and a bucket of copies costs one star.
+shingle sets. Where a bucket's members then still lie in different components, those members are joined
+exactly, by prefixes of their rarest shingles; so a star misses no link that its bucket holds, and
+a bucket of copies costs one star.
 """
 
 from __future__ import annotations
@@ -15,11 +15,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from lodestrata.llm.components import components
 from lodestrata.llm.textkit import Words, grams, mix, slices
-from lodestrata.llm.work import stored
+from lodestrata.llm.work import short_batches, stored
 
 #: 40 bands of 8 rows: a pair of similarity 0.8 shares a bucket with probability 0.9994, one of 0.9 with 1 - 1e-10, one of 0.4 with 0.026.
 BANDS, ROWS = 40, 8
@@ -119,6 +118,29 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.filter(100 * common >= 80 * (F.size("sa") + F.size("sb") - common)).select("a", "b")
 
 
+def _prefix_pairs(rest: DataFrame, sets: DataFrame) -> DataFrame:
+    """Every pair of ``rest`` (rep, n, component) in different components that can reach the similarity, by prefixes.
+
+    Ordered from the rarest shingle on, two sets of similarity 0.8 have a common one among the first
+    n - ceil(8/9 n) + 1 of the smaller and the first n - ceil(0.8 n) + 1 of the larger, and what
+    comes after the first such one must suffice for the overlap. So the words of a passage that many
+    texts hold are passed over wherever a text has enough of its own. Shingles seen in one component only are dropped by a
+    pre-aggregated count before the join, so a large group of copies makes no pairs with itself.
+    """
+    shingles = rest.join(sets, "rep").select("rep", "n", "component", F.explode("shingles").alias("g"))
+    often = shingles.groupBy("g").agg(F.count("*").alias("df")).filter("df > 1")
+    ordered = shingles.join(often, "g", "left").groupBy("rep", "n", "component").agg(F.sort_array(F.collect_list(F.struct(F.coalesce("df", F.lit(1)).alias("df"), "g"))).alias("x"))
+    prefix = ordered.select("rep", "n", "component", F.posexplode(F.slice("x", F.lit(1), (F.col("n") - F.expr("(4 * n + 4) div 5") + 1).cast("int"))).alias("at", "x"))
+    short = F.col("at") <= F.col("n") - F.expr("(8 * n + 8) div 9")
+    prefix = stored(prefix.filter("x.df > 1").select("rep", "n", "component", "at", short.alias("short"), F.col("x.g").alias("g")), "prefixes")
+    mixed = stored(prefix.groupBy("g").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.max("short").alias("short")).filter("lo <> hi and short").select("g"), "mixed")
+    own = prefix.join(mixed, "g", "left_semi")
+    a = own.select("g", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"), F.col("at").alias("ia"))
+    b = own.filter("short").select("g", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"), F.col("at").alias("ib"))
+    able = "ca <> cb and (nb < na or nb = na and b < a) and 5 * nb >= 4 * na and 9 * least(na - ia, nb - ib) >= 4 * (na + nb)"
+    return a.join(b, (a["g"] == b["g"]) & F.expr(able)).select("a", "b").distinct()
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 4) -> DataFrame:
     """Per row of docs (doc_id, text): n_shingles, component_id and kept.
 
@@ -128,6 +150,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 4) -> DataFrame:
     and carry the same ids. A null doc_id takes part in its class but is never a component's id,
     unless its class has no other. An empty table gives an empty result.
     """
+    short_batches(docs.sparkSession)
     rows = stored(_marks(docs, shingle), "marks")
     classes = stored(
         rows.filter("n_shingles > 0").groupBy("fp1", "fp2").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")),
@@ -144,27 +167,31 @@ def near_duplicates(docs: DataFrame, shingle: int = 4) -> DataFrame:
     links = stored(_confirmed(tested, sets), "links")
     labels = components(links)
 
-    # Buckets of three or more whose members are still apart: further hubs, in doubling rounds.
-    low, high = 1, 3
-    rest = shared.filter("members > 2").select("bucket", "rep", "n")
-    while True:
-        labelled = rest.join(labels, rest["rep"] == labels["node"], "left").select("bucket", "rep", "n", F.coalesce("component", "rep").alias("component"))
-        apart = labelled.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("m")).filter(f"x <> y and m > {low + 1}").select("bucket")
-        rest = stored(labelled.join(apart, "bucket", "left_semi"), "rest")
-        if rest.isEmpty():
-            break
-        ranked = rest.withColumn("rank", F.row_number().over(Window.partitionBy("bucket").orderBy("rep")) - 1)
-        hub = ranked.filter((F.col("rank") >= low) & (F.col("rank") < high)).select("bucket", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("rank").alias("ra"), F.col("component").alias("ca"))
-        pairs = ranked.join(hub, "bucket").filter("rank > ra and component <> ca and 5 * least(n, na) >= 4 * greatest(n, na)").select("a", F.col("rep").alias("b")).distinct()
-        found = stored(_confirmed(pairs, sets), "links")
-        if not found.isEmpty():
-            links = links.union(found)
-            labels = components(links)
-        low, high = high, 2 * high + 1
-        rest = rest.select("bucket", "rep", "n")
+    # Buckets of three or more whose members are still apart: an exact join of those members.
+    label = F.coalesce("component", "rep").alias("component")
+    rest = shared.filter("members > 2").join(labels, shared["rep"] == labels["node"], "left").select("bucket", "rep", "n", label)
+    apart = rest.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("bucket")
+    rest = stored(rest.join(apart, "bucket", "left_semi").select("rep", "n", "component").distinct(), "rest")
+    if not rest.isEmpty():
+        more = stored(_confirmed(stored(_prefix_pairs(rest, sets), "pairs"), sets), "links")
+        if not more.isEmpty():
+            labels = components(links.union(more))
 
     of_class = classes.join(labels, classes["rep"] == labels["node"], "left").select("fp1", "fp2", F.coalesce("component", "rep").alias("component_id"))
     of_class = stored(of_class, "components")
     some = rows.filter("n_shingles > 0").drop("bands").join(of_class, ["fp1", "fp2"]).select("doc_id", "n_shingles", "component_id")
     none = rows.filter("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return some.union(none).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def without_near_duplicates(docs: DataFrame, shingle: int = 4) -> DataFrame:
+    """``docs`` with one document of each group, the one with the smallest id; rows that are alike in id and text stay once.
+
+    Rows with a null id stay. Rows that share an id stay if any of them does.
+    """
+    found = stored(near_duplicates(docs, shingle), "near")
+    gone = found.groupBy("doc_id").agg(F.max("kept").alias("kept")).filter("not kept").select("doc_id")
+    out = docs.join(gone, docs["doc_id"] == gone["doc_id"], "left_anti")
+    if found.groupBy("doc_id", "component_id").count().filter("count > 1 and doc_id is not null").isEmpty():
+        return out
+    return out.dropDuplicates(["doc_id", "text"])

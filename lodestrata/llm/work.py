@@ -21,6 +21,14 @@ def work_dir(spark: SparkSession) -> str:
     return tempfile.mkdtemp(prefix="lodestrata-")
 
 
+def short_batches(spark: SparkSession, rows: int = 2_000, size: int = 8 << 20) -> None:
+    """Bounds the rows and bytes of an Arrow batch in this session, so that batches of long texts stay small in memory."""
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", rows), ("spark.sql.execution.arrow.maxBytesPerBatch", size)):
+        now = spark.conf.get(key)
+        if not now.isdigit() or not 0 < int(now) <= most:
+            spark.conf.set(key, str(most))
+
+
 def _forget() -> None:
     for spark, path in _made:
         with contextlib.suppress(Exception):
