@@ -24,3 +24,65 @@ def vector_topk(vectors: DataFrame, query: DataFrame, k: int, id_col: str = "vec
     one = F.broadcast(query.select("query_vec").limit(1))
     scored = vectors.filter(F.col(vec_col).isNotNull()).crossJoin(one).withColumn("score", F.round(cosine(F.col(vec_col), F.col("query_vec")), digits))
     return scored.drop("query_vec").orderBy(F.desc("score"), F.asc(id_col)).limit(k)
+
+
+def keyword_search(docs: DataFrame, text_col: str, pattern: str, order: str, k: int) -> DataFrame:
+    """Rows whose text is like the query, case folded; '%' and '_' in it stay wildcards. The k first by key."""
+    return docs.filter(F.col(text_col).ilike(f"%{pattern}%")).orderBy(order).limit(k)
+
+
+def snippet(c: Column, n: int = 280) -> Column:
+    return F.left(c, F.lit(n))
+
+
+def hybrid(chunk_hits: DataFrame, parameter_hits: DataFrame) -> DataFrame:
+    """Two result lists in one table, each row marked by its list; scores are not fused."""
+    return chunk_hits.withColumn("hit_list", F.lit("chunk_hits")).unionByName(parameter_hits.withColumn("hit_list", F.lit("parameter_hits")), allowMissingColumns=True)
+
+
+def evidence_prompt(hits: DataFrame, question: str, order: list[str], text: str) -> DataFrame:
+    """One prompt with numbered evidence: [E1], [E2] and so on, in order."""
+    x = F.sort_array(F.collect_list(F.struct(*order, F.col(text).alias("t"))))
+    lines = F.transform(x, lambda r, i: F.concat(F.lit("[E"), (i + 1).cast("string"), F.lit("] "), r["t"]))
+    return hits.agg(F.concat(F.lit(f"Question: {question}\n\nEvidence:\n"), F.array_join(lines, "\n")).alias("prompt"))
+
+
+def neighbours(vectors: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id", vec_col: str = "embedding", digits: int = 9) -> DataFrame:
+    """(query_id, id, rank, score): the k nearest other vectors of each query row (columns query_id, query_vec).
+
+    The queries are a stated, small set; they are joined block by block with all rows, and each task
+    keeps its k best per query before the shuffle.
+    """
+    import numpy as np
+    import pyarrow as pa
+
+    rows = queries.select("query_id", "query_vec").limit(10_000).collect()
+    q_ids = [r[0] for r in rows]
+    q = np.array([r[1] for r in rows], float)
+    shared = vectors.sparkSession.sparkContext.broadcast((q_ids, q / np.linalg.norm(q, axis=1, keepdims=True))) if rows else None
+    kind = vectors.schema[id_col].dataType.simpleString()
+
+    def run(batches):
+        ids, m = shared.value
+        best_s, best_i = np.full((len(ids), 0), -2.0), np.zeros((len(ids), 0), np.int64)
+        for b in batches:
+            own = b.column(0).to_numpy(zero_copy_only=False)
+            v = np.array(b.column(1).to_pylist(), float)
+            if not len(v):
+                continue
+            s = np.round(m @ (v / np.linalg.norm(v, axis=1, keepdims=True)).T, digits)
+            s = np.where(own[None, :] == np.array(ids)[:, None], -2.0, s)
+            best_s, best_i = np.concatenate((best_s, s), 1), np.concatenate((best_i, np.repeat(own[None, :], len(ids), 0)), 1)
+            top = np.lexsort((best_i, -best_s))[:, :k]
+            best_s, best_i = np.take_along_axis(best_s, top, 1), np.take_along_axis(best_i, top, 1)
+        n = best_s.shape[1]
+        ok = best_s.ravel() > -2
+        yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, n)[ok]), pa.array(best_i.ravel()[ok]), pa.array(best_s.ravel()[ok])], ["query_id", id_col, "score"])
+
+    from pyspark.sql.window import Window
+
+    schema = f"query_id {queries.schema['query_id'].dataType.simpleString()}, {id_col} {kind}, score double"
+    if shared is None:
+        return vectors.sparkSession.createDataFrame([], schema + ", rank int")
+    some = vectors.filter(F.col(vec_col).isNotNull()).select(id_col, vec_col).mapInArrow(run, schema)
+    return some.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), id_col))).filter(F.col("rank") <= k)

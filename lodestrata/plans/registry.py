@@ -2,38 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
-from lodestrata.session import table
-
 QUERIES: dict = {}
 ORACLES: dict = {}
 
 
-def query(name: str, oracle: str | None = None):
-    """Registers a query function ``(spark, sf_dir) -> DataFrame`` and, where SQL can express it, its oracle."""
+def query(oracle: str | None = None):
+    """Registers a query function ``(spark, sf_dir) -> DataFrame`` under its name and, where SQL can express it, its oracle."""
 
     def put(f):
-        QUERIES[name] = f
+        QUERIES[f.__name__] = f
         if oracle:
-            ORACLES[name] = oracle
+            ORACLES[f.__name__] = oracle
         return f
 
     return put
 
 
-@query(
-    "vector_topk",
-    """
-    WITH q AS (SELECT embedding::DOUBLE[] AS v FROM embeddings WHERE vec_id = 0)
-    SELECT vec_id, label, score FROM (
-      SELECT vec_id, label, round(list_cosine_similarity(embedding::DOUBLE[], (SELECT v FROM q)), 6) AS score
-      FROM embeddings WHERE embedding IS NOT NULL)
-    ORDER BY score DESC, vec_id LIMIT 10
-    """,
-)
-def vector_topk(spark, sf_dir):
-    from lodestrata.operators.retrieval import vector_topk as topk
-
-    emb = table(spark, sf_dir, "embeddings")
-    return topk(emb, emb.filter(F.col("vec_id") == 0).select(F.col("embedding").alias("query_vec")), k=10).select("vec_id", "label", "score")
+from lodestrata.plans import q_evaluation, q_normalize, q_search, q_store, q_text  # noqa: E402, F401
