@@ -23,6 +23,7 @@ from lodestrata.llm.work import short_batches, stored
 GRAM, NEAR = 16, 34  # words of a gram; grams of which the least is kept
 REACH = 34  # words that a match is extended by to either side of the gram
 CODE = 3  # bytes of a word's code in a stored context
+TASK_ROWS = 100_000  # sorted suffixes that one task compares, about
 
 
 def kept_positions(g: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -107,7 +108,9 @@ def _contexts(found: DataFrame) -> DataFrame:
 def _same(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Words that agree from the start, row by row; the code 0 stands for none."""
     a, b = a.reshape(len(a), -1, CODE), b.reshape(len(b), -1, CODE)
-    differ = (a != b).any(axis=2) | ~a.any(axis=2)
+    differ = ~a.any(axis=2)
+    for k in range(CODE):
+        differ |= a[:, :, k] != b[:, :, k]
     return np.where(differ.any(axis=1), differ.argmax(axis=1), a.shape[1])
 
 
@@ -119,7 +122,10 @@ class _Sorted:
 
     def match(self, i: np.ndarray, j: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Words matched left and right of rows i and j, and whether the whole match is long enough and of two places."""
-        l, r = _same(self.left[i], self.left[j]), _same(self.right[i], self.right[j])
+        l, r = np.zeros(len(i), np.int64), np.zeros(len(i), np.int64)
+        for k in range(0, len(i), 4096):
+            x, y = i[k : k + 4096], j[k : k + 4096]
+            l[k : k + 4096], r[k : k + 4096] = _same(self.left[x], self.left[y]), _same(self.right[x], self.right[y])
         apart = (self.doc[i] != self.doc[j]) | (self.place[i] != self.place[j])
         return l, r, (self.gram[i] == self.gram[j]) & apart & (l + r + GRAM >= least)
 
@@ -146,7 +152,10 @@ def _compare(least: int):
             return
         t = t.combine_chunks()
         n, part = t.num_rows, TaskContext.get().partitionId()
-        wide = lambda c: np.frombuffer(b"".join(t.column(c).to_pylist()), np.uint8).reshape(n, -1)
+        def wide(c: str) -> np.ndarray:
+            col = pa.concat_arrays(t.column(c).chunks)  # of one width
+            return np.frombuffer(col.buffers()[2], np.uint8)[: n * REACH * CODE].reshape(n, -1)
+
         s = _Sorted(t.column("gram").to_numpy(), t.column("doc_id").to_numpy(), t.column("place").to_numpy(), wide("right"), wide("left"), t.column("digest"))
         i = np.arange(n - 1)
         pairs = [(i, i + 1)]
@@ -158,19 +167,25 @@ def _compare(least: int):
         far = np.arange(n)
         pairs.append((lead[lead != far], far[lead != far]))
         pairs += [(far[:-d], far[d:]) for d in (2, 3, 4) if n > d]
-        out: list[list[np.ndarray]] = [[], [], [], [], []]
+        # All matches of a suffix hold its gram, so their union is one span: by suffix one of removed words and one of first ones.
+        start, end, first = np.full((2, n), np.iinfo(np.int32).max), np.zeros((2, n), np.int64), s.doc.copy()
         for k, (a, b) in enumerate(pairs):
             l, r, ok = (l, r, ok) if k == 0 else s.match(a, b, least)
             a, b, l2, r2 = a[ok], b[ok], l[ok], r[ok]
             for me, other in ((a, b), (b, a)):
-                for col, v in zip(out, (me, s.place[me] - l2, s.place[me] + GRAM + r2, s.before(other, me), np.minimum(s.doc[me], s.doc[other])), strict=True):
-                    col.append(v)
-        me, start, end, removed, first = (np.concatenate(x) for x in out)
-        if len(me):
-            nulls = [pa.nulls(len(me), t_) for t_ in types]
-            nulls[0], nulls[3], nulls[4] = pa.array(np.zeros(len(me), np.int32)), pa.array(s.doc[me]), s.digest.take(pa.array(me)).combine_chunks()
-            nulls[5], nulls[6], nulls[7], nulls[8] = pa.array(start, pa.int32()), pa.array(end, pa.int32()), pa.array(removed), pa.array(first)
-            yield pa.RecordBatch.from_arrays(nulls, names)
+                for gone, some in enumerate((~s.before(other, me), s.before(other, me))):
+                    # In the leads' pairs a lead stands many times, so the places are met one by one.
+                    np.minimum.at(start[gone], me[some], s.place[me[some]] - l2[some])
+                    np.maximum.at(end[gone], me[some], s.place[me[some]] + GRAM + r2[some])
+                np.minimum.at(first, me, s.doc[other])
+        for gone in (0, 1):
+            found = np.flatnonzero(end[gone])
+            for cut in range(0, len(found), 10_000):
+                me = found[cut : cut + 10_000]
+                cols = [pa.nulls(len(me), t_) for t_ in types]
+                cols[0], cols[3], cols[4] = pa.array(np.zeros(len(me), np.int32)), pa.array(s.doc[me]), s.digest.take(pa.array(me)).combine_chunks()
+                cols[5], cols[6], cols[7], cols[8] = pa.array(start[gone][me], pa.int32()), pa.array(end[gone][me], pa.int32()), pa.array(np.full(len(me), bool(gone))), pa.array(first[me])
+                yield pa.RecordBatch.from_arrays(cols, names)
         edges = [(1, 0), (2, int(lead[0])), (3, int(lead[n - 1])), (4, n - 1)]
         rows = [(k, part, int(number[e]), int(s.doc[e]), s.digest[e].as_py(), None, None, None, None, int(s.gram[e]), int(s.place[e]), s.right[e].tobytes(), s.left[e].tobytes()) for k, e in edges]
         yield pa.RecordBatch.from_arrays([pa.array(c, t_) for c, t_ in zip(zip(*rows, strict=True), types, strict=True)], names)
@@ -231,7 +246,8 @@ def repeated_spans(docs: DataFrame, least: int = 50) -> DataFrame:
     found = found.select("doc_id", "digest", F.col("x.gram").alias("grams"), F.col("x.place").alias("places"))
     texts = _texts(docs).join(found, ["doc_id", "digest"])
     keys = ["gram", "right", "left", "doc_id", "place"]
-    ordered = stored(_contexts(texts), "contexts").repartitionByRange(*keys).sortWithinPartitions(*keys)
+    contexts = stored(_contexts(texts), "contexts")
+    ordered = contexts.repartitionByRange(contexts.count() // TASK_ROWS + 1, *keys).sortWithinPartitions(*keys)
     spans = stored(ordered.mapInArrow(_compare(least), _SPAN), "spans")
     edges = spans.filter("kind > 0").collect()  # four rows of a partition
     border = spark.createDataFrame(_joined_edges(edges, least) if edges else [], "doc_id long, digest string, start int, end int, removed boolean, first_doc_id long")
