@@ -11,7 +11,7 @@ from lodestrata.functions.text import first_doi, first_line_title
 
 def folder_files(spark: SparkSession, path: str, pattern: str = "*.md") -> DataFrame:
     """(path, name, text, length) of a folder's text files, ordered by path; length is in characters."""
-    d = spark.read.option("wholetext", True).option("pathGlobFilter", pattern).option("recursiveFileLookup", True).text(path)
+    d = spark.read.option("pathGlobFilter", pattern).option("recursiveFileLookup", True).text(path, wholetext=True)
     p = F.col("_metadata.file_path")
     return d.select(p.alias("path"), F.regexp_extract(p, r"([^/]+)$", 1).alias("name"), F.col("value").alias("text"), F.length("value").alias("length")).orderBy("path")
 
@@ -29,7 +29,7 @@ def csv_texts(spark: SparkSession, path: str) -> DataFrame:
 
 def record_folders(spark: SparkSession, root: str, name: str = "materials_extracted.json", skip_broken: bool = True) -> DataFrame:
     """(path, folder, doc) of one JSON file per folder below ``root``; unreadable ones are left out or, without ``skip_broken``, an error."""
-    d = spark.read.option("wholetext", True).option("pathGlobFilter", name).option("recursiveFileLookup", True).text(root)
+    d = spark.read.option("pathGlobFilter", name).option("recursiveFileLookup", True).text(root, wholetext=True)
     p = F.col("_metadata.file_path")
     d = d.select(p.alias("path"), F.regexp_extract(p, r"([^/]+)/[^/]+$", 1).alias("folder"), F.col("value").alias("doc"))
     if skip_broken:
@@ -39,7 +39,7 @@ def record_folders(spark: SparkSession, root: str, name: str = "materials_extrac
 
 def local_corpus(spark: SparkSession, root: str) -> DataFrame:
     """(doi, folder): folders with a paper.xml or a sections folder. The DOI is the first one in the text, else in the folder's name; of one DOI (case folded) the first folder counts."""
-    d = spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(root)
+    d = spark.read.option("recursiveFileLookup", True).text(root, wholetext=True)
     d = d.withColumn("path", F.url_decode(F.col("_metadata.file_path")))
     xml = d.filter(F.col("path").endswith("/paper.xml")).select(F.regexp_extract("path", r"^(.*)/paper\.xml$", 1).alias("folder"), first_doi(F.col("value")).alias("x"))
     sec = d.filter(F.col("path").contains("/sections/")).select(F.regexp_extract("path", r"^(.*)/sections/", 1).alias("folder"), F.lit(None).cast("string").alias("x"))
