@@ -52,8 +52,7 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     d = d.withColumn("_p", F.when(s.isNotNull(), F.sort_array(F.filter(twice, lambda i: i.isNotNull()))))
     p = F.col("_p")
     cover = F.aggregate(F.transform(p, lambda x, k: F.least(F.lit(8), F.coalesce(F.get(p, k + 1) - x, F.lit(8)))), F.lit(0).cast("bigint"), lambda a, x: a + x)
-    return d.select(
-        id_col,
+    measured = F.struct(
         F.size("_w").cast("bigint").alias("n_words"),
         F.length(F.translate("_t", _GAP, "")).cast("bigint").alias("word_chars"),
         (F.length("_t") - F.length(F.translate("_t", "#*$%&|<>", ""))).cast("bigint").alias("n_symbols"),
@@ -62,6 +61,9 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         F.size("_l").cast("bigint").alias("n_lines"),
         F.size(F.filter("_w", lambda w: F.array_contains(stops, F.lower(w)))).cast("bigint").alias("n_stop_words"),
     )
+    # A row's one struct is taken out by a generator, through which no later filter or projection is
+    # pushed: else the optimizer would write the nested expressions out again at every use.
+    return d.select(id_col, F.inline(F.array(measured)))
 
 
 def judge(measured: DataFrame, thresholds: list[tuple] = THRESHOLDS) -> DataFrame:
