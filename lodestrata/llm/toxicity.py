@@ -21,7 +21,7 @@ from lodestrata.llm.work import short_batches
 
 SAMPLE = 5_000  # labelled examples of each label, about; the documented bound of the classifier's sample
 TERMS = 4_096  # selected terms, at most
-LEAST_Z = 4.0  # least standard score of a term's association with label 1
+LEAST_G = 20.0  # least log-likelihood ratio (G squared) of a term's association with label 1
 PREFIXES = (4, 5, 6)
 NEAREST = 15
 BLOCK = 32  # examples of a block
@@ -197,9 +197,11 @@ def fit(docs: DataFrame, labels: DataFrame, learn: str, sample: int = SAMPLE) ->
     if len(size) < 2:
         share = float(next(iter(size), 0))
         return empty | {"prior": share, "none": share}
-    a, b = F.col("pos") + 0.5, F.col("neg") + 0.5
-    z = (F.log(a / size[1]) - F.log(b / size[0])) / F.sqrt(1 / a + 1 / b)
-    rows = counts.withColumn("z", z).filter((F.col("z") >= LEAST_Z) & (F.col("pos") > 2)).orderBy(F.desc("z"), "term").limit(TERMS).select("term").collect()
+    n = size[0] + size[1]
+    has = F.col("pos") + F.col("neg")
+    part = lambda k, row, col: F.when(k > 0, k * F.log(k * n / (row * col))).otherwise(0.0)
+    g = 2 * (part(F.col("pos"), has, size[1]) + part(F.col("neg"), has, size[0]) + part(size[1] - F.col("pos"), n - has, size[1]) + part(size[0] - F.col("neg"), n - has, size[0]))
+    rows = counts.withColumn("g", g).filter((F.col("g") >= LEAST_G) & (F.col("pos") * size[0] > F.col("neg") * size[1])).orderBy(F.desc("g"), "term").limit(TERMS).select("term").collect()
     voc = np.sort(np.array([r[0] for r in rows], np.int64).view(np.uint64))
     df, total = _document_frequencies(docs, spark.sparkContext.broadcast(voc)) if len(voc) else (np.zeros(0), 0)
     idf = np.log((1 + total) / (1 + df)) + 1
