@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from lodestrata.llm.work import stored
+
 #: Rows of one bucket, about.
 BUCKET_ROWS = 10_000
 _HEX = 6
@@ -59,15 +61,21 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most_epochs: int
     """
     key = F.md5(F.concat_ws("|", F.col("doc_id").cast("string"), F.lit("mix")))
     sized = docs.select("doc_id", "source", n_words().alias("size"), key.alias("_key"), *carry)
-    goal = targets(sized.select("source", "size"), weights, most_epochs)
+    small = stored(sized.drop(*carry), "sizes")  # so that the texts are read once for all totals
+    goal = targets(small.select("source", "size"), weights, most_epochs)
     goal = goal.withColumn("budget", F.floor(F.col("target") + 0.5).cast("bigint")).withColumn("buckets", (F.col("n_rows") / BUCKET_ROWS).cast("bigint") + 1)
-    d = sized.join(goal, sized["source"].eqNullSafe(goal["source"])).drop(goal["source"])
-    position = F.conv(F.substring("_key", 1, _HEX), 16, 10).cast("bigint")
-    d = d.withColumn("_bucket", F.shiftright(position * F.col("buckets"), 4 * _HEX))
-    sums = d.groupBy("source", "_bucket").agg(F.sum("size").alias("_sum"))
+    goal = stored(goal.withColumnRenamed("source", "_source"), "targets")
+
+    def placed(rows: DataFrame) -> DataFrame:
+        """Rows with their source's figures and the bucket that their key falls in; keys are uniform, so their ranges are even."""
+        d = rows.join(goal, rows["source"].eqNullSafe(goal["_source"])).drop("_source")
+        position = F.conv(F.substring("_key", 1, _HEX), 16, 10).cast("bigint")
+        return d.withColumn("_bucket", F.shiftright(position * F.col("buckets"), 4 * _HEX))
+
+    sums = placed(small).groupBy("source", "_bucket").agg(F.sum("size").alias("_sum"))
     sums = sums.withColumn("_before", F.sum("_sum").over(Window.partitionBy("source").orderBy("_bucket")) - F.col("_sum")).select(F.col("source").alias("_s"), F.col("_bucket").alias("_b"), "_before")
     inner = Window.partitionBy("source", "_bucket").orderBy("_key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
-    d = d.withColumn("_within", F.sum("size").over(inner) - F.col("size"))
+    d = placed(sized if carry else small).withColumn("_within", F.sum("size").over(inner) - F.col("size"))
     d = d.join(sums, d["source"].eqNullSafe(sums["_s"]) & (d["_bucket"] == sums["_b"]))
     epochs = F.when(F.col("source_size") > 0, F.expr("budget div source_size")).otherwise(F.lit(0))
     part = F.greatest(F.lit(0), F.least(F.col("size"), F.col("budget") - epochs * F.col("source_size") - F.col("_before") - F.col("_within")))
@@ -80,13 +88,14 @@ def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most_
     A part is the text's first words with what stands between them; n_chars follows the text where
     present. Documents without words are not in the mix.
     """
-    others = tuple(c for c in docs.columns if c not in ("doc_id", "source"))
-    d = mix(docs, weights, most_epochs, carry=others).filter("taken > 0")
-    d = d.withColumn("_part", F.expr("taken % size")).withColumn("_times", F.expr("taken div size").cast("int") + F.when(F.col("_part") > 0, 1).otherwise(0))
-    d = d.withColumn("_time", F.explode(F.sequence(F.lit(1), F.col("_times"))))
-    cut = (F.col("_part") > 0) & (F.col("_time") == F.col("_times"))
-    words = F.split("text", "(?<=[^ \\t-\\r])(?=[ \\t-\\r])")
-    d = d.withColumn("text", F.when(cut, F.array_join(F.slice(words, F.lit(1), F.col("_part").cast("int")), "")).otherwise(F.col("text")))
+    rows = docs.select("doc_id", "source", "text", F.struct(*docs.columns).alias("_row"))
+    d = mix(rows, weights, most_epochs, carry=("_row",)).filter("taken > 0")
+    d = d.select("_row", F.expr("taken % size").alias("_part"), F.expr("cast(taken div size AS int)").alias("_whole"))
+    d = d.select("_row", "_part", "_whole", F.explode(F.sequence(F.lit(1), F.col("_whole") + F.when(F.col("_part") > 0, 1).otherwise(0))).alias("_time"))
+    words = F.split("_row.text", "(?<=[^ \\t-\\r])(?=[ \\t-\\r])")
+    text = F.when(F.col("_time") > F.col("_whole"), F.array_join(F.slice(words, F.lit(1), F.col("_part").cast("int")), "")).otherwise(F.col("_row.text"))
+    d = d.select("_row", text.alias("_text"))
+    new = {"text": F.col("_text")}
     if "n_chars" in docs.columns:
-        d = d.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return d.select(*docs.columns)
+        new["n_chars"] = F.length("_text").cast(docs.schema["n_chars"].dataType)
+    return d.select(*[new.get(c, F.col("_row")[c]).alias(c) for c in docs.columns])

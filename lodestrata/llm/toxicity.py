@@ -269,7 +269,7 @@ def score(docs: DataFrame, model: dict) -> DataFrame:
 
 
 def without_toxic(docs: DataFrame, model: dict, least: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` whose texts score below ``least``; all columns pass through as they are."""
+    """The rows of ``docs`` whose texts score below ``least`` or have no evidence, whatever the labels' base rate is; all columns pass through as they are."""
     shared, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -277,6 +277,7 @@ def without_toxic(docs: DataFrame, model: dict, least: float = 0.5) -> DataFrame
         index = BlockMaxIndex(m["examples"], len(m["terms"]))
         for whole in batches:
             for batch in slices(whole, "text"):
-                yield batch.filter(pa.array([one_score(index, m, t, w)[0] < least for t, w in vectors(batch.column(at), m["terms"], m["idf"])], pa.bool_()))
+                found = (one_score(index, m, t, w) for t, w in vectors(batch.column(at), m["terms"], m["idf"]))
+                yield batch.filter(pa.array([value < least or not len(near) for value, near, _ in found], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
