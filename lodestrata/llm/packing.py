@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import zlib
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -169,7 +170,7 @@ def pack(pieces: DataFrame, seq_len: int = 1024, order: tuple[str, ...] = ("doc_
 
     Ranks within a length are made in chunks of about RANK_CHUNK pieces, as many as the histogram
     asks for, so that a length with a third of all rows is ranked by many tasks. The plan that is
-    broadcast has at most a few rows per length and slot, whatever the input. An empty input gives
+    broadcast has at most one row per pattern and length in it, whatever the input. An empty input gives
     an empty result.
     """
     spark = pieces.sparkSession
@@ -177,12 +178,13 @@ def pack(pieces: DataFrame, seq_len: int = 1024, order: tuple[str, ...] = ("doc_
     rows, base, nth = [], 0, {}
     for pattern, n in plan(counts, seq_len):
         at = 0
-        for length in pattern:
-            rows.append((length, nth.get(length, 0), base - nth.get(length, 0), n, at))
-            nth[length] = nth.get(length, 0) + n
-            at += length
+        for length, same in groupby(sorted(pattern, reverse=True)):
+            k = len(list(same))
+            rows.append((length, nth.get(length, 0), n * k, n, base, at))
+            nth[length] = nth.get(length, 0) + n * k
+            at += length * k
         base += n
-    slots = F.broadcast(spark.createDataFrame(rows, "length long, low long, shift long, uses long, offset long"))
+    slots = F.broadcast(spark.createDataFrame(rows, "length long, low long, span long, uses long, base long, at long"))
     chunks = F.broadcast(spark.createDataFrame([(k, 1 + n // RANK_CHUNK) for k, n in counts.items()], "length long, chunks long"))
 
     keyed = pieces.join(chunks, "length").withColumn("chunk", F.pmod(F.xxhash64(*order), F.col("chunks"))).drop("chunks")
@@ -191,8 +193,10 @@ def pack(pieces: DataFrame, seq_len: int = 1024, order: tuple[str, ...] = ("doc_
     others = [c for c in pieces.columns if c not in order and c != "length"]
     ranked = keyed.withColumn("rank", F.row_number().over(Window.partitionBy("length", "chunk").orderBy(*order, *others)))
     ranked = ranked.join(before, ["length", "chunk"]).withColumn("rank", F.col("before") + F.col("rank") - 1)
-    placed = ranked.join(slots, "length").filter((F.col("rank") >= F.col("low")) & (F.col("rank") < F.col("low") + F.col("uses")))
-    return placed.select(*pieces.columns, (F.col("rank") + F.col("shift")).alias("sequence_id"), "offset")
+    nth_in = F.col("rank") - F.col("low")
+    placed = ranked.join(slots, "length").filter((nth_in >= 0) & (nth_in < F.col("span")))
+    # Equal lengths of a pattern stand side by side: the first uses of it take the first place in each, the next ones the second.
+    return placed.select(*pieces.columns, (F.col("base") + nth_in % F.col("uses")).alias("sequence_id"), (F.col("at") + F.expr("(rank - low) div uses") * F.col("length")).alias("offset"))
 
 
 def pack_documents(docs: DataFrame, tokenizer: str | None = None, seq_len: int = 1024, end_id: int = 2, with_ids: bool = False) -> DataFrame:

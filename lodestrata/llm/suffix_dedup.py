@@ -249,7 +249,7 @@ def repeated_spans(docs: DataFrame, least: int = 50) -> DataFrame:
     contexts = stored(_contexts(texts), "contexts")
     ordered = contexts.repartitionByRange(contexts.count() // TASK_ROWS + 1, *keys).sortWithinPartitions(*keys)
     spans = stored(ordered.mapInArrow(_compare(least), _SPAN), "spans")
-    edges = spans.filter("kind > 0").collect()  # four rows of a partition
+    edges = spans.filter("kind > 0").collect()  # four short rows a task, about what Spark itself keeps of one
     border = spark.createDataFrame(_joined_edges(edges, least) if edges else [], "doc_id long, digest string, start int, end int, removed boolean, first_doc_id long")
     whole = long_rows.select("doc_id", "digest", "n_words").distinct().join(firsts.filter("copies > 1"), "digest")
     whole = whole.select("doc_id", "digest", F.lit(0).alias("start"), F.col("n_words").cast("int").alias("end"), (F.col("doc_id") > F.col("first_doc_id")).alias("removed"), "first_doc_id")
