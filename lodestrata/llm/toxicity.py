@@ -16,12 +16,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lodestrata.llm.minhash_dedup import shingle_sets
 from lodestrata.llm.textkit import NOT_LETTER, Words, mix, sample_by, slices
-from lodestrata.llm.work import short_batches
+from lodestrata.llm.work import short_batches, stored
 
 SAMPLE = 5_000  # labelled examples of each label, about; the documented bound of the classifier's sample
 TERMS = 4_096  # selected terms, at most
 LEAST_G = 20.0  # least log-likelihood ratio (G squared) of a term's association with label 1
+LEAST_LIFT = 3.0  # and how many times as often it is in texts of label 1, at least
 PREFIXES = (4, 5, 6)
 NEAREST = 15
 BLOCK = 32  # examples of a block
@@ -45,6 +47,19 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 
 
+def _signed(sample: DataFrame) -> DataFrame:
+    """The sample with its texts' least 4-word shingle hash, which copies and most near-copies of a text share: of those one teaches, so that a copied text's words do not look like many texts' words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in slices(whole, "text"):
+                g, first = shingle_sets(batch, 4)
+                sign = [int(g[a].view(np.int64)) if b > a else None for a, b in zip(first, first[1:], strict=False)]
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(sign, pa.int64())], ["doc_id", "text", "label", "fraction", "sign"])
+
+    return sample.mapInArrow(run, "doc_id long, text string, label int, fraction double, sign long")
+
+
 def _term_counts(sample: DataFrame) -> DataFrame:
     """(term, label, n): in how many sampled texts of each label a term is."""
 
@@ -191,6 +206,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: str, sample: int = SAMPLE) ->
     chosen = sample_by(known, "label", sample, 2 * sample, "doc_id").select(F.col("doc_id").cast("long").alias("_id"), "label", "fraction")
     texts = _texts(docs)
     train = texts.join(F.broadcast(chosen), texts["doc_id"] == chosen["_id"]).select("doc_id", "text", "label", "fraction")
+    train = stored(_signed(train).dropDuplicates(["sign", "label"]), "labelled")
     counts = _term_counts(train).groupBy("term").agg(F.sum(F.col("n") * F.col("label")).alias("pos"), F.sum(F.col("n") * (1 - F.col("label"))).alias("neg"))
     size = {r[0]: r[1] for r in train.groupBy("label").agg(F.count("*")).collect()}
     empty = {"terms": np.zeros(0, np.uint64), "idf": np.zeros(0), "examples": [], "labels": np.zeros(0), "ids": np.zeros(0, np.int64), "knots": None, "prior": 0.0, "none": 0.0}
@@ -201,7 +217,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: str, sample: int = SAMPLE) ->
     has = F.col("pos") + F.col("neg")
     part = lambda k, row, col: F.when(k > 0, k * F.log(k * n / (row * col))).otherwise(0.0)
     g = 2 * (part(F.col("pos"), has, size[1]) + part(F.col("neg"), has, size[0]) + part(size[1] - F.col("pos"), n - has, size[1]) + part(size[0] - F.col("neg"), n - has, size[0]))
-    rows = counts.withColumn("g", g).filter((F.col("g") >= LEAST_G) & (F.col("pos") * size[0] > F.col("neg") * size[1])).orderBy(F.desc("g"), "term").limit(TERMS).select("term").collect()
+    rows = counts.withColumn("g", g).filter((F.col("g") >= LEAST_G) & ((F.col("pos") + 0.5) * size[0] >= LEAST_LIFT * (F.col("neg") + 0.5) * size[1])).orderBy(F.desc("g"), "term").limit(TERMS).select("term").collect()
     voc = np.sort(np.array([r[0] for r in rows], np.int64).view(np.uint64))
     df, total = _document_frequencies(docs, spark.sparkContext.broadcast(voc)) if len(voc) else (np.zeros(0), 0)
     idf = np.log((1 + total) / (1 + df)) + 1
