@@ -45,6 +45,8 @@ MARKS = frozenset(
     promotion banner banners cookie cookies consent gdpr notice notices notification popup popover modal overlay newsletter subscribe subscription signup login signin social share sharing shares related
     recommended recommendations comment comments commentlist respond replies disqus widget widgets toolbar pagination pager skip paywall outbrain taboola search searchform hidden print""".split()
 )
+#: Those of them that mark readers' comments.
+COMMENTS = frozenset("comment comments commentlist respond replies disqus".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar".split())
 
 _TOKEN = re.compile(r"<(?:!--.*?(?:--!?>|\Z)|(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|(/?)([a-zA-Z][^\s/>]*)([^>]*)>|[!?/][^>]*>)", re.S)
@@ -58,11 +60,11 @@ def _key(parent: int, name: str) -> int:
 
 
 class Page:
-    """A page's elements and texts: for each element name, parent, style key, and whether its markup declares it to be no article."""
+    """A page's elements and texts: for each element name, parent, style key, and whether its markup declares it to be no article: 2 by its element, role or being hidden, 1 by a word of its class or id, 3 by a word for comments."""
 
     def __init__(self, html: str, keys: dict | None = None):
         keys = {} if keys is None else keys
-        self.name, self.parent, self.key, self.no, self.child = [""], [-1], [0], [False], [[]]
+        self.name, self.parent, self.key, self.no, self.child = [""], [-1], [0], [0], [[]]
         self.texts: list[tuple[int, str | None]] = []  # element and text; None is the border of a block
         stack, at, end = [0], 0, len(html)
         add = self.texts.append
@@ -92,14 +94,16 @@ class Page:
             parent = stack[-1]
             attrs = (m[3] or m[6] or "").strip()
             style = name
-            no = name in SKIP or name == "header" and not any(self.name[k] in ("article", "main") for k in stack)
+            no = 2 if name in SKIP or name == "header" and not any(self.name[k] in ("article", "main") for k in stack) else 0
             if attrs and name not in VOID and name != "a":
                 got = {k.lower(): a or b or c for k, a, b, c in _ATTR.findall(attrs)}
                 if marks := f"{got.get('class') or ''} {got.get('id') or ''}".strip():
-                    words = [w.lower() for w in _MARK.findall(marks)]
-                    style += "." + ".".join(sorted(set(words)))
-                    no = no or (name not in ("body", "html", "main", "article") or name == "article" and "comment" in words) and not MARKS.isdisjoint(words)
-                no = no or (got.get("role") or "").lower() in ROLES or "hidden" in got or (got.get("aria-hidden") or "").lower() == "true" or "display:none" in (got.get("style") or "").replace(" ", "").lower()
+                    words = {w.lower() for w in _MARK.findall(marks)}
+                    style += "." + ".".join(sorted(words))
+                    if not no and name not in ("body", "html", "main") and (name != "article" or words & COMMENTS):
+                        no = 3 if words & COMMENTS else int(bool(words & MARKS))
+                if (got.get("role") or "").lower() in ROLES or "hidden" in got or (got.get("aria-hidden") or "").lower() == "true" or "display:none" in (got.get("style") or "").replace(" ", "").lower():
+                    no = 2
             if name in VOID:
                 add((parent, " " if name in ("br", "wbr") else None if name == "hr" else ""))
                 continue
@@ -111,7 +115,7 @@ class Page:
             self.name.append(name)
             self.parent.append(parent)
             self.key.append(key)
-            self.no.append(no or self.no[parent])
+            self.no.append(no)
             self.child.append([])
             self.child[parent].append(key)
             if name in RAW:
@@ -160,12 +164,25 @@ class Page:
     def main_text(self, low: set[int]) -> str:
         """The blocks of the article: without what is declared to be none, and without branches of low importance."""
         n = len(self.name)
+        hard = [False] * n
+        for k in range(1, n):
+            hard[k] = self.no[k] == 2 or hard[self.parent[k]]
+        size, core = [0] * n, [False] * n
+        for k, t in self.texts:
+            if t and not hard[k]:
+                size[k] += len(t.strip())
+        for k in range(n - 1, 0, -1):
+            core[k] = core[k] or self.name[k] in ("main", "article") and not self.no[k]
+            size[self.parent[k]] += size[k]
+            core[self.parent[k]] = core[self.parent[k]] or core[k]
+        # A word of a class does not cut what holds the article or most of the page's text (a layout "with sidebar").
         cut, inside = [False] * n, [False] * n
-        scope = next((s for s in ("main", "article") if any(self.name[k] == s and not self.no[k] for k in range(n))), None)
+        for k in range(1, n):
+            by_word = self.no[k] in (1, 3) and not core[k] and (self.no[k] == 3 or 5 * size[k] < 3 * size[0])
+            cut[k] = cut[self.parent[k]] or hard[k] or by_word or self.key[k] in low and self.name[k] not in ("html", "body", "main", "article")
+        scope = next((s for s in ("main", "article") if any(self.name[k] == s and not cut[k] for k in range(n))), None)
         for k in range(n):
-            p = self.parent[k]
-            cut[k] = self.no[k] or k > 0 and cut[p] or self.key[k] in low and self.name[k] not in ("html", "body", "main", "article")
-            inside[k] = scope is None or self.name[k] == scope or k > 0 and inside[p]
+            inside[k] = scope is None or self.name[k] == scope or k > 0 and inside[self.parent[k]]
         blocks, open_ = [], []
         for k, t in self.texts:
             if t is None:

@@ -114,7 +114,15 @@ def test_pieces_hold_the_ids_of_the_tokenizers_library(spark, tiny):
 def test_ranks_are_whole_over_many_chunks(spark, monkeypatch):
     monkeypatch.setattr(packing, "RANK_CHUNK", 7)
     d = spark.range(500).select(F.col("id").alias("doc_id"), F.lit(0).alias("piece"), F.when(F.col("id") % 3 > 0, 512).otherwise(300).cast("long").alias("length"))
+    d = d.union(spark.range(3000).select((F.col("id") + 1000).alias("doc_id"), F.lit(0), F.lit(1).cast("long")))
     got = packing.pack(d).collect()
+    by = collections.defaultdict(list)
+    for r in got:
+        by[r["sequence_id"]].append((r["offset"], r["length"]))
+    for own in by.values():
+        own.sort()
+        assert [o for o, _ in own] == [sum(n for _, n in own[:k]) for k in range(len(own))] and sum(n for _, n in own) <= 1024
+    got = [r for r in got if r["doc_id"] < 1000]
     assert len(got) == 500 and len({(r["sequence_id"], r["offset"]) for r in got}) == 500
 
 
@@ -375,7 +383,7 @@ def test_toxic_texts_are_caught(spark):
     bad = ["scum", "moron", "idiot", "loser"]
     rows = []
     for i in range(400):
-        w = [f"w{x}" for x in rng.choice(["aa", "bb", "cc", "dd"], 30)] + [f"n{'abcdefgh'[k]}" for k in rng.integers(0, 8, 10)]
+        w = ["w" + "".join("abcdefghij"[c] for c in rng.integers(0, 10, 3)) for _ in range(40)]
         if i % 8 == 0:
             w[3:3] = rng.choice(bad, 2).tolist()
         rows.append((i, " ".join(w), int(i % 8 == 0)))
@@ -421,6 +429,9 @@ def test_html_of_many_kinds():
     assert _text("<p>cut <a href='x") == "cut" and _text("<p>a < b & c</p>") == "a < b & c" and _text("plain") == "plain"
     assert _text("<article><p>a</p><!-- <p>no</p> --><p title='>'>b</p></article></div></p>c") == "a\n\nb"
     assert _text("<div>" * 3000 + "deep") == "deep"
+    assert _text("<div class='content with-sidebar'><p>the long story itself</p><div class='sidebar'>no</div></div>") == "the long story itself"
+    assert _text("<div class='page notice'><article><p>a</p><div class='comments'><p>longer than the article by far</p></div></article></div>") == "a"
+    assert _text("<article class='comment'><p>no</p></article><article><p>yes</p></article>") == "yes"
 
 
 def test_templates_are_cut_by_their_entropy(spark):
