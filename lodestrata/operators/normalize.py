@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from lodestrata.functions.numeric import factor, to_float
 from lodestrata.functions.text import blank_to_null, clean, family_mechanism, slug, strip
+from lodestrata.operators.pick import last_by
 
 #: Canonical names by symbol (fixed values).
 SYMBOL_NAMES = {
@@ -175,8 +176,7 @@ def change_counts(before: DataFrame, after: DataFrame, keys: list[str], cols: li
 def reference_map(refs: DataFrame, order: str, by: list[str] | None = None) -> DataFrame:
     """References by label, without empty labels; of one label the last counts."""
     keys = [*(by or []), "label"]
-    w = Window.partitionBy(*keys).orderBy(F.desc(order))
-    return refs.filter(F.coalesce(F.col("label"), F.lit("")) != "").withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+    return last_by(refs.filter(F.coalesce(F.col("label"), F.lit("")) != ""), keys, [order])
 
 
 def resolve(ids: DataFrame, refs: DataFrame, keys: list[str]) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from lodestrata.functions.text import blank_to_null, clean, norm_text, strip
+from lodestrata.operators.pick import last_by
 
 #: Names of elastic constants (fixed values).
 ELASTIC = ["c11", "c12", "c13", "c33", "c44", "c55", "c66", "e", "nu", "g", "k"]
@@ -48,8 +49,7 @@ def legacy_rows(docs: DataFrame, key: str = "record_id", elastic: str = "elastic
 
 def last_by_key(rows: DataFrame, keys: list[str], *order: str) -> DataFrame:
     """The last row of each key in the given order: later rows overwrite earlier ones."""
-    w = Window.partitionBy(*keys).orderBy(*[F.desc(c) for c in order])
-    return rows.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+    return last_by(rows, keys, list(order))
 
 
 def positional_enrich(base: DataFrame, extra: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:

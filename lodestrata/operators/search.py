@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from lodestrata.functions.text import blank_to_null, squeeze
+from lodestrata.operators.pick import first_by
 
 
 def keyword_score(text: Column, keywords: list[str]) -> Column:
@@ -25,17 +25,13 @@ def keyword_score_squeezed(text: Column, keywords: list[str]) -> Column:
 
 def keep_best(rows: DataFrame, keys: list[str], score: str, order: list[str]) -> DataFrame:
     """The best row of each key, earliest among equals, with ``position``: where its key was first seen."""
-    best = Window.partitionBy(*keys).orderBy(F.desc(score), *order)
-    whole = Window.partitionBy(*keys)
-    first = F.min(F.struct(*order)).over(whole)
-    d = rows.withColumn("_rn", F.row_number().over(best)).withColumn("position", first)
-    return d.filter("_rn = 1").drop("_rn").withColumn("position", F.col("position")[order[0]] if len(order) == 1 else F.col("position"))
+    seen = F.min(F.col(order[0]) if len(order) == 1 else F.struct(*order)).alias("position")
+    return first_by(rows, keys, [-F.col(score), *order], seen)
 
 
 def keep_first(rows: DataFrame, key: Column, order: list[str]) -> DataFrame:
     """The first row of each key in order."""
-    w = Window.partitionBy(key).orderBy(*order)
-    return rows.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+    return first_by(rows, [key], order)
 
 
 def drop_reason(doi: Column, doctype: Column, year: Column, allowed: list[str], year_from: int | None, year_to: int | None, require_doi: bool = True) -> Column:

@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from lodestrata.operators.pick import first_by, last_by
+
 
 def latest(new: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    w = Window.partitionBy(*keys).orderBy(*[F.desc(c) for c in order])
-    return new.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+    """The last new row of each key."""
+    return last_by(new, keys, order)
 
 
 def upsert_coalesce(old: DataFrame, new: DataFrame, keys: list[str], overwrite: tuple[str, ...] = ()) -> DataFrame:
@@ -25,9 +27,7 @@ def upsert_overwrite(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFra
 
 def insert_ignore(old: DataFrame, new: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """Old rows stay; of the new ones the first of each new key comes in."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    first = new.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
-    return old.unionByName(first.join(old, keys, "left_anti").select(*old.columns))
+    return old.unionByName(first_by(new, keys, order).join(old, keys, "left_anti").select(*old.columns))
 
 
 def replace_by_key(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:

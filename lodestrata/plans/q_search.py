@@ -105,17 +105,18 @@ def search_report(spark, sf_dir):
 )
 def dedup_keep_best(spark, sf_dir):
     d = table(spark, sf_dir, "documents").withColumn("score", search.keyword_score(F.col("text"), KEYWORDS) + F.col("doc_id") % 3)
-    return search.keep_best(d.withColumn("h", F.md5("text")), ["h"], "score", ["doc_id"]).select("doc_id", "score", "position")
+    return search.keep_best(d.select("doc_id", "score", F.md5("text").alias("h")), ["h"], "score", ["doc_id"]).select("doc_id", "score", "position")
 
 
 @query("SELECT doc_id, lang FROM (SELECT doc_id, lang, row_number() OVER (PARTITION BY lower(text) ORDER BY doc_id) AS rn FROM documents) WHERE rn = 1")
 def dedup_keep_first(spark, sf_dir):
-    return search.keep_first(table(spark, sf_dir, "documents"), F.md5(F.lower("text")), ["doc_id"]).select("doc_id", "lang")
+    d = table(spark, sf_dir, "documents").select("doc_id", "lang", F.md5(F.lower("text")).alias("h"))
+    return search.keep_first(d, F.col("h"), ["doc_id"]).select("doc_id", "lang")
 
 
 @query("SELECT page_id, url FROM (SELECT page_id, url, row_number() OVER (PARTITION BY lower(regexp_replace(url, '[?#].*$', '')) ORDER BY page_id) AS rn FROM pages) WHERE rn = 1")
 def dedup_pages(spark, sf_dir):
-    return search.keep_first(table(spark, sf_dir, "pages"), F.lower(F.regexp_replace("url", r"[?#].*$", "")), ["page_id"]).select("page_id", "url")
+    return search.keep_first(table(spark, sf_dir, "pages").select("page_id", "url"), F.lower(F.regexp_replace("url", r"[?#].*$", "")), ["page_id"]).select("page_id", "url")
 
 
 _PART = "chr(10) || chr(10) || '=== SECTION: ' || 'doc_' || doc_id || ' ===' || chr(10) || left(text, 3500)"
