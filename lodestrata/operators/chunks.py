@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from lodestrata.functions.text import strip
 
@@ -17,6 +16,6 @@ def chunk_text(docs: DataFrame, key: str = "doc_id", text: str = "text", size: i
     step = max(1, size - overlap)
     t = strip(F.col(text))
     d = docs.select(key, t.alias("_t")).filter(F.length("_t") > 0)
-    d = d.select(key, "_t", F.explode(F.sequence(F.lit(0), F.length("_t") - 1, F.lit(step))).alias("_at"))
-    d = d.select(key, "_at", strip(F.substring("_t", F.col("_at") + 1, F.lit(size))).alias("chunk")).filter("chunk <> ''")
-    return d.select(key, (F.row_number().over(Window.partitionBy(key).orderBy("_at")) - 1).alias("chunk_index"), "chunk")
+    # A text's windows are made and numbered in its own row: no shuffle.
+    windows = F.transform(F.sequence(F.lit(0), F.length("_t") - 1, F.lit(step)), lambda at: strip(F.substring("_t", at + 1, F.lit(size))))
+    return d.select(key, F.posexplode(F.filter(windows, lambda c: c != "")).alias("chunk_index", "chunk"))
