@@ -26,6 +26,10 @@ def vector_topk(vectors: DataFrame, query: DataFrame, k: int, id_col: str = "vec
     return scored.drop("query_vec").orderBy(F.desc("score"), F.asc(id_col)).limit(k)
 
 
+#: Queries that one call of neighbours() broadcasts, at most.
+MOST_QUERIES = 10_000
+
+
 def keyword_search(docs: DataFrame, text_col: str, pattern: str, order: str, k: int) -> DataFrame:
     """Rows whose text is like the query, case folded; '%' and '_' in it stay wildcards. The k first by key."""
     return docs.filter(F.col(text_col).ilike(f"%{pattern}%")).orderBy(order).limit(k)
@@ -50,13 +54,15 @@ def evidence_prompt(hits: DataFrame, question: str, order: list[str], text: str)
 def neighbours(vectors: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id", vec_col: str = "embedding", digits: int = 9) -> DataFrame:
     """(query_id, id, rank, score): the k nearest other vectors of each query row (columns query_id, query_vec).
 
-    The queries are a stated, small set; they are joined block by block with all rows, and each task
+    The queries are a stated set of at most MOST_QUERIES rows, more are an error; they are joined block by block with all rows, and each task
     keeps its k best per query before the shuffle.
     """
     import numpy as np
     import pyarrow as pa
 
-    rows = queries.select("query_id", "query_vec").limit(10_000).collect()
+    rows = queries.select("query_id", "query_vec").limit(MOST_QUERIES + 1).collect()
+    if len(rows) > MOST_QUERIES:
+        raise ValueError(f"give the queries in blocks of at most {MOST_QUERIES}")
     q_ids = [r[0] for r in rows]
     q = np.array([r[1] for r in rows], float)
     shared = vectors.sparkSession.sparkContext.broadcast((q_ids, q / np.linalg.norm(q, axis=1, keepdims=True))) if rows else None

@@ -49,8 +49,11 @@ def round_robin(rows: DataFrame, stratum: str, order: list[str], n: int) -> Data
     """
     from pyspark.sql.window import Window
 
-    by = Window.partitionBy(stratum)
-    d = rows.withColumn("pick_round", F.row_number().over(by.orderBy(*order))).withColumn("_size", F.count("*").over(by)).withColumn("_first", F.min(F.struct(*order)).over(by))
+    sizes = rows.groupBy(stratum).agg(F.count("*").alias("_size"), F.min(F.struct(*order)).alias("_first"))
+    # No stratum gives more than n rows; the filter lets each task keep its own first n before the shuffle.
+    first = rows.withColumn("pick_round", F.row_number().over(Window.partitionBy(stratum).orderBy(*order))).filter(F.col("pick_round") <= n)
+    sizes = sizes.withColumnRenamed(stratum, "_stratum")
+    d = first.join(sizes, first[stratum].eqNullSafe(sizes["_stratum"])).drop("_stratum")
     return d.orderBy("pick_round", F.desc("_size"), "_first").limit(n).drop("_size", "_first")
 
 

@@ -38,7 +38,8 @@ def replace_by_key(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame
 def append_numbered(old: DataFrame, new: DataFrame, ident: str, order: list[str]) -> DataFrame:
     """Appends rows with ids that go on from the largest, in the given order. The ids are made by ranges, without one task for all rows: partition counts first, then a running number in each."""
     top = F.broadcast(old.agg(F.coalesce(F.max(ident), F.lit(0)).alias("_top")))
-    d = new.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_p", F.spark_partition_id()) if order else new.withColumn("_p", F.spark_partition_id())
+    n = int(old.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a given number, which adaptive execution leaves as it is in both uses
+    d = new.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("_p", F.spark_partition_id())
     sizes = d.groupBy("_p").agg(F.count("*").alias("_n"))
     before = sizes.withColumn("_before", F.sum("_n").over(Window.orderBy("_p")) - F.col("_n")).drop("_n")
     d = d.withColumn("_k", F.row_number().over(Window.partitionBy("_p").orderBy(*order)))
