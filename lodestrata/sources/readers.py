@@ -27,7 +27,7 @@ def csv_texts(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("header", True).option("inferSchema", False).csv(path)
 
 
-def record_folders(spark: SparkSession, root: str, name: str = "materials_extracted.json", skip_broken: bool = True) -> DataFrame:
+def record_folders(spark: SparkSession, root: str, name: str = "record.json", skip_broken: bool = True) -> DataFrame:
     """(path, folder, doc) of one JSON file per folder below ``root``; unreadable ones are left out or, without ``skip_broken``, an error."""
     d = spark.read.option("pathGlobFilter", name).option("recursiveFileLookup", True).text(root, wholetext=True)
     p = F.col("_metadata.file_path")

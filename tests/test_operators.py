@@ -182,7 +182,7 @@ def test_sources_and_sinks(spark, tmp_path):
         (root / folder / "sections").mkdir(parents=True)
         (root / folder / "paper.xml").write_text(text)
         (root / folder / "sections" / "001_A.md").write_text("# Title\nbody \U0001f600")
-        (root / folder / "materials_extracted.json").write_text('{"a": 1}' if folder != "b" else "{broken")
+        (root / folder / "record.json").write_text('{"a": 1}' if folder != "b" else "{broken")
     assert [(r["name"], r["length"]) for r in readers.folder_files(spark, str(root)).collect()] == [("001_A.md", 14)] * 3
     assert [r["doi"] for r in readers.local_corpus(spark, str(root)).collect()] == ["10.1016/A"]
     assert readers.record_folders(spark, str(root)).count() == 2
