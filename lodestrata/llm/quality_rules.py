@@ -36,7 +36,7 @@ def _window_hashes(words: Column, n: int = 8) -> Column:
 def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The measured columns of every row, one narrow projection chain without shuffle or user functions."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    stops = F.array(*[F.lit(w) for w in sorted({w for ws in STOP_WORDS.values() for w in ws.split()})])
+    stops = sorted({w for ws in STOP_WORDS.values() for w in ws.split()})
     d = docs.select(F.col(id_col), text.alias("_t"))
     d = d.withColumn("_w", F.filter(F.split("_t", _SPACE), lambda w: w != ""))
     d = d.withColumn("_h", _window_hashes(F.col("_w")))
@@ -59,7 +59,7 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         (F.size("_l") - F.size(F.array_distinct("_l"))).cast("bigint").alias("n_dup_lines"),
         F.coalesce(cover, F.lit(0)).cast("bigint").alias("n_repeat_words"),
         F.size("_l").cast("bigint").alias("n_lines"),
-        F.size(F.filter("_w", lambda w: F.array_contains(stops, F.lower(w)))).cast("bigint").alias("n_stop_words"),
+        F.size(F.filter("_w", lambda w: F.lower(w).isin(stops))).cast("bigint").alias("n_stop_words"),
     )
     # A row's one struct is taken out by a generator, through which no later filter or projection is
     # pushed: else the optimizer would write the nested expressions out again at every use.
