@@ -2,8 +2,9 @@
 
 Suffixes are kept where a 16-word gram is the least of 34 neighbouring ones, so every passage of 49
 words holds one at the same place in each of its copies. Suffixes whose gram occurs once are
-dropped; the others are sorted by their words over the whole corpus, neighbours are compared, and
-matches are extended left and right. Exact copies of whole texts never enter the sort.
+dropped. Where a gram stands at a few places, all pairs of them are compared left and right; where
+it stands at more, the passages around it are grouped by hashes of their words. Exact copies of
+whole texts take no part in either.
 """
 
 from __future__ import annotations
@@ -12,37 +13,42 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lodestrata.llm.textkit import Words, grams, slices
+from lodestrata.llm.textkit import Words, grams, mix, slices
 from lodestrata.llm.work import short_batches, stored
 
 GRAM, NEAR = 16, 34  # words of a gram; grams of which the least is kept
-REACH = 34  # words that a match is extended by to either side of the gram
+FEW = 5  # places of a gram up to which all pairs of them are compared
 CODE = 3  # bytes of a word's code in a stored context
-TASK_ROWS = 100_000  # sorted suffixes that one task compares, about
+TASK_ROWS = 100_000  # suffixes that one task compares, about
 
 
-def kept_positions(g: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Indices into ``g`` (grams of all rows, row offsets ``first``) that are the least of some window of NEAR grams; the leftmost of equals."""
-    n = len(g)
-    if n < NEAR:
+def _factors(n: int) -> np.ndarray:
+    """Odd factors of the words of a run, unrelated to each other, so that runs of the same words in another order differ."""
+    return mix(np.arange(1, n + 1)) | np.uint64(1)
+
+
+def least_of(g: np.ndarray, first: np.ndarray, size: int) -> np.ndarray:
+    """For each run of ``size`` neighbours of a row in ``g`` (row offsets ``first``) the index of the least; the leftmost of equals."""
+    if len(g) < size:
         return np.zeros(0, np.int64)
-    bits = np.uint64(int(n).bit_length())
-    low = (g >> bits << bits) | np.arange(n, dtype=np.uint64)
-    size = 1
-    while 2 * size <= NEAR:
-        low = np.minimum(low[: len(low) - size], low[size:])
-        size *= 2
-    if size < NEAR:
-        low = np.minimum(low[: len(low) - (NEAR - size)], low[NEAR - size :])
+    low, at, width = g, np.arange(len(g)), 1
+    while width < size:
+        step = min(width, size - width)
+        later = low[step:] < low[:-step]
+        low, at = np.where(later, low[step:], low[:-step]), np.where(later, at[step:], at[:-step])
+        width += step
     row = np.repeat(np.arange(len(first) - 1), np.diff(first))
-    inside = row[: len(low)] == row[NEAR - 1 :]
-    at = low[inside] & ((np.uint64(1) << bits) - np.uint64(1))
-    return np.unique(at.astype(np.int64))
+    return at[row[: len(at)] == row[size - 1 :]]
+
+
+def kept_positions(g: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Indices into ``g`` (grams of all rows, row offsets ``first``) that are the least of some window of NEAR grams; the leftmost of equals."""
+    return np.unique(least_of(g, first, NEAR))
 
 
 def _suffixes(docs: DataFrame) -> DataFrame:
@@ -52,7 +58,7 @@ def _suffixes(docs: DataFrame) -> DataFrame:
         for whole in batches:
             for batch in slices(whole, "text"):
                 w = Words(batch.column(2))
-                g, row = grams(w.hashes(), w.first, GRAM)
+                g, row = grams(w.hashes(), w.first, GRAM, mult=_factors(GRAM))
                 own = np.searchsorted(row, np.arange(batch.num_rows + 1))
                 at = kept_positions(g, own)
                 off = np.searchsorted(at, own)
@@ -77,8 +83,17 @@ def _binary(rows: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer((np.arange(n + 1) * width).astype(np.int32).tobytes()), pa.py_buffer(rows.tobytes())])
 
 
-def _contexts(found: DataFrame) -> DataFrame:
-    """The word codes right and left of each repeated gram (doc_id, digest, text, grams, places)."""
+_PLACE = "doc_id long, digest string, gram long, place int, right binary, left binary, head long, tail long, windows array<long>"
+
+
+def _surroundings(found: DataFrame, least: int) -> DataFrame:
+    """What stands around each repeated gram (doc_id, digest, text, grams, places, many).
+
+    Of grams at a few places: the word codes right and left. Of the others: the hashes of those
+    windows of ``least`` words in which the gram is the least one, which is one gram for each
+    window; ``place`` is then the first window's, ``head`` and ``tail`` are its hash and the last one's.
+    """
+    reach = least - GRAM
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -86,23 +101,47 @@ def _contexts(found: DataFrame) -> DataFrame:
                 w = Words(batch.column(2))
                 h = w.hashes()
                 code = np.concatenate((np.maximum(h >> np.uint64(64 - 8 * CODE), np.uint64(1)), np.zeros(1, np.uint64))).astype(">u4").view(np.uint8).reshape(-1, 4)[:, 4 - CODE :]
-                lists, places = batch.column(3), batch.column(4)
+                lists, places, many = batch.column(3), batch.column(4), batch.column(5)
                 row = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
                 gram, place = lists.flatten().to_numpy(zero_copy_only=False), places.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+                is_many = many.flatten().to_numpy(zero_copy_only=False).astype(bool)
                 at, lo, hi = w.first[row] + place, w.first[row], w.first[row + 1]
-                ok = at + GRAM <= hi
-                row, gram, place, at, lo, hi = (x[ok] for x in (row, gram, place, at, lo, hi))
-                for cut in range(0, len(at), 20_000):
-                    s = slice(cut, cut + 20_000)
-                    right = at[s, None] + GRAM + np.arange(REACH)
-                    left = at[s, None] - 1 - np.arange(REACH)
+                few = np.flatnonzero(~is_many)
+                for cut in range(0, len(few), 20_000):
+                    s = few[cut : cut + 20_000]
+                    right = at[s, None] + GRAM + np.arange(reach)
+                    left = at[s, None] - 1 - np.arange(reach)
                     right, left = np.where(right < hi[s, None], right, len(h)), np.where(left >= lo[s, None], left, len(h))
                     ids = pa.array(row[s], pa.int32())
                     cols = [batch.column(0).take(ids), batch.column(1).take(ids), pa.array(gram[s]), pa.array(place[s], pa.int32())]
-                    cols += [_binary(code[x].reshape(len(ids), REACH * CODE)) for x in (right, left)]
-                    yield pa.RecordBatch.from_arrays(cols, ["doc_id", "digest", "gram", "place", "right", "left"])
-
-    return found.select("doc_id", "digest", "text", "grams", "places").mapInArrow(run, "doc_id long, digest string, gram long, place int, right binary, left binary")
+                    cols += [_binary(code[x].reshape(len(ids), reach * CODE)) for x in (right, left)]
+                    cols += [pa.nulls(len(ids), t) for t in (pa.int64(), pa.int64(), pa.list_(pa.int64()))]
+                    yield pa.RecordBatch.from_arrays(cols, _names(_PLACE))
+                s = np.flatnonzero(is_many)
+                if not len(s):
+                    continue
+                g, g_row = grams(h, w.first, GRAM, mult=_factors(GRAM))
+                own = np.searchsorted(g_row, np.arange(batch.num_rows + 1))
+                window, w_row = grams(h, w.first, least, mult=_factors(least))
+                w_own = np.searchsorted(w_row, np.arange(batch.num_rows + 1))
+                chosen = least_of(g, own, reach + 1)  # one gram a window, in rising order
+                lo, hi = (np.searchsorted(chosen, own[row[s]] + place[s], side) for side in ("left", "right"))
+                s, lo, hi = (x[hi > lo] for x in (s, lo, hi))
+                for cut in range(0, len(s), 20_000):
+                    k, a, n = s[cut : cut + 20_000], lo[cut : cut + 20_000], (hi - lo)[cut : cut + 20_000]
+                    off = np.concatenate(([0], np.cumsum(n)))
+                    each = window[np.repeat(a - off[:-1], n) + np.arange(off[-1])].view(np.int64)
+                    ids = pa.array(row[k], pa.int32())
+                    cols = [batch.column(0).take(ids), batch.column(1).take(ids), pa.array(gram[k]), pa.array(a - w_own[row[k]], pa.int32())]
+                    cols += [pa.nulls(len(ids), pa.binary())] * 2 + [pa.array(each[off[:-1]]), pa.array(each[off[1:] - 1])]
+                    cols.append(pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(each)))
+                    yield pa.RecordBatch.from_arrays(cols, _names(_PLACE))
+
+    return found.select("doc_id", "digest", "text", "grams", "places", "many").mapInArrow(run, _PLACE)
+
+
+def _names(schema: str) -> list[str]:
+    return [x.split(" ")[0] for x in schema.split(", ")]
 
 
 def _same(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -114,114 +153,86 @@ def _same(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.where(differ.any(axis=1), differ.argmax(axis=1), a.shape[1])
 
 
-class _Sorted:
-    """Sorted contexts of one partition (or the edges of all), with the comparisons on them."""
-
-    def __init__(self, gram, doc, place, right, left, digest):
-        self.gram, self.doc, self.place, self.right, self.left, self.digest = gram, doc, place, right, left, digest
-
-    def match(self, i: np.ndarray, j: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Words matched left and right of rows i and j, and whether the whole match is long enough and of two places."""
-        l, r = np.zeros(len(i), np.int64), np.zeros(len(i), np.int64)
-        for k in range(0, len(i), 4096):
-            x, y = i[k : k + 4096], j[k : k + 4096]
-            l[k : k + 4096], r[k : k + 4096] = _same(self.left[x], self.left[y]), _same(self.right[x], self.right[y])
-        apart = (self.doc[i] != self.doc[j]) | (self.place[i] != self.place[j])
-        return l, r, (self.gram[i] == self.gram[j]) & apart & (l + r + GRAM >= least)
-
-    def before(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-        return (self.doc[i] < self.doc[j]) | (self.doc[i] == self.doc[j]) & (self.place[i] < self.place[j])
-
-
-_SPAN = "kind int, part int, run int, doc_id long, digest string, start int, end int, removed boolean, first_doc_id long, gram long, place int, right binary, left binary"
+_SPAN = "doc_id long, digest string, start int, end int, removed boolean, first_doc_id long"
 
 
 def _compare(least: int):
-    """Compares the sorted neighbours of a partition; also gives out its edges, for the driver to join the partitions up.
+    """Compares all pairs of places of each gram; a gram's places are neighbours in one partition, FEW at most.
 
-    A run is a stretch of neighbours that match. Each member is compared with its neighbours and
-    with the run's first place in the corpus; words that stand at an earlier place too are marked
-    as removed. Every removal points to an earlier place, so the first copy of a passage stays.
+    A pair that agrees in l words left of the gram and r words right of it shares the windows of
+    ``least`` words with reach - r to l words left of it. A window with an earlier place is
+    removed, one with later places only is a first one. All hold the gram, so either kind is one span.
     """
-    names = [x.split(" ")[0] for x in _SPAN.split(", ")]
-    types = [pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.bool_(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary()]
+    reach = least - GRAM
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = pa.Table.from_batches(list(batches)) if (batches := [b for b in batches if b.num_rows]) else None
         if t is None:
             return
         t = t.combine_chunks()
-        n, part = t.num_rows, TaskContext.get().partitionId()
+        n = t.num_rows
+
         def wide(c: str) -> np.ndarray:
             col = pa.concat_arrays(t.column(c).chunks)  # of one width
-            return np.frombuffer(col.buffers()[2], np.uint8)[: n * REACH * CODE].reshape(n, -1)
-
-        s = _Sorted(t.column("gram").to_numpy(), t.column("doc_id").to_numpy(), t.column("place").to_numpy(), wide("right"), wide("left"), t.column("digest"))
-        i = np.arange(n - 1)
-        pairs = [(i, i + 1)]
-        l, r, ok = s.match(i, i + 1, least)
-        number = np.concatenate(([0], np.cumsum(~ok)))
-        starts = np.flatnonzero(np.concatenate(([True], ~ok)))
-        order = np.lexsort((s.place, s.doc, number))
-        lead = order[starts][number]
-        far = np.arange(n)
-        pairs.append((lead[lead != far], far[lead != far]))
-        pairs += [(far[:-d], far[d:]) for d in (2, 3, 4) if n > d]
-        # All matches of a suffix hold its gram, so their union is one span: by suffix one of removed words and one of first ones.
-        start, end, first = np.full((2, n), np.iinfo(np.int32).max), np.zeros((2, n), np.int64), s.doc.copy()
-        for k, (a, b) in enumerate(pairs):
-            l, r, ok = (l, r, ok) if k == 0 else s.match(a, b, least)
-            a, b, l2, r2 = a[ok], b[ok], l[ok], r[ok]
-            for me, other in ((a, b), (b, a)):
-                for gone, some in enumerate((~s.before(other, me), s.before(other, me))):
-                    # In the leads' pairs a lead stands many times, so the places are met one by one.
-                    np.minimum.at(start[gone], me[some], s.place[me[some]] - l2[some])
-                    np.maximum.at(end[gone], me[some], s.place[me[some]] + GRAM + r2[some])
-                np.minimum.at(first, me, s.doc[other])
-        for gone in (0, 1):
-            found = np.flatnonzero(end[gone])
+            return np.frombuffer(col.buffers()[2], np.uint8)[: n * reach * CODE].reshape(n, -1)
+
+        gram, doc, place, right, left = t.column("gram").to_numpy(), t.column("doc_id").to_numpy(), t.column("place").to_numpy().astype(np.int64), wide("right"), wide("left")
+        digest = pc.rank(t.column("digest"), tiebreaker="dense").to_numpy()
+        rank = np.empty(n, np.int64)
+        rank[np.lexsort((digest, place, doc))] = np.arange(n)
+        # By place and number of words left of the gram: whether that window has an earlier and a later place.
+        earlier, later, first = np.zeros((n, reach + 1), bool), np.zeros((n, reach + 1), bool), doc.copy()
+        for d in range(1, FEW):
+            pairs = np.flatnonzero(gram[:-d] == gram[d:])
+            for cut in range(0, len(pairs), 4096):
+                i = pairs[cut : cut + 4096]
+                i, j = np.where(rank[i] < rank[i + d], i, i + d), np.where(rank[i] < rank[i + d], i + d, i)
+                l, r = _same(left[i], left[j]), _same(right[i], right[j])
+                ok = l + r >= reach
+                i, j, l, r = i[ok], j[ok], l[ok, None], r[ok, None]
+                own = (np.arange(reach + 1) <= l) & (np.arange(reach + 1) >= reach - r)
+                # A place can stand in two pairs of one distance.
+                np.logical_or.at(later, i, own)
+                np.logical_or.at(earlier, j, own)
+                np.minimum.at(first, j, doc[i])
+        for gone, own in ((False, later & ~earlier), (True, earlier)):
+            found = np.flatnonzero(own.any(axis=1))
             for cut in range(0, len(found), 10_000):
                 me = found[cut : cut + 10_000]
-                cols = [pa.nulls(len(me), t_) for t_ in types]
-                cols[0], cols[3], cols[4] = pa.array(np.zeros(len(me), np.int32)), pa.array(s.doc[me]), s.digest.take(pa.array(me)).combine_chunks()
-                cols[5], cols[6], cols[7], cols[8] = pa.array(start[gone][me], pa.int32()), pa.array(end[gone][me], pa.int32()), pa.array(np.full(len(me), bool(gone))), pa.array(first[me])
-                yield pa.RecordBatch.from_arrays(cols, names)
-        edges = [(1, 0), (2, int(lead[0])), (3, int(lead[n - 1])), (4, n - 1)]
-        rows = [(k, part, int(number[e]), int(s.doc[e]), s.digest[e].as_py(), None, None, None, None, int(s.gram[e]), int(s.place[e]), s.right[e].tobytes(), s.left[e].tobytes()) for k, e in edges]
-        yield pa.RecordBatch.from_arrays([pa.array(c, t_) for c, t_ in zip(zip(*rows, strict=True), types, strict=True)], names)
+                start = place[me] - (reach - own[me, ::-1].argmax(axis=1))
+                end = place[me] + GRAM + reach - own[me].argmax(axis=1)
+                cols = [pa.array(doc[me]), t.column("digest").take(pa.array(me)).combine_chunks(), pa.array(start, pa.int32()), pa.array(end, pa.int32())]
+                cols += [pa.array(np.full(len(me), gone)), pa.array(first[me] if gone else doc[me])]
+                yield pa.RecordBatch.from_arrays(cols, _names(_SPAN))
 
     return run
 
 
-def _joined_edges(edges: list, least: int) -> list[tuple]:
-    """Spans from matches across partition borders: at most a few per partition."""
-    parts = sorted({e["part"] for e in edges})
-    at = {(e["part"], e["kind"]): k for k, e in enumerate(edges)}
-    wide = lambda c: np.frombuffer(b"".join(bytes(e[c]) for e in edges), np.uint8).reshape(len(edges), -1)
-    s = _Sorted(*(np.array([e[c] for e in edges], np.int64) for c in ("gram", "doc_id", "place")), wide("right"), wide("left"), [e["digest"] for e in edges])
-    out: list[tuple] = []
-
-    def add(a: int, b: int) -> bool:
-        l, r, ok = (x[0] for x in s.match(np.array([a]), np.array([b]), least))
-        if ok:
-            for me, other in ((a, b), (b, a)):
-                out.append((int(s.doc[me]), s.digest[me], int(s.place[me] - l), int(s.place[me] + GRAM + r), bool(s.before(np.array([other]), np.array([me]))[0]), int(min(s.doc[me], s.doc[other]))))
-        return bool(ok)
-
-    chain: list[int] = []
-    for p, q in zip(parts, parts[1:] + [None], strict=True):
-        if not chain:
-            chain = [at[p, 3]]
-        if q is not None and add(at[p, 4], at[q, 1]):
-            chain.append(at[q, 2])
-            if edges[at[q, 1]]["run"] == edges[at[q, 4]]["run"]:
-                continue
-        lead = min(chain, key=lambda k: (s.doc[k], s.place[k]))
-        for k in chain:
-            if k != lead:
-                add(lead, k)
-        chain = []
-    return out
+def _grouped(around: DataFrame, least: int) -> DataFrame:
+    """Spans of the places whose windows are known by their hashes; each window is linked to its first place.
+
+    Places with the same windows are one class, of which only the first place's windows are grouped,
+    so that a passage in very many texts counts once; the other places are removed as a whole.
+    """
+    key = ["head", "tail", "n"]  # the first and the last window hold all words of those between
+    around = around.withColumn("n", F.size("windows"))
+    classes = stored(around.groupBy(*key).agg(F.min(F.struct("doc_id", "place", "digest", "windows")).alias("r"), F.count("*").alias("copies")), "classes")
+    windows = classes.select(*key, "copies", "r.doc_id", "r.place", "r.digest", F.posexplode("r.windows").alias("at", "window"))
+    me = F.struct("doc_id", (F.col("place") + F.col("at")).alias("place"), "digest")
+    firsts = stored(windows.groupBy("window").agg(F.min(me).alias("first"), F.sum("copies").alias("n_places")).filter("n_places > 1").drop("n_places"), "firsts")
+    hits = windows.join(firsts, "window").withColumn("removed", me != F.col("first"))
+    ends = [f(F.when(F.col("removed") == gone, F.col("at"))).alias(name) for gone, f, name in ((True, F.min, "lo"), (True, F.max, "hi"), (False, F.min, "own_lo"), (False, F.max, "own_hi"))]
+    found = hits.groupBy(*key, F.col("doc_id").alias("rep_id"), F.col("place").alias("rep_place"), F.col("digest").alias("rep_digest")).agg(*ends, F.min("first.doc_id").alias("first_doc_id"))
+    d = around.select("doc_id", "digest", "place", *key).join(stored(found, "found"), key)
+
+    def span(lo, hi, removed, first):
+        return F.struct((F.col("place") + lo).alias("start"), (F.col("place") + hi + least).alias("end"), F.lit(removed).alias("removed"), first.alias("first_doc_id"))
+
+    own = F.array(span(F.col("lo"), F.col("hi"), True, F.col("first_doc_id")), span(F.col("own_lo"), F.col("own_hi"), False, F.col("doc_id")))
+    copy = F.array(span(F.lit(0), F.col("n") - 1, True, F.col("first_doc_id")))
+    is_rep = (F.col("doc_id") == F.col("rep_id")) & (F.col("place") == F.col("rep_place")) & (F.col("digest") == F.col("rep_digest"))
+    spans = d.select("doc_id", "digest", F.explode(F.when(is_rep, F.filter(own, lambda x: x["start"].isNotNull())).otherwise(copy)).alias("x"))
+    return spans.select("doc_id", "digest", "x.start", "x.end", "x.removed", "x.first_doc_id")
 
 
 def repeated_spans(docs: DataFrame, least: int = 50) -> DataFrame:
@@ -233,27 +244,26 @@ def repeated_spans(docs: DataFrame, least: int = 50) -> DataFrame:
     are left out; repeated rows are one document. ``digest`` is the text's md5, which tells apart
     rows that share an id. An empty table gives an empty result.
     """
-    spark = docs.sparkSession
-    short_batches(spark)
+    if least < GRAM + NEAR - 1:
+        raise ValueError(f"passages of fewer than {GRAM + NEAR - 1} words may hold no kept gram")
+    short_batches(docs.sparkSession)
     docs = docs.filter("doc_id is not null").select("doc_id", "text")
     rows = stored(_suffixes(docs), "suffixes")
     long_rows = rows.filter(F.col("n_words") >= least)
     firsts = stored(long_rows.groupBy("digest").agg(F.min("doc_id").alias("first_doc_id"), F.count("*").alias("copies")), "texts")
     reps = long_rows.join(firsts.select("digest", F.col("first_doc_id").alias("doc_id")), ["digest", "doc_id"]).dropDuplicates(["digest", "doc_id"])
     places = reps.select("doc_id", "digest", F.explode(F.arrays_zip("grams", "places")).alias("x")).select("doc_id", "digest", F.col("x.grams").alias("gram"), F.col("x.places").alias("place"))
-    twice = stored(places.groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1").select("gram"), "grams")
-    found = places.join(twice, "gram", "left_semi").groupBy("doc_id", "digest").agg(F.collect_list(F.struct("gram", "place")).alias("x"))
-    found = found.select("doc_id", "digest", F.col("x.gram").alias("grams"), F.col("x.place").alias("places"))
-    texts = _texts(docs).join(found, ["doc_id", "digest"])
-    keys = ["gram", "right", "left", "doc_id", "place"]
-    contexts = stored(_contexts(texts), "contexts")
-    ordered = contexts.repartitionByRange(contexts.count() // TASK_ROWS + 1, *keys).sortWithinPartitions(*keys)
-    spans = stored(ordered.mapInArrow(_compare(least), _SPAN), "spans")
-    edges = spans.filter("kind > 0").collect()  # four short rows a task, about what Spark itself keeps of one
-    border = spark.createDataFrame(_joined_edges(edges, least) if edges else [], "doc_id long, digest string, start int, end int, removed boolean, first_doc_id long")
+    twice = stored(places.groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1").select("gram", (F.col("n") > FEW).alias("many")), "grams")
+    found = places.join(twice, "gram").groupBy("doc_id", "digest").agg(F.collect_list(F.struct("gram", "place", "many")).alias("x"))
+    found = found.select("doc_id", "digest", F.col("x.gram").alias("grams"), F.col("x.place").alias("places"), F.col("x.many").alias("many"))
+    texts = _texts(docs).dropDuplicates(["doc_id", "digest"]).join(found, ["doc_id", "digest"])
+    around = stored(_surroundings(texts, least), "places")
+    few = around.filter("windows is null").select("doc_id", "digest", "gram", "place", "right", "left")
+    spans = few.repartition(few.count() // TASK_ROWS + 1, "gram").sortWithinPartitions("gram").mapInArrow(_compare(least), _SPAN)
+    spans = spans.union(_grouped(around.filter("windows is not null").select("doc_id", "digest", "place", "head", "tail", "windows"), least))
     whole = long_rows.select("doc_id", "digest", "n_words").distinct().join(firsts.filter("copies > 1"), "digest")
     whole = whole.select("doc_id", "digest", F.lit(0).alias("start"), F.col("n_words").cast("int").alias("end"), (F.col("doc_id") > F.col("first_doc_id")).alias("removed"), "first_doc_id")
-    return _merged(spans.filter("kind = 0").select(border.columns).union(border).union(whole))
+    return _merged(spans.union(whole))
 
 
 def _merged(spans: DataFrame) -> DataFrame:

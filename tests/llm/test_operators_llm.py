@@ -312,6 +312,32 @@ def test_repeated_passages_equal_brute_force(spark, monkeypatch, task_rows):
     assert all(kept[i] == [w for w, gone in zip(own[i], got[i][1], strict=True) if not gone] for i in own)
 
 
+@pytest.mark.parametrize("shared", [40, 48, 60, 120])
+def test_passages_in_words_that_many_texts_share_equal_brute_force(spark, shared):
+    rng = np.random.default_rng(shared)
+    fresh = lambda n: [f"w{x}" for x in rng.integers(0, 10**6, n)]
+    docs = []
+    for _ in range(8):
+        line, before, after = fresh(shared), fresh(30), fresh(30)
+        for k in range(60):
+            left, right = [(0, 0), (20, 0), (0, 20), (7, 7), (30, 3), (3, 30)][min(k // 2, 5) if k < 12 else 0]
+            docs.append(fresh(rng.integers(40, 60)) + before[len(before) - left :] + line + after[:right] + fresh(rng.integers(40, 60)))
+    docs = [(int(i), " ".join(docs[k])) for k, i in enumerate(rng.permutation(len(docs)))]
+    own, want = brute_repeats(docs)
+    all_, gone = ({i: np.zeros(len(w), bool) for i, w in own.items()} for _ in range(2))
+    for r in suffix_dedup.repeated_spans(spark.createDataFrame(docs, "doc_id long, text string").repartition(3)).collect():
+        all_[r["doc_id"]][r["start_word"] : r["end_word"]] = True
+        gone[r["doc_id"]][r["start_word"] : r["end_word"]] |= r["removed"]
+        assert r["first_doc_id"] < r["doc_id"] if r["removed"] else r["first_doc_id"] == r["doc_id"]
+    assert all((all_[i] == want[i][0]).all() and (gone[i] == want[i][1]).all() for i in own)
+
+
+def test_words_in_another_order_are_no_repeat(spark):
+    own = [[f"{c}{k}" for k in range(40)] for c in "lr"]
+    docs = [(k, " ".join(own[0] + x.split() + own[1])) for k, x in enumerate(["a b b a", "b a a b"])]
+    assert suffix_dedup.repeated_spans(spark.createDataFrame(docs, "doc_id long, text string")).count() == 0
+
+
 # ---- language model
 
 
