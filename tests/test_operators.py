@@ -152,6 +152,15 @@ def test_retrieval(spark):
     assert [(r["vec_id"], r["rank"]) for r in got.orderBy("rank").collect()] == [(5, 1), (3, 2)]
 
 
+def test_neighbours_of_more_queries_than_a_block(spark, monkeypatch):
+    v = spark.createDataFrame([(k, [float(k % 7), float(k % 5), 1.0]) for k in range(40)], "vec_id long, embedding array<float>").repartition(3)
+    q = v.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query_vec"))
+    run = lambda: sorted(tuple(r) for r in retrieval.neighbours(v, q, 3).collect())
+    want = run()
+    monkeypatch.setattr(retrieval, "MOST_QUERIES", 7)
+    assert run() == want and len(want) == 120
+
+
 def test_round_robin(spark):
     d = spark.createDataFrame([("a", k) for k in range(4)] + [("b", 9)], "s string, k int")
     assert [(r["s"], r["k"]) for r in review.round_robin(d, "s", ["k"], 3).collect()] == [("a", 0), ("b", 9), ("a", 1)]
