@@ -68,6 +68,12 @@ def keyword_score_rank(spark, sf_dir):
     return search.rank(d, "score", ["doc_id"]).select("doc_id", "source", "score").limit(50)
 
 
+@query(f"SELECT *, row_number() OVER (ORDER BY score DESC, doc_id) AS rank FROM (SELECT doc_id, source, {_score_sql('text')} AS score FROM documents)")
+def keyword_score_rank_all(spark, sf_dir):
+    d = table(spark, sf_dir, "documents").select("doc_id", "source", search.keyword_score(F.col("text"), KEYWORDS).alias("score"))
+    return search.ranked(d, "score", ["doc_id"])
+
+
 _REASON = "CASE WHEN coalesce(source, '') = '' THEN 'no_doi' WHEN coalesce(lang, '') <> '' AND lang NOT IN ('en', 'de') THEN 'doctype' WHEN n_chars < 200 THEN 'year' WHEN n_chars > 8000 THEN 'year' END"
 
 

@@ -161,6 +161,12 @@ def test_neighbours_of_more_queries_than_a_block(spark, monkeypatch):
     assert run() == want and len(want) == 120
 
 
+def test_ranks_reach_every_row(spark):
+    d = spark.createDataFrame([(k, (k * 7) % 5) for k in range(300)], "doc_id long, score int").repartition(4)
+    got = [(r["doc_id"], r["score"]) for r in sorted(search.ranked(d, "score", ["doc_id"]).collect(), key=lambda r: r["rank"])]
+    assert got == sorted(((k, (k * 7) % 5) for k in range(300)), key=lambda x: (-x[1], x[0]))
+
+
 def test_round_robin(spark):
     d = spark.createDataFrame([("a", k) for k in range(4)] + [("b", 9)], "s string, k int")
     assert [(r["s"], r["k"]) for r in review.round_robin(d, "s", ["k"], 3).collect()] == [("a", 0), ("b", 9), ("a", 1)]
