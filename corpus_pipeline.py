@@ -32,7 +32,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces of all documents, packed into sequences of 1024."""
-    return packing.pack_documents(docs)
+    return packing.pack_documents(docs, added=True)
 
 
 STAGES = [

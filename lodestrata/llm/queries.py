@@ -19,7 +19,7 @@ def _query(f):
 @_query
 def op7_best_fit_packing(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
-    return packing.pack_documents(docs).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+    return packing.pack_documents(docs, added=True).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
 @_query

@@ -111,6 +111,18 @@ def test_pieces_hold_the_ids_of_the_tokenizers_library(spark, tiny):
         assert end <= 1024
 
 
+def test_op7_pieces_hold_the_ids_of_added_tokens(spark, monkeypatch):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["<|endoftext|>", "a <|endoftext|> b", "x<|endoftext|><|endoftext|>\n\ny  ", "<|endoftext |> <|endoftext", "it's  \n\n 123 é😀"]
+    monkeypatch.setattr(q, "table", lambda *_: spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    got = {r["doc_id"]: (r["length"], r["ids_crc32"]) for r in q.QUERIES["op7_best_fit_packing"](spark, "").collect()}
+    want = {k: [*t.encode(x, add_special_tokens=False).ids, 2] for k, x in enumerate(texts)}
+    assert 50256 in want[0] and got == {k: (len(x), zlib.crc32(np.array(x, "<u4").tobytes())) for k, x in want.items()}
+
+
 def test_ranks_are_whole_over_many_chunks(spark, monkeypatch):
     monkeypatch.setattr(packing, "RANK_CHUNK", 7)
     d = spark.range(500).select(F.col("id").alias("doc_id"), F.lit(0).alias("piece"), F.when(F.col("id") % 3 > 0, 512).otherwise(300).cast("long").alias("length"))
