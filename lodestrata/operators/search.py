@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from lodestrata.functions.text import blank_to_null, squeeze
+from lodestrata.operators.numbering import numbered
 from lodestrata.operators.pick import first_by
 
 
@@ -71,11 +71,5 @@ def rank(rows: DataFrame, score: str, order: list[str]) -> DataFrame:
 
 
 def ranked(rows: DataFrame, score: str, order: list[str]) -> DataFrame:
-    """All rows with their ``rank`` in that order, from 1; numbered by ranges, without one task for all rows."""
-    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a given number, which adaptive execution leaves as it is in both uses
-    by = [F.desc(score), *order]
-    d = rows.repartitionByRange(n, *by).sortWithinPartitions(*by).withColumn("_p", F.spark_partition_id())
-    sizes = d.groupBy("_p").agg(F.count("*").alias("_n"))
-    before = sizes.withColumn("_before", F.sum("_n").over(Window.orderBy("_p")) - F.col("_n")).drop("_n")
-    d = d.withColumn("_k", F.row_number().over(Window.partitionBy("_p").orderBy(*by)))
-    return d.join(F.broadcast(before), "_p").withColumn("rank", F.col("_before") + F.col("_k")).select(*rows.columns, "rank")
+    """All rows with their ``rank`` in that order, from 1."""
+    return numbered(rows, [F.desc(score), *order], "rank")

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
+from lodestrata.operators.numbering import numbered
 from lodestrata.operators.pick import first_by, last_by
 
 
@@ -36,14 +36,9 @@ def replace_by_key(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame
 
 
 def append_numbered(old: DataFrame, new: DataFrame, ident: str, order: list[str]) -> DataFrame:
-    """Appends rows with ids that go on from the largest, in the given order. The ids are made by ranges, without one task for all rows: partition counts first, then a running number in each."""
+    """Appends rows with ids that go on from the largest, in the given order; unique and without gaps."""
     top = F.broadcast(old.agg(F.coalesce(F.max(ident), F.lit(0)).alias("_top")))
-    n = int(old.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a given number, which adaptive execution leaves as it is in both uses
-    d = new.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("_p", F.spark_partition_id())
-    sizes = d.groupBy("_p").agg(F.count("*").alias("_n"))
-    before = sizes.withColumn("_before", F.sum("_n").over(Window.orderBy("_p")) - F.col("_n")).drop("_n")
-    d = d.withColumn("_k", F.row_number().over(Window.partitionBy("_p").orderBy(*order)))
-    out = d.join(F.broadcast(before), "_p").crossJoin(top).withColumn(ident, (F.col("_top") + F.col("_before") + F.col("_k")).cast(old.schema[ident].dataType))
+    out = numbered(new, list(order), "_nth").crossJoin(top).withColumn(ident, (F.col("_top") + F.col("_nth")).cast(old.schema[ident].dataType))
     return old.unionByName(out.select(*old.columns))
 
 

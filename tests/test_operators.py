@@ -134,6 +134,21 @@ def test_store(spark):
     assert rows(more)[2:] == [(3, "w"), (4, "x"), (5, "y"), (6, "z")]
 
 
+@pytest.mark.parametrize("n", ["1", "4", "8", "200"])
+def test_numbers_are_unique_and_gapless(spark, n):
+    """More rows than a range's sample holds, a third of them of one key."""
+    old = spark.createDataFrame([(7, "a")], "k int, v string")
+    new = spark.range(30_000).selectExpr("CASE WHEN id % 3 = 0 THEN 'hot' ELSE lpad(cast(id AS string), 6, '0') END AS v")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", n)
+    try:
+        got = sorted((r["k"], r["v"]) for r in store.append_numbered(old, new.repartition(7), "k", ["v"]).collect())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert [k for k, _ in got] == list(range(7, 30_008))
+    assert [v for _, v in got[1:]] == sorted(v for _, v in got[1:])
+
+
 def test_metrics_stay_in_range(spark):
     g = spark.createDataFrame([(1, "p.a", None), (1, "p.b", "x"), (1, "q", "y")], "k int, path string, value string")
     p = spark.createDataFrame([(1, "p.a", None), (1, "p.b", "z")], "k int, path string, value string")
