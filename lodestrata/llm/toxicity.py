@@ -1,10 +1,11 @@
 """Toxicity scores from the nearest labelled examples by exact TF-IDF cosine.
 
-Terms are words and the beginnings of words (4 to 6 bytes). The labelled sample selects the terms
-that go with a label; document frequencies are counted over all documents. The examples stand in an
-inverted index whose postings lie in blocks with their greatest weights, so blocks that cannot hold
-a nearest example are passed over without loss. Distance-weighted votes of the nearest examples are
-calibrated on the sample by leave-one-out; the nearest examples are the evidence.
+Terms are all words of the examples; document frequencies are counted over all documents. A term's
+weight also rises with its association with label 1 in the sample, and no term is left out, so
+every text that shares a word with an example has neighbours. The examples stand in an inverted
+index whose postings lie in blocks with their greatest weights; blocks that cannot hold a nearest
+example are passed over without loss. Distance-weighted votes of the nearest examples are calibrated
+on the sample, leaving out an example's own group of copies; the nearest examples are the evidence.
 """
 
 from __future__ import annotations
@@ -17,124 +18,116 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestrata.llm.minhash_dedup import shingle_sets
-from lodestrata.llm.textkit import NOT_LETTER, Words, mix, sample_by, slices
-from lodestrata.llm.work import short_batches, stored
-
-SAMPLE = 5_000  # labelled examples of each label, about; the documented bound of the classifier's sample
-TERMS = 4_096  # selected terms, at most
-LEAST_G = 20.0  # least log-likelihood ratio (G squared) of a term's association with label 1
-LEAST_LIFT = 3.0  # and how many times as often it is in texts of label 1, at least
-PREFIXES = (4, 5, 6)
+from lodestrata.llm.textkit import NOT_LETTER, Words, sample_by, slices
+from lodestrata.llm.work import short_batches
+
+SAMPLE = 1_500  # labelled examples of each label, about: the default bound of the classifier's sample
+CHANCE = 3.0  # root of the log-likelihood ratio up to which a term's association with label 1 is taken as chance
 NEAREST = 15
 BLOCK = 32  # examples of a block
-
-
-def term_keys(w: Words) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of all words and word beginnings, with the row of each."""
-    keys, rows = [w.hashes()], [w.row]
-    size = w.end - w.start
-    for n in PREFIXES:
-        at = np.flatnonzero(size >= n)
-        h = np.full(len(at), n, np.uint64)
-        for i in range(n):
-            h = h * np.uint64(0x100000001B3) + w.buf[w.start[at] + i].astype(np.uint64)
-        keys.append(mix(h + np.uint64(0x9E3779B97F4A7C15)))
-        rows.append(w.row[at])
-    return np.concatenate(keys), np.concatenate(rows)
+POSTINGS = 1_500_000  # postings that a batch of queries goes through at once, about
 
 
 def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 
 
-def _signed(sample: DataFrame) -> DataFrame:
-    """The sample with its texts' least 4-word shingle hash, which copies and most near-copies of a text share: of those one teaches, so that a copied text's words do not look like many texts' words."""
+def term_counts(col: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct words by text: row (ascending), key and count."""
+    w = Words(col, apart=NOT_LETTER)
+    keys = w.hashes()
+    order = np.lexsort((keys, w.row))
+    keys, rows = keys[order], w.row[order]
+    new = np.ones(len(keys), bool)
+    new[1:] = (keys[1:] != keys[:-1]) | (rows[1:] != rows[:-1])
+    at = np.flatnonzero(new)
+    return rows[at], keys[at], np.diff(np.concatenate((at, [len(keys)])))
+
+
+def _examples(train: DataFrame) -> list[dict]:
+    """The sample's rows with their words, counts and group; of texts that are equal, the one with the smallest id stands for all.
+
+    A group is a text's least 4-word shingle hash, which copies and most near-copies share.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, "text"):
                 g, first = shingle_sets(batch, 4)
-                sign = [int(g[a].view(np.int64)) if b > a else None for a, b in zip(first, first[1:], strict=False)]
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(sign, pa.int64())], ["doc_id", "text", "label", "fraction", "sign"])
+                group = [int(g[a].view(np.int64)) if b > a else None for a, b in zip(first, first[1:], strict=False)]
+                rows, keys, tf = term_counts(batch.column(1))
+                cut = np.searchsorted(rows, np.arange(batch.num_rows + 1))
+                parts = list(zip(cut, cut[1:], strict=False))
+                own = [pa.array([keys[a:b].astype("<u8").tobytes() for a, b in parts], pa.binary()), pa.array([tf[a:b].astype("<u4").tobytes() for a, b in parts], pa.binary())]
+                yield pa.RecordBatch.from_arrays([batch.column(0), *batch.columns[2:], pa.array(group, pa.int64()), *own], ["doc_id", "label", "share", "group", "keys", "tf"])
 
-    return sample.mapInArrow(run, "doc_id long, text string, label int, fraction double, sign long")
+    one = train.groupBy(F.md5("text").alias("digest")).agg(F.min("doc_id").alias("doc_id"), F.first("text").alias("text"), F.max("label").alias("label"), F.sum(1 / F.col("fraction")).alias("share"))
+    out = one.select("doc_id", "text", "label", "share").mapInArrow(run, "doc_id long, label int, share double, group long, keys binary, tf binary").toArrow().to_pylist()
+    return sorted(out, key=lambda r: r["doc_id"])
 
 
-def _term_counts(sample: DataFrame) -> DataFrame:
-    """(term, label, n): in how many sampled texts of each label a term is."""
+def association(pos: np.ndarray, neg: np.ndarray, n_pos: float, n_neg: float) -> np.ndarray:
+    """Root of the log-likelihood ratio (G squared) of terms that are more frequent under label 1; 0 for the others."""
+    n, has = n_pos + n_neg, pos + neg
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for batch in slices(whole, "text"):
-                keys, rows = term_keys(Words(batch.column(1), apart=NOT_LETTER))
-                order = np.lexsort((keys, rows))
-                keys, rows = keys[order], rows[order]
-                new = np.ones(len(keys), bool)
-                new[1:] = (keys[1:] != keys[:-1]) | (rows[1:] != rows[:-1])
-                label = batch.column(2).to_numpy(zero_copy_only=False)[rows[new]]
-                for y in (0, 1):
-                    own, n = np.unique(keys[new][label == y], return_counts=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(own.view(np.int64)), pa.array(np.full(len(own), y), pa.int32()), pa.array(n, pa.int64())], ["term", "label", "n"])
+    def part(k, row, col):
+        return np.where(k > 0, k * np.log(np.maximum(k, 1e-300) * n / np.maximum(row * col, 1e-300)), 0.0)
 
-    return sample.select("doc_id", "text", "label").mapInArrow(run, "term long, label int, n long")
+    g = 2 * (part(pos, has, n_pos) + part(neg, has, n_neg) + part(n_pos - pos, n - has, n_pos) + part(n_neg - neg, n - has, n_neg))
+    return np.where(pos * n_neg > neg * n_pos, np.sqrt(np.maximum(g, 0)), 0.0)
 
 
 def _document_frequencies(docs: DataFrame, terms) -> tuple[np.ndarray, int]:
-    """In how many of all documents each selected term is, and their number; ``terms`` rows reach the driver."""
+    """In how many of all documents each term of the examples is, and their number; ``terms`` rows reach the driver."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         voc = terms.value
         got, n = np.zeros(len(voc), np.int64), 0
         for whole in batches:
             for batch in slices(whole, "text"):
-                rows, at = _found(batch.column(1), voc)
-                got += np.bincount(np.unique(rows * len(voc) + at) % len(voc), minlength=len(voc))
+                _, at, _ = _known(batch.column(1), voc)
+                got += np.bincount(at, minlength=len(voc))
                 n += batch.num_rows
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(-1, len(voc)), pa.int32()), pa.array(np.concatenate(([n], got)))], ["term", "n"])
-
-    out = np.zeros(len(terms.value), np.int64)
-    total = 0
-    for term, n in _texts(docs).mapInArrow(run, "term int, n long").groupBy("term").agg(F.sum("n")).collect():
-        if term < 0:
-            total = n
-        else:
-            out[term] = n
+        some = np.flatnonzero(got)
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(([-1], some)), pa.int32()), pa.array(np.concatenate(([n], got[some])))], ["term", "n"])
+
+    out, total = np.zeros(len(terms.value), np.int64), 0
+    found = _texts(docs).mapInArrow(run, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    term, n = found.column("term").to_numpy(), found.column("n").to_numpy()
+    total = int(n[term < 0].sum())
+    out[term[term >= 0]] = n[term >= 0]
     return out, total
 
 
-def _found(col: pa.Array, voc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Rows and indices of the selected terms in the texts, with repeats."""
-    keys, rows = term_keys(Words(col, apart=NOT_LETTER))
+def _known(col: pa.Array, voc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows, term indices and counts of the texts' words that the examples hold."""
+    rows, keys, tf = term_counts(col)
+    if not len(voc):
+        return rows[:0], rows[:0], tf[:0]
     at = np.minimum(np.searchsorted(voc, keys), len(voc) - 1)
     hit = voc[at] == keys
-    return rows[hit], at[hit]
+    return rows[hit], at[hit], tf[hit]
 
 
-def vectors(col: pa.Array, voc: np.ndarray, idf: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Normalised TF-IDF vectors of the texts over the selected terms: (indices, weights)."""
-    n = len(col)
-    if not len(voc):
-        return [(np.zeros(0, np.int64), np.zeros(0))] * n
-    rows, at = _found(col, voc)
-    cell, tf = np.unique(rows * len(voc) + at, return_counts=True)
-    row, term = cell // len(voc), cell % len(voc)
-    weight = (1 + np.log(tf)) * idf[term]
-    norm = np.sqrt(np.bincount(row, weight**2, minlength=n))
-    weight = weight / norm[row]
-    cut = np.searchsorted(row, np.arange(n + 1))
-    return [(term[a:b], weight[a:b]) for a, b in zip(cut, cut[1:], strict=False)]
+def normalised(rows: np.ndarray, terms: np.ndarray, tf: np.ndarray, weight: np.ndarray, n: int) -> np.ndarray:
+    """Weights (1 + log tf) * weight of the term, each row of norm 1."""
+    w = (1 + np.log(tf)) * weight[terms]
+    return w / np.sqrt(np.bincount(rows, w**2, minlength=n))[rows]
+
+
+def _spread(start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Indices start[k], start[k] + 1, ... (size[k] of them) of all k, and the k of each."""
+    of = np.repeat(np.arange(len(size)), size)
+    return np.repeat(start - np.concatenate(([0], np.cumsum(size)[:-1])), size) + np.arange(len(of)), of
 
 
 class BlockMaxIndex:
-    """Inverted index over example vectors with exact top-k search; postings lie in blocks with their greatest weights."""
-
-    def __init__(self, examples: list[tuple[np.ndarray, np.ndarray]], terms: int):
-        self.n = len(examples)
-        doc = np.repeat(np.arange(self.n), [len(t) for t, _ in examples])
-        term = np.concatenate([t for t, _ in examples] or [np.zeros(0, np.int64)])
-        weight = np.concatenate([w for _, w in examples] or [np.zeros(0)])
-        order = np.lexsort((doc, term))
-        self.doc, self.weight, term = doc[order], weight[order], term[order]
+    """Inverted index over example vectors (CSR: row, term, weight) with exact top-k search; postings lie in blocks with their greatest weights."""
+
+    def __init__(self, row: np.ndarray, term: np.ndarray, weight: np.ndarray, n: int, terms: int):
+        self.n, self.blocks = n, -(-n // BLOCK)
+        order = np.lexsort((row, term))
+        self.doc, self.weight, term = row[order].astype(np.int32), weight[order], term[order]
         block = self.doc // BLOCK
         head = np.ones(len(term), bool)
         head[1:] = (term[1:] != term[:-1]) | (block[1:] != block[:-1])
@@ -143,40 +136,59 @@ class BlockMaxIndex:
         self.block = block[self.start]
         self.most = np.maximum.reduceat(self.weight, self.start) if len(self.start) else self.weight
         self.of_term = np.searchsorted(term[self.start], np.arange(terms + 1))
-
-    def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, but: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """The k nearest examples and their cosines, without example ``but``; exact, ties by position."""
-        if not len(terms) or not self.n:
-            return np.zeros(0, np.int64), np.zeros(0)
-        lists = np.concatenate([np.arange(self.of_term[t], self.of_term[t + 1]) for t in terms])
-        q = np.repeat(weights, self.of_term[terms + 1] - self.of_term[terms])
-        bound = np.bincount(self.block[lists], q * self.most[lists], minlength=-(-self.n // BLOCK))
-        best = np.argsort(-bound, kind="stable")[: 1 + 2 * k // BLOCK + 2]
-        score = self._score(lists, q, np.isin(self.block[lists], best))
-        if but >= 0:
+        self.df = np.bincount(term, minlength=terms)
+
+    def nearest(self, rows: np.ndarray, terms: np.ndarray, weights: np.ndarray, n: int, k: int, but: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """For n queries (row, term, weight) the k nearest examples and their cosines, 0 for none; exact, ties by position.
+
+        ``but``: a row of flags for each query of the examples that it must not find.
+        """
+        near, cosine = np.zeros((n, k), np.int64), np.zeros((n, k))
+        cost = np.cumsum(np.bincount(rows, self.df[terms] + 1, minlength=n))
+        cuts = np.searchsorted(rows, np.arange(n + 1))
+        a = 0
+        while a < n and self.n:
+            b = max(a + 1, int(np.searchsorted(cost, (cost[a - 1] if a else 0) + POSTINGS, side="right")))
+            s = slice(cuts[a], cuts[b])
+            near[a:b], cosine[a:b] = self._group(rows[s] - a, terms[s], weights[s], b - a, k, None if but is None else but[a:b])
+            a = b
+        return near, cosine
+
+    def _group(self, rows, terms, weights, n, k, but):
+        lists, of = _spread(self.of_term[terms], self.of_term[terms + 1] - self.of_term[terms])
+        q, row = weights[of], rows[of]
+        cell = row * self.blocks + self.block[lists]
+        bound = np.bincount(cell, q * self.most[lists], minlength=n * self.blocks).reshape(n, self.blocks)
+        first = np.zeros((n, self.blocks), bool)
+        best = np.argsort(-bound, axis=1, kind="stable")[:, : 3 + 2 * k // BLOCK]
+        np.put_along_axis(first, best, True, 1)
+        some = first.ravel()[cell]
+        score = self._score(lists[some], q[some], row[some], n)
+        if but is not None:
             score[but] = 0
+        k_own = min(k, self.n)
         if self.n > k:
-            level = np.partition(score, -k)[-k]
-            more = (bound[self.block[lists]] >= level) & ~np.isin(self.block[lists], best)
+            level = np.partition(score, -k, axis=1)[:, -k]
+            more = ((bound >= level[:, None] * (1 - 1e-9)) & ~first).ravel()[cell]
             if more.any():
-                score += self._score(lists, q, more)
-                if but >= 0:
+                score += self._score(lists[more], q[more], row[more], n)
+                if but is not None:
                     score[but] = 0
-        top = np.lexsort((np.arange(self.n), -score))[:k]
-        top = top[score[top] > 0]
-        return top, np.minimum(score[top], 1.0)
+        top = np.argsort(-score, axis=1, kind="stable")[:, :k_own]
+        near, cosine = np.zeros((n, k), np.int64), np.zeros((n, k))
+        near[:, :k_own], cosine[:, :k_own] = top, np.clip(np.take_along_axis(score, top, 1), 0, 1)
+        return near, cosine
 
-    def _score(self, lists: np.ndarray, q: np.ndarray, some: np.ndarray) -> np.ndarray:
-        lists, q = lists[some], q[some]
-        size = self.size[lists]
-        at = np.repeat(self.start[lists] - np.concatenate(([0], np.cumsum(size)[:-1])), size) + np.arange(size.sum()) if len(size) else np.zeros(0, np.int64)
-        return np.bincount(self.doc[at], np.repeat(q, size) * self.weight[at], minlength=self.n)
+    def _score(self, lists, q, row, n):
+        at, of = _spread(self.start[lists], self.size[lists])
+        return np.bincount(row[of] * self.n + self.doc[at], q[of] * self.weight[at], minlength=n * self.n).reshape(n, self.n)
 
 
-def vote(near: np.ndarray, cosine: np.ndarray, labels: np.ndarray) -> float:
-    """Share of label 1 among the nearest, weighted by nearness."""
+def votes(near: np.ndarray, cosine: np.ndarray, labels: np.ndarray) -> np.ndarray:
+    """By query, the share of label 1 among the nearest, weighted by nearness; NaN without any."""
     w = cosine / (1.05 - cosine)
-    return float((w * labels[near]).sum() / w.sum())
+    total = w.sum(1)
+    return np.where(total > 0, (w * labels[near]).sum(1) / np.where(total > 0, total, 1), np.nan)
 
 
 def isotonic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -197,89 +209,85 @@ def isotonic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, n
 def fit(docs: DataFrame, labels: DataFrame, learn: str, sample: int = SAMPLE) -> dict:
     """A model from the rows of labels (doc_id, toxic) where the SQL expression ``learn`` holds.
 
-    Null labels teach nothing; a document with several labels has the highest. The sample is drawn
-    by a hash of the id, about ``sample`` rows a label, and is what the driver holds.
+    Null labels teach nothing; a document with several labels has the highest, and so have equal
+    texts. The sample is drawn by a hash of the id, about ``sample`` rows a label; its words are what
+    the driver holds and what is broadcast. In the terms' association with a label, the texts of one
+    group of near-copies count as one. doc_id must be of an integer type.
     """
     spark = docs.sparkSession
     short_batches(spark)
     known = labels.filter(F.expr(learn) & F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max(F.when(F.col("toxic") > 0, 1).otherwise(0)).alias("label"))
     chosen = sample_by(known, "label", sample, 2 * sample, "doc_id").select(F.col("doc_id").cast("long").alias("_id"), "label", "fraction")
     texts = _texts(docs)
-    train = texts.join(F.broadcast(chosen), texts["doc_id"] == chosen["_id"]).select("doc_id", "text", "label", "fraction")
-    train = stored(_signed(train).dropDuplicates(["sign", "label"]), "labelled")
-    counts = _term_counts(train).groupBy("term").agg(F.sum(F.col("n") * F.col("label")).alias("pos"), F.sum(F.col("n") * (1 - F.col("label"))).alias("neg"))
-    size = {r[0]: r[1] for r in train.groupBy("label").agg(F.count("*")).collect()}
-    empty = {"terms": np.zeros(0, np.uint64), "idf": np.zeros(0), "examples": [], "labels": np.zeros(0), "ids": np.zeros(0, np.int64), "knots": None, "prior": 0.0, "none": 0.0}
-    if len(size) < 2:
-        share = float(next(iter(size), 0))
-        return empty | {"prior": share, "none": share}
-    n = size[0] + size[1]
-    has = F.col("pos") + F.col("neg")
-    part = lambda k, row, col: F.when(k > 0, k * F.log(k * n / (row * col))).otherwise(0.0)
-    g = 2 * (part(F.col("pos"), has, size[1]) + part(F.col("neg"), has, size[0]) + part(size[1] - F.col("pos"), n - has, size[1]) + part(size[0] - F.col("neg"), n - has, size[0]))
-    rows = counts.withColumn("g", g).filter((F.col("g") >= LEAST_G) & ((F.col("pos") + 0.5) * size[0] >= LEAST_LIFT * (F.col("neg") + 0.5) * size[1])).orderBy(F.desc("g"), "term").limit(TERMS).select("term").collect()
-    voc = np.sort(np.array([r[0] for r in rows], np.int64).view(np.uint64))
+    got = _examples(texts.join(F.broadcast(chosen), texts["doc_id"] == chosen["_id"]).select("doc_id", "text", "label", "fraction"))
+    y, share = np.array([r["label"] for r in got], float), np.array([r["share"] for r in got])
+    prior = float((share * y).sum() / share.sum()) if len(got) else 0.0
+    keys = [np.frombuffer(r["keys"], "<u8") for r in got]
+    voc, term = np.unique(np.concatenate(keys or [np.zeros(0, np.uint64)]), return_inverse=True)
+    row = np.repeat(np.arange(len(got)), [len(k) for k in keys])
+    tf = np.concatenate([np.frombuffer(r["tf"], "<u4") for r in got] or [np.zeros(0, np.uint32)])
+    _, group, members = np.unique([r["group"] if r["group"] is not None else -1 for r in got], return_inverse=True, return_counts=True) if got else (None, np.zeros(0, np.int64), np.ones(1))
+    each = 1 / members[group]
+    pos, neg = np.bincount(term, (each * y)[row], len(voc)), np.bincount(term, (each * (1 - y))[row], len(voc))
+    rise = np.maximum(association(pos, neg, float((each * y).sum()), float((each * (1 - y)).sum())) - CHANCE, 0) if len(got) else np.zeros(0)
     df, total = _document_frequencies(docs, spark.sparkContext.broadcast(voc)) if len(voc) else (np.zeros(0), 0)
-    idf = np.log((1 + total) / (1 + df)) + 1
-    shared = spark.sparkContext.broadcast((voc, idf))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for batch in slices(whole, "text"):
-                own = vectors(batch.column(1), *shared.value)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), batch.column(2), batch.column(3), pa.array([t.tolist() for t, _ in own], pa.list_(pa.int32())), pa.array([w.tolist() for _, w in own], pa.list_(pa.float64()))], ["doc_id", "label", "fraction", "terms", "weights"]
-                )
-
-    got = train.mapInArrow(run, "doc_id long, label int, fraction double, terms array<int>, weights array<double>").collect()  # the sample
-    got.sort(key=lambda r: (-r["label"], r["terms"][:1], r["doc_id"]))
-    share = np.array([1 / r["fraction"] for r in got])
-    y = np.array([r["label"] for r in got], float)
-    some = np.array([len(r["terms"]) > 0 for r in got])
-    model = empty | {"terms": voc, "idf": idf, "prior": float((share * y).sum() / share.sum())}
-    model["none"] = float((share * y)[~some].sum() / share[~some].sum()) if (~some).any() else model["prior"]
-    model |= {"examples": [(np.array(r["terms"], np.int64), np.array(r["weights"])) for r, s in zip(got, some, strict=True) if s], "labels": y[some], "ids": np.array([r["doc_id"] for r in got], np.int64)[some]}
-    index = BlockMaxIndex(model["examples"], len(voc))
-    raw = np.full(len(model["labels"]), np.nan)
-    for k, (t, w) in enumerate(model["examples"]):
-        near, cosine = index.nearest(t, w, NEAREST, but=k)
-        if len(near):
-            raw[k] = vote(near, cosine, model["labels"])
-    ok = ~np.isnan(raw)
-    if ok.any():
-        model["knots"] = isotonic(raw[ok], model["labels"][ok], share[some][ok])
+    weight = (np.log((1 + total) / (1 + df)) + 1) * (1 + rise)
+
+    # Neighbours in the index share their heaviest word, which tightens the blocks' bounds.
+    w = normalised(row, term, tf, weight, len(got))
+    heaviest = np.full(len(got), -1)
+    order = np.lexsort((term, w))
+    heaviest[row[order]] = term[order]
+    some = np.flatnonzero(heaviest >= 0)
+    place = np.full(len(got), -1)
+    place[some[np.lexsort((some, heaviest[some], -y[some]))]] = np.arange(len(some))
+    by = np.argsort(place[some])
+    own = {"labels": y[some][by], "ids": np.array([r["doc_id"] for r in got], np.int64)[some][by]}
+    index = BlockMaxIndex(place[row], term, w, len(some), len(voc))
+    model = {"terms": voc, "weight": weight, "index": index, "prior": prior, "none": prior, "knots": None} | own
+    lone = heaviest < 0
+    if lone.any():
+        model["none"] = float((share * y)[lone].sum() / share[lone].sum())
+    if len(some):
+        kin = group[some][by]
+        order = np.argsort(place[row], kind="stable")
+        raw = votes(*index.nearest(place[row][order], term[order], w[order], len(some), NEAREST, kin[:, None] == kin[None, :]), model["labels"])
+        ok = ~np.isnan(raw)
+        if ok.any():
+            model["knots"] = isotonic(raw[ok], model["labels"][ok], share[some][by][ok])
     return model
 
 
-def one_score(index: BlockMaxIndex, m: dict, terms: np.ndarray, weights: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
-    """The calibrated score of a text's vector, with its nearest examples and their cosines."""
-    near, cosine = index.nearest(terms, weights, NEAREST)
-    if not len(near):
-        return m["prior"] if len(terms) else m["none"], near, cosine
-    raw = vote(near, cosine, m["labels"])
-    return float(np.interp(raw, *m["knots"])) if m["knots"] is not None else raw, near, cosine
+def scored(col: pa.Array, m: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Scores of the texts, their nearest examples' positions and cosines (0 for none)."""
+    n = len(col)
+    rows, terms, tf = _known(col, m["terms"])
+    near, cosine = m["index"].nearest(rows, terms, normalised(rows, terms, tf, m["weight"], n), n, NEAREST)
+    raw = votes(near, cosine, m["labels"]) if len(m["labels"]) else np.full(n, np.nan)
+    some = ~np.isnan(raw)
+    out = np.full(n, m["none"])
+    out[some] = np.interp(raw[some], *m["knots"]) if m["knots"] is not None else raw[some]
+    return out, near, cosine
 
 
 def score(docs: DataFrame, model: dict) -> DataFrame:
     """doc_id, score, and the ids of the nearest examples, nearest first, with their cosines.
 
-    A text without selected terms (an empty or null one too) has the calibrated share of label 1
-    among such texts and no evidence. Every row is scored by itself.
+    A text without a word of the examples (an empty or null one too) has the share of label 1 among
+    such texts of the sample, or among all where it has none, and no evidence. Every row is scored by
+    itself; a null doc_id stays null.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        index = BlockMaxIndex(m["examples"], len(m["terms"]))
         for whole in batches:
             for batch in slices(whole, "text"):
-                out, ids, cosines = [], [], []
-                for t, w in vectors(batch.column(1), m["terms"], m["idf"]):
-                    value, near, cosine = one_score(index, m, t, w)
-                    out.append(value)
-                    ids.append(m["ids"][near].tolist())
-                    cosines.append(cosine.tolist())
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.float64()), pa.array(ids, pa.list_(pa.int64())), pa.array(cosines, pa.list_(pa.float64()))], ["doc_id", "score", "evidence", "cosines"])
+                out, near, cosine = scored(batch.column(1), m)
+                found = cosine > 0
+                off = pa.array(np.concatenate(([0], np.cumsum(found.sum(1)))), pa.int32())
+                ids = pa.ListArray.from_arrays(off, pa.array(m["ids"][near[found]] if len(m["ids"]) else np.zeros(0, np.int64)))
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out), ids, pa.ListArray.from_arrays(off, pa.array(cosine[found]))], ["doc_id", "score", "evidence", "cosines"])
 
     return _texts(docs).mapInArrow(run, "doc_id long, score double, evidence array<long>, cosines array<double>")
 
@@ -290,10 +298,9 @@ def without_toxic(docs: DataFrame, model: dict, least: float = 0.5) -> DataFrame
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        index = BlockMaxIndex(m["examples"], len(m["terms"]))
         for whole in batches:
             for batch in slices(whole, "text"):
-                found = (one_score(index, m, t, w) for t, w in vectors(batch.column(at), m["terms"], m["idf"]))
-                yield batch.filter(pa.array([value < least or not len(near) for value, near, _ in found], pa.bool_()))
+                out, _, cosine = scored(batch.column(at), m)
+                yield batch.filter(pa.array((out < least) | ~(cosine > 0).any(1)))
 
     return docs.mapInArrow(run, docs.schema)

@@ -1,54 +1,21 @@
-"""Reliable intermediate results, held as Parquet in the shared checkpoint folder."""
+"""Intermediate results and batch sizes of the training-data operators."""
 
 from __future__ import annotations
 
-import atexit
-import contextlib
-import tempfile
-import uuid
+from pyspark.sql import SparkSession
 
-from pyspark.sql import DataFrame, SparkSession
+from lodestrata.storage import stored, work_dir
 
-_made: list[tuple[SparkSession, str]] = []
-
-
-def work_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; a local one only in local mode, where driver and executors are one process."""
-    if shared := spark.conf.get("spark.checkpoint.dir", None):
-        return shared.rstrip("/")
-    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
-        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    return tempfile.mkdtemp(prefix="lodestrata-")
+__all__ = ["short_batches", "stored", "work_dir"]
 
 
 def short_batches(spark: SparkSession, rows: int = 2_000, size: int = 8 << 20) -> None:
-    """Bounds the rows and bytes of an Arrow batch in this session, so that batches of long texts stay small in memory."""
+    """Bounds the rows and bytes of an Arrow batch in this session, so that batches of long texts stay small in memory.
+
+    Results are lazy and read the settings when they run, so the session keeps the lower bounds;
+    smaller ones that it already has stay.
+    """
     for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", rows), ("spark.sql.execution.arrow.maxBytesPerBatch", size)):
         now = spark.conf.get(key)
         if not now.isdigit() or not 0 < int(now) <= most:
             spark.conf.set(key, str(most))
-
-
-def _forget() -> None:
-    for spark, path in _made:
-        with contextlib.suppress(Exception):
-            jvm, p = spark._jvm, spark._jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
-            del jvm
-    _made.clear()
-
-
-atexit.register(_forget)
-
-
-def stored(df: DataFrame, name: str, keys: tuple[str, ...] = ()) -> DataFrame:
-    """Writes ``df`` to the shared folder and returns a scan of it.
-
-    The lineage ends there: a lost executor costs the rerun of its open tasks only. The folders
-    are removed when the driver ends.
-    """
-    spark = df.sparkSession
-    path = f"{work_dir(spark)}/lodestrata-{name}-{uuid.uuid4().hex}"
-    _made.append((spark, path))
-    df.write.partitionBy(*keys).parquet(path) if keys else df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)

@@ -399,16 +399,60 @@ def test_base_scores_and_counts_equal_brute_force(spark, tiny):
 # ---- toxicity
 
 
-def test_the_index_is_exact():
-    rng = np.random.default_rng(2)
-    dense = np.where(rng.random((300, 40)) < 0.1, rng.random((300, 40)), 0)
-    dense[0] = 0
-    dense /= np.maximum(np.linalg.norm(dense, axis=1, keepdims=True), 1e-12)
-    index = toxicity.BlockMaxIndex([(np.flatnonzero(r), r[r > 0]) for r in dense], 40)
-    for r in dense[:80]:
-        near, cosine = index.nearest(np.flatnonzero(r), r[r > 0], 7)
-        want = np.sort(dense @ r)[::-1][:7]
-        assert np.allclose(cosine, want[want > 0]) and np.allclose(dense[near] @ r, cosine)
+@pytest.mark.parametrize("postings", [1, 10**6])
+def test_the_index_is_exact(monkeypatch, postings):
+    monkeypatch.setattr(toxicity, "POSTINGS", postings)
+    rng = np.random.default_rng(3)
+    dense = rng.random((333, 40)) * (rng.random((333, 40)) < 0.15)
+    dense /= np.maximum(np.linalg.norm(dense, axis=1, keepdims=True), 1e-9)
+    row, term = np.nonzero(dense)
+    index = toxicity.BlockMaxIndex(row, term, dense[row, term], 333, 40)
+    but = np.eye(333, dtype=bool)
+    for k, flags in ((7, None), (7, but), (400, None)):
+        near, cosine = index.nearest(row, term, dense[row, term], 333, k, flags)
+        want = dense @ dense.T
+        if flags is not None:
+            want[flags] = 0
+        best = -np.sort(-want, axis=1)[:, :k]
+        assert near.shape == (333, k) and np.allclose(cosine[:, : best.shape[1]], best)
+        assert np.allclose(np.take_along_axis(want, near, 1)[cosine > 0], cosine[cosine > 0])
+
+
+def test_op5_evidence_equals_brute_force_cosine(spark, tiny):
+    """All texts against all examples, with document frequencies counted here; every text that shares a word has evidence."""
+    docs, labels = (spark.read.parquet(f"{tiny}/{t}.parquet") for t in ("documents", "labels"))
+    model = toxicity.fit(docs, labels, "doc_id % 5 <> 0")
+    letters = re.compile(rb"[A-Za-z\x80-\xff]+")
+    counts = {r["doc_id"]: collections.Counter(x.lower() for x in letters.findall((r["text"] or "").encode())) for r in docs.collect()}
+    df = collections.Counter(x for c in counts.values() for x in c)
+    known = {x for k in model["ids"] for x in counts[int(k)]}
+    heads = {}
+    for x in known:
+        i = np.searchsorted(model["terms"], textkit.Words(pa.array([x.decode()]), apart=textkit.NOT_LETTER).hashes()[0])
+        idf = np.log((1 + len(counts)) / (1 + df[x])) + 1
+        assert model["weight"][i] >= idf - 1e-9
+        heads[x] = model["weight"][i]
+    assert len(known) == len(model["terms"])
+
+    def vector(c):
+        v = {x: (1 + np.log(n)) * heads[x] for x, n in c.items() if x in heads}
+        norm = np.sqrt(sum(w * w for w in v.values()))
+        return {x: w / norm for x, w in v.items()}
+
+    examples = [vector(counts[int(k)]) for k in model["ids"]]
+    got = {r["doc_id"]: r for r in toxicity.score(docs, model).collect()}
+    for doc, c in counts.items():
+        v = vector(c)
+        want = sorted((s for s in (sum(w * e.get(x, 0) for x, w in v.items()) for e in examples) if s > 0), reverse=True)[: toxicity.NEAREST]
+        assert np.allclose(got[doc]["cosines"], np.minimum(want, 1), atol=1e-9) and len(got[doc]["evidence"]) == len(want)
+        assert bool(want) == bool(v)
+
+
+def test_op5_of_equal_texts_the_smallest_id_teaches(spark):
+    docs = spark.createDataFrame([(k, "same words here" if k < 6 else f"other text {k}") for k in range(9)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, int(k == 5)) for k in range(9)], "doc_id long, toxic int")
+    model = toxicity.fit(docs.repartition(5), labels, "true")
+    assert sorted(model["ids"].tolist()) == [0, 6, 7, 8] and model["labels"][model["ids"] == 0] == 1
 
 
 def test_isotonic_fit():
