@@ -25,6 +25,7 @@ SAMPLE = 1_500  # labelled examples of each label, about: the default bound of t
 CHANCE = 3.0  # root of the log-likelihood ratio up to which a term's association with label 1 is taken as chance
 NEAREST = 15
 BLOCK = 32  # examples of a block
+OFTEN = 16  # a word in one of so many examples or more is frequent
 POSTINGS = 1_500_000  # postings that a batch of queries goes through at once, about
 
 
@@ -122,10 +123,23 @@ def _spread(start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 class BlockMaxIndex:
-    """Inverted index over example vectors (CSR: row, term, weight) with exact top-k search; postings lie in blocks with their greatest weights."""
+    """Inverted index over example vectors (CSR: row, term, weight) with exact top-k search.
+
+    Postings of words that many examples hold are rows of a matrix; those of the others lie in
+    blocks with their greatest weights. A block's bound is its greatest score over the matrix plus
+    the greatest weights of its other words.
+    """
 
     def __init__(self, row: np.ndarray, term: np.ndarray, weight: np.ndarray, n: int, terms: int):
         self.n, self.blocks = n, -(-n // BLOCK)
+        df = np.bincount(term, minlength=terms)
+        often = df * OFTEN >= max(n, 1)
+        self.column = np.where(often, np.cumsum(often) - 1, -1)
+        self.df = np.where(often, 0, df)
+        dense = often[term]
+        self.cells = (self.column[term[dense]], row[dense], weight[dense])
+        self._matrix = None
+        row, term, weight = row[~dense], term[~dense], weight[~dense]
         order = np.lexsort((row, term))
         self.doc, self.weight, term = row[order].astype(np.int32), weight[order], term[order]
         block = self.doc // BLOCK
@@ -136,7 +150,17 @@ class BlockMaxIndex:
         self.block = block[self.start]
         self.most = np.maximum.reduceat(self.weight, self.start) if len(self.start) else self.weight
         self.of_term = np.searchsorted(term[self.start], np.arange(terms + 1))
-        self.df = np.bincount(term, minlength=terms)
+
+    def __getstate__(self):
+        return self.__dict__ | {"_matrix": None}
+
+    @property
+    def matrix(self) -> np.ndarray:
+        """Weights of the frequent words by example, made where it is used."""
+        if self._matrix is None:
+            self._matrix = np.zeros((int(self.column.max(initial=-1)) + 1, self.blocks * BLOCK))
+            self._matrix[self.cells[0], self.cells[1]] = self.cells[2]
+        return self._matrix
 
     def nearest(self, rows: np.ndarray, terms: np.ndarray, weights: np.ndarray, n: int, k: int, but: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """For n queries (row, term, weight) the k nearest examples and their cosines, 0 for none; exact, ties by position.
@@ -144,7 +168,7 @@ class BlockMaxIndex:
         ``but``: a row of flags for each query of the examples that it must not find.
         """
         near, cosine = np.zeros((n, k), np.int64), np.zeros((n, k))
-        cost = np.cumsum(np.bincount(rows, self.df[terms] + 1, minlength=n))
+        cost = np.cumsum(np.bincount(rows, self.df[terms], minlength=n) + 4 * self.n)
         cuts = np.searchsorted(rows, np.arange(n + 1))
         a = 0
         while a < n and self.n:
@@ -155,19 +179,28 @@ class BlockMaxIndex:
         return near, cosine
 
     def _group(self, rows, terms, weights, n, k, but):
+        column = self.column[terms]
+        often = column >= 0
+        q = np.zeros((n, len(self.matrix)))
+        q[rows[often], column[often]] = weights[often]
+        score = q @ self.matrix
+        bound = score.reshape(n, self.blocks, BLOCK).max(2)
+        score = score[:, : self.n]
+        terms, rows, weights = terms[~often], rows[~often], weights[~often]
         lists, of = _spread(self.of_term[terms], self.of_term[terms + 1] - self.of_term[terms])
         q, row = weights[of], rows[of]
         cell = row * self.blocks + self.block[lists]
-        bound = np.bincount(cell, q * self.most[lists], minlength=n * self.blocks).reshape(n, self.blocks)
+        bound = bound + np.bincount(cell, q * self.most[lists], minlength=n * self.blocks).reshape(n, self.blocks)
         first = np.zeros((n, self.blocks), bool)
         best = np.argsort(-bound, axis=1, kind="stable")[:, : 3 + 2 * k // BLOCK]
         np.put_along_axis(first, best, True, 1)
         some = first.ravel()[cell]
-        score = self._score(lists[some], q[some], row[some], n)
+        score = score + self._score(lists[some], q[some], row[some], n)
         if but is not None:
             score[but] = 0
         k_own = min(k, self.n)
         if self.n > k:
+            # Scores so far are below the true ones, so the k-th greatest is a level that the k nearest reach.
             level = np.partition(score, -k, axis=1)[:, -k]
             more = ((bound >= level[:, None] * (1 - 1e-9)) & ~first).ravel()[cell]
             if more.any():
