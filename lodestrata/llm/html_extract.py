@@ -1,10 +1,13 @@
 """Main-text extraction by site style trees.
 
-All pages of a host are merged into one tree of styles: a style is a path of element names with
-their classes and ids. For each style the entropy of its contents over the host's distinct pages,
-and that of its child sequences (its presentation), give its importance; branches of low importance
-are template and are cut from each page. What markup itself declares to be no article (navigation,
-forms, adverts and so on) is cut whatever its entropy, since its words may differ on every page.
+All pages of a host are merged into one tree of styles: a style is a path of block elements with
+their classes, ids and, for containers, their place among like ones. A style's content importance
+falls with the entropy of what it shows over the host's distinct pages (phrases that stand on every
+page have entropy 1) and with the share of its text that is links; its presentation importance is
+the entropy of its child sequences. Both are composed up the tree. The tree's main branch is where
+most of the host's text is; branches of low importance are cut from each page, those beside the
+main branch the sooner the less text they hold. What markup itself declares to be no article
+(navigation, forms, adverts and so on) is cut too, as its words may differ on every page.
 """
 
 from __future__ import annotations
@@ -21,9 +24,11 @@ from pyspark.sql import functions as F
 
 from lodestrata.llm.work import short_batches, stored
 
-LEAST_PAGES = 4  # distinct pages of a host from which a style's entropy counts
-LEAST_IMPORTANCE = 0.2
-GAMMA = 0.9  # weight of what is below a style against its own presentation
+LEAST_IMPORTANCE = 0.3  # of a branch beside the main one
+LEAST_INSIDE = 0.15  # of a branch inside the main one
+GAMMA = 0.9  # weight of what is below a style against its own presentation, to the power of its child sequences
+VOLUME = 0.1  # share of a host's text from which a branch beside the main one has its full importance
+PLACES = 8  # places of like containers that are told apart; those from the last on are one style
 
 #: Elements that hold no article text (fixed values).
 SKIP = frozenset("nav footer aside form script style noscript template button select option textarea input iframe object svg math canvas audio video dialog menu head title map datalist label fieldset".split())
@@ -47,10 +52,13 @@ MARKS = frozenset(
 )
 #: Those of them that mark readers' comments.
 COMMENTS = frozenset("comment comments commentlist respond replies disqus".split())
+#: Containers that are told apart by their place among like ones.
+CONTAINERS = frozenset("div section article main aside header footer nav table form ul ol dl center".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar".split())
 
 _TOKEN = re.compile(r"<(?:!--.*?(?:--!?>|\Z)|(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|(/?)([a-zA-Z][^\s/>]*)([^>]*)>|[!?/][^>]*>)", re.S)
 _ATTR = re.compile(r"([a-zA-Z][\w:-]*)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+_PHRASE = re.compile(r"[.,;:!?|()\u00b7\u2022\u2013\u2014]+\s*")
 _MARK = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _raw_ends: dict[str, re.Pattern] = {}
 
@@ -62,9 +70,13 @@ def _key(parent: int, name: str) -> int:
 class Page:
     """A page's elements and texts: for each element name, parent, style key, and whether its markup declares it to be no article: 2 by its element, role or being hidden, 1 by a word of its class or id, 3 by a word for comments."""
 
-    def __init__(self, html: str, keys: dict | None = None):
+    def __init__(self, html: str, keys: dict | None = None, host: str = ""):
         keys = {} if keys is None else keys
-        self.name, self.parent, self.key, self.no, self.child = [""], [-1], [0], [0], [[]]
+        root = keys.get((0, host))
+        if root is None:
+            root = keys[0, host] = _key(0, host)
+        self.name, self.parent, self.key, self.no, self.child = [""], [-1], [root], [0], [[]]
+        self.block, places = [0], [{}]  # the nearest block element of each element; like containers among its children so far
         self.texts: list[tuple[int, str | None]] = []  # element and text; None is the border of a block
         stack, at, end = [0], 0, len(html)
         add = self.texts.append
@@ -107,17 +119,27 @@ class Page:
             if name in VOID:
                 add((parent, " " if name in ("br", "wbr") else None if name == "hr" else ""))
                 continue
-            up = self.key[parent]
-            key = keys.get((up, style))
-            if key is None:
-                key = keys[up, style] = _key(up, style)
-            me = len(self.name)
+            me, up = len(self.name), self.block[parent]
+            if name in BLOCKS:
+                if name in CONTAINERS:
+                    places[up][style] = place = places[up].get(style, 0) + 1
+                    style += f"#{min(place, PLACES)}"
+                key = keys.get((self.key[up], style))
+                if key is None:
+                    key = keys[self.key[up], style] = _key(self.key[up], style)
+                self.block.append(me)
+                places.append({})
+            else:
+                key = self.key[up]
+                self.block.append(up)
+                places.append(places[up])
             self.name.append(name)
             self.parent.append(parent)
             self.key.append(key)
             self.no.append(no)
             self.child.append([])
-            self.child[parent].append(key)
+            if name not in RAW:
+                self.child[up].append(style)
             if name in RAW:
                 pattern = _raw_ends.setdefault(name, re.compile(rf"</{name}(?=[\s/>])[^>]*>|\Z", re.I))
                 stop = pattern.search(html, at)
@@ -149,20 +171,35 @@ class Page:
             if open_ in SCOPES and name not in SCOPES:
                 return
 
-    def styles(self) -> list[tuple[int, int, int, int]]:
-        """(style, parent style, content hash, presentation hash) of the elements; content 0 for those without text of their own."""
-        own: dict[int, list[str]] = {}
+    def digest(self) -> int:
+        """A hash of the page's text, without scripts, styles, comments and attributes."""
+        return _key(2, " ".join(" ".join(t for _, t in self.texts if t).split()))
+
+    def styles(self) -> tuple[list[tuple[int, int, int]], list[tuple]]:
+        """What the page shows: (style, kind, hash) of phrases (kind 0) and child sequences (kind 1), and per style (style, parent, is a heading, elements, chars, link chars)."""
+        link, own = [False] * len(self.name), {}
+        for k in range(1, len(self.name)):
+            link[k] = self.name[k] == "a" or link[self.parent[k]]
+        size: dict[int, list] = {}
+        for k in range(len(self.name)):
+            if self.block[k] == k:
+                got = size.setdefault(self.key[k], [self.key[self.block[self.parent[k]]] if k else 0, len(self.name[k]) == 2 and self.name[k][0] == "h" and self.name[k][1].isdigit(), 0, 0, 0])
+                got[2] += 1
         for k, t in self.texts:
             if t and not t.isspace():
-                own.setdefault(k, []).append(t)
-        out = []
-        for k in range(1, len(self.name)):
-            text = " ".join(" ".join(own[k]).split()) if k in own else ""
-            out.append((self.key[k], self.key[self.parent[k]], _key(0, text) if text else 0, _key(1, repr(self.child[k]))))
-        return out
+                n, style = len(t.strip()), self.key[k]
+                own.setdefault(self.block[k], []).append(t)
+                size[style][3] += n
+                size[style][4] += n * link[k]
+        shown = {(self.key[k], 0, _key(0, x)) for k, ts in own.items() for x in (x.strip() for x in _PHRASE.split(" ".join("".join(ts).split()))) if x}
+        shown |= {(self.key[k], 1, _key(1, repr(self.child[k]))) for k in range(len(self.name)) if self.block[k] == k}
+        return list(shown), [(style, *v) for style, v in size.items()]
 
     def main_text(self, low: set[int]) -> str:
-        """The blocks of the article: without what is declared to be none, and without branches of low importance."""
+        """The blocks of the article: without what is declared to be none, and without branches of low importance unless that leaves nothing."""
+        return self._main_text(low) or (self._main_text(set()) if low else "")
+
+    def _main_text(self, low: set[int]) -> str:
         n = len(self.name)
         hard = [False] * n
         for k in range(1, n):
@@ -179,7 +216,7 @@ class Page:
         cut, inside = [False] * n, [False] * n
         for k in range(1, n):
             by_word = self.no[k] in (1, 3) and not core[k] and (self.no[k] == 3 or 5 * size[k] < 3 * size[0])
-            cut[k] = cut[self.parent[k]] or hard[k] or by_word or self.key[k] in low and self.name[k] not in ("html", "body", "main", "article")
+            cut[k] = cut[self.parent[k]] or hard[k] or by_word or self.block[k] == k and self.key[k] in low and self.name[k] not in ("html", "body", "main", "article")
         scope = next((s for s in ("main", "article") if any(self.name[k] == s and not cut[k] for k in range(n))), None)
         for k in range(n):
             inside[k] = scope is None or self.name[k] == scope or k > 0 and inside[self.parent[k]]
@@ -203,90 +240,122 @@ def _host():
 
 
 def style_statistics(pages: DataFrame) -> DataFrame:
-    """(host, style, parent, m, content, presentation): entropies of every style of a host over its distinct pages, each from 0 to 1."""
+    """(host, style, parent, heading, m, elements, chars, links, content, presentation, shapes) of every style of a host over its distinct pages.
+
+    ``m``: pages that have it; ``content``: mean over what it shows, each phrase as often as pages show
+    it, of the phrase's entropy over those pages (one of c pages: log c to the base m); ``presentation``:
+    entropy of its ``shapes`` child sequences. Pages with the same text are one page.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys: dict = {}
+        schema = pa.schema([("page", pa.int64()), ("style", pa.int64()), ("kind", pa.int32()), ("feature", pa.int64()), ("host", pa.string()), ("heading", pa.bool_()), ("elements", pa.int64()), ("chars", pa.int64()), ("links", pa.int64())])
         for batch in batches:
-            rows: list[tuple] = []
-            for k, html in enumerate(batch.column(1).to_pylist()):
+            rows: set[tuple] = set()
+            for host, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 if html:
-                    page = _key(2, html)
-                    rows += {(k, page, *s) for s in Page(html, keys).styles()}
+                    page = Page(html, keys, host)
+                    ident = page.digest()
+                    shown, styles = page.styles()
+                    rows.update((ident, style, kind, x, None, None, None, None, None) for style, kind, x in shown)
+                    rows.update((ident, style, 2, up, host, *rest) for style, up, *rest in styles)
             if len(keys) > 500_000:
                 keys.clear()
-            cols = list(zip(*rows, strict=True)) or [()] * 6
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(cols[0], pa.int32())), *(pa.array(c, pa.int64()) for c in cols[1:])], ["host", "page", "style", "parent", "content", "shape"])
-
-    schema = "host string, page long, style long, parent long, content long, shape long"
-    seen = pages.select(_host().alias("host"), F.col("html").cast("string").alias("html")).mapInArrow(run, schema).distinct()
-
-    def entropy(kind: str, rows: DataFrame) -> DataFrame:
-        counts = rows.groupBy("host", "style", kind).agg(F.count("*").alias("c"), F.min("parent").alias("parent"), F.max("own").alias("own"))
-        m = F.sum("c")
-        h = F.log(m) - F.sum(F.col("c") * F.log("c")) / m
-        return counts.groupBy("host", "style").agg(F.min("parent").alias("parent"), m.alias("m"), F.when(m > 1, h / F.log(m)).otherwise(1.0).alias(kind), F.max("own").alias("own"))
-
-    rows = stored(seen.withColumn("own", F.col("content") != 0), "styles")
-    a = entropy("content", rows)
-    b = entropy("shape", rows).select("host", "style", F.col("shape").alias("presentation"))
-    return a.join(b, ["host", "style"])
-
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*rows, strict=True)) or [()] * 9, schema.types, strict=True)], schema=schema)
+
+    schema = "page long, style long, kind int, feature long, host string, heading boolean, elements long, chars long, links long"
+    seen = pages.select(_host().alias("host"), F.col("html").cast("string").alias("html")).mapInArrow(run, schema)
+    # One row for each page's text, so copies count once, whichever way their markup differs.
+    each = [F.max(c).alias(c) for c in ("host", "heading", "elements", "chars", "links")]
+    counts = seen.groupBy("style", "kind", "feature", "page").agg(*each).groupBy("style", "kind", "feature").agg(F.count("*").alias("c"), F.max("host").alias("host"), F.max("heading").alias("heading"), *[F.sum(x).alias(x) for x in ("elements", "chars", "links")])
+    is_kind = lambda k, x: F.when(F.col("kind") == k, x)
+    clogc, c = F.col("c") * F.log("c"), F.col("c")
+    d = counts.groupBy("style").agg(
+        F.max("host").alias("host"), F.max(is_kind(2, F.col("feature"))).alias("parent"), F.max("heading").alias("heading"), F.sum(is_kind(2, c)).alias("m"), F.sum("elements").alias("elements"), F.sum("chars").alias("chars"), F.sum("links").alias("links"),
+        F.sum(is_kind(0, c)).alias("c0"), F.sum(is_kind(0, clogc)).alias("s0"), F.sum(is_kind(1, c)).alias("c1"), F.sum(is_kind(1, clogc)).alias("s1"), F.count(is_kind(1, c)).alias("shapes"),
+    )
+    base = F.when(F.col("m") > 1, F.log("m"))
+    content = F.when(F.col("c0") > 0, F.coalesce(F.col("s0") / F.col("c0") / base, F.lit(0.0)))
+    presentation = F.least(F.coalesce((F.log("c1") - F.col("s1") / F.col("c1")) / base, F.lit(1.0)), F.lit(1.0))
+    return d.select("host", "style", "parent", "heading", "m", "elements", "chars", "links", content.alias("content"), presentation.alias("presentation"), "shapes")
+
+
+def importance(rows: list[dict], least: float = LEAST_IMPORTANCE, inside: float = LEAST_INSIDE, gamma: float = GAMMA, volume: float = VOLUME) -> tuple[dict[int, float], list[int]]:
+    """The composite importance of a host's styles, and the topmost styles that are low."""
+    by = {r["style"]: r for r in rows}
+    below: dict[int, list[int]] = {}
+    for r in rows:
+        below.setdefault(r["parent"], []).append(r["style"])
+    order, todo = [], [r["style"] for r in rows if r["parent"] not in by]
+    tops = list(todo)
+    while todo:
+        k = todo.pop()
+        order.append(k)
+        todo += below.get(k, ())
+    text, value = {}, {}
+    for k in reversed(order):
+        r, kids = by[k], below.get(k, [])
+        plain = r["chars"] - r["links"]
+        text[k] = plain + sum(text[j] for j in kids)
+        own = (1 - r["content"]) * plain / r["chars"] if r["chars"] else None
+        if kids:
+            weights = [text[j] + 1 for j in kids]
+            inner = sum(value[j] * w for j, w in zip(kids, weights, strict=True)) / sum(weights)
+            g = gamma ** min(r["shapes"], 1000)
+            kept = (1 - g) * r["presentation"] * (inner > 0) + g * inner
+            value[k] = kept if own is None else (own * plain + kept * (text[k] - plain + 1)) / (text[k] + 1)
+        else:
+            value[k] = own if own is not None else r["presentation"] * 0.0
+    total = sum(text[k] for k in tops)
+    # The main branch: down to the last element, one a page, that holds most of the host's text and has elements below.
+    main, chain = None, set()
+    for k in tops:
+        while k is not None and 2 * text[k] >= total > 0 and 10 * by[k]["elements"] <= 12 * by[k]["m"] and any(text[j] for j in below.get(k, ())):
+            main = k
+            chain.add(k)
+            k = max(below[k], key=lambda j: (text[j], j))
+    low, todo = [], [(k, False) for k in tops]
+    while todo:
+        k, in_main = todo.pop()
+        r = by[k]
+        most = total > 0 and 2 * text[k] >= total
+        if k not in chain and not most and r["m"] > 1:
+            share = 1.0 if in_main or r["heading"] else min(1.0, text[k] / (volume * total)) if total else 1.0
+            if value[k] * share < (inside if in_main else least):
+                low.append(k)
+                continue
+        todo += [(j, in_main or k == main) for j in below.get(k, ())]
+    return value, low
 
-def low_styles(pages: DataFrame, least_pages: int = LEAST_PAGES, least: float = LEAST_IMPORTANCE, gamma: float = GAMMA) -> DataFrame:
-    """(host, low): per host the styles whose branch has little importance.
 
-    A style with text has the entropy of its contents; one without weighs the entropy of its child
-    sequences against the mean importance of the styles below it. A host's styles, not its pages,
-    meet in one task. Styles seen on fewer than ``least_pages`` distinct pages count as important.
-    """
+def low_styles(pages: DataFrame, least: float = LEAST_IMPORTANCE, inside: float = LEAST_INSIDE) -> DataFrame:
+    """(host, low): per host the topmost styles of low importance. A host's styles, not its pages, meet in one task; a style on one page only is important."""
+    names = ["style", "parent", "heading", "m", "elements", "chars", "links", "content", "presentation", "shapes"]
 
     def run(t: pa.Table) -> pa.Table:
-        style, parent, m, content, shape, own = (t.column(c).to_pylist() for c in ("style", "parent", "m", "content", "presentation", "own"))
-        at = {s: k for k, s in enumerate(style)}
-        below: dict[int, list[int]] = {}
-        for k, p in enumerate(parent):
-            below.setdefault(p, []).append(k)
-        depth, todo = {}, [(k, 0) for p, ks in below.items() if p not in at for k in ks]
-        while todo:
-            k, d = todo.pop()
-            depth[k] = d
-            todo += [(j, d + 1) for j in below.get(style[k], ())]
-        value = [1.0] * len(style)
-        for k in sorted(depth, key=depth.__getitem__, reverse=True):
-            kids = [value[j] for j in below.get(style[k], ())]
-            if m[k] < least_pages:
-                continue
-            if own[k] and kids:
-                value[k] = max(content[k], sum(kids) / len(kids))
-            elif own[k]:
-                value[k] = content[k]
-            elif kids:
-                g = gamma ** len(kids)
-                value[k] = max((1 - g) * shape[k] + g * sum(kids) / len(kids), max(kids) if max(kids) >= least else 0)
-            else:
-                value[k] = shape[k]
-        low = [s for s, v in zip(style, value, strict=True) if v < least]
-        return pa.Table.from_arrays([pa.array([t.column("host")[0].as_py()]), pa.array([low], pa.list_(pa.int64()))], ["host", "low"])
+        _, low = importance(t.select(names).to_pylist(), least, inside)
+        return pa.Table.from_arrays([pa.array([t.column("host")[0].as_py()]), pa.array([sorted(low)], pa.list_(pa.int64()))], ["host", "low"])
 
     return style_statistics(pages).groupBy("host").applyInArrow(run, "host string, low array<long>").filter(F.size("low") > 0)
 
 
-def extract(pages: DataFrame, least_pages: int = LEAST_PAGES, least: float = LEAST_IMPORTANCE) -> DataFrame:
+def extract(pages: DataFrame, least: float = LEAST_IMPORTANCE, inside: float = LEAST_INSIDE) -> DataFrame:
     """page_id, url, text and n_chars of every row of pages (page_id, url, html).
 
-    Null and empty pages have an empty text. A null url belongs to the host without a name. Copies of
-    a page count once in its host's statistics, and repeated rows give repeated results.
+    Null and empty pages have an empty text. A null url belongs to the host without a name. Pages of
+    one text count once in their host's statistics, and repeated rows give repeated results; other
+    columns are not read. An empty table gives an empty result. With ``least`` and ``inside`` below 0
+    the tree cuts nothing.
     """
     short_batches(pages.sparkSession)
-    low = stored(low_styles(pages, least_pages, least), "low-styles")
+    low = stored(low_styles(pages, least, inside), "low-styles")
     d = pages.select("page_id", "url", F.col("html").cast("string").alias("html"), _host().alias("host"))
-    d = d.join(low, "host", "left").select("page_id", "url", "html", "low")
+    d = d.join(low, "host", "left").select("page_id", "url", "html", "low", "host")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys: dict = {}
         for batch in batches:
-            texts = [Page(h, keys).main_text(set(low or ())) if h else "" for h, low in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+            texts = [Page(h, keys, host).main_text(set(low or ())) if h else "" for h, low, host in zip(*(batch.column(k).to_pylist() for k in (2, 3, 4)), strict=True)]
             if len(keys) > 500_000:
                 keys.clear()
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(np.array([len(t) for t in texts], np.int64))], ["page_id", "url", "text", "n_chars"])

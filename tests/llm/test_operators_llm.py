@@ -525,6 +525,61 @@ def test_templates_are_cut_by_their_entropy(spark):
     assert all(r["n_chars"] == len(r["text"]) for r in got)
 
 
+def _renamed(pages):
+    """Pages whose markup declares nothing: all semantic elements are div."""
+    return pages.withColumn("html", F.regexp_replace("html", r"<(/?)(main|article|nav|footer|header|aside|form)\b", "<$1div"))
+
+
+def test_op3_the_tree_finds_the_article_without_semantic_elements(spark, tiny):
+    pages = spark.read.parquet(f"{tiny.replace('0.001', '0.01')}/pages.parquet")
+    own = {r["host"]: r["count"] for r in pages.select(html_extract._host().alias("host")).groupBy("host").count().collect()}
+    want = {r["page_id"]: (r["url"], r["text"]) for r in html_extract.extract(pages).collect()}
+    got = {r["page_id"]: r["text"] for r in html_extract.extract(_renamed(pages)).collect()}
+    off = {r["page_id"]: r["text"] for r in html_extract.extract(_renamed(pages), least=-1, inside=-1).collect()}
+    host = lambda url: re.match(r"\w+://([^/:]*)", url or "://")[1].lower()
+    many = [k for k, (url, _) in want.items() if own[host(url)] >= 8]
+    assert len(many) > 3 and sum(got[k] == want[k][1] for k in many) >= 0.95 * len(many)
+    assert all(off[k] != want[k][1] for k in many)
+
+
+def test_op3_entropies_equal_brute_force(spark):
+    body = ["alpha. same line", "beta. same line", "gamma; other", "alpha. same line"]
+    rows = [(k, "http://h/", f"<body><p>{t}</p>{'<p>more</p>' * (k % 2)}<ul><li><a href=/{k}>go</a></ul></body>") for k, t in enumerate(body)]
+    rows += [(9, "http://h/", rows[2][2].replace("<body>", "<body><!-- x --><script>9</script>"))]  # the same text once more
+    got = html_extract.style_statistics(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    log4 = lambda c: np.log(c) / np.log(4)
+    p = next(r for r in got if r["chars"] > 8)
+    # Phrases by number of pages: alpha 2, same line 3, beta, gamma, other 1, more 2.
+    counts = [2, 3, 1, 1, 1, 2]
+    assert p["m"] == 4 and np.isclose(p["content"], sum(c * log4(c) for c in counts) / sum(counts)) and p["presentation"] == 0 and p["shapes"] == 1
+    li = next(r for r in got if r["links"])
+    assert li["content"] == 1 and li["links"] == li["chars"] == 8 and li["elements"] == 4
+    parent = next(r for r in got if r["style"] == p["parent"])
+    assert parent["shapes"] == 2 and np.isclose(parent["presentation"], log4(2))
+
+
+@pytest.mark.parametrize("rows", ["odd", "empty", "long"])
+def test_op3_stands_odd_tables(spark, monkeypatch, rows):
+    pages = {
+        "odd": [(1, None, None), (None, "http://a/1", "<p>x"), (2, "", ""), (3, "http://a/2", "<<<>>&#0;&bogus; \x00 </p>"), (3, "http://a/2", "<<<>>&#0;&bogus; \x00 </p>"), (4, "no url", " \n ")],
+        "empty": [],
+        "long": [(k, "http://b/", "<article>" + "<p>word and word. </p>" * 30_000 + "</article>") for k in range(3)] + [(4, "http://b/", "x" * 2_000_000)],
+    }[rows]
+    d = spark.createDataFrame(pages, "page_id long, url string, html string").withColumns({c: F.lit(1) for c in ("host", "low", "style", "text", "n_chars", "page")})
+    monkeypatch.setattr(q, "table", lambda *_: d)
+    got = q.QUERIES["op3_html_extraction"](spark, "").collect()
+    assert len(got) == len(pages) and all(r["n_chars"] == len(r["text"]) for r in got)
+    if rows == "long":
+        by = {r["page_id"]: r["text"] for r in got}
+        assert by[4] == "x" * 2_000_000 and by[0] == by[1] and by[0].count("word and word.") == 30_000
+
+
+def test_op3_a_host_of_near_copies_keeps_its_article(spark):
+    rows = [(k, "http://h/", f"<body><div class=a><p>One long article that every page of this host repeats</p><p>number {k}</p></div></body>") for k in range(6)]
+    got = html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert all("One long article" in r["text"] for r in got)
+
+
 # ---- odd tables
 
 
