@@ -92,81 +92,113 @@ def token_pieces(docs: DataFrame, tokenizer: str | None = None, seq_len: int = 1
     return docs.select(id_col, F.col(text_col).cast("string").alias("text")).mapInArrow(run, schema)
 
 
-def plan(counts: dict[int, int], seq_len: int = 1024) -> list[tuple[tuple[int, ...], int]]:
-    """Patterns of lengths and how often each is used, from the counts of the lengths.
+class SumIndex:
+    """Index of the sums of one, two and three available lengths, kept up with their counts.
 
-    The longest open length looks up what fills its gap exactly among single lengths, then pair
-    sums, then triple sums that are available; each use takes the most that the counts allow, so it
-    exhausts a length and the patterns are at most as many as the lengths. What has no exact
-    complement goes by best fit, longest first.
+    For each sum it holds the entry with the longest first part. Counts only fall, so an entry that
+    is spent gives way to the next one and none is looked at twice. ``held`` lengths are out of reach
+    of a look-up; where they block an entry, the ones after it are tried without moving it.
     """
-    c = np.zeros(seq_len + 1, np.int64)
-    for length, n in counts.items():
-        c[length] = n
-    used: list[tuple[tuple[int, ...], int]] = []
-    left: dict[int, int] = {}
-
-    def take(pattern: tuple[int, ...]) -> bool:
-        need = np.bincount(pattern, minlength=seq_len + 1)
-        at = np.flatnonzero(need)
-        n = int((c[at] // need[at]).min())
-        if n:
-            c[at] -= n * need[at]
-            used.append((pattern, n))
-        return n > 0
-
-    def pair(total: int, most: int, apart: tuple[int, ...]) -> tuple[int, int] | None:
-        """The available pair of this sum with the largest longer part, beside the lengths in ``apart``."""
-        free = c - np.bincount(apart, minlength=seq_len + 1)
-        hi = np.arange(min(most, total - 1), (total + 1) // 2 - 1, -1)
-        lo = total - hi
-        ok = np.flatnonzero((free[hi] > 0) & (free[lo] > 0) & ((hi != lo) | (free[hi] > 1))) if len(hi) else hi
-        return (int(hi[ok[0]]), int(lo[ok[0]])) if len(ok) else None
 
-    for length in range(seq_len, 0, -1):
-        while c[length] > 0:
+    def __init__(self, counts: np.ndarray):
+        self.c, self.top = counts, len(counts) - 1
+        self.pairs, self.triples = list(range(self.top + 1)), list(range(self.top + 1))
+
+    def single(self, total: int, held: dict[int, int]) -> tuple[int, ...] | None:
+        return (total,) if self.c[total] > held.get(total, 0) else None
+
+    def _pair_at(self, hi: int, lo: int, held: dict[int, int]) -> bool:
+        return self.c[hi] > held.get(hi, 0) + (hi == lo) and self.c[lo] > held.get(lo, 0)
+
+    def pair(self, total: int, held: dict[int, int]) -> tuple[int, ...] | None:
+        hi = min(self.pairs[total], total - 1)
+        while 2 * hi >= total and not self._pair_at(hi, total - hi, {}):
+            hi -= 1
+        self.pairs[total] = hi
+        while 2 * hi >= total:
+            if self._pair_at(hi, total - hi, held):
+                return hi, total - hi
+            hi -= 1
+        return None
+
+    def triple(self, total: int, held: dict[int, int]) -> tuple[int, ...] | None:
+        hi = min(self.triples[total], total - 2)
+        while 3 * hi >= total and not (self.c[hi] and self.pair(total - hi, {})):
+            hi -= 1
+        self.triples[total] = hi
+        while 3 * hi >= total:
+            if self.c[hi] > held.get(hi, 0) and (two := self.pair(total - hi, held | {hi: held.get(hi, 0) + 1})):
+                return hi, *two
+            hi -= 1
+        return None
+
+
+def exact_fills(c: np.ndarray, seq_len: int, depth: int) -> list[tuple[tuple[int, ...], int]]:
+    """Takes patterns that fill a sequence exactly from the counts: each length, longest first, with what fills its gap as one length, a sum of two or of three (``depth``). Each use takes the most that the counts allow."""
+    index, used = SumIndex(c), []
+    for parts, find in enumerate((index.single, index.pair, index.triple)[:depth], 1):
+        for length in range(seq_len, 0, -1):
             gap = seq_len - length
-            if gap == 0:
-                take((length,))
-                continue
-            if gap <= length and c[gap] > (gap == length) and take((length, gap)):
-                continue
-            if gap > 1 and (two := pair(gap, min(gap - 1, length), (length,))) and take((length, *two)):
-                continue
-            found = None
-            if gap > 2:
-                for a in np.flatnonzero(c[: min(gap - 1, length + 1)])[::-1]:
-                    a = int(a)
-                    if c[a] - (a == length) > 0 and gap - a > 1 and (two := pair(gap - a, min(a, gap - a - 1), (length, a))):
-                        found = (length, a, *two)
-                        break
-            if found and take(found):
-                continue
-            left[length] = left.get(length, 0) + int(c[length])
-            c[length] = 0
-
+            while c[length] > 0:
+                found = () if gap == 0 else find(gap, {length: 1}) if gap >= parts else None
+                if found is None:
+                    break
+                pattern = (length, *found)
+                need = np.bincount(pattern, minlength=seq_len + 1)
+                at = np.flatnonzero(need)
+                n = int((c[at] // need[at]).min())
+                c[at] -= n * need[at]
+                used.append((pattern, n))
+    return used
+
+
+def best_fit(counts: np.ndarray, seq_len: int) -> list[tuple[tuple[int, ...], int]]:
+    """Best fit, longest first: every piece goes where the least room that suffices is; equal pieces and equal sequences are handled together."""
     bins: dict[int, dict[tuple[int, ...], int]] = {}
-    for length in sorted(left, reverse=True):
-        n = left[length]
+
+    def put(gap: int, pattern: tuple[int, ...], m: int) -> None:
+        if m:
+            own = bins.setdefault(gap, {})
+            own[pattern] = own.get(pattern, 0) + m
+
+    for length in range(seq_len, 0, -1):
+        n = int(counts[length])
         while n:
-            gap = min((g for g, own in bins.items() if g >= length and own), default=None)
-            if gap is None:
-                each = seq_len // length
-                whole, odd = divmod(n, each)
-                for k, m in ((each, whole), (odd, 1)):
-                    if k and m:
-                        own = bins.setdefault(seq_len - k * length, {})
-                        own[(length,) * k] = own.get((length,) * k, 0) + m
-                n = 0
-                continue
-            pattern, m = bins[gap].popitem()
-            placed = min(n, m)
-            if m > placed:
-                bins[gap][pattern] = m - placed
-            own = bins.setdefault(gap - length, {})
-            own[(*pattern, length)] = own.get((*pattern, length), 0) + placed
-            n -= placed
-    return used + [(p, m) for own in bins.values() for p, m in own.items()]
+            gap = min((g for g, own in bins.items() if g >= length and own), default=seq_len)
+            # A sequence that takes a piece has the least room from then on, so it takes as many as fit.
+            each = gap // length
+            if gap == seq_len:
+                pattern, m = (), n // each + 1
+            else:
+                pattern, m = bins[gap].popitem()
+            full = min(m, n // each)
+            odd = min(n - full * each, each) if m > full else 0
+            put(gap - each * length, pattern + (length,) * each, full)
+            put(gap - odd * length, pattern + (length,) * odd, int(odd > 0))
+            if gap < seq_len:
+                put(gap, pattern, m - full - int(odd > 0))
+            n -= full * each + odd
+    return [(p, m) for own in bins.values() for p, m in own.items()]
+
+
+def plan(counts: dict[int, int], seq_len: int = 1024) -> list[tuple[tuple[int, ...], int]]:
+    """Patterns of lengths and how often each is used, from the counts of the lengths.
+
+    Combinations that fill a gap exactly are consumed first: single complements, then pairs, then
+    triples; what has none goes by best fit. Short pieces spent on exact fills can be missed by the
+    rest, so the depth that gives the fewest sequences counts, the deepest of equals; depth 0 is best
+    fit alone, which the plan so never exceeds.
+    """
+    best: list[tuple[tuple[int, ...], int]] | None = None
+    for depth in (3, 2, 1, 0):
+        c = np.zeros(seq_len + 1, np.int64)
+        for length, n in counts.items():
+            c[length] = n
+        got = exact_fills(c, seq_len, depth)
+        got += best_fit(c, seq_len)
+        if best is None or sum(n for _, n in got) < sum(n for _, n in best):
+            best = got
+    return best
 
 
 def pack(pieces: DataFrame, seq_len: int = 1024, order: tuple[str, ...] = ("doc_id", "piece")) -> DataFrame:

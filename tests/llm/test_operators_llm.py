@@ -75,6 +75,56 @@ def test_plans_use_every_piece_once_and_never_overfill(counts):
     assert dict(got) == counts
 
 
+def _best_fit_decreasing(counts, seq_len):
+    """Piece by piece."""
+    gaps = []
+    for x in sorted((x for x, n in counts.items() for _ in range(n)), reverse=True):
+        k = min((g for g in gaps if g >= x), default=None)
+        if k is not None:
+            gaps.remove(k)
+        gaps.append((k if k is not None else seq_len) - x)
+    return sorted(gaps)
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.dictionaries(st.integers(1, 64), st.integers(1, 25), max_size=20))
+def test_op7_best_fit_equals_brute_force_and_bounds_the_plan(counts):
+    c = np.zeros(65, np.int64)
+    for x, n in counts.items():
+        c[x] = n
+    want = _best_fit_decreasing(counts, 64)
+    assert sorted(64 - sum(p) for p, n in packing.best_fit(c, 64) for _ in range(n)) == want
+    n = sum(n for _, n in packing.plan(counts, 64))
+    assert -(-sum(x * n for x, n in counts.items()) // 64) <= n <= len(want)
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.integers(0, 3), min_size=30, max_size=30), st.dictionaries(st.integers(1, 29), st.integers(1, 2), max_size=2))
+def test_op7_the_index_finds_every_sum_that_there_is(counts, held):
+    c = np.array([0, *counts[1:]])
+    free = c.copy()
+    for x, n in held.items():
+        free[x] -= n
+    index = packing.SumIndex(c)
+    for total in range(3, 30):
+        for parts, find in ((1, index.single), (2, index.pair), (3, index.triple)):
+            some = any(all(free[x] >= p.count(x) for x in p) for p in itertools.combinations_with_replacement(range(1, 30), parts) if sum(p) == total)
+            for keep in (held, {}, held):
+                got = find(total, keep)
+                if keep is held:
+                    assert (got is not None) == some
+                if got:
+                    assert sum(got) == total and all(c[x] - keep.get(x, 0) >= got.count(x) for x in got)
+
+
+def test_op7_sequences_are_no_more_than_best_fit_makes(spark, tiny):
+    d = tiny.replace("0.001", "0.01")
+    got = q.QUERIES["op7_best_fit_packing"](spark, d).select("length", "sequence_id").collect()
+    counts = collections.Counter(r["length"] for r in got)
+    n = len({r["sequence_id"] for r in got})
+    assert n <= len(_best_fit_decreasing(counts, 1024)) and n >= sum(r["length"] for r in got) / 1024
+
+
 def test_plan_fills_exactly_by_singles_pairs_and_triples():
     assert sum(n for _, n in packing.plan({600: 5, 424: 5}, 1024)) == 5
     assert sum(n for _, n in packing.plan({600: 5, 400: 5, 24: 5}, 1024)) == 5
