@@ -26,7 +26,7 @@ STATES = 8
 CLASSES = 256  # of words by their last bytes; the low byte of a word's key
 SYMBOLS = 4096  # 0 is the end, 1 to CLASSES stand for the words of a class that are not frequent, the others for one frequent word each
 ROUNDS = 6  # of Baum-Welch
-WINDOW = 512  # tokens of a training sequence; longer documents are trained on as several, without loss of tokens
+WINDOW = 512  # tokens of a part; texts of more than two parts are trained on in parts, which changes no count
 BUCKET_WORDS = 400_000  # block words that a bucket adds up at once, about
 END = np.uint64(1)  # the hash that stands for the end of a text
 ALPHA = 0.1
@@ -218,18 +218,27 @@ def forward(model: dict, seqs: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def expected(model: dict, seqs: list[np.ndarray], xi: np.ndarray, pi: np.ndarray, emit: np.ndarray) -> float:
-    """Adds the expected counts of sequences (longest first) to xi, pi and emit (symbol by state); returns their log10 likelihood."""
+def expected(model: dict, seqs: list[np.ndarray], xi: np.ndarray, pi: np.ndarray, emit: np.ndarray, before: np.ndarray | None = None, after: np.ndarray | None = None) -> float:
+    """Adds the expected counts of sequences (longest first) to xi, pi and emit (symbol by state); returns their log10 likelihood.
+
+    A sequence may be a part of a longer one: ``before`` is its state distribution given all tokens
+    before it (a row of zeros where it starts a text), ``after`` the likelihood of all tokens after
+    it by state, up to a factor. The counts of all parts then add up to those of the whole.
+    """
     o, open_ = _padded(seqs)
     n_t, n = o.shape
     bt, a = np.ascontiguousarray(model["b"].T), model["a"]
+    before = np.zeros((n, len(a))) if before is None else before
+    starts = ~before.any(axis=1)
     alphas, scales = np.zeros((n_t, n, len(a))), np.ones((n_t, n))
     for t in range(n_t):
         m = open_[t]
-        x = (model["pi"] if t == 0 else alphas[t - 1, :m] @ a) * bt[o[t, :m]]
+        x = (np.where(starts[:, None], model["pi"], before @ a) if t == 0 else alphas[t - 1, :m] @ a) * bt[o[t, :m]]
         s = x.sum(1)
         alphas[t, :m], scales[t, :m] = x / s[:, None], s
-    beta = np.ones((n, len(a)))
+    beta = np.ones((n, len(a))) if after is None else after.copy()
+    last = alphas[np.array([len(s) for s in seqs]) - 1, np.arange(n)]
+    beta /= (last * beta).sum(1, keepdims=True)
     flat, weights = [], []
     for t in range(n_t - 1, -1, -1):
         m = open_[t]
@@ -237,18 +246,75 @@ def expected(model: dict, seqs: list[np.ndarray], xi: np.ndarray, pi: np.ndarray
         g /= g.sum(1, keepdims=True)
         flat.append(o[t, :m])
         weights.append(g)
+        y = bt[o[t, :m]] * beta[:m] / scales[t, :m, None]
         if t:
-            y = bt[o[t, :m]] * beta[:m] / scales[t, :m, None]
             xi += (alphas[t - 1, :m].T @ y) * a
             beta[:m] = y @ a.T
         else:
-            pi += g.sum(0)
+            xi += (before.T @ y) * a
+            pi += g[starts].sum(0)
     f, w = np.concatenate(flat), np.concatenate(weights)
     for k in range(len(a)):
         emit[:, k] += np.bincount(f, w[:, k], minlength=len(emit))
     return float(np.log10(scales).sum())
 
 
+def transfers(model: dict, seqs: list[np.ndarray], starts: np.ndarray) -> np.ndarray:
+    """Of each sequence (longest first) the matrix that carries the state before it to the one at its end, up to a factor; one that starts a text is entered by the start distribution."""
+    o, open_ = _padded(seqs)
+    bt, a = np.ascontiguousarray(model["b"].T), model["a"]
+    x = np.where(starts[:, None, None], np.eye(len(a)), a) * bt[o[0]][:, None, :]
+    for t in range(1, len(o)):
+        m = open_[t]
+        x[:m] = (x[:m] @ a) * bt[o[t, :m]][:, None, :]
+        if t % 8 == 0 or t == len(o) - 1:
+            x[:m] /= x[:m].max(axis=(1, 2), keepdims=True)
+    return x
+
+
+def parts_of(model: dict, seqs: list[np.ndarray], window: int) -> Iterator[tuple[list[np.ndarray], np.ndarray, np.ndarray]]:
+    """Groups of parts, longest first, with the states before and the likelihoods after them.
+
+    Texts of up to two windows are one part. In longer ones, which would keep a task busy step by
+    step, the parts' transfer matrices are made side by side and chained, so the parts can be counted
+    side by side as well, with the exact states at their borders.
+    """
+    k = len(model["a"])
+    short = [s for s in seqs if len(s) <= 2 * window]
+    parts, before, after = list(short), [np.zeros(k)] * len(short), [np.ones(k)] * len(short)
+    long_ = [[s[i : i + window] for i in range(0, len(s), window)] for s in seqs if len(s) > 2 * window]
+    own = [x for ps in long_ for x in ps]
+    starts = np.array([i == 0 for ps in long_ for i in range(len(ps))], bool)
+    order = np.argsort([-len(x) for x in own], kind="stable")
+    t = np.zeros((len(own), k, k))
+    for at in range(0, len(own), 4096):
+        some = order[at : at + 4096]
+        t[some] = transfers(model, [own[i] for i in some], starts[some])
+    at = 0
+    for ps in long_:
+        m = t[at : at + len(ps)]
+        v, into, out = model["pi"], [np.zeros(k)], [np.ones(k)]
+        for x in m[:-1]:
+            v = v @ x
+            v = v / v.sum()
+            into.append(v)
+        v = out[0]
+        for x in m[:0:-1]:
+            v = x @ v
+            v = v / v.sum()
+            out.append(v)
+        parts += ps
+        before += into
+        after += out[::-1]
+        at += len(ps)
+    order = sorted(range(len(parts)), key=lambda i: -len(parts[i]))
+    at = 0
+    for group in _grouped(parts):
+        some = order[at : at + len(group)]
+        yield group, np.array([before[i] for i in some]), np.array([after[i] for i in some])
+        at += len(group)
+
+
 def _grouped(seqs: list[np.ndarray], most: int = 400_000) -> Iterator[list[np.ndarray]]:
     """Longest first, in groups whose padded size stays bounded; a longer sequence stands alone."""
     seqs = sorted(seqs, key=len, reverse=True)
@@ -276,9 +342,8 @@ def train(encoded: DataFrame, symbols: int, states: int = STATES, rounds: int =
                 if m is None:
                     emit[:, 0] += np.bincount(np.concatenate(own), minlength=symbols)
                     continue
-                parts = [s[k : k + window] for s in own for k in range(0, len(s), window)]
-                for group in _grouped(parts):
-                    expected(m, group, xi, pi, emit)
+                for group, before, after in parts_of(m, own, window):
+                    expected(m, group, xi, pi, emit, before, after)
             some = np.flatnonzero(emit.any(axis=1))
             rows, values = np.concatenate((some, -1 - np.arange(states), [-1 - states])), np.concatenate((emit[some], xi, pi[None]))
             yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int32()), *(pa.array(values[:, k]) for k in range(states))], ["row", *cols])

@@ -418,6 +418,21 @@ def test_forward_recursion_equals_the_sum_over_all_paths():
         assert abs(got - np.log10(p)) < 1e-9
 
 
+def test_op4_counts_of_parts_equal_those_of_whole_texts():
+    rng = np.random.default_rng(11)
+    model = hmm_score.initial(rng.random(6) + 0.1, 3)
+    model["a"] = rng.dirichlet(np.ones(3), 3)
+    model["pi"] = rng.dirichlet(np.ones(3))
+    seqs = [rng.integers(0, 6, n) for n in (1, 7, 8, 9, 40, 41, 133, 500)]
+    want = [np.zeros((3, 3)), np.zeros(3), np.zeros((6, 3))]
+    lik = sum(hmm_score.expected(model, [x], *want) for x in seqs)
+    assert np.isclose(want[1].sum(), len(seqs)) and np.isclose(want[0].sum(), sum(len(x) - 1 for x in seqs))
+    for window in (2, 4, 16, 1000):
+        got = [np.zeros((3, 3)), np.zeros(3), np.zeros((6, 3))]
+        own = sum(hmm_score.expected(model, g, *got, b, a) for g, b, a in hmm_score.parts_of(model, seqs, window))
+        assert np.isclose(own, lik) and all(np.allclose(x, y) for x, y in zip(got, want, strict=True))
+
+
 def test_training_rounds_never_lower_the_likelihood():
     rng = np.random.default_rng(1)
     seqs = sorted([rng.integers(0, 6, n) for n in rng.integers(1, 40, 30)], key=len, reverse=True)
