@@ -23,17 +23,18 @@ from lodestrata.llm.work import short_batches
 BITS = 12  # of a hashed n-gram
 ORDERS = (1, 2, 3)
 CENTROIDS = 4  # of a language
-SAMPLE, TOTAL = 600, 4_000  # sampled training texts of a language and in all, about: the documented bound of the classifier's sample
+SAMPLE, TOTAL = 600, 4_000  # sampled training texts of a language and in all, about: the default bounds of the classifier's sample
 REJECT = 0.005  # share of a centroid's sample that lies beyond its rejection distance
 ROWS = 512  # texts of which the vectors are held at once
 UNKNOWN = "und"
-_letters: list[np.ndarray] = []
+_kinds: list[np.ndarray] = []
 
 
-def _letter_table() -> np.ndarray:
-    if not _letters:
-        _letters.append(np.fromiter((unicodedata.category(chr(c))[0] in "LM" for c in range(sys.maxunicode + 1)), bool, sys.maxunicode + 1))
-    return _letters[0]
+def _kind_table() -> np.ndarray:
+    """By code point: 2 for letters, 1 for marks, which belong to a word but make none, 0 for others."""
+    if not _kinds:
+        _kinds.append(np.fromiter(("ML".find(unicodedata.category(chr(c))[0]) + 1 for c in range(sys.maxunicode + 1)), np.uint8, sys.maxunicode + 1))
+    return _kinds[0]
 
 
 def ngram_counts(texts: list[str], piece: int = 1_000_000) -> tuple[np.ndarray, np.ndarray]:
@@ -46,8 +47,9 @@ def ngram_counts(texts: list[str], piece: int = 1_000_000) -> tuple[np.ndarray,
         c = np.frombuffer("".join(t for _, t in parts).encode("utf-32-le", "surrogatepass"), np.uint32)
         row = np.repeat([r for r, _ in parts], [len(t) for _, t in parts])
         part = np.repeat(np.arange(len(parts)), [len(t) for _, t in parts])
-        is_letter = _letter_table()[c]
-        letters[:] += np.bincount(row[is_letter], minlength=len(texts))
+        kind = _kind_table()[c]
+        letters[:] += np.bincount(row[kind == 2], minlength=len(texts))
+        is_letter = kind > 0
         keep = is_letter.copy()
         keep[1:] |= is_letter[:-1] & (part[1:] == part[:-1])
         c, row, part = np.where(is_letter, c, 32)[keep].astype(np.uint32), row[keep], part[keep]
@@ -106,13 +108,14 @@ def cluster(v: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
     return c
 
 
-def fit(train: DataFrame, centroids: int = CENTROIDS) -> dict:
+def fit(train: DataFrame, centroids: int = CENTROIDS, sample: int = SAMPLE, total: int = TOTAL) -> dict:
     """A model from training rows (doc_id, text, lang): document frequencies of all of them, centroids of a bounded hash sample by language.
 
-    Rows without a language or a letter teach nothing. With no rows, nothing is learned and every
-    text is ``und``.
+    The sample has about ``sample`` texts a language and ``total`` in all, and one of each language
+    at least. Rows without a language or a letter teach nothing. With no rows, nothing is learned
+    and every text is ``und``.
     """
-    train = train.filter("lang is not null").select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), F.col("lang").cast("string").alias("lang"))
+    train = train.filter(F.col("lang").isNotNull() & F.col("text").cast("string").rlike(r"\p{L}")).select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), F.col("lang").cast("string").alias("lang"))
     spark, size = train.sparkSession, 1 << BITS
     short_batches(spark)
 
@@ -139,7 +142,7 @@ def fit(train: DataFrame, centroids: int = CENTROIDS) -> dict:
                 ok = np.flatnonzero(letters > 0)
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(ok)), pa.array([v[i].tobytes() for i in ok], pa.binary())], ["lang", "v"])
 
-    rows = sample_by(train, "lang", SAMPLE, TOTAL, "doc_id", "text").select("lang", "text").mapInArrow(encode, "lang string, v binary").collect()
+    rows = sample_by(train, "lang", sample, total, "doc_id", "text").select("lang", "text").mapInArrow(encode, "lang string, v binary").collect()
     langs = sorted({r["lang"] for r in rows})
     c, own, least = [], [], []
     for lang in langs:

@@ -145,13 +145,13 @@ def grams(h: np.ndarray, first: np.ndarray, n: int, short: bool = False, mult: n
 
 
 def sample_by(rows: DataFrame, group: str, most: int, total: int, *key: str) -> DataFrame:
-    """A fixed hash sample of about ``most`` rows of each group and about ``total`` in all, with column ``fraction``.
+    """A fixed hash sample of about ``most`` rows of each group and about ``total`` in all, one of each group at least, with column ``fraction``.
 
-    Whether a row is in depends on its key and its group's count only, so reruns agree. The counts
-    by group are one row per group.
+    Whether a row is in depends on its key and its group's count and least hash only, so reruns
+    agree. The counts by group are one row per group.
     """
-    counts = rows.groupBy(group).agg(F.count("*").alias("_n"))
-    sizes = counts.withColumn("_each", F.least(F.lit(float(most)), F.lit(float(total)) / F.greatest(F.count("*").over(Window.partitionBy()), F.lit(1))))
-    sizes = sizes.select(F.col(group).alias("_g"), F.least(F.lit(1.0), F.col("_each") / F.col("_n")).alias("fraction"))
     place = F.pmod(F.xxhash64(*key, F.lit("sample")), F.lit(1 << 40)) / float(1 << 40)
-    return rows.join(F.broadcast(sizes), rows[group] == sizes["_g"]).filter(place < F.col("fraction")).drop("_g")
+    counts = rows.groupBy(group).agg(F.count("*").alias("_n"), F.min(place).alias("_least"))
+    sizes = counts.withColumn("_each", F.least(F.lit(float(most)), F.lit(float(total)) / F.greatest(F.count("*").over(Window.partitionBy()), F.lit(1))))
+    sizes = sizes.select(F.col(group).alias("_g"), F.least(F.lit(1.0), F.col("_each") / F.col("_n")).alias("fraction"), "_least")
+    return rows.join(F.broadcast(sizes), rows[group] == sizes["_g"]).filter((place < F.col("fraction")) | (place == F.col("_least"))).drop("_g", "_least")
