@@ -91,15 +91,29 @@ def mux(payload: bytes) -> bytes:
     return b"".join(out)
 
 
+def _sections(buffer: bytearray) -> Iterator[bytes]:
+    """Takes the complete sections from the front of a PID's section bytes; stuffing ends them."""
+    while len(buffer) >= 3 and buffer[0] != 0xFF:
+        size = 3 + ((buffer[1] & 15) << 8 | buffer[2])
+        if len(buffer) < size:
+            return
+        yield bytes(buffer[:size])
+        del buffer[:size]
+    if buffer and buffer[0] == 0xFF:
+        buffer.clear()
+
+
 def demux(media: bytes) -> dict:
     """Parses a stream: payload, pts and rap by access unit, program tables and error counts.
 
-    Packets without the sync byte, and sections whose CRC fails, count as errors and are passed
-    over. A repeated packet (same counter) is dropped once, as the format allows; any other jump of
-    a counter counts as a continuity error.
+    Packets without the sync byte count as sync errors, packets marked as damaged in transport as
+    transport errors; both are passed over. Sections may span packets and share them; those whose
+    CRC fails count as CRC errors. One repeat of a packet is dropped, as the format allows; any other
+    jump of a counter counts as a continuity error, unless the packet announces a discontinuity, and
+    a section that it cuts is given up.
     """
-    out = {"packets": len(media) // PACKET, "sync_errors": int(len(media) % PACKET > 0), "crc_errors": 0, "cc_errors": 0, "programs": {}, "streams": {}}
-    pmts, last, open_units, units = set(), {}, {}, []
+    out = {"packets": len(media) // PACKET, "sync_errors": int(len(media) % PACKET > 0), "crc_errors": 0, "cc_errors": 0, "transport_errors": 0, "programs": {}, "streams": {}}
+    pmts, last, repeats, open_units, units, tables = set(), {}, {}, {}, [], {}
 
     def close(pid: int) -> None:
         parts, rap = open_units.pop(pid, (None, False))
@@ -115,42 +129,65 @@ def demux(media: bytes) -> dict:
             pts = (s[0] >> 1 & 7) << 30 | s[1] << 22 | s[2] >> 1 << 15 | s[3] << 7 | s[4] >> 1
         units.append((pes[head : 6 + size if size else len(pes)], pts, rap))
 
+    def table(pid: int, section: bytes) -> None:
+        size = len(section)
+        if section not in (_PAT, _PMT) and (size < 12 or crc32_mpeg(section)):
+            out["crc_errors"] += 1
+        elif pid == PAT_PID:
+            for p in range(8, size - 4, 4):
+                if number := section[p] << 8 | section[p + 1]:
+                    pmts.add(own := (section[p + 2] & 31) << 8 | section[p + 3])
+                    out["programs"][number] = own
+        elif section[0] == 2:
+            p = 12 + ((section[10] & 15) << 8 | section[11])
+            while p + 5 <= size - 4:
+                out["streams"][(section[p + 1] & 31) << 8 | section[p + 2]] = section[p]
+                p += 5 + ((section[p + 3] & 15) << 8 | section[p + 4])
+
     for at in range(0, len(media) - PACKET + 1, PACKET):
         b1, flags = media[at + 1], media[at + 3]
         if media[at] != SYNC:
             out["sync_errors"] += 1
             continue
-        pid, start, skip, rap = (b1 & 31) << 8 | media[at + 2], b1 & 0x40, 4, False
+        if b1 & 0x80:
+            out["transport_errors"] += 1
+            continue
+        pid, start, skip, rap, announced = (b1 & 31) << 8 | media[at + 2], b1 & 0x40, 4, False, False
         if flags & 0x20:
             size = media[at + 4]
-            rap = size > 0 and bool(media[at + 5] & 0x40)
+            rap, announced = size > 0 and bool(media[at + 5] & 0x40), size > 0 and bool(media[at + 5] & 0x80)
             skip = 5 + size
-        if not flags & 0x10:
+        if not flags & 0x10 or skip >= PACKET:
             continue
         cc = flags & 15
-        if pid in last:
-            if cc == last[pid]:
+        whole = True
+        if pid in last and not announced:
+            if cc == last[pid] and not repeats.get(pid):
+                repeats[pid] = True
                 continue
-            out["cc_errors"] += cc != (last[pid] + 1) & 15
-        last[pid] = cc
+            if cc != (last[pid] + 1) & 15:
+                out["cc_errors"] += 1
+                whole = False
+        last[pid], repeats[pid] = cc, False
         if pid == PAT_PID or pid in pmts:
-            if not start:
-                continue
-            skip += 1 + media[at + skip]
-            size = 3 + ((media[at + skip + 1] & 15) << 8 | media[at + skip + 2])
-            section = media[at + skip : at + skip + size]
-            if len(section) < size or section not in (_PAT, _PMT) and crc32_mpeg(section):
-                out["crc_errors"] += 1
-            elif pid == PAT_PID:
-                for p in range(8, size - 4, 4):
-                    if number := section[p] << 8 | section[p + 1]:
-                        pmts.add(own := (section[p + 2] & 31) << 8 | section[p + 3])
-                        out["programs"][number] = own
+            body = media[at + skip : at + PACKET]
+            own = tables.setdefault(pid, bytearray())
+            if not whole:
+                own.clear()
+            if start:
+                first = 1 + body[0]
+                if own:
+                    own += body[1:first]
+                    for section in _sections(own):
+                        table(pid, section)
+                    own.clear()
+                own += body[first:]
+            elif own:
+                own += body
             else:
-                p = 12 + ((section[10] & 15) << 8 | section[11])
-                while p < size - 4:
-                    out["streams"][(section[p + 1] & 31) << 8 | section[p + 2]] = section[p]
-                    p += 5 + ((section[p + 3] & 15) << 8 | section[p + 4])
+                continue
+            for section in _sections(own):
+                table(pid, section)
         elif pid in out["streams"]:
             if start:
                 close(pid)
@@ -204,7 +241,7 @@ def read_media(stored: DataFrame, id_col: str = "doc_id") -> DataFrame:
         feature = (
             f"packets={x['packets']};programs={','.join(f'{k}:{v:#06x}' for k, v in sorted(x['programs'].items()))};streams={','.join(f'{k:#06x}:{v:#04x}' for k, v in sorted(x['streams'].items()))};"
             f"units={len(x['pts'])};random_access={len(raps)};pts={stamps[0] if stamps else ''}..{stamps[-1] if stamps else ''};step={','.join(map(str, sorted(steps)))};"
-            f"errors={x['sync_errors']},{x['crc_errors']},{x['cc_errors']}"
+            f"errors={x['sync_errors']},{x['crc_errors']},{x['cc_errors']},{x['transport_errors']}"
         )
         return len(p), hashlib.sha256(p).hexdigest(), zlib.crc32(p[-32:]), len(media), hashlib.sha256(media).hexdigest(), feature, x["pts"], raps
 

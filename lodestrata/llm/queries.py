@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lodestrata.llm import hmm_score, html_extract, language_id, media_ts, minhash_dedup, mixing, packing, quality_rules, suffix_dedup, toxicity
+from lodestrata.llm.work import stored
 from lodestrata.session import table
 
 QUERIES: dict = {}
@@ -25,7 +26,7 @@ def op7_best_fit_packing(spark, sf_dir):
 @_query
 def op8_media_columns(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
-    read = media_ts.read_media(media_ts.store_media(docs))
+    read = media_ts.read_media(stored(media_ts.store_media(docs), "media"))
     return read.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", F.size("pts").alias("n_units"), F.size("random_access").alias("n_random_access"))
 
 
