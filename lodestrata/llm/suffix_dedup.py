@@ -14,7 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -23,7 +23,7 @@ from lodestrata.llm.work import short_batches, stored
 
 GRAM, NEAR = 16, 34  # words of a gram; grams of which the least is kept
 FEW = 5  # places of a gram up to which all pairs of them are compared
-CODE = 3  # bytes of a word's code in a stored context
+CODE = 4  # bytes of a word's code in a stored context
 TASK_ROWS = 100_000  # suffixes that one task compares, about
 
 
@@ -73,9 +73,16 @@ def _suffixes(docs: DataFrame) -> DataFrame:
     return _texts(docs).mapInArrow(run, "doc_id long, digest string, n_words long, grams array<long>, places array<int>")
 
 
+_NO_ID = (1 << 63) - 1  # stands for a null id, after all others
+
+
+def _ident(doc_id: Column) -> Column:
+    return F.coalesce(doc_id.cast("long"), F.lit(_NO_ID))
+
+
 def _texts(docs: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.md5(text).alias("digest"), text.alias("text"))
+    return docs.select(_ident(F.col("doc_id")).alias("doc_id"), F.md5(text).alias("digest"), text.alias("text"))
 
 
 def _binary(rows: np.ndarray) -> pa.Array:
@@ -240,14 +247,14 @@ def repeated_spans(docs: DataFrame, least: int = 50) -> DataFrame:
 
     Words are lower-cased (A-Z) runs of bytes other than space and 0x09-0x0D. ``removed`` is false
     for words of which this is the first place, by doc_id and position. A copy of a whole text of
-    ``least`` words or more is one span. Null and short texts have no spans; rows with a null doc_id
-    are left out; repeated rows are one document. ``digest`` is the text's md5, which tells apart
-    rows that share an id. An empty table gives an empty result.
+    ``least`` words or more is one span. Null and short texts have no spans; repeated rows are one
+    document. doc_id must be of an integer type; a null id comes after all others. ``digest`` is the
+    text's md5, which tells apart rows that share an id. An empty table gives an empty result.
     """
     if least < GRAM + NEAR - 1:
         raise ValueError(f"passages of fewer than {GRAM + NEAR - 1} words may hold no kept gram")
     short_batches(docs.sparkSession)
-    docs = docs.filter("doc_id is not null").select("doc_id", "text")
+    docs = docs.select("doc_id", "text")
     rows = stored(_suffixes(docs), "suffixes")
     long_rows = rows.filter(F.col("n_words") >= least)
     firsts = stored(long_rows.groupBy("digest").agg(F.min("doc_id").alias("first_doc_id"), F.count("*").alias("copies")), "texts")
@@ -263,7 +270,8 @@ def repeated_spans(docs: DataFrame, least: int = 50) -> DataFrame:
     spans = spans.union(_grouped(around.filter("windows is not null").select("doc_id", "digest", "place", "head", "tail", "windows"), least))
     whole = long_rows.select("doc_id", "digest", "n_words").distinct().join(firsts.filter("copies > 1"), "digest")
     whole = whole.select("doc_id", "digest", F.lit(0).alias("start"), F.col("n_words").cast("int").alias("end"), (F.col("doc_id") > F.col("first_doc_id")).alias("removed"), "first_doc_id")
-    return _merged(spans.union(whole))
+    out = _merged(spans.union(whole))
+    return out.withColumns({c: F.nullif(F.col(c), F.lit(_NO_ID)) for c in ("doc_id", "first_doc_id")})
 
 
 def _merged(spans: DataFrame) -> DataFrame:
@@ -282,9 +290,10 @@ def without_repeats(docs: DataFrame, least: int = 50) -> DataFrame:
     What stands between the words that stay is kept as it is; a text that is wholly repeated becomes empty.
     """
     cuts = repeated_spans(docs, least).filter("removed").groupBy("doc_id", "digest").agg(F.sort_array(F.collect_list(F.struct("start_word", "end_word"))).alias("x"))
-    cuts = cuts.select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"), F.col("x.start_word").alias("_starts"), F.col("x.end_word").alias("_ends"))
-    d = docs.withColumn("_md5", F.md5(F.coalesce(F.col("text").cast("string"), F.lit(""))))
-    d = d.join(cuts, (d["doc_id"] == cuts["_id"]) & (d["_md5"] == cuts["_digest"]), "left")
+    cuts = cuts.select(_ident(F.col("doc_id")).alias("_id"), F.col("digest").alias("_digest"), F.col("x.start_word").alias("_starts"), F.col("x.end_word").alias("_ends"))
+    # Rows travel as one struct, so no column of theirs can clash with a helper.
+    d = docs.select(F.struct("*").alias("_row"), _ident(F.col("doc_id")).alias("_doc"), F.md5(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("_md5"))
+    d = d.join(cuts, (d["_doc"] == cuts["_id"]) & (d["_md5"] == cuts["_digest"]), "left")
 
     @F.pandas_udf("string")
     def cut(text, starts, ends):
@@ -302,8 +311,10 @@ def without_repeats(docs: DataFrame, least: int = 50) -> DataFrame:
         return pd.Series(out)
 
     # Only texts with cuts go through Python; the two branches read the same join.
-    plain = d.filter("_starts is null").select(*docs.columns)
-    done = d.filter("_starts is not null").withColumn("text", cut("text", "_starts", "_ends"))
+    row = F.col("_row")
+    plain = d.filter("_starts is null").select(*[row.getField(c).alias(c) for c in docs.columns])
+    done = d.filter("_starts is not null").withColumn("_text", cut(row.getField("text"), "_starts", "_ends"))
+    new = {"text": F.col("_text")}
     if "n_chars" in docs.columns:
-        done = done.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return plain.unionByName(done.select(*docs.columns))
+        new["n_chars"] = F.length("_text").cast(docs.schema["n_chars"].dataType)
+    return plain.unionByName(done.select(*[new.get(c, row.getField(c)).alias(c) for c in docs.columns]))

@@ -215,6 +215,26 @@ def test_damage_is_counted():
     assert media_ts.crc32_mpeg(b"123456789") == 0x0376E6E7
 
 
+def test_op8_sections_span_packets_and_flags_count():
+    s, n = media_ts.mux(media_ts.padded(b"x" * 20_000)), media_ts.PACKET
+    assert media_ts.demux(s[: 10 * n] + s[9 * n : 10 * n] + s[9 * n :])["cc_errors"] == 1  # a packet sent three times
+    marked = bytearray(s)
+    marked[9 * n + 1] |= 0x80
+    got = media_ts.demux(bytes(marked))
+    assert got["transport_errors"] == 1 and got["cc_errors"] == 1
+    # A programme table of many streams, over two packets, whose second one starts another section behind the pointer.
+    streams = b"".join(bytes([6]) + (0xE000 | 0x200 + k).to_bytes(2, "big") + b"\xf0\x00" for k in range(50))
+    long_ = media_ts._section(2, 1, (0xE000 | 0x200).to_bytes(2, "big") + b"\xf0\x00" + streams)
+    short = media_ts._section(2, 1, (0xE000 | 0x200).to_bytes(2, "big") + b"\xf0\x00" + bytes([6]) + (0xE000 | 0x300).to_bytes(2, "big") + b"\xf0\x00")
+    pid, room = media_ts.PMT_PID, n - 5
+    rest = long_[room:]
+    one = bytes([media_ts.SYNC, 0x40 | pid >> 8, pid & 255, 0x10, 0]) + long_[:room]
+    two = (bytes([media_ts.SYNC, 0x40 | pid >> 8, pid & 255, 0x11, len(rest)]) + rest + short).ljust(n, b"\xff")
+    got = media_ts.demux(media_ts._table_packet(media_ts.PAT_PID, media_ts._PAT, 0) + one + two)
+    assert got["crc_errors"] == got["cc_errors"] == 0 and sorted(got["streams"]) == [*range(0x200, 0x232), 0x300]
+    assert media_ts.demux(media_ts._table_packet(media_ts.PAT_PID, media_ts._PAT, 0) + one)["streams"] == {}
+
+
 # ---- quality rules
 
 
@@ -394,6 +414,19 @@ def test_passages_in_words_that_many_texts_share_equal_brute_force(spark, shared
     assert all((all_[i] == want[i][0]).all() and (gone[i] == want[i][1]).all() for i in own)
 
 
+def test_op6_null_ids_and_clashing_columns(spark):
+    """A null id comes after all others, and no column of the table meets a helper's name."""
+    passage = " ".join(f"p{k}" for k in range(60))
+    rows = [(None, f"null id {passage} tail"), (1, f"first {passage} end"), (None, "short"), (2, None)]
+    d = spark.createDataFrame(rows, "doc_id long, text string").withColumns({c: F.lit(k) for k, c in enumerate(("_starts", "_ends", "_id", "_digest", "_md5", "_row", "_text", "_doc", "digest", "first_doc_id"))})
+    spans = suffix_dedup.repeated_spans(d).collect()
+    assert sorted((r["doc_id"] or 0, r["start_word"], r["end_word"], r["removed"], r["first_doc_id"]) for r in spans) == [(0, 2, 62, True, 1), (1, 1, 61, False, 1)]
+    out = suffix_dedup.without_repeats(d)
+    assert out.columns == d.columns
+    got = out.collect()
+    assert sorted((r["doc_id"] or 0, r["text"] or "") for r in got) == [(0, "null id tail"), (0, "short"), (1, rows[1][1]), (2, "")] and all(r["_starts"] == 0 and r["_doc"] == 7 for r in got)
+
+
 def test_words_in_another_order_are_no_repeat(spark):
     own = [[f"{c}{k}" for k in range(40)] for c in "lr"]
     docs = [(k, " ".join(own[0] + x.split() + own[1])) for k, x in enumerate(["a b b a", "b a a b"])]
@@ -554,6 +587,14 @@ def test_languages_are_told_apart(spark, tiny):
     assert np.mean([r["lang"] == r["lang_pred"] for r in out]) > 0.9 and all(0 <= r["score"] <= 1 for r in out)
 
 
+def test_op1_marks_are_no_letters_and_every_language_stays(spark):
+    rows = [(k, f"common words of the first tongue number {k}", "aa") for k in range(300)] + [(1000 + k, f"zx qv wj {chr(97 + k)}k", f"l{k:02}") for k in range(20)]
+    model = language_id.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), sample=5, total=10)
+    assert set(model["langs"]) == {"aa", *(f"l{k:02}" for k in range(20))}
+    d = spark.createDataFrame([(1, "\u0301"), (2, "\u0301 12"), (3, "e\u0301"), (4, None)], "doc_id long, text string")
+    assert {r["doc_id"]: r["lang_pred"] == "und" for r in language_id.predict(d, model).collect()} == {1: True, 2: True, 3: False, 4: True}
+
+
 def test_pieces_of_long_texts_count_as_the_whole():
     t = ["ab cd éf " * 50, "", "123"]
     a, n = language_id.ngram_counts(t)
