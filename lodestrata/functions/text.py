@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 WS = r"(?U)\s+"
+#: What a DOI looks like (fixed value).
 DOI = r"(?i)10\.\d{4,9}/[-._;()/:A-Za-z0-9]+"
 
 
