@@ -54,3 +54,10 @@ def prf(tp: Column, fp: Column, fn: Column) -> tuple[Column, Column, Column]:
 def year_of(c: Column) -> Column:
     """The four digits that a date begins with."""
     return blank_to_null(F.regexp_extract(c.cast("string"), r"^(\d{4})", 1)).try_cast("int")
+
+
+def number_or_text(c: Column) -> Column:
+    """A number as its shortest text, anything else trimmed; null where blank."""
+    n = to_float(c)
+    whole = (n == F.floor(n)) & (F.abs(n) < 1e15)
+    return F.when(n.isNotNull(), F.when(whole, n.cast("bigint").cast("string")).otherwise(n.cast("string"))).otherwise(blank_to_null(strip(c.cast("string"))))

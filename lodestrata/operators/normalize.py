@@ -220,6 +220,15 @@ def quality_issues(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows.select(*keys, F.explode(found).alias("type"))
 
 
+ISSUES = ["missing_evidence", "missing_key_parameter_value", "source_conflict_origin_vs_calibration", "source_conflict_origin_vs_adopted"]
+
+
+def quality_counts(issues: DataFrame, rows: DataFrame) -> DataFrame:
+    """One row: the number of rows, of issues, and of each type of issue, 0 where there is none."""
+    counts = issues.agg(F.count("*").alias("issues"), *[F.count_if(F.col("type") == t).alias(t) for t in ISSUES])
+    return rows.agg(F.count("*").alias("total")).crossJoin(F.broadcast(counts))
+
+
 def metadata_from_xml(docs: DataFrame, xml: str = "xml") -> DataFrame:
     """Adds title, doi, authors, journal and year as a publisher's XML has them; the DOI's pattern serves where the tag is absent."""
     from lodestrata.functions.numeric import year_of

@@ -99,3 +99,10 @@ def _nearest(shared, k: int, id_col: str, digits: int):
         yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, n)[ok]), pa.array(best_i.ravel()[ok]), pa.array(best_s.ravel()[ok])], ["query_id", id_col, "score"])
 
     return run
+
+
+def json_search(rows: DataFrame, doc: str, pattern: str, paths: list[str], order: list[str], k: int) -> DataFrame:
+    """The first k rows whose JSON text holds the pattern as a whole, or any of whose paths does, case ignored; ``path`` is the first such path, null where only the whole text matches."""
+    like = lambda c: F.coalesce(c.ilike(f"%{pattern}%"), F.lit(False))
+    at = F.coalesce(*[F.when(like(F.get_json_object(doc, p)), F.lit(p)) for p in paths])
+    return rows.withColumn("path", at).filter(F.col("path").isNotNull() | like(F.col(doc))).orderBy(*order).limit(k)

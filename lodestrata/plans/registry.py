@@ -18,4 +18,4 @@ def query(oracle: str | None = None):
     return put
 
 
-from lodestrata.plans import q_evaluation, q_normalize, q_search, q_store, q_text  # noqa: E402, F401
+from lodestrata.plans import q_evaluation, q_normalize, q_records, q_search, q_store, q_text  # noqa: E402, F401

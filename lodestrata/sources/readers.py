@@ -39,10 +39,12 @@ def record_folders(spark: SparkSession, root: str, name: str = "record.json", sk
 
 def local_corpus(spark: SparkSession, root: str) -> DataFrame:
     """(doi, folder): folders with a paper.xml or a sections folder. The DOI is the first one in the text, else in the folder's name; of one DOI (case folded) the first folder counts."""
-    d = spark.read.option("recursiveFileLookup", True).text(root, wholetext=True)
-    d = d.withColumn("path", F.url_decode(F.col("_metadata.file_path")))
-    xml = d.filter(F.col("path").endswith("/paper.xml")).select(F.regexp_extract("path", r"^(.*)/paper\.xml$", 1).alias("folder"), first_doi(F.col("value")).alias("x"))
-    sec = d.filter(F.col("path").contains("/sections/")).select(F.regexp_extract("path", r"^(.*)/sections/", 1).alias("folder"), F.lit(None).cast("string").alias("x"))
+    named = spark.read.option("recursiveFileLookup", True)
+    d = named.option("pathGlobFilter", "paper.xml").text(root, wholetext=True).withColumn("path", F.url_decode(F.col("_metadata.file_path")))
+    xml = d.select(F.regexp_extract("path", r"^(.*)/paper\.xml$", 1).alias("folder"), first_doi(F.col("value")).alias("x"))
+    # Only the names of the other files are read, not what is in them.
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select(F.url_decode(F.col("path")).alias("path"))
+    sec = files.filter(F.col("path").contains("/sections/")).select(F.regexp_extract("path", r"^(.*)/sections/", 1).alias("folder"), F.lit(None).cast("string").alias("x"))
     by_name = first_doi(F.replace(F.regexp_extract("folder", r"([^/]+)$", 1), F.lit("_"), F.lit("/")))
     got = xml.union(sec).groupBy("folder").agg(F.max("x").alias("x")).withColumn("doi", F.coalesce("x", by_name)).filter("doi is not null")
     w = Window.partitionBy(F.lower("doi")).orderBy("folder")
@@ -64,3 +66,8 @@ def jdbc_table(spark: SparkSession, url: str, table: str, properties: dict[str,
 def head_keys(rows: DataFrame, key: str, n: int) -> DataFrame:
     """The first n keys; all of them where n is 0."""
     return rows.orderBy(key).limit(n) if n > 0 else rows
+
+
+def with_prediction(rows: DataFrame, predictions: DataFrame, key: str) -> DataFrame:
+    """Rows whose key has a prediction file; each stays once, however many files there are."""
+    return rows.join(predictions.select(key).distinct(), key, "left_semi")

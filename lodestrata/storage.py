@@ -38,6 +38,13 @@ def _forget() -> None:
 atexit.register(_forget)
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder, removed when the driver ends."""
+    path = f"{work_dir(spark)}/lodestrata-{name}-{uuid.uuid4().hex}"
+    _made.append((spark, path))
+    return path
+
+
 def stored(df: DataFrame, name: str, keys: tuple[str, ...] = ()) -> DataFrame:
     """Writes ``df`` to the shared folder and returns a scan of it.
 
@@ -45,7 +52,6 @@ def stored(df: DataFrame, name: str, keys: tuple[str, ...] = ()) -> DataFrame:
     are removed when the driver ends.
     """
     spark = df.sparkSession
-    path = f"{work_dir(spark)}/lodestrata-{name}-{uuid.uuid4().hex}"
-    _made.append((spark, path))
+    path = scratch(spark, name)
     df.write.partitionBy(*keys).parquet(path) if keys else df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
