@@ -35,10 +35,10 @@ def unit_counters(spark, sf_dir):
     return normalize.unit_counts(_units(spark, sf_dir).withColumn("converted", F.col("x.converted")), "event_type")
 
 
-@query(f"SELECT event_id, value * CASE lower(trim(u)) WHEN 's^-1' THEN 1.0 ELSE {FACTOR} END AS value_si FROM (SELECT event_id, value, coalesce({UNIT}, '') AS u FROM events) WHERE u <> ''")
+@query(f"SELECT event_id, value * CASE lower(trim(u)) WHEN 's^-1' THEN 1.0 WHEN '' THEN 1.0 ELSE {FACTOR} END AS value_si FROM (SELECT event_id, value, coalesce({UNIT}, '') AS u FROM events)")
 def gold_units(spark, sf_dir):
-    e = table(spark, sf_dir, "events").withColumn("u", F.expr(UNIT)).filter("u IS NOT NULL")
-    return e.select("event_id", normalize.normalize_units(F.col("value"), F.col("u"), F.lit(None), F.lit(None), numeric.GOLD_UNITS)["value_si"].alias("value_si"))
+    e = table(spark, sf_dir, "events").withColumn("u", F.expr(UNIT))
+    return e.select("event_id", normalize.normalize_units(F.col("value"), F.col("u"), F.lit(None), F.lit(""), numeric.GOLD_UNITS)["value_si"].alias("value_si"))
 
 
 SYMBOL = "['tau0', 'g-0', 'TAU_SAT', 'x', 'h0', 'q', '', 'n'][(p_partkey % 8 + 1)::INT]"
@@ -210,7 +210,7 @@ _SIGNALS = """
     WITH x AS (
       SELECT d.doc_id, ['tau0', 'n', 'E', 'h0'][(d.doc_id % 4 + 1)::INT] AS symbol, CASE WHEN d.doc_id % 5 = 0 THEN NULL ELSE d.n_chars END AS value,
              ['adopted', 'calibrated', 'original'][(d.doc_id % 3 + 1)::INT] AS origin_type, CASE WHEN l.quality = 0 THEN 'low' ELSE 'high' END AS confidence, (d.doc_id % 2)::INT AS n_adopted, (d.doc_id % 7 = 0)::INT AS n_calibration,
-             coalesce(l.toxic = 1, false) AS this_study, trim(left(d.text, 1)) <> 'T' AS evidence
+             coalesce(l.toxic = 1, false) AS this_study, length(d.text) % 3 > 0 AS evidence
       FROM documents d LEFT JOIN (SELECT doc_id, max(toxic) AS toxic, max(quality) AS quality FROM labels GROUP BY 1) l USING (doc_id))
 """
 
@@ -222,7 +222,7 @@ def _signals(spark, sf_dir):
     return d.select(
         "doc_id", pick(["tau0", "n", "E", "h0"]).alias("symbol"), F.expr("CASE WHEN doc_id % 5 = 0 THEN NULL ELSE n_chars END").alias("value"), pick(["adopted", "calibrated", "original"]).alias("origin_type"),
         F.when(F.col("quality") == 0, "low").otherwise("high").alias("confidence"), (F.col("doc_id") % 2).cast("int").alias("n_adopted"), F.expr("int(doc_id % 7 = 0)").alias("n_calibration"),
-        F.coalesce(F.col("toxic") == 1, F.lit(False)).alias("this_study"), (F.trim(F.left("text", F.lit(1))) != "T").alias("evidence"),
+        F.coalesce(F.col("toxic") == 1, F.lit(False)).alias("this_study"), F.expr("length(text) % 3 > 0").alias("evidence"),
     )
 
 
@@ -254,8 +254,9 @@ def record_ids(spark, sf_dir):
     return d.select("c_custkey", params.record_id(F.when(k == 0, F.concat(F.lit("r"), s)).otherwise(""), F.when(k == 1, F.concat(F.lit("D"), s)), F.lit(None).cast("string"), F.col("c_name")).alias("record_id"))
 
 
-@query("SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN '10.1016/j.abc.' || c_custkey ELSE NULL END AS doi, CASE WHEN c_custkey % 2 = 0 THEN 'abc' ELSE 'other' END AS journal FROM customer")
+@query("SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN '10.1016/j.abc.' || doc_id ELSE NULL END AS doi, CASE WHEN doc_id % 2 = 0 THEN 'abc' ELSE 'other' END AS journal FROM documents")
 def doi_extract(spark, sf_dir):
-    t = F.when(F.col("c_custkey") % 2 == 0, F.concat(F.lit("see doi:10.1016/j.abc."), F.col("c_custkey").cast("string"), F.lit(" here"))).otherwise("none")
-    doi = text.first_doi(t)
-    return table(spark, sf_dir, "customer").select("c_custkey", doi.alias("doi"), text.journal_key(doi).alias("journal"))
+    d = table(spark, sf_dir, "documents")
+    cited = F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit(" see doi:10.1016/j.abc."), F.col("doc_id").cast("string"), F.lit(" here"))).otherwise("")
+    doi = text.first_doi(F.concat("text", cited))
+    return d.select("doc_id", doi.alias("doi"), text.journal_key(doi).alias("journal"))

@@ -125,35 +125,37 @@ def dedup_pages(spark, sf_dir):
     return search.keep_first(table(spark, sf_dir, "pages").select("page_id", "url"), F.lower(F.regexp_replace("url", r"[?#].*$", "")), ["page_id"]).select("page_id", "url")
 
 
+#: What one context is made of: a run of 400 ids of a source.
+_PAPER = "source || '/' || doc_id // 400"
 _PART = "chr(10) || chr(10) || '=== SECTION: ' || 'doc_' || doc_id || ' ===' || chr(10) || left(text, 3500)"
 
 
 def _parts(spark, sf_dir):
     d = table(spark, sf_dir, "documents")
     name = F.concat(F.lit("doc_"), F.col("doc_id").cast("string"))
-    return d.select("doc_id", "source", "lang", name.alias("name"), context.part("SECTION", name, F.left("text", F.lit(3500))).alias("part")).withColumn("len", F.length("part").cast("bigint"))
+    return d.select("doc_id", "source", F.concat_ws("/", "source", F.expr("doc_id div 400")).alias("paper"), "lang", name.alias("name"), context.part("SECTION", name, F.left("text", F.lit(3500))).alias("part")).withColumn("len", F.length("part").cast("bigint"))
 
 
 @query(
     f"""
     SELECT doc_id, source, before::BIGINT AS before FROM (
-      SELECT doc_id, source, coalesce(sum(len) OVER (PARTITION BY source ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
-      FROM (SELECT doc_id, source, length({_PART}) AS len FROM documents)) WHERE before <= 24000
+      SELECT doc_id, source, coalesce(sum(len) OVER (PARTITION BY paper ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+      FROM (SELECT doc_id, source, {_PAPER} AS paper, length({_PART}) AS len FROM documents)) WHERE before <= 24000
     """
 )
 def context_budget_inclusive(spark, sf_dir):
-    return context.budget_inclusive(_parts(spark, sf_dir), "source", ["doc_id"], "len", 24000).select("doc_id", "source", "before")
+    return context.budget_inclusive(_parts(spark, sf_dir), "paper", ["doc_id"], "len", 24000).select("doc_id", "source", "before")
 
 
 @query(
     f"""
     SELECT doc_id, source, total::BIGINT AS total FROM (
-      SELECT doc_id, source, sum(len) OVER (PARTITION BY source ORDER BY doc_id ROWS UNBOUNDED PRECEDING) AS total
-      FROM (SELECT doc_id, source, length({_PART}) AS len FROM documents)) WHERE total <= 24000
+      SELECT doc_id, source, sum(len) OVER (PARTITION BY paper ORDER BY doc_id ROWS UNBOUNDED PRECEDING) AS total
+      FROM (SELECT doc_id, source, {_PAPER} AS paper, length({_PART}) AS len FROM documents)) WHERE total <= 24000
     """
 )
 def context_budget_strict(spark, sf_dir):
-    return context.budget_strict(_parts(spark, sf_dir), "source", ["doc_id"], "len", 24000).select("doc_id", "source", "total")
+    return context.budget_strict(_parts(spark, sf_dir), "paper", ["doc_id"], "len", 24000).select("doc_id", "source", "total")
 
 
 _KIND = "CASE WHEN doc_id % 3 = 0 THEN 'table' ELSE 'section' END"
@@ -161,29 +163,29 @@ _KIND = "CASE WHEN doc_id % 3 = 0 THEN 'table' ELSE 'section' END"
 
 @query(
     f"""
-    WITH p AS (SELECT doc_id, source, {_KIND} AS kind, length({_PART}) AS len FROM documents),
-    s AS (SELECT * FROM (SELECT *, sum(len) OVER (PARTITION BY source ORDER BY doc_id ROWS UNBOUNDED PRECEDING) AS total FROM p WHERE kind = 'section') WHERE total <= 24000),
-    u AS (SELECT source, max(total) AS used FROM s GROUP BY source),
-    t AS (SELECT * FROM (SELECT p.*, coalesce(used, 0) + sum(len) OVER (PARTITION BY p.source ORDER BY doc_id ROWS UNBOUNDED PRECEDING) AS total FROM p LEFT JOIN u ON p.source = u.source WHERE kind = 'table') WHERE total <= 24000)
+    WITH p AS (SELECT doc_id, source, {_PAPER} AS paper, {_KIND} AS kind, length({_PART}) AS len FROM documents),
+    s AS (SELECT * FROM (SELECT *, sum(len) OVER (PARTITION BY paper ORDER BY doc_id ROWS UNBOUNDED PRECEDING) AS total FROM p WHERE kind = 'section') WHERE total <= 24000),
+    u AS (SELECT paper, max(total) AS used FROM s GROUP BY paper),
+    t AS (SELECT * FROM (SELECT p.*, coalesce(used, 0) + sum(len) OVER (PARTITION BY p.paper ORDER BY doc_id ROWS UNBOUNDED PRECEDING) AS total FROM p LEFT JOIN u ON p.paper = u.paper WHERE kind = 'table') WHERE total <= 24000)
     SELECT doc_id, source, kind, total::BIGINT AS total FROM s UNION ALL SELECT doc_id, source, kind, total::BIGINT FROM t
     """
 )
 def context_budget_shared(spark, sf_dir):
     p = _parts(spark, sf_dir).withColumn("kind", F.expr(_KIND))
-    return context.budget_sections_then_tables(p, "source", "kind", ["doc_id"], "len", 24000).select("doc_id", "source", "kind", "total")
+    return context.budget_sections_then_tables(p, "paper", "kind", ["doc_id"], "len", 24000).select("doc_id", "source", "kind", "total")
 
 
 @query(
     f"""
     SELECT doc_id, source, kind FROM (
-      SELECT *, coalesce(sum(len) OVER (PARTITION BY source ORDER BY kind, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
-             row_number() OVER (PARTITION BY source, kind ORDER BY doc_id) AS rn FROM (SELECT doc_id, source, {_KIND} AS kind, length({_PART}) AS len FROM documents))
+      SELECT *, coalesce(sum(len) OVER (PARTITION BY paper ORDER BY kind, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
+             row_number() OVER (PARTITION BY paper, kind ORDER BY doc_id) AS rn FROM (SELECT doc_id, source, {_PAPER} AS paper, {_KIND} AS kind, length({_PART}) AS len FROM documents))
     WHERE before <= 24000 OR kind = 'table' AND rn = 1
     """
 )
 def context_budget_first_table(spark, sf_dir):
     p = _parts(spark, sf_dir).withColumn("kind", F.expr(_KIND))
-    return context.budget_first_table(p, "source", "kind", ["doc_id"], "len", 24000).select("doc_id", "source", "kind")
+    return context.budget_first_table(p, "paper", "kind", ["doc_id"], "len", 24000).select("doc_id", "source", "kind")
 
 
 @query(
@@ -211,12 +213,12 @@ def relevant_sections(spark, sf_dir):
 
 @query(
     """
-    SELECT source, string_agg('- doc_' || doc_id || ' | len=' || length(text) || ' | snippet="' || replace(left(text, 300), chr(10), ' ') || '"', chr(10) ORDER BY doc_id) AS catalog
-    FROM documents GROUP BY source
+    SELECT source || '/' || doc_id // 400 AS paper, string_agg('- doc_' || doc_id || ' | len=' || length(text) || ' | snippet="' || replace(left(text, 300), chr(10), ' ') || '"', chr(10) ORDER BY doc_id) AS catalog
+    FROM documents GROUP BY 1
     """
 )
 def trim_catalog(spark, sf_dir):
-    return context.catalog(_parts(spark, sf_dir).join(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id"), "source", "name", "text", ["doc_id"])
+    return context.catalog(_parts(spark, sf_dir).join(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id"), "paper", "name", "text", ["doc_id"])
 
 
 @query(

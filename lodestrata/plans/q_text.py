@@ -98,9 +98,9 @@ def vector_text(spark, sf_dir):
     return table(spark, sf_dir, "embeddings").select("vec_id", text.vector_text(F.col("embedding")).alias("v"))
 
 
-@query("SELECT doc_id, left(text, 20) AS title, '{\"path\":\"' || source || '\",\"chunk_index\":' || (doc_id % 7) || '}' AS meta FROM documents")
+@query("SELECT doc_id, text, '{\"path\":\"' || source || '\",\"chunk_index\":' || (doc_id % 7) || '}' AS meta FROM documents")
 def chunk_metadata(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", F.left("text", F.lit(20)).alias("title"), nested.chunk_metadata(F.col("source"), F.col("doc_id") % 7).alias("meta"))
+    return table(spark, sf_dir, "documents").select("doc_id", "text", nested.chunk_metadata(F.col("source"), F.col("doc_id") % 7).alias("meta"))
 
 
 @query("SELECT conv_id, turn, 'Role: ' || role || chr(10) || text AS prompt FROM conversations")
@@ -109,12 +109,14 @@ def prompt_assembly(spark, sf_dir):
 
 
 def _xml(spark, sf_dir):
-    """The documents as publisher XML: a title, one section per line with references and a table."""
+    """The documents as publisher XML: a title, one section and one reference per line, and a table."""
     d = table(spark, sf_dir, "documents")
     esc = lambda c: F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
-    secs = F.array_join(F.transform(F.split(esc(F.col("text")), "\n"), lambda x, i: F.concat(F.lit("<ce:section><ce:section-title>S"), i.cast("string"), F.lit("</ce:section-title><ce:para>"), x, F.lit(' <ce:cross-ref refid="bib0001">x</ce:cross-ref></ce:para></ce:section>'))), "")
+    lines = F.split(esc(F.col("text")), "\n")
+    secs = F.array_join(F.transform(lines, lambda x, i: F.concat(F.lit("<ce:section><ce:section-title>S"), i.cast("string"), F.lit("</ce:section-title><ce:para>"), x, F.lit(' <ce:cross-ref refid="bib0001">x</ce:cross-ref></ce:para></ce:section>'))), "")
     t = F.lit("<ce:table><ce:caption>T</ce:caption><ce:row><ce:entry>a</ce:entry><ce:entry>b</ce:entry></ce:row></ce:table>")
-    refs = F.lit('<ce:bib-reference id="bib0001"><ce:title>R</ce:title></ce:bib-reference>')
+    ref = lambda x, i: F.concat(F.format_string('<ce:bib-reference id="bib%04d"><ce:title>', i + 1), x, F.lit("</ce:title><ce:doi>10.1/"), F.concat_ws(".", "doc_id", i + 1), F.lit("</ce:doi></ce:bib-reference>"))
+    refs = F.array_join(F.transform(lines, ref), "")
     return d.select("doc_id", F.concat(F.lit("<doc><dc:title>D"), F.col("doc_id").cast("string"), F.lit("</dc:title>"), secs, t, refs, F.lit("</doc>")).alias("xml"))
 
 
@@ -130,7 +132,12 @@ def document_parse(spark, sf_dir):
     return documents.parse_documents(_xml(spark, sf_dir)).filter("kind IN ('section', 'table_md', 'title')").select("doc_id", "kind", "ord", "content")
 
 
-@query("SELECT doc_id, '1' AS label, 'R' AS title, CASE WHEN doc_id % 2 = 0 THEN NULL ELSE NULL END::VARCHAR AS doi FROM documents")
+@query(
+    rf"""
+    WITH l AS (SELECT doc_id, generate_subscripts(string_split(text, chr(10)), 1) AS i, unnest(string_split(text, chr(10))) AS x FROM documents)
+    SELECT doc_id, i::VARCHAR AS label, trim(regexp_replace(x, '{_WS}+', ' ', 'g')) AS title, '10.1/' || doc_id || '.' || i AS doi FROM l
+    """
+)
 def document_references(spark, sf_dir):
     return documents.references(documents.parse_documents(_xml(spark, sf_dir))).select("doc_id", "label", "title", "doi")
 
@@ -149,9 +156,10 @@ def model_answers(spark, sf_dir):
 
 @query(
     """
-    SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN 'as [1,2] and [3,4], [5]' WHEN doc_id % 4 = 1 THEN 'in [12,19,48].' WHEN doc_id % 4 = 2 THEN '[7,8]' ELSE 'none (1)' END AS c FROM documents
+    SELECT doc_id, replace(text, '. ', ' ' || CASE WHEN doc_id % 4 = 0 THEN 'as [1,2] and [3,4], [5]' WHEN doc_id % 4 = 1 THEN 'in [12,19,48]' WHEN doc_id % 4 = 2 THEN '[7,8]' ELSE 'none (1)' END || '. ') AS c FROM documents
     """
 )
 def citation_compress(spark, sf_dir):
-    raw = F.expr("CASE WHEN doc_id % 4 = 0 THEN 'as [1], [2] and [3], [4], [5]' WHEN doc_id % 4 = 1 THEN 'in ([12]; [19]; [48]).' WHEN doc_id % 4 = 2 THEN '[[7,8]]' ELSE 'none (1)' END")
+    cited = F.expr("CASE WHEN doc_id % 4 = 0 THEN 'as [1], [2] and [3], [4], [5]' WHEN doc_id % 4 = 1 THEN 'in ([12]; [19]; [48])' WHEN doc_id % 4 = 2 THEN '[[7,8]]' ELSE 'none (1)' END")
+    raw = F.replace(F.col("text"), F.lit(". "), F.concat(F.lit(" "), cited, F.lit(". ")))
     return table(spark, sf_dir, "documents").select("doc_id", text.compress_citations(raw).alias("c"))
