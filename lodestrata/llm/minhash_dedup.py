@@ -2,9 +2,10 @@
 
 Exact copies (equal shingle sets) collapse to one representative before any bucket is made. In a
 bucket, candidates are star-shaped: each member against the smallest id. Links are confirmed on full
-shingle sets. Where a bucket's members then still lie in different components, those members are joined
-exactly, by prefixes of their rarest shingles; so a star misses no link that its bucket holds, and
-a bucket of copies costs one star.
+shingle sets. Where a bucket's members then still lie in different components, a second star is laid
+around the smallest id outside the first component, and what is apart even then is joined exactly, by
+prefixes of their rarest shingles; so stars miss no link that their bucket holds, and a bucket
+of copies costs one star.
 """
 
 from __future__ import annotations
@@ -126,6 +127,11 @@ def _prefix_pairs(rest: DataFrame, sets: DataFrame) -> DataFrame:
     comes after the first such one must suffice for the overlap. So the words of a passage that many
     texts hold are passed over wherever a text has enough of its own. Shingles seen in one component only are dropped by a
     pre-aggregated count before the join, so a large group of copies makes no pairs with itself.
+
+    Whether sizes and positions leave a pair enough overlap is settled between the cells (size,
+    position) of a shingle, of which short texts have few however many they are. Rows meet only
+    in pairs of cells that can reach the similarity, so texts that share a passage but
+    have too much of their own are never laid side by side.
     """
     shingles = rest.join(sets, "rep").select("rep", "n", "component", F.explode("shingles").alias("g"))
     often = shingles.groupBy("g").agg(F.count("*").alias("df")).filter("df > 1")
@@ -134,11 +140,30 @@ def _prefix_pairs(rest: DataFrame, sets: DataFrame) -> DataFrame:
     short = F.col("at") <= F.col("n") - F.expr("(8 * n + 8) div 9")
     prefix = stored(prefix.filter("x.df > 1").select("rep", "n", "component", "at", short.alias("short"), F.col("x.g").alias("g")), "prefixes")
     mixed = stored(prefix.groupBy("g").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.max("short").alias("short")).filter("lo <> hi and short").select("g"), "mixed")
-    own = prefix.join(mixed, "g", "left_semi")
+    own = stored(prefix.join(mixed, "g", "left_semi"), "own")
+    cells = own.groupBy("g", "n", "at", "short").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+    large = cells.select("g", F.col("n").alias("na"), F.col("at").alias("ia"), F.col("lo").alias("la"), F.col("hi").alias("ha"))
+    small = cells.filter("short").select("g", F.col("n").alias("nb"), F.col("at").alias("ib"), F.col("lo").alias("lb"), F.col("hi").alias("hb"))
+    able = "nb <= na and 5 * nb >= 4 * na and 9 * least(na - ia, nb - ib) >= 4 * (na + nb) and least(la, lb) <> greatest(ha, hb)"
+    fits = stored(large.join(small, "g").filter(able).select("g", "na", "ia", "nb", "ib"), "cells")
     a = own.select("g", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"), F.col("at").alias("ia"))
     b = own.filter("short").select("g", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"), F.col("at").alias("ib"))
-    able = "ca <> cb and (nb < na or nb = na and b < a) and 5 * nb >= 4 * na and 9 * least(na - ia, nb - ib) >= 4 * (na + nb)"
-    return a.join(b, (a["g"] == b["g"]) & F.expr(able)).select("a", "b").distinct()
+    met = a.join(fits, ["g", "na", "ia"]).join(b, ["g", "nb", "ib"])
+    return met.filter("ca <> cb and (nb < na or b < a)").select("a", "b").distinct()
+
+
+def _apart(shared: DataFrame, labels: DataFrame) -> DataFrame:
+    """(bucket, rep, n, component, x) of buckets whose members lie in several components; x is the least of these."""
+    named = shared.filter("members > 2").join(labels, shared["rep"] == labels["node"], "left").select("bucket", "rep", "n", F.coalesce("component", "rep").alias("component"))
+    several = named.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("bucket", "x")
+    return named.join(several, "bucket")
+
+
+def _second_stars(apart: DataFrame) -> DataFrame:
+    """Pairs (a, b) of the smallest id outside a bucket's first component and each member of other components than its own."""
+    hubs = stored(apart.filter("component <> x").groupBy("bucket").agg(F.min(F.struct("rep", "n", "component")).alias("hub")), "hubs")
+    met = apart.join(hubs, "bucket").filter("component <> hub.component and 5 * least(n, hub.n) >= 4 * greatest(n, hub.n)")
+    return met.select(F.col("hub.rep").alias("a"), F.col("rep").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 4) -> DataFrame:
@@ -167,12 +192,15 @@ def near_duplicates(docs: DataFrame, shingle: int = 4) -> DataFrame:
     links = stored(_confirmed(tested, sets), "links")
     labels = components(links)
 
-    # Buckets of three or more whose members are still apart: an exact join of those members.
-    label = F.coalesce("component", "rep").alias("component")
-    rest = shared.filter("members > 2").join(labels, shared["rep"] == labels["node"], "left").select("bucket", "rep", "n", label)
-    apart = rest.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("bucket")
-    rest = stored(rest.join(apart, "bucket", "left_semi").select("rep", "n", "component").distinct(), "rest")
-    if not rest.isEmpty():
+    # Buckets of three or more whose members are still apart: a second star, then an exact join of those members.
+    apart = stored(_apart(shared, labels), "apart")
+    if not apart.isEmpty():
+        more = stored(_confirmed(stored(_second_stars(apart).join(tested, ["a", "b"], "left_anti"), "pairs"), sets), "links")
+        if not more.isEmpty():
+            links = links.union(more)
+            labels = components(links)
+            apart = stored(_apart(shared, labels), "apart")
+        rest = stored(apart.select("rep", "n", "component").distinct(), "rest")
         more = stored(_confirmed(stored(_prefix_pairs(rest, sets), "pairs"), sets), "links")
         if not more.isEmpty():
             labels = components(links.union(more))

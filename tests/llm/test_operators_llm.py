@@ -335,6 +335,37 @@ def test_near_duplicates_equal_brute_force(spark):
     assert got == brute_groups(docs)
 
 
+def test_op2_prefix_pairs_hold_every_link_and_pass_over_shared_passages(spark):
+    rng = np.random.default_rng(11)
+    sets = []
+    for _ in range(40):  # near copies of one another, below and above the similarity
+        base = rng.choice(200, rng.integers(5, 30), replace=False)
+        sets += [{int(x) for x in base} ^ {int(x) for x in rng.integers(0, 200, rng.integers(0, 4))} for _ in range(4)]
+    sets += [set(range(1000, 1017)) | {10_000 + 3 * k + j for j in range(3)} for k in range(150)]  # 17 of 20 in common
+    sets = [(i, sorted(x)) for i, x in enumerate(sets) if x]
+    held = spark.createDataFrame(sets, "rep long, shingles array<long>")
+    rest = held.select("rep", F.size("shingles").alias("n"), F.expr("rep div 2").alias("component"))
+    got = {tuple(sorted(r)) for r in minhash_dedup._prefix_pairs(rest, held).collect()}
+    want = set()
+    for (a, x), (b, y) in itertools.combinations(sets, 2):
+        c = len(set(x) & set(y))
+        if a // 2 != b // 2 and 5 * c >= 4 * (len(x) + len(y) - c):
+            want.add((a, b))
+    assert want and want <= got
+    assert not any(a >= 160 or b >= 160 for a, b in got)
+
+
+def test_op2_second_stars_and_the_join_find_what_the_first_hub_misses(spark):
+    shared = spark.createDataFrame([(7, r, 50, 4) for r in (1, 2, 3, 4)], "bucket long, rep long, n int, members long")
+    apart = minhash_dedup._apart(shared, spark.createDataFrame([(2, 2), (3, 2)], "node long, component long"))
+    assert {(r["rep"], r["component"], r["x"]) for r in apart.collect()} == {(1, 1, 1), (2, 2, 1), (3, 2, 1), (4, 4, 1)}
+    assert {tuple(r) for r in minhash_dedup._second_stars(apart).collect()} == {(2, 1), (2, 4)}
+    w = [f"w{k}" for k in range(300)]  # the least id is like none of the others, which are alike in a chain
+    docs = [(k, " ".join(w[4 * k : 4 * k + 200])) for k in range(1, 20)] + [(0, " ".join(w[:150] + [f"z{k}" for k in range(60)]))]
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in minhash_dedup.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == brute_groups(docs)
+
+
 def test_sketches_estimate_similarity():
     rng = np.random.default_rng(1)
     a = np.sort(rng.integers(0, 2**63, 400).astype(np.uint64) * np.uint64(2))
