@@ -720,6 +720,9 @@ def test_op3_a_host_of_near_copies_keeps_its_article(spark):
 # ---- odd tables
 
 
+LONG = [(1, "lorem ipsum dolor " * 60_000, "en", "a", 1), (2, "y" * 400_000, "en", "a", 1)]
+
+
 class _Odd:
     """Gives every query its odd tables instead of files."""
 
@@ -737,7 +740,7 @@ def _tables(spark, docs):
 @pytest.mark.parametrize("name", sorted(SPOKEN))
 @pytest.mark.parametrize("rows", ["odd", "empty", "long"])
 def test_queries_stand_odd_tables(spark, monkeypatch, name, rows):
-    docs = {"odd": ODD, "empty": [], "long": [(1, "lorem ipsum dolor " * 60_000, "en", "a", 1), (2, "y" * 400_000, "en", "a", 1)]}[rows]
+    docs = {"odd": ODD, "empty": [], "long": LONG}[rows]
     monkeypatch.setattr(q, "table", _Odd(spark, _tables(spark, docs)))
     got = q.QUERIES[name](spark, "").collect()
     if name not in ("op6_suffix_array_dedup", "op7_best_fit_packing"):
@@ -751,11 +754,13 @@ def test_queries_stand_odd_tables(spark, monkeypatch, name, rows):
         assert len(got) == len(docs)
 
 
-@pytest.mark.parametrize("rows", ["odd", "empty"])
+@pytest.mark.parametrize("rows", ["odd", "empty", "long"])
 def test_the_pipeline_stands_odd_tables(spark, monkeypatch, rows):
     import corpus_pipeline as c
 
-    tables = _tables(spark, ODD if rows == "odd" else [])
+    tables = _tables(spark, {"odd": ODD, "empty": [], "long": LONG}[rows])
+    names = ("_row", "_part", "_whole", "_time", "_text", "_bucket", "_before", "_starts", "_id", "_md5", "bucket", "hub", "component", "kept", "score", "taken")
+    tables["documents"] = tables["documents"].withColumns({n: F.lit(2) for n in names})
     monkeypatch.setattr(c, "table", _Odd(spark, tables))
     docs = tables["documents"]
     for name, stage in c.STAGES:
