@@ -74,6 +74,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most_epochs: int
 
     sums = placed(small).groupBy("source", "_bucket").agg(F.sum("size").alias("_sum"))
     sums = sums.withColumn("_before", F.sum("_sum").over(Window.partitionBy("source").orderBy("_bucket")) - F.col("_sum")).select(F.col("source").alias("_s"), F.col("_bucket").alias("_b"), "_before")
+    sums = stored(sums, "bucket-sums")  # a size that is known before the texts move, so a small one is broadcast and they are shuffled once
     inner = Window.partitionBy("source", "_bucket").orderBy("_key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
     d = placed(sized if carry else small).withColumn("_within", F.sum("size").over(inner) - F.col("size"))
     d = d.join(sums, d["source"].eqNullSafe(sums["_s"]) & (d["_bucket"] == sums["_b"]))
