@@ -33,3 +33,17 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     else:
         raise RuntimeError(f"components did not settle in {most_rounds} rounds")
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(edges.select(F.col("v"), F.col("v")).distinct())
+
+
+def linked(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` (node, component; each component a node too) after more links (a, b), whose ends may be new nodes.
+
+    Only the components that the links touch are joined anew; without links nothing changes.
+    """
+    of_a = labels.select(F.col("node").alias("a"), F.col("component").alias("ca"))
+    of_b = labels.select(F.col("node").alias("b"), F.col("component").alias("cb"))
+    ends = links.join(of_a, "a", "left").join(of_b, "b", "left").select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
+    roots = stored(components(ends), "roots")
+    old = labels.join(roots.select(F.col("node").alias("component"), F.col("component").alias("root")), "component", "left").select("node", F.coalesce("root", "component").alias("component"))
+    new = roots.join(labels.select("node"), "node", "left_anti").select("node", "component")
+    return stored(old.union(new), "labels")

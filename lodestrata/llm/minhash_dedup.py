@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestrata.llm.components import components
+from lodestrata.llm.components import components, linked
 from lodestrata.llm.textkit import Words, grams, mix, slices
 from lodestrata.llm.work import short_batches, stored
 
@@ -197,13 +197,12 @@ def near_duplicates(docs: DataFrame, shingle: int = 4) -> DataFrame:
     if not apart.isEmpty():
         more = stored(_confirmed(stored(_second_stars(apart).join(tested, ["a", "b"], "left_anti"), "pairs"), sets), "links")
         if not more.isEmpty():
-            links = links.union(more)
-            labels = components(links)
+            labels = linked(labels, more)
             apart = stored(_apart(shared, labels), "apart")
         rest = stored(apart.select("rep", "n", "component").distinct(), "rest")
         more = stored(_confirmed(stored(_prefix_pairs(rest, sets), "pairs"), sets), "links")
         if not more.isEmpty():
-            labels = components(links.union(more))
+            labels = linked(labels, more)
 
     of_class = classes.join(labels, classes["rep"] == labels["node"], "left").select("fp1", "fp2", F.coalesce("component", "rep").alias("component_id"))
     of_class = stored(of_class, "components")

@@ -381,6 +381,16 @@ def test_components(spark):
     assert components.components(d.limit(0)).count() == 0
 
 
+def test_more_links_join_components(spark):
+    known, more = [(1, 2), (2, 3), (4, 5), (6, 7)], [(3, 5), (9, 8), (7, 10), (0, 9), (2, 3)]
+    labels = components.components(spark.createDataFrame(known, "a long, b long"))
+    whole = components.components(spark.createDataFrame(known + more, "a long, b long"))
+    got = components.linked(labels, spark.createDataFrame(more, "a long, b long"))
+    assert sorted(got.collect()) == sorted(whole.collect())
+    assert sorted(components.linked(labels, spark.createDataFrame([], "a long, b long")).collect()) == sorted(labels.collect())
+    assert sorted(components.linked(labels.limit(0), spark.createDataFrame(known, "a long, b long")).collect()) == sorted(labels.collect())
+
+
 # ---- repeated passages
 
 
