@@ -27,11 +27,6 @@ CODE = 4  # bytes of a word's code in a stored context
 TASK_ROWS = 100_000  # suffixes that one task compares, about
 
 
-def _factors(n: int) -> np.ndarray:
-    """Odd factors of the words of a run, unrelated to each other, so that runs of the same words in another order differ."""
-    return mix(np.arange(1, n + 1)) | np.uint64(1)
-
-
 def least_of(g: np.ndarray, first: np.ndarray, size: int) -> np.ndarray:
     """For each run of ``size`` neighbours of a row in ``g`` (row offsets ``first``) the index of the least; the leftmost of equals."""
     if len(g) < size:
@@ -58,7 +53,7 @@ def _suffixes(docs: DataFrame) -> DataFrame:
         for whole in batches:
             for batch in slices(whole, "text"):
                 w = Words(batch.column(2))
-                g, row = grams(w.hashes(), w.first, GRAM, mult=_factors(GRAM))
+                g, row = grams(w.hashes(), w.first, GRAM)
                 own = np.searchsorted(row, np.arange(batch.num_rows + 1))
                 at = kept_positions(g, own)
                 off = np.searchsorted(at, own)
@@ -127,9 +122,9 @@ def _surroundings(found: DataFrame, least: int) -> DataFrame:
                 s = np.flatnonzero(is_many)
                 if not len(s):
                     continue
-                g, g_row = grams(h, w.first, GRAM, mult=_factors(GRAM))
+                g, g_row = grams(h, w.first, GRAM)
                 own = np.searchsorted(g_row, np.arange(batch.num_rows + 1))
-                window, w_row = grams(h, w.first, least, mult=_factors(least))
+                window, w_row = grams(h, w.first, least)
                 w_own = np.searchsorted(w_row, np.arange(batch.num_rows + 1))
                 chosen = least_of(g, own, reach + 1)  # one gram a window, in rising order
                 lo, hi = (np.searchsorted(chosen, own[row[s]] + place[s], side) for side in ("left", "right"))

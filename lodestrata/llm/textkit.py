@@ -114,13 +114,17 @@ class Words:
         return self.buf[self.start[k] : self.end[k]].tobytes().decode("utf-8", "replace")
 
 
-def grams(h: np.ndarray, first: np.ndarray, n: int, short: bool = False, mult: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+def factors(n: int) -> np.ndarray:
+    """Odd factors of the places of a run, unrelated to each other, so that runs of the same words in another order differ."""
+    return mix(np.arange(1, n + 1)) | np.uint64(1)
+
+
+def grams(h: np.ndarray, first: np.ndarray, n: int, short: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the n-word runs of each row, with the row of each.
 
-    With ``short``, a row of 1 to n - 1 words yields its whole sequence as one. The factors of the
-    places, ``mult``, rise evenly by default; then runs like "a b b a" and "b a a b" have one hash.
+    With ``short``, a row of 1 to n - 1 words yields its whole sequence as one.
     """
-    mult = mult if mult is not None else [np.uint64(((0xC2B2AE3D27D4EB4F * (2 * i + 3)) | 1) & 0xFFFFFFFFFFFFFFFF) for i in range(n)]
+    mult = factors(n)
     counts = np.diff(first)
     full = max(len(h) - n + 1, 0)
     g = np.zeros(full, np.uint64)

@@ -48,6 +48,36 @@ def test_words_equal_a_regular_expression(texts):
         assert np.bincount(row, minlength=len(texts)).tolist() == [max(0, len(words(t)) - n + 1) for t in texts]
 
 
+@pytest.mark.parametrize("n", [2, 3, 4, 5, 16])
+def test_runs_of_the_same_words_in_another_order_differ(n):
+    runs = [p for p in itertools.product("abc", repeat=min(n, 6))]
+    col = pa.array([" ".join(p + ("z",) * (n - len(p))) for p in runs])
+    w = textkit.Words(col)
+    g, _ = textkit.grams(w.hashes(), w.first, n)
+    assert len(np.unique(g)) == len(runs)
+
+
+def test_near_duplicates_of_repeated_words_equal_brute_force(spark):
+    texts = [" ".join(p) for k in (3, 4, 5, 7) for p in itertools.product(("no", "yes"), repeat=k)]
+    want = {i: frozenset(tuple(w[j : j + 4]) for j in range(max(1, len(w) - 3))) for i, w in enumerate(t.split() for t in texts)}
+    links = collections.defaultdict(set)
+    for a, b in itertools.combinations(want, 2):
+        if 100 * len(want[a] & want[b]) >= 80 * len(want[a] | want[b]):
+            links[a].add(b)
+            links[b].add(a)
+
+    def least(i):
+        seen, todo = {i}, [i]
+        while todo:
+            new = links[todo.pop()] - seen
+            seen |= new
+            todo += new
+        return min(seen)
+
+    got = minhash_dedup.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == {i: (len(s), least(i)) for i, s in want.items()}
+
+
 def test_hashes_do_not_depend_on_the_segment(monkeypatch):
     t = pa.array([" ".join(f"word{k % 97}" for k in range(3000))])
     whole = textkit.Words(t).hashes()
