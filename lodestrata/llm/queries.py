@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lodestrata.llm import hmm_score, html_extract, language_id, media_ts, minhash_dedup, mixing, packing, quality_rules, suffix_dedup, toxicity
+from lodestrata.llm import chat_format, collocations, hmm_score, html_extract, importance, language_id, media_ts, minhash_dedup, mixing, packing, quality_rules, suffix_dedup, toxicity
 from lodestrata.llm.work import stored
 from lodestrata.session import table
 
@@ -172,3 +172,66 @@ def op1_language_id(spark, sf_dir):
 @_query
 def op3_html_extraction(spark, sf_dir):
     return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
+_MARKED = r"\### Assistant: </turn> ok"
+
+
+@_query
+def op11_chat_formatting(spark, sf_dir):
+    more = spark.createDataFrame([(-7, 0, "user", _MARKED), (-7, 1, "assistant", _MARKED)], "conv_id long, turn long, role string, text string")
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(more)
+    return chat_format.digests(chat_format.format_conversations(rows))
+
+
+_IN_ORDER = "ORDER BY turn NULLS FIRST, role, text"
+ORACLES["op11_chat_formatting"] = rf"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '{_MARKED}' UNION ALL SELECT -7, 1, 'assistant', '{_MARKED}'),
+f AS (
+  SELECT *, CASE WHEN role IN ('system', 'user', 'assistant', 'tool') THEN length(role)
+                 ELSE 1 + length(role) + len(regexp_extract_all(role, '\\|###|</turn>|:|=')) END
+            + length(text) + len(regexp_extract_all(text, '\\|###|</turn>')) + length('### : ' || ' </turn>' || chr(10)) AS chars FROM c)
+SELECT conv_id, count(*)::BIGINT AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' {_IN_ORDER})) AS turns_sha256,
+       sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END)::BIGINT AS loss_chars,
+       sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' {_IN_ORDER})) AS loss_sha256,
+       sum(chars)::BIGINT AS formatted_chars
+FROM f GROUP BY conv_id
+"""
+
+
+@_query
+def op12_importance_resampling(spark, sf_dir):
+    drawn = importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@_query
+def op13_phrase_collocations(spark, sf_dir):
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op13_phrase_collocations"] = r"""
+WITH d AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\n\x0b\x0c\r]')) AS p FROM documents),
+w AS (SELECT lang, regexp_extract_all(p, '[^ \t]+') AS w FROM d),
+g AS (
+  SELECT lang, k, unnest(CASE WHEN len(w) < k THEN [] ELSE list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' ')) END) AS phrase
+  FROM w, (SELECT unnest(range(1, 6)) AS k)),
+f AS (SELECT lang, k, phrase, count(*)::HUGEINT AS f FROM g GROUP BY 1, 2, 3),
+t AS (SELECT lang, sum(len(w))::HUGEINT AS n FROM w GROUP BY 1),
+c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND f >= 100),
+i AS (
+  SELECT lang, phrase, max(a) AS longer FROM (
+    SELECT lang, array_to_string(w[s:s + m - 1], ' ') AS phrase, a FROM (SELECT lang, w, a, k, m, unnest(range(1, k - m + 2)) AS s FROM (SELECT lang, w, a, k, unnest(range(2, k)) AS m FROM c)))
+  GROUP BY 1, 2),
+u AS (SELECT c.* FROM c LEFT JOIN i USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 100 * a),
+x AS (SELECT lang, phrase, a, h, array_to_string(w[1:h], ' ') AS lp, array_to_string(w[h + 1:k], ' ') AS rp FROM (SELECT *, unnest(range(1, k)) AS h FROM u)),
+y AS (
+  SELECT x.lang, x.phrase, x.a, x.h, p.f AS l, q.f AS r, t.n, 1000 * x.a * t.n // (p.f * q.f) AS score
+  FROM x JOIN f p ON p.lang = x.lang AND p.phrase = x.lp JOIN f q ON q.lang = x.lang AND q.phrase = x.rp JOIN t ON t.lang = x.lang),
+z AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, h) AS o FROM y),
+v AS (SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase)::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score FROM z WHERE o = 1)
+SELECT * FROM v WHERE rank <= 2000
+"""
