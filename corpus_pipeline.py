@@ -16,8 +16,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates (five-word shingles, similarity 0.8)."""
-    return minhash_dedup.without_near_duplicates(docs, shingle=5)
+    """One document of each group of near-duplicates (four-word shingles, similarity 0.8)."""
+    return minhash_dedup.without_near_duplicates(docs, shingle=4)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
