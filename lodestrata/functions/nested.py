@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
 
-import pyarrow as pa
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lodestrata.storage import stored
+
 
 def skeleton(template: str) -> dict:
     """The JSON object from the first '{' to the last '}' of a template; empty where there is none."""
@@ -30,16 +31,86 @@ def shape(node) -> T.DataType:
     return T.StringType()
 
 
+def _typed(kind: T.DataType) -> str:
+    """A type's text with quoted names."""
+    if isinstance(kind, T.StructType):
+        return f"struct<{', '.join('`' + f.name.replace('`', '``') + '`: ' + _typed(f.dataType) for f in kind.fields)}>"
+    return f"array<{_typed(kind.elementType)}>" if isinstance(kind, T.ArrayType) else kind.simpleString()
+
+
 def coerce(doc: Column, node) -> Column:
-    """A JSON text in the skeleton's shape: missing keys are null, lists that are none are empty. Keep the text beside it for keys that the skeleton does not know."""
-    kind = shape(node)
-    parsed = F.from_json(doc, kind, {"mode": "PERMISSIVE"})
-    fields = [F.coalesce(parsed[k], F.array().cast(shape(v))).alias(k) if isinstance(v, list) else parsed[k].alias(k) for k, v in node.items()]
-    return F.struct(*fields)
+    """A JSON text as a struct in the skeleton's shape, at every depth, with texts as leaves; ``coerced`` has the rules and keeps what the skeleton does not know."""
+    return F.try_variant_get(coerced(F.try_parse_json(doc), node), "$", _typed(shape(node)))
+
+
+def _step(name: str) -> str:
+    quote = '"' if "'" in name else "'"
+    if quote in name:
+        raise ValueError(f"a key with both kinds of quotes: {name}")
+    return f"[{quote}{name}{quote}]"
+
+
+def coerced(v: Column, node, path: str = "$") -> Column:
+    """A VARIANT in the skeleton's shape at every depth.
+
+    Objects get all keys of the skeleton, null where missing, and keep the keys that it does not know;
+    what is no object becomes an object of nulls. What is no list becomes an empty one; each element of
+    a list takes the shape of the skeleton's first. Leaves stay as they are.
+    """
+    if isinstance(node, dict):
+        src = F.coalesce(F.try_variant_get(v, path, "map<string,variant>"), F.create_map().cast("map<string,variant>"))
+        if not node:
+            return F.to_variant_object(src)
+        known = F.map_from_arrays(F.array(*map(F.lit, node)), F.array(*[coerced(v, x, path + _step(k)) for k, x in node.items()]))
+        return F.to_variant_object(F.map_concat(known, F.map_filter(src, lambda k, _: ~k.isin(list(node)))))
+    if isinstance(node, list):
+        items = F.coalesce(F.try_variant_get(v, path, "array<variant>"), F.array().cast("array<variant>"))
+        return F.to_variant_object(F.transform(items, lambda x: coerced(x, node[0])) if node else items)
+    return F.coalesce(F.try_variant_get(v, path, "variant"), F.parse_json(F.lit("null")))
+
+
+def _walk(v: Column, node, at: str, path: Column) -> Column | None:
+    """Faults (array of texts) of a VARIANT against a skeleton; ``at`` is the way from ``v``, ``path`` the one from the record."""
+    none = F.array().cast("array<string>")
+    if isinstance(node, dict):
+        below = [_walk(v, x, at + _step(k), F.concat(path, F.when(path == "", F.lit(k)).otherwise(F.lit(f".{k}")))) for k, x in node.items()]
+        below = [x for x in below if x is not None]
+        fault = F.array(F.concat(F.when(path == "", F.lit("root")).otherwise(path), F.lit(" must be an object")))
+        return F.when(F.try_variant_get(v, at, "map<string,variant>").isNull(), fault).otherwise(F.concat(none, *below))
+    if isinstance(node, list):
+        items = F.try_variant_get(v, at, "array<variant>")
+        inner = none if not node or not isinstance(node[0], dict | list) else F.flatten(F.transform(items, lambda x, i: _walk(x, node[0], "$", F.concat(path, F.lit("["), i.cast("string"), F.lit("]")))))
+        return F.when(items.isNull(), F.array(F.concat(path, F.lit(" must be a list")))).otherwise(inner)
+    return None
+
+
+#: A list of parameters, and the two older ones of which both must be lists where the first is none.
+REGISTRY, LEGACY = ("parameters", "registry"), (("elastic_parameters", "constants"), ("plastic_parameters", "parameters"))
+
+
+def faults(docs: DataFrame, node: dict, doc: str = "doc", key: str = "record_id") -> DataFrame:
+    """(key, ord, fault): everything in which a JSON text departs from the skeleton, in its order, with paths like ``a.b[3].c``.
+
+    First missing top-level keys, then lists of parameters that are none (an absent one passes), then
+    every place that must be an object or a list, in lists of objects too. A null text, one that is no
+    object and one that is no JSON have the one fault that says so.
+    """
+    v = F.try_parse_json(F.col(doc))
+    keys = F.map_keys(F.try_variant_get(v, "$", "map<string,variant>"))
+    missing = F.filter(F.array(*map(F.lit, node)), lambda k: ~F.array_contains(keys, k))
+
+    def is_list(outer: str, inner: str) -> Column:
+        at = F.try_variant_get(v, f"$.{outer}.{inner}", "variant")
+        return at.isNull() | F.try_variant_get(v, f"$.{outer}.{inner}", "array<variant>").isNotNull()
+
+    older = [F.when(~is_list(*REGISTRY) & ~is_list(*x), F.array(F.lit(f"{'.'.join(x)} must be a list"))).otherwise(F.array().cast("array<string>")) for x in LEGACY]
+    every = F.concat(F.transform(missing, lambda k: F.concat(F.lit("missing top-level key: "), k)), *older, _walk(v, node, "$", F.lit("")))
+    found = F.when(keys.isNull(), F.array(F.lit("payload is not an object"))).otherwise(every)
+    return docs.select(key, F.posexplode(found).alias("ord", "fault"))
 
 
 def problems(docs: DataFrame, node: dict, doc: str = "doc", key: str = "record_id") -> DataFrame:
-    """(key, path, problem) for every place where a JSON text misses the skeleton's top keys or has another kind there. A text that is no object misses all."""
+    """(key, path, problem) for every place where a JSON text misses the skeleton's top keys or has another kind there; ``faults`` looks below them. A text that is no object misses all."""
     v = F.try_parse_json(F.col(doc))
     rows = []
     for name, want in node.items():
@@ -54,59 +125,98 @@ def problems(docs: DataFrame, node: dict, doc: str = "doc", key: str = "record_i
     return docs.select(key, F.explode(F.array(*rows)).alias("x")).select(key, "x.path", "x.problem").filter("problem is not null")
 
 
+def depth(doc: Column) -> Column:
+    """How deep the objects and lists of a JSON text are nested; 0 for a scalar."""
+    plain = F.regexp_replace(F.regexp_replace(doc, r"\\.", ""), '"[^"]*"', "")
+    marks = F.regexp_replace(plain, r"[^\[\]{}]", "")
+    step = lambda s, c: F.struct((s["now"] + F.when(c.isin("{", "["), 1).otherwise(-1)).alias("now"), F.greatest(s["most"], s["now"] + F.when(c.isin("{", "["), 1).otherwise(-1)).alias("most"))
+    return F.when(marks == "", 0).otherwise(F.aggregate(F.split(marks, "(?<=.)(?=.)"), F.struct(F.lit(0).alias("now"), F.lit(0).alias("most")), step)["most"])
+
+
+def deepest(docs: DataFrame, doc: str = "doc") -> int:
+    """The depth of the deepest JSON text that can be read."""
+    return docs.filter(F.try_parse_json(doc).isNotNull()).agg(F.max(depth(F.col(doc)))).first()[0] or 0
+
+
+#: Levels that one plan opens; deeper documents take more rounds.
+LEVELS = 8
+
+
 def flatten(docs: DataFrame, key: str = "record_id", doc: str = "doc") -> DataFrame:
     """(key, path, value) of every leaf of JSON texts, paths like ``a.b[0].c``; empty objects and lists have no leaves.
 
-    Depth is not known before the data are read, so this is an Arrow batch function. Null leaves
-    keep a row; texts that are no JSON give none.
+    Each level is one generator over VARIANT values, as many as the deepest text has; leaves pass
+    through. Null leaves keep a row, and so does a scalar, with an empty path. Null texts, and texts
+    that are no JSON or nested deeper than 1000 levels, give none.
     """
+    path, v = F.col("path"), F.col("v")
+    entries = F.map_entries(F.try_variant_get(v, "$", "map<string,variant>"))
+    items = F.try_variant_get(v, "$", "array<variant>")
+    of_object = F.transform(entries, lambda e: F.struct(F.concat(path, F.when(path == "", F.lit("")).otherwise(F.lit(".")), e["key"]).alias("path"), e["value"].alias("v")))
+    of_list = F.transform(items, lambda x, i: F.struct(F.concat(path, F.lit("["), i.cast("string"), F.lit("]")).alias("path"), x.alias("v")))
+    opened = F.coalesce(of_object, of_list, F.array(F.struct(path.alias("path"), v.alias("v"))))
+    at = docs.select(F.col(key), F.lit("").alias("path"), F.try_parse_json(doc).alias("v")).filter("v is not null")
+    for level in range(deepest(docs, doc)):
+        if level and level % LEVELS == 0:
+            at = stored(at, "levels")
+        at = at.select(key, F.explode(opened).alias("x")).select(key, "x.path", "x.v")
+    return at.select(key, "path", v.cast("string").alias("value"))
+
+
+def spaced(text: Column) -> Column:
+    """A compact JSON text with one space after each comma and colon outside strings. Control characters, which such a text never holds, stand for its escapes meanwhile."""
+    held = F.replace(F.replace(text, F.lit("\\\\"), F.lit("\x01")), F.lit('\\"'), F.lit("\x02"))
+    parts = F.transform(F.split(held, '"'), lambda x, i: F.when(i % 2 == 0, F.regexp_replace(x, "([,:])", "$1 ")).otherwise(x))
+    return F.replace(F.replace(F.array_join(parts, '"'), F.lit("\x02"), F.lit('\\"')), F.lit("\x01"), F.lit("\\\\"))
+
+
+#: Levels that strip_internal opens in one expression; the analyzer resolves no more than about 12.
+MOST_LEVELS = 10
+
+
+@F.pandas_udf(T.StringType())
+def _strip_deep(texts: pd.Series) -> pd.Series:
+    """The same for texts that are nested deeper, with a stack of its own."""
+
+    def one(text: str | None) -> str | None:
+        if text is None:
+            return None
+        root = [json.loads(text)]
+        todo = [root]
+        while todo:
+            x = todo.pop()
+            if isinstance(x, dict):
+                for k in [k for k in x if k.startswith("_")]:
+                    del x[k]
+            todo += [v for v in (x.values() if isinstance(x, dict) else x) if isinstance(v, dict | list)]
+        return json.dumps(root[0], ensure_ascii=False, sort_keys=True)
 
-    def walk(x, path: str) -> Iterator[tuple[str, str | None]]:
-        if isinstance(x, dict):
-            for k, v in x.items():
-                yield from walk(v, f"{path}.{k}" if path else str(k))
-        elif isinstance(x, list):
-            for i, v in enumerate(x):
-                yield from walk(v, f"{path}[{i}]")
-        else:
-            yield path, None if x is None else x if isinstance(x, str) else json.dumps(x)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            at, paths, values = [], [], []
-            for k, t in enumerate(b.column(1)):
-                try:
-                    got = json.loads(t.as_py()) if t.is_valid else {}
-                except ValueError:
-                    continue
-                for p, v in walk(got, ""):
-                    at.append(k)
-                    paths.append(p)
-                    values.append(v)
-            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at, pa.int32())), pa.array(paths, pa.string()), pa.array(values, pa.string())], [key, "path", "value"])
-
-    return docs.select(key, doc).mapInArrow(run, f"{key} {docs.schema[key].dataType.simpleString()}, path string, value string")
+    return texts.map(one)
 
 
 def strip_internal(docs: DataFrame, doc: str = "doc") -> DataFrame:
-    """JSON texts without keys that begin with '_', at any depth."""
+    """JSON texts without keys that begin with '_', at any depth; keys come out in code point order.
 
-    @F.pandas_udf("string")
-    def cut(s):
-        def go(x):
-            if isinstance(x, dict):
-                return {k: go(v) for k, v in x.items() if not k.startswith("_")}
-            return [go(v) for v in x] if isinstance(x, list) else x
-
-        def one(t):
-            try:
-                return json.dumps(go(json.loads(t)), ensure_ascii=False)
-            except (TypeError, ValueError):
-                return t
-
-        return s.map(one)
+    A text that is no JSON, or nested deeper than 1000 levels, stays as it is, and so does a null.
+    Only where the table holds a text of more than 10 levels do these, and no others, go through Python.
+    """
 
-    return docs.withColumn(doc, cut(doc))
+    def cut(v: Column, levels: int) -> Column:
+        if not levels:
+            return v
+        inner = F.map_filter(F.try_variant_get(v, "$", "map<string,variant>"), lambda k, _: ~k.startswith("_"))
+        items = F.try_variant_get(v, "$", "array<variant>")
+        cells = F.coalesce(F.map_entries(inner), F.transform(items, lambda x: F.struct(F.lit("").alias("key"), x.alias("value"))))
+        done = F.transform(cells, lambda e: F.struct(e["key"].alias("key"), cut(e["value"], levels - 1).alias("value")))
+        # Bound to a variable, since an expression that is written twice at each level doubles with each.
+        whole = lambda d: F.when(items.isNotNull(), F.to_variant_object(F.transform(d, lambda e: e["value"]))).when(inner.isNotNull(), F.to_variant_object(F.map_from_entries(d))).otherwise(v)
+        return F.transform(F.array(done), whole)[0]
+
+    v, levels = F.try_parse_json(doc), deepest(docs, doc)
+    near = spaced(F.to_json(cut(v, min(levels, MOST_LEVELS))))
+    if levels > MOST_LEVELS:
+        near = F.coalesce(_strip_deep(F.when(v.isNotNull() & (depth(F.col(doc)) > MOST_LEVELS), F.col(doc))), near)
+    return docs.withColumn(doc, F.coalesce(near, F.col(doc)))
 
 
 def drop_keys(struct: Column, *names: str) -> Column:

@@ -318,3 +318,67 @@ def folder_texts(spark, sf_dir):
     path = scratch(spark, "texts")
     table(spark, sf_dir, "region").select("r_name").coalesce(1).sortWithinPartitions("r_name").write.text(path)
     return readers.folder_files(spark, path, "*.txt").select("text", "length")
+
+
+#: Three levels, with lists of objects in objects of a list.
+_DEEP = '{"id": "", "parameters": {"registry": [{"name": "", "refs": [""], "at": {"pages": [{"n": 0}]}}], "notes": ""}}'
+_SQL_LINES = "SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity::BIGINT AS q FROM lineitem"
+
+
+def _deep_records(spark, sf_dir):
+    """One record an order, an item a line: some items are no objects, some lists no lists, some keys unknown, some orders' registry is a number."""
+    item = F.expr(
+        """CASE WHEN l_partkey % 11 = 0 THEN '7' WHEN l_partkey % 7 = 0 THEN concat('{"name":', l_partkey, ',"refs":"no"}')
+        WHEN l_partkey % 5 = 0 THEN concat('{"name":"p', l_partkey, '","refs":["', l_suppkey, '"],"at":{"pages":[{"n":', l_linenumber, '},3]},"seen":', cast(l_quantity AS bigint), '}')
+        ELSE concat('{"refs":[],"at":{"pages":[]},"name":"p', l_partkey, '"}') END"""
+    )
+    rows = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", item.alias("x")))), lambda r: r["x"]), ",").alias("items"))
+    doc = F.when(F.col("l_orderkey") % 9 == 0, '{"parameters":{"registry":7,"run":1}}').when(F.col("l_orderkey") % 10 == 0, "[]").otherwise(F.concat(F.lit('{"id":"'), F.col("l_orderkey").cast("string"), F.lit('","parameters":{"registry":['), "items", F.lit(']},"run":{"by":"x"}}')))
+    return rows.select(F.col("l_orderkey").alias("record_id"), doc.alias("doc"))
+
+
+@query(
+    f"""WITH l AS ({_SQL_LINES}), o AS (SELECT l_orderkey, count(*) AS n, count(*) FILTER (l_partkey % 11 <> 0 AND l_partkey % 7 <> 0 AND l_partkey % 5 = 0) AS refs, sum(CASE WHEN l_partkey % 11 <> 0 AND l_partkey % 7 <> 0 AND l_partkey % 5 = 0 THEN q END) AS seen FROM l GROUP BY 1),
+    k AS (SELECT *, CASE WHEN l_orderkey % 9 = 0 THEN 'n' WHEN l_orderkey % 10 = 0 THEN 'e' ELSE 'r' END AS kind FROM o)
+    SELECT l_orderkey AS record_id, CASE WHEN kind = 'r' THEN l_orderkey::VARCHAR END AS id, (CASE WHEN kind = 'r' THEN n ELSE 0 END)::INT AS n_items, (CASE WHEN kind = 'r' THEN refs ELSE 0 END)::BIGINT AS n_refs,
+      (CASE WHEN kind = 'r' THEN 2 * refs ELSE 0 END)::BIGINT AS n_pages, (CASE WHEN kind = 'r' THEN coalesce(seen, 0) ELSE 0 END)::BIGINT AS seen, CASE WHEN kind = 'n' THEN '1' END AS kept_inside, CASE WHEN kind = 'r' THEN 'x' END AS kept_outside FROM k"""
+)
+def records_in_shape(spark, sf_dir):
+    """Records of lists of objects take the template's shape; counts of what it holds and of the keys it does not know."""
+    r = _deep_records(spark, sf_dir).select("record_id", nested.coerced(F.try_parse_json("doc"), nested.skeleton(_DEEP)).alias("r"))
+    items = F.variant_get("r", "$.parameters.registry", "array<variant>")
+    count = lambda path: F.aggregate(F.transform("items", lambda x: F.size(F.variant_get(x, path, "array<variant>")).cast("long")), F.lit(0).cast("long"), lambda s, x: s + x)
+    seen = F.aggregate(F.transform("items", lambda x: F.coalesce(F.try_variant_get(x, "$.seen", "long"), F.lit(0).cast("long"))), F.lit(0).cast("long"), lambda s, x: s + x)
+    got = lambda path: F.try_variant_get("r", path, "string")
+    r = r.withColumn("items", items)
+    return r.select("record_id", got("$.id").alias("id"), F.size("items").alias("n_items"), count("$.refs").alias("n_refs"), count("$.at.pages").alias("n_pages"), seen.alias("seen"), got("$.parameters.run").alias("kept_inside"), got("$.run.by").alias("kept_outside"))
+
+
+@query(
+    f"""WITH l AS ({_SQL_LINES}), i AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) - 1 AS pos FROM l WHERE l_orderkey % 9 <> 0 AND l_orderkey % 10 <> 0),
+    f AS (
+      SELECT l_orderkey, 'parameters.registry[' || pos || '] must be an object' AS fault FROM i WHERE l_partkey % 11 = 0
+      UNION ALL SELECT l_orderkey, 'parameters.registry[' || pos || '].refs must be a list' FROM i WHERE l_partkey % 11 <> 0 AND l_partkey % 7 = 0
+      UNION ALL SELECT l_orderkey, 'parameters.registry[' || pos || '].at must be an object' FROM i WHERE l_partkey % 11 <> 0 AND l_partkey % 7 = 0
+      UNION ALL SELECT l_orderkey, 'parameters.registry[' || pos || '].at.pages[1] must be an object' FROM i WHERE l_partkey % 11 <> 0 AND l_partkey % 7 <> 0 AND l_partkey % 5 = 0
+      UNION ALL SELECT DISTINCT l_orderkey, unnest(['missing top-level key: id', 'parameters.registry must be a list']) FROM l WHERE l_orderkey % 9 = 0
+      UNION ALL SELECT DISTINCT l_orderkey, 'payload is not an object' FROM l WHERE l_orderkey % 9 <> 0 AND l_orderkey % 10 = 0)
+    SELECT l_orderkey AS record_id, fault FROM f"""
+)
+def record_faults(spark, sf_dir):
+    """Every place of nested records that departs from the template, with its path."""
+    return nested.faults(_deep_records(spark, sf_dir), nested.skeleton(_DEEP)).select("record_id", "fault")
+
+
+@query(
+    f"""WITH l AS ({_SQL_LINES}), i AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) - 1 AS pos FROM l WHERE l_orderkey % 9 <> 0 AND l_orderkey % 10 <> 0), s AS (SELECT *, 'parameters.registry[' || pos || ']' AS p FROM i)
+    SELECT l_orderkey AS record_id, p AS path, '7' AS value FROM s WHERE l_partkey % 11 = 0
+    UNION ALL SELECT l_orderkey, p || '.name', CASE WHEN l_partkey % 7 = 0 THEN '' ELSE 'p' END || l_partkey FROM s WHERE l_partkey % 11 <> 0
+    UNION ALL SELECT l_orderkey, p || '.refs', 'no' FROM s WHERE l_partkey % 11 <> 0 AND l_partkey % 7 = 0
+    UNION ALL SELECT l_orderkey, p || unnest(['.refs[0]', '.at.pages[0].n', '.at.pages[1]', '.seen']), unnest([l_suppkey::VARCHAR, l_linenumber::VARCHAR, '3', q::VARCHAR]) FROM s WHERE l_partkey % 11 <> 0 AND l_partkey % 7 <> 0 AND l_partkey % 5 = 0
+    UNION ALL SELECT DISTINCT l_orderkey, unnest(['id', 'run.by']), unnest([l_orderkey::VARCHAR, 'x']) FROM i
+    UNION ALL SELECT DISTINCT l_orderkey, unnest(['parameters.registry', 'parameters.run']), unnest(['7', '1']) FROM l WHERE l_orderkey % 9 = 0"""
+)
+def nested_leaves(spark, sf_dir):
+    """Leaves of nested records with their paths."""
+    return nested.flatten(_deep_records(spark, sf_dir))

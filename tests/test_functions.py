@@ -1,3 +1,5 @@
+import json
+
 from pyspark.sql import functions as F
 
 from lodestrata.functions import nested, numeric, text
@@ -67,3 +69,87 @@ def test_nested_documents(spark):
     kept = nested.strip_internal(spark.createDataFrame([('{"_x": 1, "a": [{"_y": 2, "b": 3}]}',), ("no",), (None,)], "doc string")).collect()
     assert [r[0] for r in kept] == ['{"a": [{"b": 3}]}', "no", None]
     assert nested.deep_merge({"a": {"b": 1, "c": 2}, "d": [1]}, {"a": {"b": 3}, "d": [2]}) == {"a": {"b": 3, "c": 2}, "d": [2]}
+
+
+NODE = nested.skeleton('{"p": {"registry": [{"id": "", "ids": [""], "at": {"kind": "", "pages": [{"n": 0}]}}], "n": 0}, "any": [], "s": ""}')
+
+
+def _shaped(node, x):
+    if isinstance(node, dict):
+        x = x if isinstance(x, dict) else {}
+        return {k: _shaped(v, x.get(k)) for k, v in node.items()} | {k: v for k, v in x.items() if k not in node}
+    if isinstance(node, list):
+        return [] if not isinstance(x, list) else [_shaped(node[0], v) for v in x] if node else x
+    return x
+
+
+def _at_fault(node, x, path=""):
+    if isinstance(node, dict):
+        if not isinstance(x, dict):
+            return [f"{path or 'root'} must be an object"]
+        return [f for k, v in node.items() for f in _at_fault(v, x.get(k), f"{path}.{k}" if path else k)]
+    if isinstance(node, list):
+        if not isinstance(x, list):
+            return [f"{path} must be a list"]
+        return [f for i, v in enumerate(x) for f in _at_fault(node[0], v, f"{path}[{i}]")] if node else []
+    return []
+
+
+RECORDS = [
+    {"p": {"registry": 7, "n": 1, "extra": 5}, "x": 2}, {}, {"p": {"registry": [{"ids": "no"}, 3, None, {"id": "a", "ids": ["b", 1], "at": {"pages": [{"n": 1}, {}, 4], "more": {"k": [1]}}}]}, "any": [{"b": 1}, 2], "s": [1]},
+    {"p": [], "any": {}, "s": {"t": 1}}, {"p": {"registry": []}, "any": [], "s": None, "elastic_parameters": {"constants": 3}}, {"p": None},
+]
+
+
+def test_records_take_a_shape_at_every_depth(spark):
+    d = spark.createDataFrame([(k, json.dumps(r)) for k, r in enumerate(RECORDS)] + [(90, None), (91, "no json"), (92, "[1]"), (93, "null")], "record_id int, doc string")
+    got = {r[0]: json.loads(r[1]) for r in d.select("record_id", F.to_json(nested.coerced(F.try_parse_json("doc"), NODE))).collect()}
+    assert got == {**{k: _shaped(NODE, r) for k, r in enumerate(RECORDS)}, **{k: _shaped(NODE, None) for k in (90, 91, 92, 93)}}
+    typed = {r[0]: r[1] for r in d.select("record_id", nested.coerce(F.col("doc"), NODE)).collect()}
+    assert typed[2]["p"]["registry"][3]["ids"] == ["b", "1"] and typed[1]["p"]["registry"] == [] and typed[0]["p"]["n"] == "1" and typed[2]["p"]["registry"][1]["at"]["pages"] == []
+
+
+def test_faults_carry_paths_and_places_in_lists(spark):
+    d = spark.createDataFrame([(k, json.dumps(r)) for k, r in enumerate(RECORDS)] + [(90, None), (91, "no json"), (92, "[1]")], "record_id int, doc string")
+    got = {}
+    for r in nested.faults(d, NODE).orderBy("record_id", "ord").collect():
+        got.setdefault(r.record_id, []).append(r.fault)
+    want = {k: f for k, r in enumerate(RECORDS) if (f := [f"missing top-level key: {x}" for x in NODE if x not in r] + _at_fault(NODE, r))}
+    assert got == {**want, **{k: ["payload is not an object"] for k in (90, 91, 92)}}
+    assert "p.registry[3].at.pages[2] must be an object" in got[2]
+
+
+def test_faults_of_parameter_lists_of_both_kinds(spark):
+    node = {"parameters": {"registry": [""]}}
+    rows = [{"parameters": {"registry": 1}, "elastic_parameters": {"constants": 2}}, {"parameters": {"registry": 1}, "elastic_parameters": {"constants": []}, "plastic_parameters": {"parameters": "x"}}, {"parameters": {}}]
+    d = spark.createDataFrame([(k, json.dumps(r)) for k, r in enumerate(rows)], "record_id int, doc string")
+    got = sorted((r.record_id, r.ord, r.fault) for r in nested.faults(d, node).collect())
+    wrong = "parameters.registry must be a list"
+    assert got == [(0, 0, "elastic_parameters.constants must be a list"), (0, 1, wrong), (1, 0, "plastic_parameters.parameters must be a list"), (1, 1, wrong), (2, 0, wrong)]
+
+
+def _leaves(x, path=""):
+    if isinstance(x, dict):
+        return [y for k, v in x.items() for y in _leaves(v, f"{path}.{k}" if path else k)]
+    if isinstance(x, list):
+        return [y for i, v in enumerate(x) for y in _leaves(v, f"{path}[{i}]")]
+    return [(path, None if x is None else x if isinstance(x, str) else json.dumps(x))]
+
+
+def _without(x):
+    if isinstance(x, dict):
+        return {k: _without(v) for k, v in x.items() if not k.startswith("_")}
+    return [_without(v) for v in x] if isinstance(x, list) else x
+
+
+def test_flatten_and_strip_at_any_depth(spark):
+    far = {"_x": 1, "k": "end"}
+    for k in range(40):
+        far = {"a": far, "_b": {"c": 1}} if k % 3 else [far, k]
+    rows = [*RECORDS, far, {"a.b": {"_k": {"d": 1}, "t": "x {[ \" ] _y", "l": [[], [[1.5, True]], {}]}}, [], 5, "text", {"_only": 1}]
+    deep = '{"a":' * 2000 + "1" + "}" * 2000
+    d = spark.createDataFrame([(k, json.dumps(r)) for k, r in enumerate(rows)] + [(90, None), (91, "no _json"), (92, deep)], "record_id int, doc string")
+    assert sorted(map(tuple, nested.flatten(d).collect()), key=repr) == sorted(((k, *x) for k, r in enumerate(rows) for x in _leaves(r)), key=repr)
+    got = {r.record_id: r.doc for r in nested.strip_internal(d).collect()}
+    assert {k: json.loads(v) for k, v in got.items() if k < 90} == {k: _without(r) for k, r in enumerate(rows)}
+    assert (got[90], got[91], got[92]) == (None, "no _json", deep)
