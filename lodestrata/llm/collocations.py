@@ -22,7 +22,7 @@ from lodestrata.llm.work import short_batches, stored
 
 MOST_WORDS, LEAST, FIRST = 5, 100, 2_000  # words of a phrase; its occurrences; phrases given by language
 PERCENT = 100  # a phrase goes if a longer one that holds it has so many of a hundred of its occurrences
-SHARD = 1 << 21  # words of a suffix array
+SHARD = 1 << 19  # words of a suffix array
 FILTER_BITS = 26  # bits of a filter at most, as a power of two
 
 _CUT = np.zeros(256, bool)
@@ -38,7 +38,7 @@ class Shard:
         self.words, self.ids, self.lang, self.own = words, ids, lang, own
         self.key = ids.astype(np.int64) * (int(lang.max(initial=0)) + 1) + lang
         stop = np.flatnonzero(ends)
-        self.rest = stop[np.searchsorted(stop, np.arange(len(ids)))] - np.arange(len(ids)) + 1 if len(ids) else np.zeros(0, np.int64)
+        self.rest = np.repeat(stop, np.diff(stop, prepend=-1)) - np.arange(len(ids)) + 1
 
     def hashes(self, langs: np.ndarray, n: int) -> np.ndarray:
         """Hash of the n-gram that starts at each word; without meaning where it leaves the piece."""
@@ -48,11 +48,14 @@ class Shard:
             total += h[k : k + len(total)] * m
         return mix(mix(total) ^ langs[self.lang])
 
-    def cut_unless(self, passed: np.ndarray) -> None:
-        """Ends pieces after each word whose pair with the next one did not pass."""
-        ends = (self.rest == 1) | ~passed
-        stop = np.flatnonzero(ends)
-        self.rest = stop[np.searchsorted(stop, np.arange(len(ends)))] - np.arange(len(ends)) + 1 if len(ends) else self.rest
+    def within(self, keep: np.ndarray, joined: np.ndarray, least: int) -> Shard:
+        """The shard without words that are not to ``keep``, cut after those that are not ``joined`` to the next one, and without pieces of fewer than ``least`` words."""
+        ends = (self.rest == 1) | ~joined
+        ends[:-1] |= ~keep[1:]
+        at = np.flatnonzero(keep)
+        size = np.diff(np.flatnonzero(ends[at]), prepend=-1)
+        at = at[np.repeat(size >= least, size)]
+        return Shard(self.words, self.ids[at], self.lang[at], ends[at], int(np.searchsorted(at, self.own)))
 
     def suffixes(self, least: int, most: int) -> np.ndarray:
         """The shard's suffixes of ``least`` words or more, ordered by their first ``most`` words, by prefix doubling."""
@@ -181,41 +184,37 @@ def frequent_filter(frequent: DataFrame, n: int, most_bits: int = FILTER_BITS):
     return spark.sparkContext.broadcast(held)
 
 
-def phrase_counts(texts: DataFrame, lengths: tuple[int, ...], pairs=None, triples=None, size: int = SHARD) -> DataFrame:
+def phrase_counts(texts: DataFrame, lengths: tuple[int, ...], words=None, pairs=None, size: int = SHARD) -> DataFrame:
     """(lang, words, phrase, n): counts over all texts (lang, text) of the phrases of these lengths; of length 0, all words of a language.
 
-    ``pairs`` and ``triples`` are filters of the frequent phrases of two and three words. A phrase is left
+    ``words`` and ``pairs`` are filters of the frequent phrases of one and two words. A phrase is left
     out only if it holds one that is not frequent.
     """
     low, high = max(1, min(lengths)), max(lengths)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for shard, names in _shards(batches, size):
-            langs = _lang_hashes(names)
-            out = []
+            langs, out = _lang_hashes(names), []
             if 0 in lengths:
                 n = np.bincount(shard.lang[: shard.own], minlength=len(names))
                 some = np.flatnonzero(n)
                 out.append((some, 0, pa.array([""] * len(some)), n[some]))
+            if words is not None:
+                known = _passes(words.value, shard.hashes(langs, 1))
+                shard = shard.within(known, np.ones(len(known), bool), low)
             if pairs is not None:
-                shard.cut_unless(_passes(pairs.value, shard.hashes(langs, 2)))
+                shard = shard.within(np.ones(len(shard.ids), bool), _passes(pairs.value, shard.hashes(langs, 2)), low)
             order = shard.suffixes(low, high)
             common = shard.common(order, high)
-            known = shard.hashes(langs, 3) if triples is not None else None
             for k in lengths:
-                if not k:
-                    continue
-                at, count = shard.intervals(order, common, k)
-                if known is not None:
-                    for j in range(k - 2):
-                        passed = _passes(triples.value, known[at + j])
-                        at, count = at[passed], count[passed]
-                out.append((shard.lang[at], k, shard.phrases(at, k), count))
+                if k:
+                    at, count = shard.intervals(order, common, k)
+                    out.append((shard.lang[at], k, shard.phrases(at, k), count))
             name = pa.array(names, pa.string())
             for lang, k, phrase, count in out:
                 whole = pa.RecordBatch.from_arrays([name.take(pa.array(lang)), pa.array(np.full(len(count), k), pa.int32()), phrase.cast(pa.string()), pa.array(count, pa.int64())], ["lang", "words", "phrase", "n"])
-                for a in range(0, len(count), 100_000):
-                    yield whole.slice(a, 100_000)
+                for a in range(0, len(count), 20_000):
+                    yield whole.slice(a, 20_000)
 
     made = texts.mapInArrow(run, "lang string, words int, phrase string, n long")
     return made.groupBy("lang", "words", "phrase").agg(F.sum("n").alias("n"))
@@ -224,16 +223,15 @@ def phrase_counts(texts: DataFrame, lengths: tuple[int, ...], pairs=None, triple
 def frequent_phrases(docs: DataFrame, least: int = LEAST, size: int = SHARD, most_bits: int = FILTER_BITS) -> tuple[DataFrame, DataFrame]:
     """Totals (lang, n) and all phrases of 1 to 5 words with ``least`` occurrences or more (lang, words, phrase, n), both stored.
 
-    Three passes over the texts: words and pairs; triples within frequent pairs; four and five words of
-    frequent triples.
+    Three passes over the texts: words; pairs of frequent words; longer phrases within frequent pairs.
     """
     texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     enough = (F.col("n") >= least) | (F.col("words") == 0)
-    one = stored(phrase_counts(texts, (0, 1, 2), size=size).filter(enough), "pairs")
-    pairs = frequent_filter(one.filter("words = 2"), 2, most_bits)
-    three = stored(phrase_counts(texts, (3,), pairs, size=size).filter(enough), "triples")
-    five = stored(phrase_counts(texts, (4, 5), pairs, frequent_filter(three, 3, most_bits), size).filter(enough), "fives")
-    return one.filter("words = 0").select("lang", "n"), one.filter("words > 0").union(three).union(five)
+    one = stored(phrase_counts(texts, (0, 1), size=size).filter(enough), "words")
+    words = frequent_filter(one.filter("words = 1"), 1, most_bits)
+    two = stored(phrase_counts(texts, (2,), words, size=size).filter(enough), "pairs")
+    more = stored(phrase_counts(texts, tuple(range(3, MOST_WORDS + 1)), words, frequent_filter(two, 2, most_bits), size).filter(enough), "phrases")
+    return one.filter("words = 0").select("lang", "n"), one.filter("words > 0").union(two).union(more)
 
 
 def collocations(docs: DataFrame, least: int = LEAST, first: int = FIRST, percent: int = PERCENT, size: int = SHARD, most_bits: int = FILTER_BITS) -> DataFrame:
