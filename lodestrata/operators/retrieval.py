@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from itertools import islice
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lodestrata.operators import cells
+
 
 def _dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a.cast("array<double>"), b.cast("array<double>"), lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
@@ -29,10 +28,8 @@ def vector_topk(vectors: DataFrame, query: DataFrame, k: int, id_col: str = "vec
     return scored.drop("query_vec").orderBy(F.desc("score"), F.asc(id_col)).limit(k)
 
 
-#: Queries of one block of neighbours(), which is broadcast, at most.
-MOST_QUERIES = 10_000
-#: Scores that a task of neighbours() holds at once, about.
-CELLS = 4_000_000
+#: Queries of neighbours() that meet a block of vectors at a time, about.
+MOST_QUERIES = 512
 
 
 def keyword_search(docs: DataFrame, text_col: str, pattern: str, order: str, k: int) -> DataFrame:
@@ -57,48 +54,13 @@ def evidence_prompt(hits: DataFrame, question: str, order: list[str], text: str)
 
 
 def neighbours(vectors: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id", vec_col: str = "embedding", digits: int = 9) -> DataFrame:
-    """(query_id, id, rank, score): the k nearest other vectors of each query row (columns query_id, query_vec).
+    """(query_id, id, score, rank): the k nearest other vectors of each query row (columns query_id, query_vec).
 
-    Any number of queries is answered: the driver reads them part by part, in blocks of at most MOST_QUERIES rows; each block is joined with all
-    rows, and each task keeps its k best per query before the shuffle.
+    Queries and vectors are both tables of any size: they meet in the cells of an index
+    (:mod:`lodestrata.operators.cells`), where bounds leave out what cannot be among the k.
     """
-    import numpy as np
-    from pyspark.sql.window import Window
-
-    kind = vectors.schema[id_col].dataType.simpleString()
-    schema = f"query_id {queries.schema['query_id'].dataType.simpleString()}, {id_col} {kind}, score double"
-    rows, some = queries.select("query_id", "query_vec").toLocalIterator(), []
-    while block := list(islice(rows, MOST_QUERIES)):
-        q = np.array([r[1] for r in block], float)
-        shared = vectors.sparkSession.sparkContext.broadcast(([r[0] for r in block], q / np.linalg.norm(q, axis=1, keepdims=True)))
-        some.append(vectors.filter(F.col(vec_col).isNotNull()).select(id_col, vec_col).mapInArrow(_nearest(shared, k, id_col, digits), schema))
-    if not some:
-        return vectors.sparkSession.createDataFrame([], schema + ", rank int")
-    return reduce(DataFrame.union, some).withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), id_col))).filter(F.col("rank") <= k)
-
-
-def _nearest(shared, k: int, id_col: str, digits: int):
-    """The k nearest rows of one task to each query of a block (ids, unit vectors)."""
-    import numpy as np
-    import pyarrow as pa
-
-    def run(batches):
-        ids, m = shared.value
-        best_s, best_i = np.full((len(ids), 0), -2.0), np.zeros((len(ids), 0), np.int64)
-        step = max(1, CELLS // len(ids))
-        for b in (whole.slice(at, step) for whole in batches for at in range(0, whole.num_rows, step)):
-            own = b.column(0).to_numpy(zero_copy_only=False)
-            v = np.array(b.column(1).to_pylist(), float)
-            s = np.round(m @ (v / np.linalg.norm(v, axis=1, keepdims=True)).T, digits)
-            s = np.where(own[None, :] == np.array(ids)[:, None], -2.0, s)
-            best_s, best_i = np.concatenate((best_s, s), 1), np.concatenate((best_i, np.repeat(own[None, :], len(ids), 0)), 1)
-            top = np.lexsort((best_i, -best_s))[:, :k]
-            best_s, best_i = np.take_along_axis(best_s, top, 1), np.take_along_axis(best_i, top, 1)
-        n = best_s.shape[1]
-        ok = best_s.ravel() > -2
-        yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, n)[ok]), pa.array(best_i.ravel()[ok]), pa.array(best_s.ravel()[ok])], ["query_id", id_col, "score"])
-
-    return run
+    found = cells.search(cells.build(vectors, id_col, vec_col), queries, k, digits, MOST_QUERIES)
+    return found.select("query_id", F.col("id").alias(id_col), "score", "rank")
 
 
 def json_search(rows: DataFrame, doc: str, pattern: str, paths: list[str], order: list[str], k: int) -> DataFrame:

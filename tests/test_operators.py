@@ -1,9 +1,10 @@
 import json
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lodestrata.operators import chunks, context, documents, evalsuite, models, normalize, params, retrieval, review, search, store
+from lodestrata.operators import cells, chunks, context, documents, evalsuite, models, normalize, params, retrieval, review, search, store
 from lodestrata.sources import readers, rest, sinks
 from lodestrata.streaming import status
 
@@ -176,6 +177,39 @@ def test_neighbours_of_more_queries_than_a_block(spark, monkeypatch):
     assert run() == want and len(want) == 120
 
 
+def _brute(rows, asked, k):
+    out = []
+    for q, x in asked:
+        scored = [(-round(float(np.dot(x, v) / np.linalg.norm(x) / np.linalg.norm(v)), 9), i) for i, v in rows if v is not None and np.linalg.norm(v) > 0 and i != q]
+        out += [(q, i, -s, r) for r, (s, i) in enumerate(sorted(scored)[:k], 1)]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("block", [cells.BLOCK_BYTES, 400])
+def test_cells_give_the_exact_neighbours(spark, monkeypatch, block):
+    """Clusters, one of which holds a third of all, copies, ties, vectors of no length, and queries that are no rows."""
+    monkeypatch.setattr(cells, "BLOCK_BYTES", block)
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(12, 8))
+    v = np.concatenate([centres[rng.integers(0, 12, 500)] + 0.1 * rng.normal(size=(500, 8)), centres[0] + 0.01 * rng.normal(size=(200, 8)), np.repeat(centres[1:2], 30, 0)])
+    rows = [(k, [float(y) for y in x]) for k, x in enumerate(v)] + [(9000, None), (9001, [0.0] * 8), (9002, [])]
+    asked = [(k, rows[k][1]) for k in range(0, 730, 20)] + [(-1, [1.0] * 8), (-2, rows[3][1])]
+    df, q = spark.createDataFrame(rows, "vec_id long, embedding array<double>"), spark.createDataFrame([*asked, (-3, None), (-4, [0.0] * 8)], "query_id long, query_vec array<double>")
+    index = cells.build(df)
+    found = cells.search(index, q, 5, chunk=7)
+    live = [(i, x) for i, x in rows if x]
+    got, want = sorted((r.query_id, r.id, r["rank"], r.score) for r in found.collect()), [(q, i, r, s) for q, i, s, r in _brute(live, asked, 5)]
+    assert [x[:3] for x in got] == [x[:3] for x in want] and [x[3] for x in got] == pytest.approx([x[3] for x in want])
+    assert cells.share_read(index, spark.createDataFrame(asked, q.schema), found, 5) < 0.5
+
+
+def test_cells_of_few_and_no_vectors(spark):
+    q = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 1.0])], "query_id long, query_vec array<float>")
+    two = spark.createDataFrame([(1, [1.0, 0.0]), (5, [0.5, 0.5])], "vec_id long, embedding array<float>")
+    assert sorted((r.query_id, r.vec_id, r["rank"]) for r in retrieval.neighbours(two, q, 10).collect()) == [(1, 5, 1), (2, 1, 2), (2, 5, 1)]
+    assert retrieval.neighbours(two.limit(0), q, 3).count() == 0 and retrieval.neighbours(two, q.limit(0), 3).count() == 0
+
+
 def test_ranks_reach_every_row(spark):
     d = spark.createDataFrame([(k, (k * 7) % 5) for k in range(300)], "doc_id long, score int").repartition(4)
     got = [(r["doc_id"], r["score"]) for r in sorted(search.ranked(d, "score", ["doc_id"]).collect(), key=lambda r: r["rank"])]
