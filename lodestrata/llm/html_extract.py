@@ -15,6 +15,7 @@ from __future__ import annotations
 import hashlib
 import html as html_lib
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -78,19 +79,25 @@ class Page:
         self.name, self.parent, self.key, self.no, self.child = [""], [-1], [root], [0], [[]]
         self.block, places = [0], [{}]  # the nearest block element of each element; like containers among its children so far
         self.texts: list[tuple[int, str | None]] = []  # element and text; None is the border of a block
-        stack, at, end = [0], 0, len(html)
+        # Open elements besides the root; names open since each container, innermost last; containers open by name.
+        stack, self.since, self.scopes = [0], [Counter()], Counter()
+        at, end, last = 0, len(html), html.rfind(">") + 1
         add = self.texts.append
         while at < end:
-            m = _TOKEN.search(html, at)
+            # Beyond the last ">" no tag ends, so that part is not searched for one from each of its "<".
+            m = _TOKEN.search(html, at, last) if at < last else None
             if m is None:
-                if at < end:
-                    rest = html[at:]
-                    cut = re.search(r"<[a-zA-Z/!][^<>]*\Z", rest)  # an unfinished tag at the end of a cut page
+                note = html.find("<!--", at)
+                rest = html[at:note] if note >= 0 else html[at:]
+                cut = re.search(r"<[a-zA-Z/!][^<>]*\Z", rest) if note < 0 else None  # an unfinished tag at the end of a cut page
+                if note != at:
                     add((stack[-1], rest[: cut.start()] if cut else rest))
                 break
             if m.start() > at:
                 add((stack[-1], html[at : m.start()]))
             at = m.end()
+            if at == last and html.startswith("<!--", m.start()) and not html.endswith(("-->", "--!>"), m.start() + 4, at):
+                break  # a comment without an end goes on to that of the page
             name = m[2] or m[5]
             if not name:
                 continue
@@ -106,7 +113,7 @@ class Page:
             parent = stack[-1]
             attrs = (m[3] or m[6] or "").strip()
             style = name
-            no = 2 if name in SKIP or name == "header" and not any(self.name[k] in ("article", "main") for k in stack) else 0
+            no = 2 if name in SKIP or name == "header" and not self.scopes["article"] + self.scopes["main"] else 0
             if attrs and name not in VOID and name != "a":
                 got = {k.lower(): a or b or c for k, a, b, c in _ATTR.findall(attrs)}
                 if marks := f"{got.get('class') or ''} {got.get('id') or ''}".strip():
@@ -142,34 +149,42 @@ class Page:
                 self.child[up].append(style)
             if name in RAW:
                 pattern = _raw_ends.setdefault(name, re.compile(rf"</{name}(?=[\s/>])[^>]*>|\Z", re.I))
-                stop = pattern.search(html, at)
-                at = stop.end()
-                if stop.end() == stop.start():
+                stop = pattern.search(html, at, last) if at < last else None
+                if stop is None or stop.end() == stop.start():
                     break
+                at = stop.end()
                 continue
             if not attrs.endswith("/") or name in BLOCKS or name in ("a", "b", "i", "span"):
                 stack.append(me)
-
-    def _end(self, stack: list[int], names: tuple[str, ...]) -> None:
-        """Ends the nearest open element of these names, unless a container stands between."""
-        for k in range(len(stack) - 1, 0, -1):
-            name = self.name[stack[k]]
-            if name in names:
-                del stack[k:]
-                return
+                if name in SCOPES:
+                    self.scopes[name] += 1
+                    self.since.append(Counter())
+                else:
+                    self.since[-1][name] += 1
+
+    def _pop_to(self, stack: list[int], names: tuple[str, ...]) -> None:
+        """Ends open elements up to the nearest one of these names, which is there."""
+        while True:
+            name = self.name[stack.pop()]
             if name in SCOPES:
+                self.scopes[name] -= 1
+                self.since.pop()
+            else:
+                self.since[-1][name] -= 1
+            if name in names:
                 return
 
+    def _end(self, stack: list[int], names: tuple[str, ...]) -> None:
+        """Ends the nearest open element of these names, none of them a container, unless a container stands between."""
+        if any(self.since[-1][x] for x in names):
+            self._pop_to(stack, names)
+
     def _close(self, stack: list[int], name: str, add) -> None:
+        """An end tag: that of a container ends the nearest one of its name, any other only within its container."""
         if name in BLOCKS:
             add((stack[-1], None))
-        for k in range(len(stack) - 1, 0, -1):
-            open_ = self.name[stack[k]]
-            if open_ == name:
-                del stack[k:]
-                return
-            if open_ in SCOPES and name not in SCOPES:
-                return
+        if self.scopes[name] if name in SCOPES else self.since[-1][name]:
+            self._pop_to(stack, (name,))
 
     def digest(self) -> int:
         """A hash of the page's text, without scripts, styles, comments and attributes."""

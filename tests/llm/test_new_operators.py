@@ -4,6 +4,7 @@ import itertools
 import math
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -12,7 +13,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from lodestrata.llm import chat_format, collocations, importance
+from lodestrata.llm import chat_format, collocations, html_extract, importance
 from lodestrata.llm import queries as q
 from lodestrata.llm.textkit import Words
 
@@ -259,3 +260,25 @@ def test_suffix_order_and_intervals():
 @pytest.mark.parametrize("name", ["op11_chat_formatting", "op13_phrase_collocations"])
 def test_new_queries_equal_their_sql(spark, tiny, same, name):
     same(spark, q.QUERIES[name], q.ORACLES[name], tiny)
+
+
+# ---- odd markup
+
+
+@pytest.mark.parametrize("unit", ["<a ", "<h1>", "<b></i>", "<header>", "</script ", "<div></p>", '<a "', "<a 'x", "<li>", "</", '<a="', "<!--", "<td><b>"])
+def test_pages_of_unclosed_markup_take_time_in_proportion(unit):
+    def seconds(n):
+        page = "<html><body><article><p>Kept text.</p>" + unit * (n // len(unit))
+        start = time.process_time()
+        text = html_extract.Page(page).main_text(set())
+        assert text.startswith("Kept text.")
+        return time.process_time() - start
+
+    seconds(1000)
+    assert seconds(400_000) < 4
+
+
+def test_what_follows_the_last_tag_is_text_or_a_comment():
+    text = lambda h: html_extract.Page(h).main_text(set())
+    assert text("<p>a</p>b < c") == "a\n\nb < c" and text("<p>a</p>b<a href=") == "a\n\nb" and text("<p>a</p>b<!-- c") == "a\n\nb" and text("<!--><p>a</p>") == "" and text("<!-- x --><p>a</p>") == "a"
+    assert text("<p>a</p><script>b</script ") == "a" and text("no tags") == "no tags"
