@@ -129,7 +129,7 @@ def _xml(spark, sf_dir):
     """
 )
 def document_parse(spark, sf_dir):
-    return documents.parse_documents(_xml(spark, sf_dir)).filter("kind IN ('section', 'table_md', 'title')").select("doc_id", "kind", "ord", "content")
+    return documents.parse_documents(_xml(spark, sf_dir), kinds=("section", "table_md", "title")).select("doc_id", "kind", "ord", "content")
 
 
 @query(
@@ -139,7 +139,7 @@ def document_parse(spark, sf_dir):
     """
 )
 def document_references(spark, sf_dir):
-    return documents.references(documents.parse_documents(_xml(spark, sf_dir))).select("doc_id", "label", "title", "doi")
+    return documents.references(documents.parse_documents(_xml(spark, sf_dir), kinds=("reference",))).select("doc_id", "label", "title", "doi")
 
 
 @query()

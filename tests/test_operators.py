@@ -296,3 +296,17 @@ def test_paged_source(spark):
     assert rest.http_get("http://x", open_=open_, sleep=waits.append) == "fine" and waits == [1.0, 2.0]
     got = rest.full_text(spark.createDataFrame([("10.1/a b",), (None,)], "doi string"), lambda x: x).collect()
     assert [r["xml"] for r in got] == ["10.1%2Fa%20b", None]
+
+
+def test_documents_of_any_depth_and_kinds(spark):
+    n = 3000
+    deep = "<ce:section><ce:section-title>T</ce:section-title><ce:para>x</ce:para>" * n + "</ce:section>" * n
+    rows = documents.parse_documents(spark.createDataFrame([(1, deep), (2, "<a>" * n), (3, None)], "doc_id int, xml string"), kinds=("section", "title")).collect()
+    assert {r.doc_id for r in rows} == {1} and {r.kind for r in rows} == {"section", "title"} and len(rows) == n + 1
+    small = "<d><dc:title>T</dc:title><ce:abstract>A</ce:abstract><sec><title>S</title><p>x <ce:cross-ref refid='bib1'><ce:cross-ref refid='bib2'/>y</ce:cross-ref></p></sec><ce:table><row><td>c</td></row></ce:table><ce:bib-reference id='bib0001'/></d>"
+    every = documents.document_rows(small)
+    for kind in documents.KINDS:
+        assert documents.document_rows(small, kinds=frozenset((kind,))) == [r for r in every if r[0] == kind] != []
+    assert [r[3] for r in every if r[0] == "section"] == ["## S\n\nx [1]"]
+    inner = documents.document_rows(deep, nested=True, kinds=frozenset(("section",)))
+    assert len(inner) == 1 and inner[0][3].startswith("## T\n\nx\n\n### T") and inner[0][3].endswith("#" * (n + 1) + " T\n\nx")
