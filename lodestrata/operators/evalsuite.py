@@ -107,3 +107,46 @@ def one_row(*frames: DataFrame) -> DataFrame:
     for f in frames[1:]:
         out = out.crossJoin(F.broadcast(f.limit(1)))
     return out
+
+
+def main_table(method: str, field: DataFrame, numeric: DataFrame, unit: DataFrame, citation: DataFrame, cost: DataFrame) -> DataFrame:
+    """The main results of a method in one row, from the overall rows of its metric tables and its cost."""
+    overall = lambda d, by: d.filter(F.col(by) == "overall").drop(by)
+    parts = [
+        overall(field, "prefix").select(*[F.col(c).alias(f"field_{c}") for c in ("precision", "recall", "f1")]), overall(numeric, "block").select(F.col("mae").alias("numeric_mae"), F.col("mape").alias("numeric_mape")),
+        overall(unit, "block").select(F.col("accuracy").alias("unit_accuracy")), citation.select(*[F.col(c).alias(f"citation_{c}") for c in ("precision", "recall", "f1")]), cost.select("tokens_per_run", "seconds_per_run"),
+    ]
+    d = one_row(*parts)
+    return d.select(F.lit(method).alias("method"), *d.columns)
+
+
+def recall_table(method: str, runs: DataFrame, qrels: DataFrame, ks: DataFrame, digits: int = 9) -> DataFrame:
+    """Queries, MRR and a column ``recall@k`` for each k of a table (k): the share of queries with a relevant document among the first k.
+
+    The first relevant rank of each query is found once, counted by rank, and those few counts meet all k.
+    """
+    rel = qrels.select("query_id", "doc_id").distinct().withColumn("rel", F.lit(True))
+    d = runs.join(rel.select("query_id").distinct(), "query_id", "left_semi").join(rel, ["query_id", "doc_id"], "left")
+    first = d.groupBy("query_id").agg(F.min(F.when(F.col("rel"), F.col("rank"))).alias("first"))
+    by_rank = first.groupBy("first").agg(F.count("*").alias("n"))
+    all_ks = sorted(r[0] for r in ks.select("k").distinct().collect())  # the report's columns, so few by nature
+    total = F.sum("n")
+    recall = [F.round(F.coalesce(F.sum(F.when(F.col("first") <= k, F.col("n"))), F.lit(0)) / total, digits).alias(f"recall@{k}") for k in all_ks]
+    mrr = F.round(F.coalesce(F.sum(F.col("n") / F.col("first")), F.lit(0.0)) / total, digits).alias("mrr")
+    return by_rank.agg(total.alias("queries"), mrr, *recall).select(F.lit(method).alias("method"), "*")
+
+
+def error_table(method: str, buckets: DataFrame) -> DataFrame:
+    """The error types of a method, most frequent first."""
+    return buckets.select(F.lit(method).alias("method"), "error_type", F.col("n").alias("count"), "ratio").orderBy(F.desc("count"), "error_type")
+
+
+def prefix_table(method: str, field: DataFrame) -> DataFrame:
+    """The field metrics of a method by prefix, in the order of the prefixes."""
+    return field.filter("prefix <> 'overall'").select(F.lit(method).alias("method"), "prefix", "precision", "recall", "f1", "tp", "fp", "fn").orderBy("prefix")
+
+
+def gate_table(method: str, checks: DataFrame) -> DataFrame:
+    """Whether a method passes all checks, and how many it fails."""
+    failed = F.count_if(~F.col("passed"))
+    return checks.agg(F.lit(method).alias("method"), (failed == 0).alias("pass"), failed.alias("failed_count"))

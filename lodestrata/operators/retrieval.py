@@ -37,6 +37,16 @@ def keyword_search(docs: DataFrame, text_col: str, pattern: str, order: str, k:
     return docs.filter(F.col(text_col).ilike(f"%{pattern}%")).orderBy(order).limit(k)
 
 
+def parameter_search(records: DataFrame, doc: str, pattern: str, fields: dict[str, str], key: str, k: int) -> DataFrame:
+    """(key and ``fields``, by JSON path) of records whose whole JSON text is like the query, case folded; the k first by key. Fields that a record lacks are null."""
+    hits = keyword_search(records, doc, pattern, key, k)
+    return hits.select(key, *[F.get_json_object(doc, path).alias(name) for name, path in fields.items()])
+
+
+#: What a parameter hit shows of a record (fixed paths of the record format).
+PARAMETER_FIELDS = {"material": "$.material.name", "framework": "$.constitutive_model.framework", "flow_rule": "$.plastic_parameters.flow_rule"}
+
+
 def snippet(c: Column, n: int = 280) -> Column:
     return F.left(c, F.lit(n))
 

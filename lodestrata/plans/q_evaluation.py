@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lodestrata.operators import evalsuite, params, retrieval
-from lodestrata.plans.registry import query
+from lodestrata.plans.registry import ORACLES, query
 from lodestrata.session import table
 
 KEYS = ["l_orderkey", "l_linenumber"]
@@ -167,3 +167,64 @@ def quality_gate(spark, sf_dir):
 def report_tables(spark, sf_dir):
     failed = _gate(spark, sf_dir).agg(F.count_if(~F.col("passed")).alias("failed_checks"))
     return evalsuite.one_row(_retrieval(spark, sf_dir), _cost(spark, sf_dir).select("n_runs"), failed).select("n_queries", "hit_at_5", "hit_at_10", "mrr", "n_runs", "failed_checks")
+
+
+_METHOD = "'engine' AS method"
+
+
+@query(
+    f"""WITH f AS ({_FIELDS}), n AS ({_GP} SELECT coalesce(block, 'overall') AS block, round(avg(CASE WHEN found THEN abs(value - pv) END), 9) AS mae, round(avg(CASE WHEN found AND value <> 0 THEN abs(value - pv) / abs(value) END), 9) AS mape,
+      round(avg(CASE WHEN found THEN (unit = pu)::INT END), 9) AS accuracy FROM m GROUP BY ROLLUP (block)),
+    c AS ({_GP}, c AS (SELECT sum(len(list_intersect(list_distinct(ids), list_distinct(pids))))::BIGINT AS tp, sum(len(list_distinct(pids)))::BIGINT AS np, sum(len(list_distinct(ids)))::BIGINT AS ng FROM m WHERE found)
+      SELECT round(tp / np, 9) AS precision, round(tp / ng, 9) AS recall, round(2 * (tp / np) * (tp / ng) / (tp / np + tp / ng), 9) AS f1 FROM c),
+    o AS ({_COST} SELECT round(total_tokens / n_runs, 2) AS tokens_per_run, round(total_seconds / n_runs, 2) AS seconds_per_run FROM c)
+    SELECT {_METHOD}, f.precision AS field_precision, f.recall AS field_recall, f.f1 AS field_f1, mae AS numeric_mae, mape AS numeric_mape, accuracy AS unit_accuracy, c.precision AS citation_precision, c.recall AS citation_recall, c.f1 AS citation_f1,
+      tokens_per_run, seconds_per_run FROM f, n, c, o WHERE f.prefix = 'overall' AND n.block = 'overall'"""
+)
+def report_main_table(spark, sf_dir):
+    m = evalsuite.matched(*_gold_pred(spark, sf_dir), KEYS)
+    by = m.withColumnRenamed("g_block", "block")
+    return evalsuite.main_table("engine", field_metrics(spark, sf_dir), evalsuite.numeric_metrics(by, "block"), evalsuite.unit_metrics(by, "block"), evalsuite.citation_metrics(m, "g_ids", "p_ids"), _cost(spark, sf_dir))
+
+
+_GIVEN = _RUNS.replace(
+    "FILTER (label = ql) AS first FROM r WHERE rank <= 20",
+    "FILTER (rank <= 20 AND label = ql AND vec_id > query_id AND vec_id <= query_id + 200) AS first FROM r WHERE query_id IN (SELECT query_id FROM s WHERE label = ql AND vec_id > query_id AND vec_id <= query_id + 200)",
+)
+
+
+def _given(spark, sf_dir):
+    """Runs, and relevant rows that come from keys and labels alone."""
+    emb = table(spark, sf_dir, "embeddings")
+    q = emb.filter("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query_vec"), F.col("label").alias("ql"))
+    runs = retrieval.neighbours(emb, q.select("query_id", "query_vec"), 20)
+    near = q.select("query_id", "ql", F.explode(F.sequence(F.col("query_id") + 1, F.col("query_id") + 200)).alias("vec_id"))
+    qrels = near.join(emb.select("vec_id", "label"), "vec_id").filter("label = ql").select("query_id", F.col("vec_id").alias("doc_id"))
+    return runs.select("query_id", F.col("vec_id").alias("doc_id"), "rank"), qrels
+
+
+@query(f"""{_GIVEN} SELECT {_METHOD}, count(*) AS queries, round(avg(coalesce(1.0 / first, 0)), 9) AS mrr, {', '.join(f'round(avg((coalesce(first, 99) <= {k})::INT), 9) AS "recall@{k}"' for k in (1, 2, 3, 4, 5))} FROM f""")
+def report_recall_table(spark, sf_dir):
+    """The k come from the data: the region keys, from 1."""
+    return evalsuite.recall_table("engine", *_given(spark, sf_dir), table(spark, sf_dir, "region").select((F.col("r_regionkey") + 1).alias("k")))
+
+
+@query(
+    f"""{_GIVEN}, k AS (SELECT hit_at_10 AS recall, mrr, hit_at_5 FROM o) SELECT {_METHOD}, recall >= 0.6 AND mrr >= 0.2 AND hit_at_5 <= 0.9 AS pass, ((recall < 0.6)::INT + (mrr < 0.2)::INT + (hit_at_5 > 0.9)::INT)::BIGINT AS failed_count
+      FROM (SELECT CASE WHEN hit_at_10 <> 0 THEN hit_at_10 ELSE hit_at_5 END AS recall, mrr, hit_at_5 FROM o)"""
+)
+def report_gate_table(spark, sf_dir):
+    """The gate on runs against given judgements, which a run can miss."""
+    m = evalsuite.retrieval_metrics(*_given(spark, sf_dir))
+    m = m.withColumn("recall", evalsuite.recall_for_gate(F.col("hit_at_10"), F.col("hit_at_5")))
+    return evalsuite.gate_table("engine", evalsuite.gate(m, [("recall", "ge", 0.6), ("mrr", "ge", 0.2), ("hit_at_5", "le", 0.9)]))
+
+
+@query(f"SELECT {_METHOD}, prefix, precision, recall, f1, tp, fp, fn FROM ({_FIELDS}) WHERE prefix <> 'overall'")
+def report_prefix_table(spark, sf_dir):
+    return evalsuite.prefix_table("engine", field_metrics(spark, sf_dir))
+
+
+@query(f"SELECT {_METHOD}, error_type, n AS count, ratio FROM ({ORACLES['error_buckets']})")
+def report_error_table(spark, sf_dir):
+    return evalsuite.error_table("engine", evalsuite.error_buckets(*_gold_pred(spark, sf_dir), KEYS))

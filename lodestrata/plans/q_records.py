@@ -2,6 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
+import json
+import shutil
+import tempfile
+from itertools import batched
+from pathlib import Path
+
 from pyspark.sql import functions as F
 
 from lodestrata.functions import nested, numeric, text
@@ -9,7 +16,7 @@ from lodestrata.operators import documents, normalize, params, retrieval, review
 from lodestrata.plans import q_normalize
 from lodestrata.plans.registry import query
 from lodestrata.session import table
-from lodestrata.sources import readers, sinks
+from lodestrata.sources import readers, rest, sinks
 from lodestrata.storage import scratch
 
 _WS = r"[ \t\n\x0b\x0c\r]"
@@ -382,3 +389,36 @@ def record_faults(spark, sf_dir):
 def nested_leaves(spark, sf_dir):
     """Leaves of nested records with their paths."""
     return nested.flatten(_deep_records(spark, sf_dir))
+
+
+def _served(folder: str, size: int):
+    """Stands in for a paged HTTP search: answers from files of ``size`` entries each, as a server would from its table."""
+
+    def fetch(options: dict, start: int, count: int) -> str:
+        got = []
+        for k in range(start // size, (start + count - 1) // size + 1):
+            try:
+                with open(f"{folder}/{k}.json", encoding="utf-8") as f:
+                    got += json.load(f)[max(0, start - k * size) : start + count - k * size]
+            except FileNotFoundError:
+                break
+        return json.dumps({"search-results": {"entry": got}})
+
+    return fetch
+
+
+@query("SELECT '10.1/' || p_partkey AS doi, p_name AS title, p_brand AS journal, 1900 + p_size AS year FROM part")
+def paged_search_stream(spark, sf_dir):
+    """All pages of a search as a stream, in two runs on one checkpoint: the second goes on where the first ended."""
+    size, folder = 100, Path(tempfile.mkdtemp(prefix="lodestrata-pages-"))
+    atexit.register(shutil.rmtree, folder, True)
+    c = F.col
+    doc = F.struct(F.concat(F.lit("10.1/"), c("p_partkey").cast("string")).alias("prism:doi"), c("p_name").alias("dc:title"), c("p_brand").alias("prism:publicationName"), F.concat((c("p_size") + 1900).cast("string"), F.lit("-05-01")).alias("prism:coverDate"))
+    for k, page in enumerate(batched(table(spark, sf_dir, "part").orderBy("p_partkey").select(F.to_json(doc)).toLocalIterator(), size)):  # the stub server's files
+        (folder / f"{k}.json").write_text("[" + ",".join(r[0] for r in page) + "]", encoding="utf-8")
+    name, out = f"papers_{folder.name[-8:].lower()}", scratch(spark, "pages")
+    spark.dataSource.register(rest.make_paged_source(name, _served(str(folder), size), lambda d: d["search-results"]["entry"]))
+    for most in (3, 1_000_000):
+        stream = spark.readStream.format(name).option("count", 100).option("maxPages", most).option("pagesPerBatch", 1_000_000).option("pauseSeconds", 0).load()
+        stream.writeStream.format("parquet").option("path", f"{out}/rows").option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return rest.search_entries(spark.read.parquet(f"{out}/rows")).select("doi", "title", "journal", "year")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lodestrata.operators import context, retrieval, review, search
+from lodestrata.operators import context, infix, retrieval, review, search
 from lodestrata.plans.registry import query
 from lodestrata.session import table
 
@@ -255,3 +255,41 @@ def stratified_round_robin(spark, sf_dir):
 )
 def markdown_report(spark, sf_dir):
     return review.markdown_summary(table(spark, sf_dir, "documents").groupBy("source").agg(F.count("*").alias("n")), "source", "n", "Sources")
+
+
+_PATTERN = r"""CASE WHEN item_id % 6 = 0 THEN substr(text, 3, 2) WHEN item_id % 6 = 1 THEN substr(text, 2, 4) || '%' || substr(text, 30, 5) WHEN item_id % 6 = 2 THEN substr(text, 5, 3) || '_' || substr(text, 9, 3)
+    WHEN item_id % 6 = 3 THEN upper(substr(text, 1, 12)) WHEN item_id % 6 = 4 THEN substr(text, 1, 1) || '%' ELSE text END"""
+
+
+@query(f"SELECT item_id AS query_id, doc_id FROM documents JOIN (SELECT item_id, {_PATTERN} AS pattern FROM benchmark) ON text ILIKE '%' || pattern || '%'")
+def infix_search(spark, sf_dir):
+    """Which documents hold each pattern: parts of the benchmark texts, short ones and ones with wildcards among them."""
+    index = infix.build(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", "text")
+    return infix.search(index, table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), F.expr(_PATTERN).alias("pattern"))).select("query_id", "doc_id")
+
+
+_FOUND = """
+    WITH x AS (SELECT p_partkey AS doi, CASE WHEN p_partkey % 3 = 0 THEN p_brand END AS material, p_type AS framework, CASE WHEN p_partkey % 4 > 0 THEN 'r' || p_size END AS flow_rule, p_name FROM part)
+    SELECT doi, material, framework, flow_rule FROM x WHERE (p_name || coalesce(material, '') || framework) ILIKE '%br%' ORDER BY doi LIMIT 50
+"""
+
+
+def _part_records(spark, sf_dir):
+    c, k = F.col, F.col("p_partkey")
+    doc = F.to_json(F.struct(c("p_name").alias("title"), F.struct(F.when(k % 3 == 0, c("p_brand")).alias("name")).alias("material"), F.struct(c("p_type").alias("framework")).alias("constitutive_model"), F.struct(F.when(k % 4 > 0, F.concat(F.lit("r"), c("p_size").cast("string"))).alias("flow_rule")).alias("plastic_parameters")))
+    return table(spark, sf_dir, "part").select(k.alias("doi"), doc.alias("doc"))
+
+
+@query(_FOUND)
+def parameter_hits(spark, sf_dir):
+    """Records whose whole text holds the query, with the three fields that a hit shows."""
+    return retrieval.parameter_search(_part_records(spark, sf_dir), "doc", "br", retrieval.PARAMETER_FIELDS, "doi", 50)
+
+
+@query(f"""SELECT 'parameter_hits' AS hit_list, doi, material, framework, flow_rule, NULL::DOUBLE AS score FROM ({_FOUND})
+    UNION ALL SELECT * FROM (SELECT 'chunk_hits', vec_id, NULL, NULL, NULL, round(list_cosine_similarity(embedding::DOUBLE[], (SELECT embedding::DOUBLE[] FROM embeddings WHERE vec_id = 0)), 6) AS s FROM embeddings ORDER BY s DESC, vec_id LIMIT 10)""")
+def hybrid_with_fields(spark, sf_dir):
+    """Both lists of a hybrid search: nearest chunks, and records with their three fields."""
+    emb = table(spark, sf_dir, "embeddings")
+    near = retrieval.vector_topk(emb, emb.filter("vec_id = 0").select(F.col("embedding").alias("query_vec")), 10).select(F.col("vec_id").alias("doi"), "score")
+    return retrieval.hybrid(near, parameter_hits(spark, sf_dir)).select("hit_list", "doi", "material", "framework", "flow_rule", "score")

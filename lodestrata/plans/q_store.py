@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lodestrata.operators import store
-from lodestrata.plans.registry import query
+from lodestrata.operators import keyed, store
+from lodestrata.plans.registry import ORACLES, query
 from lodestrata.session import table
+from lodestrata.sources import database
+from lodestrata.storage import scratch
 
 _NEW = """
     WITH n AS (SELECT k AS c_custkey, name AS c_name, bal AS c_acctbal FROM (
@@ -89,3 +91,46 @@ def union_sorted_columns(spark, sf_dir):
     a = table(spark, sf_dir, "nation").select(F.col("n_name").alias("name"), F.col("n_nationkey").cast("bigint").alias("key"))
     b = table(spark, sf_dir, "region").select(F.col("r_name").alias("name"), F.col("r_regionkey").cast("bigint").alias("nation"))
     return union_sorted([a, b])
+
+
+def _customers(spark, old):
+    t = keyed.KeyedTable(spark, scratch(spark, "keyed") + "/table", ["c_custkey"], buckets=16)
+    t.create(old)
+    return t
+
+
+@query(ORACLES["upsert_coalesce"])
+def keyed_upsert(spark, sf_dir):
+    """The same upsert in two batches on a table in buckets of its key, of which each batch rewrites those it touches."""
+    old, new = _state(spark, sf_dir)
+    t = _customers(spark, old)
+    t.upsert(new.filter("c_custkey % 50 = 7"))
+    t.upsert(new)
+    return t.read()
+
+
+@query(ORACLES["replace_by_key"])
+def keyed_replace(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_totalprice")
+    t = keyed.KeyedTable(spark, scratch(spark, "keyed") + "/table", ["o_custkey"], buckets=16, files=2)
+    t.create(o)
+    new = o.filter("o_custkey % 10 = 0 AND o_orderkey % 2 = 0").withColumn("o_totalprice", F.lit(0.0))
+    for _ in range(2):  # a second time changes nothing
+        t.replace(new)
+    return t.read()
+
+
+_TYPES = {"c_custkey": "BIGINT", "c_name": "VARCHAR(200)", "c_acctbal": "DOUBLE"}
+
+
+@query(ORACLES["upsert_mixed"])
+def database_merge(spark, sf_dir):
+    """The mixed upsert in a database: ranged read, staging table, one merge. Here an embedded database, which lives in the driver's process and so needs local mode."""
+    url = f"jdbc:derby:memory:{scratch(spark, 'db').rsplit('-', 1)[1]};create=true"
+    props = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+    with database.connection(spark, url, props) as c:
+        database.execute(c, "CREATE TABLE customers (c_custkey BIGINT PRIMARY KEY, c_name VARCHAR(200), c_acctbal DOUBLE)")
+    old, new = _state(spark, sf_dir)
+    database.merge(old, url, "customers", ["c_custkey"], _TYPES, props, ignore=True)
+    database.merge(new, url, "customers", ["c_custkey"], _TYPES, props, overwrite=("c_name",))
+    return database.read_ranges(spark, url, "customers", "c_custkey", props).toDF("c_custkey", "c_name", "c_acctbal")

@@ -15,7 +15,7 @@ from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
 from lodestrata.functions.numeric import year_of
 from lodestrata.functions.text import blank_to_null
@@ -46,8 +46,43 @@ def make_paged_source(name: str, fetch: Callable[[dict, int, int], str], entries
 
     Options: count (25), maxPages (20), readers (1), pauseSeconds (0.2). A reader takes every
     ``readers``-th page and stops at its first empty one.
+
+    As a stream its offset is a page number. A batch goes up to the first empty page, at most
+    ``pagesPerBatch`` (5) further than the last, a task for each page; where it ends is found by asking for one
+    entry of each. The checkpoint holds the offset, so after a failure the pages that were done are not
+    read again, and pages that come later are read by later batches.
     """
 
+    def setting(options: dict, key: str, default: str) -> str:
+        return options.get(key, options.get(key.lower(), default))
+
+    def page_rows(options: dict, page: int) -> list[tuple]:
+        count = int(setting(options, "count", "25"))
+        return [(page, k, json.dumps(e)) for k, e in enumerate(entries(json.loads(fetch(dict(options), page * count, count))))]
+
+    class StreamReader(DataSourceStreamReader):
+        def __init__(self, options: dict):
+            self.options, self.known = options, 0
+
+        def initialOffset(self) -> dict:
+            return {"page": 0}
+
+        def latestOffset(self) -> dict:
+            # A restarted stream does not say where it was; pages up to there are only asked whether they are there.
+            most, count = int(setting(self.options, "maxPages", "20")), int(setting(self.options, "count", "25"))
+            ahead = self.known + int(setting(self.options, "pagesPerBatch", "5"))
+            while self.known < min(ahead, most) and entries(json.loads(fetch(dict(self.options), self.known * count, 1))):
+                self.known += 1
+            return {"page": self.known}
+
+        def partitions(self, start: dict, end: dict):
+            self.known = max(self.known, end["page"])
+            return [_Pages(k, 1) for k in range(start["page"], end["page"])]
+
+        def read(self, part: _Pages) -> Iterator[tuple]:
+            yield from page_rows(self.options, part.first)
+            time.sleep(float(setting(self.options, "pauseSeconds", "0.2")))
+
     class Reader(DataSourceReader):
         def __init__(self, options: dict):
             self.options = options
@@ -57,14 +92,12 @@ def make_paged_source(name: str, fetch: Callable[[dict, int, int], str], entries
             return [_Pages(k, n) for k in range(n)]
 
         def read(self, part: _Pages) -> Iterator[tuple]:
-            count, most = int(self.options.get("count", 25)), int(self.options.get("maxpages", self.options.get("maxPages", 20)))
-            for page in range(part.first, most, part.step):
-                got = entries(json.loads(fetch(dict(self.options), page * count, count)))
+            for page in range(part.first, int(setting(self.options, "maxPages", "20")), part.step):
+                got = page_rows(self.options, page)
                 if not got:
                     return
-                for k, e in enumerate(got):
-                    yield page, k, json.dumps(e)
-                time.sleep(float(self.options.get("pauseseconds", self.options.get("pauseSeconds", 0.2))))
+                yield from got
+                time.sleep(float(setting(self.options, "pauseSeconds", "0.2")))
 
     class Source(DataSource):
         @classmethod
@@ -77,6 +110,9 @@ def make_paged_source(name: str, fetch: Callable[[dict, int, int], str], entries
         def reader(self, schema) -> DataSourceReader:
             return Reader(self.options)
 
+        def streamReader(self, schema) -> DataSourceStreamReader:
+            return StreamReader(self.options)
+
     return Source
 
 
