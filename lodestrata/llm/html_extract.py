@@ -15,7 +15,6 @@ from __future__ import annotations
 import hashlib
 import html as html_lib
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -80,7 +79,7 @@ class Page:
         self.block, places = [0], [{}]  # the nearest block element of each element; like containers among its children so far
         self.texts: list[tuple[int, str | None]] = []  # element and text; None is the border of a block
         # Open elements besides the root; names open since each container, innermost last; containers open by name.
-        stack, self.since, self.scopes = [0], [Counter()], Counter()
+        stack, self.since, self.scopes = [0], [{}], dict.fromkeys(SCOPES, 0)
         at, end, last = 0, len(html), html.rfind(">") + 1
         add = self.texts.append
         while at < end:
@@ -158,9 +157,10 @@ class Page:
                 stack.append(me)
                 if name in SCOPES:
                     self.scopes[name] += 1
-                    self.since.append(Counter())
+                    self.since.append({})
                 else:
-                    self.since[-1][name] += 1
+                    now = self.since[-1]
+                    now[name] = now.get(name, 0) + 1
 
     def _pop_to(self, stack: list[int], names: tuple[str, ...]) -> None:
         """Ends open elements up to the nearest one of these names, which is there."""
@@ -176,14 +176,17 @@ class Page:
 
     def _end(self, stack: list[int], names: tuple[str, ...]) -> None:
         """Ends the nearest open element of these names, none of them a container, unless a container stands between."""
-        if any(self.since[-1][x] for x in names):
-            self._pop_to(stack, names)
+        now = self.since[-1]
+        for x in names:
+            if now.get(x):
+                self._pop_to(stack, names)
+                return
 
     def _close(self, stack: list[int], name: str, add) -> None:
         """An end tag: that of a container ends the nearest one of its name, any other only within its container."""
         if name in BLOCKS:
             add((stack[-1], None))
-        if self.scopes[name] if name in SCOPES else self.since[-1][name]:
+        if self.scopes[name] if name in SCOPES else self.since[-1].get(name):
             self._pop_to(stack, (name,))
 
     def digest(self) -> int:
