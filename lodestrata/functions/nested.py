@@ -50,22 +50,26 @@ def _step(name: str) -> str:
     return f"[{quote}{name}{quote}]"
 
 
-def coerced(v: Column, node, path: str = "$") -> Column:
+def coerced(v: Column, node) -> Column:
     """A VARIANT in the skeleton's shape at every depth.
 
     Objects get all keys of the skeleton, null where missing, and keep the keys that it does not know;
     what is no object becomes an object of nulls. What is no list becomes an empty one; each element of
     a list takes the shape of the skeleton's first. Leaves stay as they are.
     """
+    return F.transform(F.array(v), lambda x: _shaped(x, node, "$"))[0]  # bound to a variable, so that a text is parsed once
+
+
+def _shaped(v: Column, node, path: str) -> Column:
     if isinstance(node, dict):
         src = F.coalesce(F.try_variant_get(v, path, "map<string,variant>"), F.create_map().cast("map<string,variant>"))
         if not node:
             return F.to_variant_object(src)
-        known = F.map_from_arrays(F.array(*map(F.lit, node)), F.array(*[coerced(v, x, path + _step(k)) for k, x in node.items()]))
+        known = F.map_from_arrays(F.array(*map(F.lit, node)), F.array(*[_shaped(v, x, path + _step(k)) for k, x in node.items()]))
         return F.to_variant_object(F.map_concat(known, F.map_filter(src, lambda k, _: ~k.isin(list(node)))))
     if isinstance(node, list):
         items = F.coalesce(F.try_variant_get(v, path, "array<variant>"), F.array().cast("array<variant>"))
-        return F.to_variant_object(F.transform(items, lambda x: coerced(x, node[0])) if node else items)
+        return F.to_variant_object(F.transform(items, lambda x: _shaped(x, node[0], "$")) if node else items)
     return F.coalesce(F.try_variant_get(v, path, "variant"), F.parse_json(F.lit("null")))
 
 
@@ -95,18 +99,20 @@ def faults(docs: DataFrame, node: dict, doc: str = "doc", key: str = "record_id"
     every place that must be an object or a list, in lists of objects too. A null text, one that is no
     object and one that is no JSON have the one fault that says so.
     """
-    v = F.try_parse_json(F.col(doc))
-    keys = F.map_keys(F.try_variant_get(v, "$", "map<string,variant>"))
-    missing = F.filter(F.array(*map(F.lit, node)), lambda k: ~F.array_contains(keys, k))
 
-    def is_list(outer: str, inner: str) -> Column:
-        at = F.try_variant_get(v, f"$.{outer}.{inner}", "variant")
-        return at.isNull() | F.try_variant_get(v, f"$.{outer}.{inner}", "array<variant>").isNotNull()
+    def found(v: Column) -> Column:
+        keys = F.map_keys(F.try_variant_get(v, "$", "map<string,variant>"))
+        missing = F.filter(F.array(*map(F.lit, node)), lambda k: ~F.array_contains(keys, k))
+
+        def is_list(outer: str, inner: str) -> Column:
+            at = F.try_variant_get(v, f"$.{outer}.{inner}", "variant")
+            return at.isNull() | F.try_variant_get(v, f"$.{outer}.{inner}", "array<variant>").isNotNull()
+
+        older = [F.when(~is_list(*REGISTRY) & ~is_list(*x), F.array(F.lit(f"{'.'.join(x)} must be a list"))).otherwise(F.array().cast("array<string>")) for x in LEGACY]
+        every = F.concat(F.transform(missing, lambda k: F.concat(F.lit("missing top-level key: "), k)), *older, _walk(v, node, "$", F.lit("")))
+        return F.when(keys.isNull(), F.array(F.lit("payload is not an object"))).otherwise(every)
 
-    older = [F.when(~is_list(*REGISTRY) & ~is_list(*x), F.array(F.lit(f"{'.'.join(x)} must be a list"))).otherwise(F.array().cast("array<string>")) for x in LEGACY]
-    every = F.concat(F.transform(missing, lambda k: F.concat(F.lit("missing top-level key: "), k)), *older, _walk(v, node, "$", F.lit("")))
-    found = F.when(keys.isNull(), F.array(F.lit("payload is not an object"))).otherwise(every)
-    return docs.select(key, F.posexplode(found).alias("ord", "fault"))
+    return docs.select(key, F.posexplode(F.transform(F.array(F.try_parse_json(F.col(doc))), found)[0]).alias("ord", "fault"))
 
 
 def problems(docs: DataFrame, node: dict, doc: str = "doc", key: str = "record_id") -> DataFrame:

@@ -127,16 +127,22 @@ def compress_citations(c: Column) -> Column:
 
     A pair joins two single numbers only, so of "[1], [2], [3]" the third stays apart. Parenthesised
     groups are rewritten element by element: the text is cut at the groups, and the odd pieces are
-    the groups themselves.
+    the groups themselves. Brackets around a list go however many there are: as many passes as the text's
+    longest run of opening ones.
     """
     group = r"\(\s*(?:\[\d+\]\s*[,;]\s*)*\[\d+\]\s*\)"
-    plain, groups = F.split(c, group), F.regexp_extract_all(c, F.lit(f"({group})"), F.lit(1))
-    short = F.transform(groups, lambda g: F.concat(F.lit("["), F.array_join(F.regexp_extract_all(g, F.lit(r"\[(\d+)\]"), F.lit(1)), ","), F.lit("]")))
-    s = F.array_join(F.transform(plain, lambda p, i: F.concat(p, F.coalesce(F.get(short, i), F.lit("")))), "")
-    s = F.regexp_replace(s, r"\[\s*(\d+)\s*\]\s*,\s*\[\s*(\d+)\s*\]", "[$1,$2]")
-    for _ in range(3):
-        s = F.regexp_replace(s, r"\[\s*\[\s*((?:\d+\s*[,;]\s*)*\d+)\s*\]\s*\]", "[$1]")
-    return s
+    inward = r"\[\s*\[\s*((?:\d+\s*[,;]\s*)*\d+)\s*\]\s*\]"
+
+    def drawn(t: Column) -> Column:
+        plain, groups = F.split(t, group), F.regexp_extract_all(t, F.lit(f"({group})"), F.lit(1))
+        short = F.transform(groups, lambda g: F.concat(F.lit("["), F.array_join(F.regexp_extract_all(g, F.lit(r"\[(\d+)\]"), F.lit(1)), ","), F.lit("]")))
+        s = F.array_join(F.zip_with(plain, short, lambda p, g: F.concat(p, F.coalesce(g, F.lit("")))), "")
+        s = F.regexp_replace(s, r"\[\s*(\d+)\s*\]\s*,\s*\[\s*(\d+)\s*\]", "[$1,$2]")
+        runs = F.transform(F.regexp_extract_all(t, F.lit(r"(\[(?:\s*\[)+)"), F.lit(1)), lambda x: F.length(F.regexp_replace(x, r"[^\[]", "")) - 1)
+        passes = F.sequence(F.lit(0), F.coalesce(F.array_max(runs), F.lit(0)))
+        return F.aggregate(passes, s, lambda text, k: F.when(k == 0, text).otherwise(F.regexp_replace(text, inward, "[$1]")))
+
+    return F.transform(F.array(c), drawn)[0]  # bound to a variable, so that the text is made once
 
 
 def prompt(template: str, **values: Column) -> Column:

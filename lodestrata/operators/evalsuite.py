@@ -150,3 +150,8 @@ def gate_table(method: str, checks: DataFrame) -> DataFrame:
     """Whether a method passes all checks, and how many it fails."""
     failed = F.count_if(~F.col("passed"))
     return checks.agg(F.lit(method).alias("method"), (failed == 0).alias("pass"), failed.alias("failed_count"))
+
+
+def unit_table(method: str, unit: DataFrame) -> DataFrame:
+    """Unit accuracy of a method by block, in the order of the blocks."""
+    return unit.filter("block <> 'overall'").select(F.lit(method).alias("method"), "block", "accuracy", "n").orderBy("block")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lodestrata.functions.numeric import factor, to_float
+from lodestrata.functions.numeric import GOLD_UNITS, factor, to_float
 from lodestrata.functions.text import blank_to_null, clean, family_mechanism, slug, strip
 from lodestrata.operators.pick import last_by
 
@@ -241,3 +241,43 @@ def metadata_from_xml(docs: DataFrame, xml: str = "xml") -> DataFrame:
             "xml_year": year_of(xml_first(x, "prism:coverDate")),
         }
     )
+
+
+#: Where older records hold their parameters.
+OLDER = (("elastic_parameters", "constants"), ("plastic_parameters", "parameters"))
+
+
+def _put(obj: Column, **values: Column) -> Column:
+    """An object (map of VARIANT) with these values, which replace those of the same keys; a null one leaves the key as it is."""
+    new = F.map_filter(F.create_map(*[x for k, v in values.items() for x in (F.lit(k), v)]), lambda _, v: v.isNotNull())
+    return F.transform(F.array(new), lambda n: F.map_concat(F.map_filter(obj, lambda k, _: ~F.map_contains_key(n, k)), n))[0]
+
+
+def older_document(doc: Column, gold: bool = True) -> Column:
+    """A record of the older form (VARIANT) with numbers, SI values and SI units in both of its blocks; all else stays.
+
+    ``gold`` labels take rates and blank units as factor 1, and their symbol, else canonical name, stripped. An item
+    without a number or a known unit keeps its value. Blocks that are no objects or hold no list stay as they are.
+    """
+
+    def item(x: Column) -> Column:
+        obj = F.try_variant_get(x, "$", "map<string,variant>")
+        text = lambda k: F.try_variant_get(x, f"$.{k}", "string")
+        value, unit = to_float(text("value")), text("unit")
+        by = factor(F.coalesce(unit, F.lit("")), GOLD_UNITS) if gold else factor(F.coalesce(unit, F.lit("")))
+        ok = value.isNotNull() & by.isNotNull()
+        si = F.when(F.lower(unit).isin("pa", "kpa", "mpa", "gpa"), F.lit("Pa")).otherwise(unit)
+        new = {"value": F.when(ok, value).cast("variant"), "value_SI": F.when(ok, value * by).cast("variant"), "unit_SI": F.when(ok, F.coalesce(si.cast("variant"), F.parse_json(F.lit("null"))))}
+        if gold:
+            new["symbol"] = strip(F.coalesce(F.nullif(text("symbol"), F.lit("")), text("canonical_name"))).cast("variant")
+        return F.when(obj.isNull(), x).otherwise(F.to_variant_object(_put(obj, **new)))
+
+    def whole(d: Column) -> Column:
+        root, new = F.try_variant_get(d, "$", "map<string,variant>"), {}
+        for block, key in OLDER:
+            items = F.try_variant_get(d, f"$.{block}.{key}", "array<variant>")
+            of = F.try_variant_get(d, f"$.{block}", "map<string,variant>")
+            new[block] = F.when(items.isNotNull(), F.to_variant_object(_put(of, **{key: F.to_variant_object(F.transform(items, item))})))
+        return F.when(root.isNull(), d).otherwise(F.to_variant_object(_put(root, **new)))
+
+    return F.transform(F.array(doc), whole)[0]  # bound to a variable, so that the text is parsed once

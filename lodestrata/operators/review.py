@@ -57,6 +57,11 @@ def round_robin(rows: DataFrame, stratum: str, order: list[str], n: int) -> Data
     return d.orderBy("pick_round", F.desc("_size"), "_first").limit(n).drop("_size", "_first")
 
 
+def pilot(rows: DataFrame, stratum: str, order: list[str], n: int, by: str) -> DataFrame:
+    """The rows of ``round_robin`` in the order in which they are handed out, by their key."""
+    return round_robin(rows, stratum, order, n).orderBy(by)
+
+
 def seed_record(meta: DataFrame, folder: str, journal: str) -> DataFrame:
     """Adds the annotation metadata of a pilot label."""
     note = F.struct(F.lit("pilot").alias("stage"), F.lit("to_annotate").alias("status"), F.lit("model_prediction").alias("seed_source"), F.col(folder).alias("paper_dir"), F.col(journal).alias("journal_key"))

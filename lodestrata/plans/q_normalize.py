@@ -260,3 +260,45 @@ def doi_extract(spark, sf_dir):
     cited = F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit(" see doi:10.1016/j.abc."), F.col("doc_id").cast("string"), F.lit(" here"))).otherwise("")
     doi = text.first_doi(F.concat("text", cited))
     return d.select("doc_id", doi.alias("doi"), text.journal_key(doi).alias("journal"))
+
+
+@query(
+    f"""{_FAMILIES}, few AS (SELECT * FROM fam WHERE ord = 0 OR record_id % 2 = 1), one AS (SELECT record_id, min(family_id) AS family_id, min(num_systems) AS n FROM few GROUP BY 1 HAVING count(*) = 1)
+    SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN one.family_id END AS family_id, CASE WHEN c_custkey % 2 = 0 THEN one.n END AS num_systems FROM customer LEFT JOIN one ON one.record_id = c_nationkey"""
+)
+def only_family(spark, sf_dir):
+    """Parameters of all slip systems take the record's family where it has one only; half the records keep theirs all, the others the first."""
+    fams = _families(spark, sf_dir).filter("ord = 0 OR record_id % 2 = 1")
+    p = table(spark, sf_dir, "customer").select("c_custkey", F.col("c_nationkey").alias("record_id"), F.lit(None).cast("string").alias("family_id"), F.lit("").alias("family_name"), F.when(F.col("c_custkey") % 2 == 0, "all_slip").otherwise("other").alias("mechanism"))
+    return normalize.choose_family(p, fams).select("c_custkey", "family.family_id", "family.num_systems")
+
+
+_OLDER = """
+    WITH x AS (SELECT p_partkey, p_retailprice AS v, ['GPa', ' mpa', 's^-1', 'K', NULL][(p_partkey % 5 + 1)::INT] AS u, p_partkey % 4 > 0 AS numeric FROM part)
+"""
+
+
+def _older(spark, sf_dir):
+    c, k = F.col, F.col("p_partkey")
+    value = F.when(k % 4 == 0, F.lit('"about 3"')).when(k % 4 == 1, F.concat(F.lit('" '), c("p_retailprice").cast("string"), F.lit('"'))).otherwise(c("p_retailprice").cast("string"))
+    unit = F.element_at(F.array(F.lit('"GPa"'), F.lit('" mpa"'), F.lit('"s^-1"'), F.lit('"K"'), F.lit("null")), (k % 5 + 1).cast("int"))
+    item = F.concat(F.lit('{"value":'), value, F.lit(',"unit":'), unit, F.lit(',"symbol":"","canonical_name":" c'), k.cast("string"), F.lit(' ","more":{"k":1}}'))
+    doc = F.concat(F.lit('{"record_id":"r","elastic_parameters":{"constants":['), item, F.lit(',7],"note":"n"},"plastic_parameters":'), F.when(k % 3 == 0, '{"parameters":5}').otherwise(F.concat(F.lit('{"parameters":['), item, F.lit("]}"))), F.lit("}"))
+    return table(spark, sf_dir, "part").select("p_partkey", F.try_parse_json(doc).alias("doc"))
+
+
+@query(
+    f"""{_OLDER}, y AS (SELECT *, CASE WHEN numeric THEN CASE p_partkey % 5 WHEN 0 THEN 1e9 WHEN 1 THEN 1e6 WHEN 2 THEN 1.0 WHEN 4 THEN 1.0 END END AS f FROM x)
+    SELECT p_partkey, CASE WHEN f IS NULL AND NOT numeric THEN 'about 3' END AS text_value, round((v * f)::DOUBLE, 3) AS value_si, CASE WHEN f IS NOT NULL THEN CASE WHEN p_partkey % 5 = 0 THEN 'Pa' ELSE u END END AS unit_si,
+      'c' || p_partkey AS symbol, '7' AS other_item, 'n' AS note, (CASE WHEN p_partkey % 3 = 0 THEN NULL ELSE round((v * f)::DOUBLE, 3) END) AS plastic_si, CASE WHEN p_partkey % 3 = 0 THEN '5' END AS kept FROM y"""
+)
+def gold_documents(spark, sf_dir):
+    """Older records whole, with numbers and SI values in both of their blocks."""
+    d = _older(spark, sf_dir).select("p_partkey", normalize.older_document(F.col("doc")).alias("r"))
+    at = lambda path, kind="string": F.try_variant_get("r", path, kind)
+    first = "$.elastic_parameters.constants[0]"
+    return d.select(
+        "p_partkey", F.when(at(f"{first}.value", "double").isNull(), at(f"{first}.value")).alias("text_value"), F.round(at(f"{first}.value_SI", "double"), 3).alias("value_si"), at(f"{first}.unit_SI").alias("unit_si"), at(f"{first}.symbol").alias("symbol"),
+        at("$.elastic_parameters.constants[1]").alias("other_item"), at("$.elastic_parameters.note").alias("note"), F.round(at("$.plastic_parameters.parameters[0].value_SI", "double"), 3).alias("plastic_si"),
+        F.when(F.col("p_partkey") % 3 == 0, at("$.plastic_parameters.parameters")).alias("kept"),
+    )

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from lodestrata.functions import nested, numeric, text
 from lodestrata.operators import documents, normalize, params, retrieval, review
-from lodestrata.plans import q_normalize
+from lodestrata.plans import lifecycle, q_normalize
 from lodestrata.plans.registry import query
 from lodestrata.session import table
 from lodestrata.sources import readers, rest, sinks
@@ -422,3 +422,59 @@ def paged_search_stream(spark, sf_dir):
         stream = spark.readStream.format(name).option("count", 100).option("maxPages", most).option("pagesPerBatch", 1_000_000).option("pauseSeconds", 0).load()
         stream.writeStream.format("parquet").option("path", f"{out}/rows").option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True).start().awaitTermination()
     return rest.search_entries(spark.read.parquet(f"{out}/rows")).select("doi", "title", "journal", "year")
+
+
+def _folders(spark, sf_dir, files) -> str:
+    """A local corpus as the readers meet it: a folder for each supplier, with the files (name, text) that ``files`` gives of a row."""
+    root = Path(tempfile.mkdtemp(prefix="lodestrata-corpus-"))
+    atexit.register(shutil.rmtree, root, True)
+    for r in table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey").toLocalIterator():
+        for name, content in files(r):
+            path = root / name
+            path.parent.mkdir(parents=True, exist_ok=True)
+            path.write_text(content, encoding="utf-8")
+    return str(root)
+
+
+@query(
+    """WITH s AS (SELECT s_suppkey, s_suppkey // 2 AS h FROM supplier),
+    f AS (SELECT CASE WHEN s_suppkey % 5 = 4 THEN NULL WHEN s_suppkey % 2 = 0 THEN '10.1016/J.X' || h ELSE '10.1016/j.x' || h END AS doi, 'f' || lpad(s_suppkey::VARCHAR, 6, '0') AS folder FROM s)
+    SELECT lower(doi) AS doi, min(folder) AS folder FROM f WHERE doi IS NOT NULL GROUP BY 1"""
+)
+def local_papers(spark, sf_dir):
+    """Folders with a paper, by the DOI in its text; of two that differ in case only the first folder counts, and folders without one are none."""
+
+    def files(r):
+        doi = f"10.1016/{'J.X' if r.s_suppkey % 2 == 0 else 'j.x'}{r.s_suppkey // 2}"
+        yield f"f{r.s_suppkey:06d}/paper.xml", "<d>none</d>" if r.s_suppkey % 5 == 4 else f"<d><prism:doi>{doi}</prism:doi></d>"
+
+    d = readers.local_corpus(spark, _folders(spark, sf_dir, files))
+    return d.select(F.lower("doi").alias("doi"), F.regexp_extract("folder", r"([^/]+)$", 1).alias("folder"))
+
+
+@query("SELECT 'p' || s_suppkey AS folder, s_nationkey::BIGINT AS n FROM supplier WHERE s_suppkey % 4 <> 0")
+def prediction_folders(spark, sf_dir):
+    """One JSON file a folder; those that cannot be read are passed over."""
+    root = _folders(spark, sf_dir, lambda r: [(f"p{r.s_suppkey}/record.json", "{broken" if r.s_suppkey % 4 == 0 else json.dumps({"n": r.s_nationkey})), (f"p{r.s_suppkey}/other.json", "{}")])
+    return readers.record_folders(spark, root).select("folder", F.get_json_object("doc", "$.n").cast("long").alias("n"))
+
+
+@query(
+    f"""SELECT s_suppkey AS doc_id, kind, name, content FROM supplier, (SELECT unnest(['title', 'section', 'paper']) AS kind, unnest(['title', '001_S.md', 'paper.md']) AS name, unnest([1, 2, 3]) AS k),
+      LATERAL (SELECT [s_name, '## S' || chr(10) || chr(10) || 'x ' || s_nationkey, '# ' || s_name || chr(10) || chr(10) || '## S' || chr(10) || chr(10) || 'x ' || s_nationkey][k] AS content)"""
+)
+def documents_written_by_kind(spark, sf_dir):
+    """Parsed documents written by kind, and read again."""
+    xml = F.concat(F.lit("<d><dc:title>"), "s_name", F.lit("</dc:title><sec><title>S</title><p>x "), F.col("s_nationkey").cast("string"), F.lit("</p></sec></d>"))
+    path = scratch(spark, "documents")
+    sinks.write_documents(documents.parse_documents(table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("doc_id"), xml.alias("xml"))), path)
+    return spark.read.parquet(path).select("doc_id", "kind", "name", "content")
+
+
+@query("SELECT s_suppkey AS doc_id, '=== SECTION: 001_Constitutive model.md (score=2) ===' AS head FROM supplier WHERE s_suppkey % 3 <> 0")
+def contexts_of_documents(spark, sf_dir):
+    """Contexts for a model; a document without a relevant part has none, and no call is made for it."""
+    title = F.when(F.col("s_suppkey") % 3 == 0, "Thanks").otherwise("Constitutive model")
+    xml = F.concat(F.lit("<d><dc:title>T</dc:title><sec><title>"), title, F.lit("</title><p>x</p></sec></d>"))
+    got = lifecycle.contexts(documents.parse_documents(table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("doc_id"), xml.alias("xml")), kinds=("section", "abstract", "table_md")))
+    return got.select("doc_id", F.regexp_extract("context", "=== [^\n]*", 0).alias("head"))

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from lodestrata.operators import context, infix, retrieval, review, search
-from lodestrata.plans.registry import query
+from lodestrata.plans.registry import ORACLES, query
 from lodestrata.session import table
 
 KEYWORDS = ["the", "tion", "schein", "que", "the", ""]
@@ -293,3 +294,11 @@ def hybrid_with_fields(spark, sf_dir):
     emb = table(spark, sf_dir, "embeddings")
     near = retrieval.vector_topk(emb, emb.filter("vec_id = 0").select(F.col("embedding").alias("query_vec")), 10).select(F.col("vec_id").alias("doi"), "score")
     return retrieval.hybrid(near, parameter_hits(spark, sf_dir)).select("hit_list", "doi", "material", "framework", "flow_rule", "score")
+
+
+@query(f"SELECT row_number() OVER (ORDER BY doc_id)::BIGINT AS place, doc_id, source FROM ({ORACLES['stratified_round_robin']})")
+def pilot_labels(spark, sf_dir):
+    """The picked rows in the order of their keys, with the place that each then has."""
+    d = table(spark, sf_dir, "documents").withColumn("k", F.md5(F.col("doc_id").cast("string")))
+    picked = review.pilot(d, "source", ["k", "doc_id"], 50, "doc_id").select("doc_id", "source")
+    return picked.select(F.monotonically_increasing_id().alias("at"), "*").select(F.row_number().over(Window.orderBy("at")).cast("long").alias("place"), "doc_id", "source")  # 50 rows

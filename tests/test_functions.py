@@ -153,3 +153,9 @@ def test_flatten_and_strip_at_any_depth(spark):
     got = {r.record_id: r.doc for r in nested.strip_internal(d).collect()}
     assert {k: json.loads(v) for k, v in got.items() if k < 90} == {k: _without(r) for k, r in enumerate(rows)}
     assert (got[90], got[91], got[92]) == (None, "no _json", deep)
+
+
+def test_citations_in_any_number_of_brackets(spark):
+    for raw in ("[[[[[1]]]]]", "[[1]", "[[[1,2]] x", "([1]; [2]) [[ [3] ]]", "a", "", "[[[[[[[[7; 8]]]]]]]] [1], [2]"):
+        assert one(spark, text.compress_citations(F.lit(raw))) == {"[[[1,2]] x": "[[1,2] x", "([1]; [2]) [[ [3] ]]": "[1,2] [3]"}.get(raw, compress(raw)), raw
+    assert one(spark, text.compress_citations(F.lit(None).cast("string"))) is None

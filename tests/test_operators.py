@@ -310,3 +310,31 @@ def test_documents_of_any_depth_and_kinds(spark):
     assert [r[3] for r in every if r[0] == "section"] == ["## S\n\nx [1]"]
     inner = documents.document_rows(deep, nested=True, kinds=frozenset(("section",)))
     assert len(inner) == 1 and inner[0][3].startswith("## T\n\nx\n\n### T") and inner[0][3].endswith("#" * (n + 1) + " T\n\nx")
+
+
+def test_older_documents_in_both_blocks(spark):
+    doc = {"elastic_parameters": {"constants": [{"symbol": " C11 ", "value": "12", "unit": "GPa", "x": [1]}, {"canonical_name": " n ", "value": 2, "unit": None}, {"symbol": "q", "value": "?", "unit": "Pa"}, 5, {"symbol": "k", "value": 1, "unit": "K"}], "o": 1}, "plastic_parameters": {"parameters": {}}, "z": None}
+    d = spark.createDataFrame([(1, json.dumps(doc)), (2, "[1]"), (3, None), (4, '{"elastic_parameters": 3}')], "k int, doc string").select("k", F.try_parse_json("doc").alias("doc"))
+    got = {r[0]: json.loads(r[1]) if r[1] else None for r in d.select("k", F.to_json(normalize.older_document(F.col("doc")))).collect()}
+    first, second, third, fourth, fifth = got[1]["elastic_parameters"]["constants"]
+    assert first == {"symbol": "C11", "value": 12.0, "value_SI": 12e9, "unit_SI": "Pa", "unit": "GPa", "x": [1]}
+    assert second == {"canonical_name": " n ", "symbol": "n", "value": 2.0, "value_SI": 2.0, "unit_SI": None, "unit": None}
+    assert third == {"symbol": "q", "value": "?", "unit": "Pa"} and fourth == 5 and fifth == {"symbol": "k", "value": 1, "unit": "K"}
+    assert got[1]["plastic_parameters"] == {"parameters": {}} and got[1]["z"] is None and got[1]["elastic_parameters"]["o"] == 1
+    assert got[2] == [1] and got[3] is None and got[4] == {"elastic_parameters": 3}
+    pred = json.loads(d.filter("k = 1").select(F.to_json(normalize.older_document(F.col("doc"), gold=False))).first()[0])["elastic_parameters"]["constants"]
+    assert pred[0]["symbol"] == " C11 " and pred[0]["value_SI"] == 12e9 and pred[1] == {"canonical_name": " n ", "value": 2, "unit": None}
+
+
+def test_numbers_of_references_by_their_labels():
+    xml = "<d><sec><p>a <ce:cross-ref refid='b7'/> <ce:cross-ref refid='b08'/> <ce:cross-ref refid='none'/></p></sec><ce:bib-reference id='b7'><ce:label>[03]</ce:label></ce:bib-reference><ce:bib-reference id='b08'><ce:label>x</ce:label></ce:bib-reference></d>"
+    section = lambda **kw: next(r[3] for r in documents.document_rows(xml, **kw) if r[0] == "section")
+    assert section(by_label=True, unknown="?") == "a [03] [8] [?]" and section() == "a [7] [8]"
+
+
+def test_pilot_rows_in_key_order(spark):
+    d = spark.createDataFrame([(k, "abc"[k % 3], -k) for k in range(12)], "doi int, s string, o int")
+    got = [r.doi for r in review.pilot(d, "s", ["o"], 5, "doi").collect()]
+    assert got == sorted(got) and set(got) == {r.doi for r in review.round_robin(d, "s", ["o"], 5).collect()}
+    units = spark.createDataFrame([("b", 1.0, 2), ("overall", 0.5, 4), ("a", 0.0, 2)], "block string, accuracy double, n long")
+    assert [tuple(r) for r in evalsuite.unit_table("m", units).collect()] == [("m", "a", 0.0, 2), ("m", "b", 1.0, 2)]
