@@ -38,10 +38,12 @@ def _kind_table() -> np.ndarray:
 
 
 def ngram_counts(texts: list[str], piece: int = 1_000_000) -> tuple[np.ndarray, np.ndarray]:
-    """Counts of hashed n-grams by text, and the number of letters; runs of other characters are one space. Long texts are gone through in pieces."""
+    """Counts of hashed n-grams by text, and the number of letters; runs of other characters are one space. Long texts are gone through in pieces, and what stands at a border counts once."""
     size = 1 << BITS
     counts, letters = np.zeros((len(texts), size), np.float32), np.zeros(len(texts), np.int64)
     group, at = [], 0
+    # What the text that a piece cuts was left with: its row, its last characters, and whether the very last was a letter.
+    held = {"row": -1, "tail": np.zeros(0, np.uint32), "letter": False}
 
     def flush(parts: list[tuple[int, str]]) -> None:
         c = np.frombuffer("".join(t for _, t in parts).encode("utf-32-le", "surrogatepass"), np.uint32)
@@ -52,7 +54,14 @@ def ngram_counts(texts: list[str], piece: int = 1_000_000) -> tuple[np.ndarray,
         is_letter = kind > 0
         keep = is_letter.copy()
         keep[1:] |= is_letter[:-1] & (part[1:] == part[:-1])
+        goes_on = parts[0][0] == held["row"]
+        if goes_on and len(keep):
+            keep[0] |= held["letter"]
+        tail = held["tail"] if goes_on else held["tail"][:0]
+        held["row"], held["letter"] = parts[-1][0], bool(len(is_letter) and is_letter[-1])
         c, row, part = np.where(is_letter, c, 32)[keep].astype(np.uint32), row[keep], part[keep]
+        c, row, part = np.concatenate((tail, c)), np.concatenate((np.full(len(tail), parts[0][0]), row)), np.concatenate((np.zeros(len(tail), np.int64), part))
+        held["tail"] = c[part == len(parts) - 1][1 - max(ORDERS) :]
         for n in ORDERS:
             if len(c) < n:
                 continue
@@ -62,13 +71,14 @@ def ngram_counts(texts: list[str], piece: int = 1_000_000) -> tuple[np.ndarray,
                 h = (h ^ c[i : i + m]) * np.uint32(0x85EBCA6B)
                 h ^= h >> np.uint32(15)
             same = part[:m] == part[n - 1 :]
+            same[: max(len(tail) - n + 1, 0)] = False  # counted with the piece before
             cell = row[:m][same] * size + (h[same] * np.uint32(0xC2B2AE35) >> np.uint32(32 - BITS)).astype(np.int64)
             counts.ravel()[:] += np.bincount(cell, minlength=counts.size).astype(np.float32)
 
     for r, text in enumerate(texts):
         text = f" {text.lower()} "
         for k in range(0, len(text), piece):
-            own = text[max(0, k - max(ORDERS) + 1) if k else 0 : k + piece]
+            own = text[k : k + piece]
             group.append((r, own))
             at += len(own)
             if at >= piece:

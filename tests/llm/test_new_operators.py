@@ -13,7 +13,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from lodestrata.llm import chat_format, collocations, html_extract, importance
+from lodestrata.llm import chat_format, collocations, html_extract, importance, language_id, media_ts
 from lodestrata.llm import queries as q
 from lodestrata.llm.textkit import Words
 
@@ -282,3 +282,59 @@ def test_what_follows_the_last_tag_is_text_or_a_comment():
     text = lambda h: html_extract.Page(h).main_text(set())
     assert text("<p>a</p>b < c") == "a\n\nb < c" and text("<p>a</p>b<a href=") == "a\n\nb" and text("<p>a</p>b<!-- c") == "a\n\nb" and text("<!--><p>a</p>") == "" and text("<!-- x --><p>a</p>") == "a"
     assert text("<p>a</p><script>b</script ") == "a" and text("no tags") == "no tags"
+
+
+# ---- earlier operators, by independent means
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.text(alphabet="abÉ1 .́\n", max_size=40), min_size=1, max_size=6), st.integers(1, 9))
+def test_grams_of_pieces_count_exactly_as_the_whole(texts, piece):
+    whole, n = language_id.ngram_counts(texts)
+    parts, m = language_id.ngram_counts(texts, piece=piece)
+    assert (whole == parts).all() and (n == m).all()
+    for k, t in enumerate(texts):  # and the whole by a regular expression: each run that is no letter or mark is one space
+        plain = re.sub("[^abé́]+", " ", f" {t.lower()} ").lstrip()
+        assert whole[k].sum() == sum(max(0, len(plain) - n + 1) for n in language_id.ORDERS)
+
+
+def test_language_by_brute_force(spark):
+    """Nearest centroid by cosine of log-count times inverse document frequency, computed text by text without numpy's matrices."""
+    words = {"aa": ["wal", "wop", "wik"], "bb": ["zun", "zer", "zot"], "cc": ["mil", "mon", "zun"]}
+    rng = random.Random(8)
+    train = [(k, " ".join(rng.choice(words[lang]) for _ in range(12)), lang) for k, lang in enumerate(["aa", "bb", "cc"] * 20)]
+    model = language_id.fit(spark.createDataFrame(train, "doc_id long, text string, lang string"))
+    texts = [" ".join(rng.choice(words[lang] + ["wal"]) for _ in range(rng.randrange(1, 30))) for lang in ["aa", "bb", "cc"] * 8] + ["", None, "123"]
+    got = {r.doc_id: r for r in language_id.predict(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model).collect()}
+    df = collections.Counter(g for _, t, _ in train for g in set(np.flatnonzero(language_id.ngram_counts([t])[0][0]).tolist()))
+    for k, t in enumerate(texts):
+        if not t or t == "123":
+            assert (got[k].lang_pred, got[k].score) == ("und", 0.0)
+            continue
+        counts = language_id.ngram_counts([t])[0][0]
+        v = {int(g): math.log1p(counts[g]) * (math.log((1 + len(train)) / (1 + df[int(g)])) + 1) for g in np.flatnonzero(counts)}
+        norm = math.sqrt(sum(x * x for x in v.values()))
+        best = max((sum(x * float(c[g]) for g, x in v.items()) / norm, lang) for c, lang in zip(model["centroids"], model["langs"], strict=True))
+        assert got[k].score == pytest.approx(best[0], abs=1e-4) and got[k].lang_pred == best[1]
+
+
+def test_a_transport_stream_that_the_muxer_did_not_make():
+    """Table sections as other muxers write them, with their published checksums, and elementary packets laid out by hand."""
+    fill = lambda b: b + b"\xff" * (188 - len(b))
+    pat = fill(bytes.fromhex("474000100000b00d0001c100000001f0002ab104b2"))
+    pmt = fill(bytes.fromhex("475000100002b0120001c10000e100f0001be100f00015bd4d56"))
+    # PTS 0x1_2345_6789: bits 32-30, 29-15 and 14-0, each followed by a marker bit.
+    pts = 0x123456789
+    stamp = bytes([0x20 | (pts >> 30 & 7) << 1 | 1]) + ((pts >> 15 & 0x7FFF) << 1 | 1).to_bytes(2, "big") + ((pts & 0x7FFF) << 1 | 1).to_bytes(2, "big")
+    first = bytes.fromhex("000001e00000808005") + stamp + b"A" * 100
+    head = bytes([0x47, 0x41, 0x00, 0x30, 188 - 5 - len(first)]) + b"\x40" + b"\xff" * (188 - 6 - len(first)) + first  # random access
+    second = bytes([0x47, 0x01, 0x00, 0x11]) + b"B" * 184
+    lost = bytes([0x47, 0x01, 0x00, 0x13]) + b"C" * 184  # counter 2 is missing
+    unit = bytes.fromhex("000001e0000d800000") + b"D" * 10
+    last = bytes([0x47, 0x41, 0x00, 0x34, 188 - 5 - len(unit)]) + b"\x00" + b"\xff" * (188 - 6 - len(unit)) + unit
+    got = media_ts.demux(pat + pmt + head + second + second + lost + last)
+    assert (got["programs"], got["streams"], got["crc_errors"]) == ({1: 0x1000}, {0x100: 0x1B}, 0)
+    assert got["payload"] == b"A" * 100 + b"B" * 184 + b"C" * 184 + b"D" * 10
+    assert got["pts"] == [pts, None] and got["rap"] == [True, False] and got["cc_errors"] == 1 and got["sync_errors"] == 0
+    broken = media_ts.demux(pat[:20] + b"\x00" + pat[21:] + pmt)
+    assert broken["crc_errors"] == 1 and broken["programs"] == {}
