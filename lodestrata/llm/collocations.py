@@ -198,7 +198,7 @@ def phrase_counts(texts: DataFrame, lengths: tuple[int, ...], words=None, pairs=
             if 0 in lengths:
                 n = np.bincount(shard.lang[: shard.own], minlength=len(names))
                 some = np.flatnonzero(n)
-                out.append((some, 0, pa.array([""] * len(some)), n[some]))
+                out.append((some, pa.array([""] * len(some), pa.string()), n[some]))
             if words is not None:
                 known = _passes(words.value, shard.hashes(langs, 1))
                 shard = shard.within(known, np.ones(len(known), bool), low)
@@ -209,15 +209,18 @@ def phrase_counts(texts: DataFrame, lengths: tuple[int, ...], words=None, pairs=
             for k in lengths:
                 if k:
                     at, count = shard.intervals(order, common, k)
-                    out.append((shard.lang[at], k, shard.phrases(at, k), count))
-            name = pa.array(names, pa.string())
-            for lang, k, phrase, count in out:
-                whole = pa.RecordBatch.from_arrays([name.take(pa.array(lang)), pa.array(np.full(len(count), k), pa.int32()), phrase.cast(pa.string()), pa.array(count, pa.int64())], ["lang", "words", "phrase", "n"])
+                    out.append((shard.lang[at], shard.phrases(at, k), count))
+            # Language and phrase are one key, so that rows are short; a phrase holds no line end.
+            name = pa.array([f"{x}\n" for x in names], pa.string())
+            for lang, phrase, count in out:
+                key = pc.binary_join_element_wise(name.take(pa.array(lang)), phrase.cast(pa.string()), "")
                 for a in range(0, len(count), 20_000):
-                    yield whole.slice(a, 20_000)
+                    yield pa.RecordBatch.from_arrays([key[a : a + 20_000], pa.array(count[a : a + 20_000], pa.int64())], ["key", "n"])
 
-    made = texts.mapInArrow(run, "lang string, words int, phrase string, n long")
-    return made.groupBy("lang", "words", "phrase").agg(F.sum("n").alias("n"))
+    made = texts.mapInArrow(run, "key string, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    phrase = F.substring_index("key", "\n", -1)
+    words = F.when(phrase == "", 0).otherwise(F.length(phrase) - F.length(F.replace(phrase, F.lit(" "), F.lit(""))) + 1)
+    return made.select(F.expr("left(key, length(key) - length(substring_index(key, '\n', -1)) - 1)").alias("lang"), words.cast("int").alias("words"), phrase.alias("phrase"), "n")
 
 
 def frequent_phrases(docs: DataFrame, least: int = LEAST, size: int = SHARD, most_bits: int = FILTER_BITS) -> tuple[DataFrame, DataFrame]:

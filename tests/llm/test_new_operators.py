@@ -222,7 +222,7 @@ def _collocations(docs, least, first):
 def test_collocations_equal_brute_force(spark, shard, bits):
     rng = random.Random(5)
     vocab = ["new", "York", "of", "the", "Éa", "x\x00y", "😀"]
-    docs = [(rng.choice(["en", "fr", None, ""]), " ".join(rng.choice(vocab) + rng.choice(["", "", "", ".", "\n", ",", "\t"]) for _ in range(rng.randrange(80)))) for _ in range(60)]
+    docs = [(rng.choice(["en", "fr", None, "", "a\nb"]), " ".join(rng.choice(vocab) + rng.choice(["", "", "", ".", "\n", ",", "\t"]) for _ in range(rng.randrange(80)))) for _ in range(60)]
     docs += [("en", "united states of america stands"), ("en", None), ("en", ""), (None, "\r\n,,;")] * 6 + [("de", "eins zwei drei " * 300)]
     df = spark.createDataFrame([(k, t, lang, "n", 1) for k, (lang, t) in enumerate(docs)], "doc_id long, text string, lang string, words string, phrase long").repartition(3)
     got = collocations.collocations(df, least=5, first=40, size=shard, most_bits=bits)
