@@ -17,7 +17,7 @@ HEADLINE = [
     "vector_topk", "retrieval_hit_mrr", "keyword_search", "keyword_score_rank", "funnel_counts", "dedup_keep_best", "chunk_documents", "norm_text", "context_budget_inclusive", "block_index",
     "positional_join", "role_sets", "resolve_by_role", "scope_normalize", "unit_normalize", "quality_issues", "review_queue", "numeric_metrics", "field_metrics", "citation_metrics", "error_buckets",
     "pipeline_cost_report", "upsert_coalesce", "replace_by_key", "stratified_round_robin", "document_parse",
-    "record_faults", "nested_leaves", "infix_search", "keyed_upsert", "report_main_table", "gold_documents", "embed_chunks",
+    "record_faults", "keyed_upsert", "report_main_table", "gold_documents", "embed_chunks",
 ]
 
 
