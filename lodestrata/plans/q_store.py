@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
+
 from pyspark.sql import functions as F
 
 from lodestrata.operators import keyed, store
@@ -125,12 +129,13 @@ _TYPES = {"c_custkey": "BIGINT", "c_name": "VARCHAR(200)", "c_acctbal": "DOUBLE"
 
 @query(ORACLES["upsert_mixed"])
 def database_merge(spark, sf_dir):
-    """The mixed upsert in a database: ranged read, staging table, one merge. Here an embedded database, which lives in the driver's process and so needs local mode."""
-    url = f"jdbc:derby:memory:{scratch(spark, 'db').rsplit('-', 1)[1]};create=true"
-    props = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+    """The mixed upsert in a database: ranged read, staging table, one merge. Here an embedded database on the driver's disk, which rows reach and leave as files in the shared folder."""
+    home = tempfile.mkdtemp(prefix="lodestrata-db-")
+    atexit.register(shutil.rmtree, home, True)
+    url, props = f"jdbc:derby:{home}/db;create=true", {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
     with database.connection(spark, url, props) as c:
         database.execute(c, "CREATE TABLE customers (c_custkey BIGINT PRIMARY KEY, c_name VARCHAR(200), c_acctbal DOUBLE)")
     old, new = _state(spark, sf_dir)
-    database.merge(old, url, "customers", ["c_custkey"], _TYPES, props, ignore=True)
-    database.merge(new, url, "customers", ["c_custkey"], _TYPES, props, overwrite=("c_name",))
-    return database.read_ranges(spark, url, "customers", "c_custkey", props).toDF("c_custkey", "c_name", "c_acctbal")
+    database.merge(old, url, "customers", ["c_custkey"], _TYPES, props, ignore=True, embedded=True)
+    database.merge(new, url, "customers", ["c_custkey"], _TYPES, props, overwrite=("c_name",), embedded=True)
+    return database.export_ranges(spark, url, "customers", "c_custkey", "c_custkey bigint, c_name string, c_acctbal double", props)

@@ -1,9 +1,17 @@
 """What larger tables brought up: long strings, ties in rounding, and work that must not grow faster than its input."""
 
+import os
+import subprocess
+import sys
+from pathlib import Path
+
 from pyspark.sql import functions as F
 
 from lodestrata.functions import text
 from lodestrata.operators import documents
+from lodestrata.sources import database
+
+REPO = str(Path(__file__).resolve().parents[1])
 
 
 def test_a_long_string_stays_whole():
@@ -17,3 +25,33 @@ def test_vector_text_rounds_the_number_itself(spark):
     d = spark.createDataFrame([(0, [0.001953125, None, -0.005859375, 1e22]), (1, []), (2, None), (3, [float("nan"), float("-inf"), -0.0])], "k int, v array<float>")
     got = dict(d.select("k", text.vector_text(F.col("v"))).collect())
     assert got == {0: "[0.00195312,-0.00585938,9999999778196308361216.00000000]", 1: "[]", 2: None, 3: "[nan,-inf,-0.00000000]"}
+
+
+def test_database_merge_with_executors_of_their_own(tiny, tmp_path):
+    """An embedded database is in the driver's process, where tasks of a cluster do not reach it."""
+    code = f"""
+import sys
+sys.path.insert(0, {REPO!r})
+from lodestrata.session import build_session
+from lodestrata.plans import q_store
+s = build_session("cluster", "local-cluster[1,2,1024]", spark__driver__host="127.0.0.1", spark__checkpoint__dir={str(tmp_path)!r}, spark__executor__memory="700m")
+a, b = sorted(map(tuple, q_store.database_merge(s, {tiny!r}).collect())), sorted(map(tuple, q_store.upsert_mixed(s, {tiny!r}).collect()))
+assert a == b and a, (a[:3], b[:3])
+print("equal")
+"""
+    r = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=240, cwd=tmp_path, env=os.environ | {"PYTHONPATH": REPO})
+    assert "equal" in r.stdout, r.stderr[-2000:]
+
+
+def test_embedded_database_keeps_every_text(spark, tmp_path):
+    url, props = f"jdbc:derby:{tmp_path}/db;create=true", {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+    with database.connection(spark, url, props) as c:
+        database.execute(c, "CREATE TABLE t (k BIGINT PRIMARY KEY, a VARCHAR(40), b DOUBLE)")
+    rows = [(-5, ' a "b", c ', 0.1), (2, "", None), (9, None, 1e300), (10, "l\nm\r\n\\", -0.5), (11, "ü,", 3.0), (12, '"', 1e-7)]
+    d = spark.createDataFrame(rows, "k long, a string, b double")
+    assert database.merge(d, url, "t", ["k"], {"k": "BIGINT", "a": "VARCHAR(40)", "b": "DOUBLE"}, props, embedded=True) == 6
+    got = lambda: sorted(map(tuple, database.export_ranges(spark, url, "t", "k", "k long, a string, b double", props, 4).collect()))
+    assert got() == rows
+    with database.connection(spark, url, props) as c:
+        database.execute(c, "DELETE FROM t WHERE k < 100")
+    assert got() == []
