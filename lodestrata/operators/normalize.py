@@ -127,19 +127,32 @@ def families(docs: DataFrame, col: str, kind: str, key: str = "record_id") -> Da
     return d.select(key, "kind", "ord", "fkey", "family_id", "family_name", "plane_direction", "systems", "num_systems", "mechanism")
 
 
+#: Mechanisms of which a record's first slip family serves (fixed values).
+FIRST_OF_MECHANISM = ["basal_slip", "prismatic_slip", "pyramidal_slip"]
+
+
 def choose_family(params: DataFrame, fams: DataFrame, key: str = "record_id") -> DataFrame:
-    """Adds ``family``: by id or name (slip before twin), else the first slip family of the mechanism, else the only family of the kind that the mechanism names; else null."""
-    whole = Window.partitionBy(key, "kind")
-    fams = fams.withColumn("_only", F.count("*").over(whole) == 1)
+    """Adds ``family``: by id or name (slip before twin), else the first slip family of the mechanism, else the only family of the kind that the mechanism names; else null.
+
+    One rule applies to a parameter, so it asks for one text; a family answers to its key, its mechanism and
+    being the only one, and of those that answer to the same the first is kept by aggregation. A parameter then
+    meets one family at most, however many its record has.
+    """
+    slip = F.col("kind") == "slip"
+    asked = F.array_compact(
+        F.array(
+            F.concat(F.lit("name "), blank_to_null(F.col("fkey"))), F.when(slip & F.col("mechanism").isin(FIRST_OF_MECHANISM), F.concat(F.lit("first "), F.col("mechanism"))), F.when(slip, "only slip").otherwise("only twin"),
+        )
+    )
     item = F.struct("family_id", F.coalesce("family_name", "plane_direction").alias("family_name"), "systems", "num_systems")
-    per = fams.groupBy(key).agg(F.sort_array(F.collect_list(F.struct(F.when(F.col("kind") == "slip", 0).otherwise(1).alias("k"), "ord", "fkey", F.col("mechanism").alias("mech"), "_only", item.alias("family")))).alias("_f"))
+    at = F.struct(F.when(slip, 0).otherwise(1).alias("k"), "ord", "fkey", F.col("mechanism").alias("mech"))
+    answers = fams.select(key, "kind", F.explode(asked).alias("_rule"), at.alias("_at"), item.alias("family"))
+    answers = answers.groupBy(key, "kind", "_rule").agg(F.count("*").alias("_n"), F.min_by("family", "_at").alias("family"), F.min("_at").alias("_at")).filter("_n = 1 OR _rule NOT LIKE 'only %'")
+    answers = answers.groupBy(key, "_rule").agg(F.min_by("family", "_at").alias("family"))
     name, mech = slug(F.coalesce(blank_to_null(F.col("family_id")), F.col("family_name"))), slug(F.col("mechanism"))
-    pick = lambda cond: F.get(F.filter("_f", cond), F.lit(0))["family"]
-    by_name = pick(lambda x: x["fkey"] == F.col("_name"))
-    by_mech = pick(lambda x: (x["k"] == 0) & (x["mech"] == F.col("_mech")) & F.col("_mech").isin("basal_slip", "prismatic_slip", "pyramidal_slip"))
-    only = pick(lambda x: x["_only"] & ((x["k"] == 1) & F.col("_mech").isin("twinning", "all_twin") | (x["k"] == 0) & (F.col("_mech") == "all_slip")))
-    d = params.join(per, key, "left").withColumn("_name", name).withColumn("_mech", mech)
-    return d.withColumn("family", F.when(F.col("_name") != "", by_name).otherwise(F.coalesce(by_mech, only))).drop("_f", "_name", "_mech")
+    by_mech = F.when(F.col("_mech").isin(FIRST_OF_MECHANISM), F.concat(F.lit("first "), F.col("_mech"))).when(F.col("_mech").isin("twinning", "all_twin"), "only twin").when(F.col("_mech") == "all_slip", "only slip")
+    d = params.withColumn("_name", name).withColumn("_mech", mech).withColumn("_rule", F.when(F.col("_name") != "", F.concat(F.lit("name "), F.col("_name"))).otherwise(by_mech))
+    return d.join(answers, [key, "_rule"], "left").drop("_rule", "_name", "_mech")
 
 
 def normalize_scope(params: DataFrame) -> DataFrame:
