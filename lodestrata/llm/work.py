@@ -2,20 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
-
+from lodestrata.session import short_batches
 from lodestrata.storage import stored, work_dir
 
 __all__ = ["short_batches", "stored", "work_dir"]
-
-
-def short_batches(spark: SparkSession, rows: int = 2_000, size: int = 8 << 20) -> None:
-    """Bounds the rows and bytes of an Arrow batch in this session, so that batches of long texts stay small in memory.
-
-    Results are lazy and read the settings when they run, so the session keeps the lower bounds;
-    smaller ones that it already has stay.
-    """
-    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", rows), ("spark.sql.execution.arrow.maxBytesPerBatch", size)):
-        now = spark.conf.get(key)
-        if not now.isdigit() or not 0 < int(now) <= most:
-            spark.conf.set(key, str(most))

@@ -233,14 +233,14 @@ _LINES = rf"""
     SELECT * FROM s"""
 )
 def document_sections(spark, sf_dir):
-    return documents.parse_documents(_nested_xml(spark, sf_dir)).filter("kind IN ('section', 'abstract', 'table_md')").select("doc_id", "kind", "ord", "content")
+    return documents.parse_documents(_nested_xml(spark, sf_dir), kinds=("section", "abstract", "table_md")).select("doc_id", "kind", "ord", "content")
 
 
 @query(
     rf"""{_LINES} SELECT doc_id, i::INT AS ord, '## S' || (i - 1) || chr(10) || chr(10) || para || chr(10) || chr(10) || '### Inner' || chr(10) || chr(10) || 'in [1,2]' AS content FROM p"""
 )
 def document_sections_nested(spark, sf_dir):
-    return documents.parse_documents(_nested_xml(spark, sf_dir), nested=True).filter("kind = 'section'").select("doc_id", "ord", "content")
+    return documents.parse_documents(_nested_xml(spark, sf_dir), nested=True, kinds=("section",)).select("doc_id", "ord", "content")
 
 
 @query(
@@ -249,20 +249,20 @@ def document_sections_nested(spark, sf_dir):
     SELECT doc_id, '# D' || chr(10) || chr(10) || '# Abstract' || chr(10) || chr(10) || 'A ' || doc_id || chr(10) || chr(10) || 'B' || chr(10) || chr(10) || s AS paper FROM t"""
 )
 def papers_with_unknown_references(spark, sf_dir):
-    return documents.parse_documents(_nested_xml(spark, sf_dir), unknown="?").filter("kind = 'paper'").select("doc_id", F.col("content").alias("paper"))
+    return documents.parse_documents(_nested_xml(spark, sf_dir), unknown="?", kinds=("paper",)).select("doc_id", F.col("content").alias("paper"))
 
 
 @query(rf"SELECT doc_id, '# D' || chr(10) || chr(10) || trim(regexp_replace(x, '{_WS}+', ' ', 'g')) AS paper, 1::BIGINT AS sections FROM (SELECT doc_id, regexp_replace(text, '[\x00-\x08\x0b\x0c\x0e-\x1f\[\]()]', ' ', 'g') AS x FROM documents) WHERE trim(regexp_replace(x, '{_WS}+', ' ', 'g')) <> ''")
 def documents_without_sections(spark, sf_dir):
     esc = lambda c: F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
     xml = F.concat(F.lit("<doc><dc:title>D</dc:title><ce:para>"), esc(F.regexp_replace("text", r"[\x00-\x08\x0b\x0c\x0e-\x1f\[\]()]", " ")), F.lit("</ce:para></doc>"))
-    d = documents.parse_documents(table(spark, sf_dir, "documents").select("doc_id", xml.alias("xml")), nested=True)
+    d = documents.parse_documents(table(spark, sf_dir, "documents").select("doc_id", xml.alias("xml")), nested=True, kinds=("paper", "section"))
     return d.groupBy("doc_id").agg(F.max(F.when(F.col("kind") == "paper", F.col("content"))).alias("paper"), F.count_if(F.col("kind") == "section").alias("sections")).filter("sections > 0")
 
 
 @query("SELECT doc_id, '2' AS label, 'R' AS title, '10.1/r' AS doi FROM documents WHERE text IS NOT NULL")
 def document_reference_rows(spark, sf_dir):
-    return documents.references(documents.parse_documents(_nested_xml(spark, sf_dir))).select("doc_id", "label", "title", "doi")
+    return documents.references(documents.parse_documents(_nested_xml(spark, sf_dir), kinds=("reference",))).select("doc_id", "label", "title", "doi")
 
 
 @query("SELECT doc_id, replace(translate(text, '[]()', '    '), '.', ' [3,4] [5,6].') AS c FROM documents")
