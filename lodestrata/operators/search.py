@@ -12,12 +12,16 @@ from lodestrata.operators.pick import first_by
 
 def keyword_score(text: Column, keywords: list[str]) -> Column:
     """How many keywords are substrings of the lower-cased text; a repeated keyword counts repeatedly, an empty one never."""
-    t = F.coalesce(F.lower(text), F.lit(""))
-    out = F.lit(0)
-    for k in keywords:
-        if k:
-            out = out + F.when(F.contains(t, F.lit(k.lower())), 1).otherwise(0)
-    return out
+
+    def score(t: Column) -> Column:
+        out = F.lit(0)
+        for k in keywords:
+            if k:
+                out = out + F.when(F.contains(t, F.lit(k.lower())), 1).otherwise(0)
+        return out
+
+    # Bound to a variable, so that a filter, too, lower-cases the text once and not for each keyword.
+    return F.transform(F.array(F.coalesce(F.lower(text), F.lit(""))), score)[0]
 
 
 def keyword_score_squeezed(text: Column, keywords: list[str]) -> Column:

@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import functions as F
 
 from lodestrata.functions import text
-from lodestrata.operators import documents, normalize
+from lodestrata.operators import documents, normalize, search
 from lodestrata.sources import database
 
 REPO = str(Path(__file__).resolve().parents[1])
@@ -88,3 +88,10 @@ def test_only_what_is_asked_for_is_read_and_once(monkeypatch):
     assert len(read) == 3
     documents.document_rows(xml, nested=True, kinds=frozenset(("section",)))
     assert len(read) == 3
+
+
+def test_a_filter_by_keywords_makes_the_text_once(spark):
+    d = spark.createDataFrame([(1, " Heat \n Treatment of AN alloy"), (2, None), (3, "x")], "doc_id int, text string")
+    d = d.select("doc_id", search.keyword_score_squeezed(F.col("text"), ["heat treatment", "alloy", "Alloy", "", "zinc"]).alias("score")).filter("score > 0")
+    assert [tuple(r) for r in d.collect()] == [(1, 3)]
+    assert d._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace") <= 2  # one in the filter, one in the result
