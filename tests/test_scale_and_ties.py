@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lodestrata.functions import text
 from lodestrata.operators import documents, normalize, search
+from lodestrata.plans import q_evaluation
 from lodestrata.sources import database
 
 REPO = str(Path(__file__).resolve().parents[1])
@@ -95,3 +96,11 @@ def test_a_filter_by_keywords_makes_the_text_once(spark):
     d = d.select("doc_id", search.keyword_score_squeezed(F.col("text"), ["heat treatment", "alloy", "Alloy", "", "zinc"]).alias("score")).filter("score > 0")
     assert [tuple(r) for r in d.collect()] == [(1, 3)]
     assert d._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace") <= 2  # one in the filter, one in the result
+
+
+def test_report_tables_searches_once(spark, tiny, monkeypatch):
+    calls, search_all = [], q_evaluation._retrieval
+    monkeypatch.setattr(q_evaluation, "_retrieval", lambda *a: calls.append(1) or search_all(*a))
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert q_evaluation.report_tables(spark, tiny).count() == 1 and len(calls) == 1
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= 2000  # a row may hold a block of vectors
