@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from lodestrata.session import short_batches
 from lodestrata.storage import stored
 
 MOST_CELLS = 1024  # cells at most; their centroids and radii are what every task holds
@@ -71,6 +72,7 @@ def build(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding"
     null, empty or of length 0 are not. Repeated rows are indexed each.
     """
     spark = vectors.sparkSession
+    short_batches(spark)  # a row may hold a block of vectors
     rows = vectors.select(F.col(id_col).alias("id"), F.col(vec_col).cast("array<double>").alias("v")).filter("v IS NOT NULL AND size(v) > 0")
     kind = rows.schema["id"].dataType.simpleString()
     n, dim = rows.agg(F.count("*"), F.max(F.size("v"))).first()
@@ -181,6 +183,7 @@ def search(index: CellIndex, queries: DataFrame, k: int, digits: int = 9, chunk:
     that can still hold something better. Queries without a vector, or with one of length 0, have no
     neighbours; of rows that share an id and a vector one is answered.
     """
+    short_batches(queries.sparkSession)
     by = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc_nulls_last("id"))
     best = lambda rows: rows.withColumn("rank", F.row_number().over(by)).filter(F.col("rank") <= k)
     asked = stored(queries.select("query_id", "query_vec").filter("query_vec IS NOT NULL AND size(query_vec) > 0").distinct(), "queries")
