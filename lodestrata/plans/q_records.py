@@ -6,13 +6,13 @@ import atexit
 import json
 import shutil
 import tempfile
-from itertools import batched
 from pathlib import Path
 
 from pyspark.sql import functions as F
 
 from lodestrata.functions import nested, numeric, text
 from lodestrata.operators import documents, normalize, params, retrieval, review
+from lodestrata.operators.numbering import numbered
 from lodestrata.plans import lifecycle, q_normalize
 from lodestrata.plans.registry import query
 from lodestrata.session import table
@@ -410,12 +410,20 @@ def _served(folder: str, size: int):
 @query("SELECT '10.1/' || p_partkey AS doi, p_name AS title, p_brand AS journal, 1900 + p_size AS year FROM part")
 def paged_search_stream(spark, sf_dir):
     """All pages of a search as a stream, in two runs on one checkpoint: the second goes on where the first ended."""
-    size, folder = 100, Path(tempfile.mkdtemp(prefix="lodestrata-pages-"))
+    shared = scratch(spark, "served").removeprefix("file://")
+    size, folder = 100, Path(shared if shared.startswith("/") else tempfile.mkdtemp(prefix="lodestrata-pages-"))  # a store that is no folder leaves a local one
     atexit.register(shutil.rmtree, folder, True)
-    c = F.col
+    c, served = F.col, str(folder)
     doc = F.struct(F.concat(F.lit("10.1/"), c("p_partkey").cast("string")).alias("prism:doi"), c("p_name").alias("dc:title"), c("p_brand").alias("prism:publicationName"), F.concat((c("p_size") + 1900).cast("string"), F.lit("-05-01")).alias("prism:coverDate"))
-    for k, page in enumerate(batched(table(spark, sf_dir, "part").orderBy("p_partkey").select(F.to_json(doc)).toLocalIterator(), size)):  # the stub server's files
-        (folder / f"{k}.json").write_text("[" + ",".join(r[0] for r in page) + "]", encoding="utf-8")
+    entries = numbered(table(spark, sf_dir, "part").select("p_partkey", F.to_json(doc).alias("entry")), ["p_partkey"], "nth").withColumn("page", F.floor((F.col("nth") - 1) / size))
+    pages = entries.groupBy("page").agg(F.sort_array(F.collect_list(F.struct("nth", "entry"))).alias("x")).select("page", F.concat(F.lit("["), F.array_join(F.col("x.entry"), ","), F.lit("]")).alias("text"))
+
+    def write(rows):  # the stub server's files: the tasks write them, no row comes to the driver
+        Path(served).mkdir(parents=True, exist_ok=True)
+        for r in rows:
+            Path(served, f"{r.page}.json").write_text(r.text, encoding="utf-8")
+
+    pages.foreachPartition(write)
     name, out = f"papers_{folder.name[-8:].lower()}", scratch(spark, "pages")
     spark.dataSource.register(rest.make_paged_source(name, _served(str(folder), size), lambda d: d["search-results"]["entry"]))
     for most in (3, 1_000_000):

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lodestrata.functions import text
 from lodestrata.operators import documents, normalize, search
-from lodestrata.plans import q_evaluation
+from lodestrata.plans import q_evaluation, q_records
 from lodestrata.sources import database
 
 REPO = str(Path(__file__).resolve().parents[1])
@@ -104,3 +104,12 @@ def test_report_tables_searches_once(spark, tiny, monkeypatch):
     spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     assert q_evaluation.report_tables(spark, tiny).count() == 1 and len(calls) == 1
     assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= 2000  # a row may hold a block of vectors
+
+
+def test_served_pages_do_not_pass_through_the_driver(spark, tiny, monkeypatch):
+    def refused(*_):
+        raise AssertionError("rows come to the driver")
+
+    monkeypatch.setattr(type(spark.range(1)), "toLocalIterator", refused)
+    got = q_records.paged_search_stream(spark, tiny)
+    assert got.count() == spark.read.parquet(f"{tiny}/part.parquet").count()
