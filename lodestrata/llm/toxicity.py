@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from lodestrata.llm.minhash_dedup import shingle_sets
 from lodestrata.llm.textkit import NOT_LETTER, Words, sample_by, slices
-from lodestrata.llm.work import short_batches
+from lodestrata.llm.work import give_back, short_batches
 
 SAMPLE = 1_500  # labelled examples of each label, about: the default bound of the classifier's sample
 CHANCE = 3.0  # root of the log-likelihood ratio up to which a term's association with label 1 is taken as chance
@@ -27,6 +27,7 @@ NEAREST = 15
 BLOCK = 32  # examples of a block
 OFTEN = 16  # a word in one of so many examples or more is frequent
 POSTINGS = 1_500_000  # postings that a batch of queries goes through at once, about
+DRIVER_POSTINGS = 60_000  # the same on the driver, which searches the examples for each other
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -162,17 +163,17 @@ class BlockMaxIndex:
             self._matrix[self.cells[0], self.cells[1]] = self.cells[2]
         return self._matrix
 
-    def nearest(self, rows: np.ndarray, terms: np.ndarray, weights: np.ndarray, n: int, k: int, but: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    def nearest(self, rows: np.ndarray, terms: np.ndarray, weights: np.ndarray, n: int, k: int, but: np.ndarray | None = None, most: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """For n queries (row, term, weight) the k nearest examples and their cosines, 0 for none; exact, ties by position.
 
-        ``but``: a row of flags for each query of the examples that it must not find.
+        ``but``: a row of flags for each query of the examples that it must not find. ``most``: postings of a batch, about, in place of ``POSTINGS``.
         """
         near, cosine = np.zeros((n, k), np.int64), np.zeros((n, k))
         cost = np.cumsum(np.bincount(rows, self.df[terms], minlength=n) + 4 * self.n)
         cuts = np.searchsorted(rows, np.arange(n + 1))
         a = 0
         while a < n and self.n:
-            b = max(a + 1, int(np.searchsorted(cost, (cost[a - 1] if a else 0) + POSTINGS, side="right")))
+            b = max(a + 1, int(np.searchsorted(cost, (cost[a - 1] if a else 0) + (most or POSTINGS), side="right")))
             s = slice(cuts[a], cuts[b])
             near[a:b], cosine[a:b] = self._group(rows[s] - a, terms[s], weights[s], b - a, k, None if but is None else but[a:b])
             a = b
@@ -224,6 +225,13 @@ def votes(near: np.ndarray, cosine: np.ndarray, labels: np.ndarray) -> np.ndarra
     return np.where(total > 0, (w * labels[near]).sum(1) / np.where(total > 0, total, 1), np.nan)
 
 
+def own_votes(index: BlockMaxIndex, rows: np.ndarray, terms: np.ndarray, weights: np.ndarray, labels: np.ndarray, kin: np.ndarray) -> np.ndarray:
+    """Votes of the examples (all in the index) for each other, those of an example's own group left out; the index gives up its matrix again."""
+    out = votes(*index.nearest(rows, terms, weights, index.n, NEAREST, kin[:, None] == kin[None, :], DRIVER_POSTINGS), labels)
+    index._matrix = None
+    return out
+
+
 def isotonic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Knots and values of the weighted non-decreasing fit, by pooling neighbours that fall."""
     order = np.argsort(x, kind="stable")
@@ -247,6 +255,12 @@ def fit(docs: DataFrame, labels: DataFrame, learn: str, sample: int = SAMPLE) ->
     the driver holds and what is broadcast. In the terms' association with a label, the texts of one
     group of near-copies count as one. doc_id must be of an integer type.
     """
+    model = _fit(docs, labels, learn, sample)
+    give_back()  # what was freed meanwhile is several times the model
+    return model
+
+
+def _fit(docs: DataFrame, labels: DataFrame, learn: str, sample: int) -> dict:
     spark = docs.sparkSession
     short_batches(spark)
     known = labels.filter(F.expr(learn) & F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max(F.when(F.col("toxic") > 0, 1).otherwise(0)).alias("label"))
@@ -284,7 +298,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: str, sample: int = SAMPLE) ->
     if len(some):
         kin = group[some][by]
         order = np.argsort(place[row], kind="stable")
-        raw = votes(*index.nearest(place[row][order], term[order], w[order], len(some), NEAREST, kin[:, None] == kin[None, :]), model["labels"])
+        raw = own_votes(index, place[row][order], term[order], w[order], model["labels"], kin)
         ok = ~np.isnan(raw)
         if ok.any():
             model["knots"] = isotonic(raw[ok], model["labels"][ok], share[some][by][ok])
@@ -303,6 +317,12 @@ def scored(col: pa.Array, m: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return out, near, cosine
 
 
+def _shared(docs: DataFrame, model: dict):
+    out = docs.sparkSession.sparkContext.broadcast(model)
+    give_back()  # the copies that the broadcast's file was written from
+    return out
+
+
 def score(docs: DataFrame, model: dict) -> DataFrame:
     """doc_id, score, and the ids of the nearest examples, nearest first, with their cosines.
 
@@ -310,7 +330,7 @@ def score(docs: DataFrame, model: dict) -> DataFrame:
     such texts of the sample, or among all where it has none, and no evidence. Every row is scored by
     itself; a null doc_id stays null.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = _shared(docs, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
@@ -327,7 +347,7 @@ def score(docs: DataFrame, model: dict) -> DataFrame:
 
 def without_toxic(docs: DataFrame, model: dict, least: float = 0.5) -> DataFrame:
     """The rows of ``docs`` whose texts score below ``least`` or have no evidence, whatever the labels' base rate is; all columns pass through as they are."""
-    shared, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index("text")
+    shared, at = _shared(docs, model), docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value

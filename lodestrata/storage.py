@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import ctypes
 import shutil
 import tempfile
 import uuid
@@ -45,6 +46,12 @@ def scratch(spark: SparkSession, name: str) -> str:
     return path
 
 
+def give_back() -> None:
+    """Hands what this process has freed back to the system; glibc keeps blocks below 32 MB otherwise, and a driver that once held a model would stay as large."""
+    with contextlib.suppress(OSError, AttributeError):  # another C library
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def stored(df: DataFrame, name: str, keys: tuple[str, ...] = ()) -> DataFrame:
     """Writes ``df`` to the shared folder and returns a scan of it.
 
@@ -52,6 +59,7 @@ def stored(df: DataFrame, name: str, keys: tuple[str, ...] = ()) -> DataFrame:
     are removed when the driver ends.
     """
     spark = df.sparkSession
+    give_back()
     path = scratch(spark, name)
     df.write.partitionBy(*keys).parquet(path) if keys else df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

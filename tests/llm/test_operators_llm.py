@@ -1,7 +1,10 @@
 import collections
 import itertools
 import re
+import subprocess
+import sys
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -587,6 +590,30 @@ def test_the_index_is_exact(monkeypatch, postings):
         assert np.allclose(np.take_along_axis(want, near, 1)[cosine > 0], cosine[cosine > 0])
 
 
+def test_the_driver_gives_back_what_the_fit_took():
+    """3,000 examples vote for each other as the driver has them do it; a fresh process, since the measure is its own memory."""
+    code = """
+import re
+import numpy as np
+from lodestrata.llm import toxicity, work
+now = lambda: int(re.search(r"Pss_Anon:\\s+(\\d+)", open("/proc/self/smaps_rollup").read()).group(1)) / 1024
+rng = np.random.default_rng(1)
+row, term = np.divmod(np.unique(rng.integers(0, 3000, 600_000) * 60_000 + (60_000 * rng.random(600_000) ** 3).astype(np.int64)), 60_000)
+index = toxicity.BlockMaxIndex(row, term, np.full(len(row), 0.07), 3000, 60_000)
+labels, kin = (np.arange(3000) % 2).astype(float), np.arange(3000)
+work.give_back()
+before = now()
+got = toxicity.own_votes(index, row, term, np.full(len(row), 0.07), labels, kin)
+work.give_back()
+assert index._matrix is None and len(got) == 3000
+assert np.array_equal(index.nearest(row[row < 5], term[row < 5], np.full((row < 5).sum(), 0.07), 5, 3)[0][:, 0], np.arange(5))
+print(now() - before)
+"""
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=Path(__file__).parents[2])
+    assert done.returncode == 0, done.stderr
+    assert float(done.stdout) < 40
+
+
 def test_op5_evidence_equals_brute_force_cosine(spark, tiny):
     """All texts against all examples, with document frequencies counted here; every text that shares a word has evidence."""
     docs, labels = (spark.read.parquet(f"{tiny}/{t}.parquet") for t in ("documents", "labels"))
