@@ -207,12 +207,14 @@ def forward(model: dict, seqs: list[np.ndarray]) -> np.ndarray:
     """log10 likelihood of each sequence (longest first), scaled at each step; memory does not grow with the states passed."""
     o, open_ = _padded(seqs)
     bt, a, out = np.ascontiguousarray(model["b"].T), model["a"], np.zeros(len(seqs))
+    one = np.ones(len(a))  # sums over the states are products with it, which are much faster than sums along a short axis
     alpha = model["pi"] * bt[o[0]]
     for t in range(len(o)):
         m = open_[t]
         if t:
-            alpha = (alpha[:m] @ a) * bt[o[t, :m]]
-        s = alpha.sum(1)
+            alpha = alpha[:m] @ a
+            alpha *= bt[o[t, :m]]
+        s = alpha @ one
         out[:m] += np.log10(s)
         alpha /= s[:, None]
     return out
@@ -230,30 +232,35 @@ def expected(model: dict, seqs: list[np.ndarray], xi: np.ndarray, pi: np.ndarray
     bt, a = np.ascontiguousarray(model["b"].T), model["a"]
     before = np.zeros((n, len(a))) if before is None else before
     starts = ~before.any(axis=1)
-    alphas, scales = np.zeros((n_t, n, len(a))), np.ones((n_t, n))
+    one = np.ones(len(a))
+    # One row for each token, step by step: those of step t begin at first[t].
+    first = np.concatenate(([0], np.cumsum(open_)))
+    f = np.concatenate([o[t, : open_[t]] for t in range(n_t)])
+    alphas, scales = np.empty((first[-1], len(a))), np.empty(first[-1])
     for t in range(n_t):
-        m = open_[t]
-        x = (np.where(starts[:, None], model["pi"], before @ a) if t == 0 else alphas[t - 1, :m] @ a) * bt[o[t, :m]]
-        s = x.sum(1)
-        alphas[t, :m], scales[t, :m] = x / s[:, None], s
+        m, x = open_[t], alphas[first[t] : first[t + 1]]
+        np.take(bt, o[t, :m], axis=0, out=x, mode="clip")  # symbols are in range; without the check there is no copy
+        x *= np.where(starts[:, None], model["pi"], before @ a) if t == 0 else alphas[first[t - 1] : first[t - 1] + m] @ a
+        s = scales[first[t] : first[t + 1]]
+        np.matmul(x, one, out=s)
+        x /= s[:, None]
     beta = np.ones((n, len(a))) if after is None else after.copy()
-    last = alphas[np.array([len(s) for s in seqs]) - 1, np.arange(n)]
-    beta /= (last * beta).sum(1, keepdims=True)
-    flat, weights = [], []
+    last = alphas[first[np.array([len(s) for s in seqs]) - 1] + np.arange(n)]
+    beta /= ((last * beta) @ one)[:, None]
+    w = np.empty_like(alphas)
     for t in range(n_t - 1, -1, -1):
-        m = open_[t]
-        g = alphas[t, :m] * beta[:m]
-        g /= g.sum(1, keepdims=True)
-        flat.append(o[t, :m])
-        weights.append(g)
-        y = bt[o[t, :m]] * beta[:m] / scales[t, :m, None]
+        m, here = open_[t], slice(first[t], first[t + 1])
+        g = np.multiply(alphas[here], beta[:m], out=w[here])
+        g /= (g @ one)[:, None]
+        y = bt[o[t, :m]]
+        y *= beta[:m]
+        y /= scales[here, None]
         if t:
-            xi += (alphas[t - 1, :m].T @ y) * a
-            beta[:m] = y @ a.T
+            xi += (alphas[first[t - 1] : first[t - 1] + m].T @ y) * a
+            np.matmul(y, a.T, out=beta[:m])
         else:
             xi += (before.T @ y) * a
             pi += g[starts].sum(0)
-    f, w = np.concatenate(flat), np.concatenate(weights)
     for k in range(len(a)):
         emit[:, k] += np.bincount(f, w[:, k], minlength=len(emit))
     return float(np.log10(scales).sum())
@@ -266,7 +273,8 @@ def transfers(model: dict, seqs: list[np.ndarray], starts: np.ndarray) -> np.nda
     x = np.where(starts[:, None, None], np.eye(len(a)), a) * bt[o[0]][:, None, :]
     for t in range(1, len(o)):
         m = open_[t]
-        x[:m] = (x[:m] @ a) * bt[o[t, :m]][:, None, :]
+        x[:m] = (x[:m].reshape(-1, len(a)) @ a).reshape(m, len(a), len(a))  # one product of a tall matrix, not one for each sequence
+        x[:m] *= bt[o[t, :m]][:, None, :]
         if t % 8 == 0 or t == len(o) - 1:
             x[:m] /= x[:m].max(axis=(1, 2), keepdims=True)
     return x

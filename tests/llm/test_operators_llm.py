@@ -3,6 +3,7 @@ import itertools
 import re
 import subprocess
 import sys
+import tracemalloc
 import zlib
 from pathlib import Path
 
@@ -568,6 +569,24 @@ def test_base_scores_and_counts_equal_brute_force(spark, tiny):
     assert sum(r["score"] for r in h) > sum(r["base_score"] for r in h)
 
 
+def test_counting_takes_memory_by_tokens_and_not_by_the_longest_sequence():
+    rng = np.random.default_rng(5)
+    model = hmm_score.initial(rng.integers(1, 50, 30).astype(float), 3)
+    seqs = [rng.integers(0, 30, n).astype("<u2") for n in [2000, *[2] * 1999]]
+
+    def counts(groups):
+        xi, pi, emit = np.zeros((3, 3)), np.zeros(3), np.zeros((30, 3))
+        return sum(hmm_score.expected(model, g, xi, pi, emit) for g in groups), xi, pi, emit
+
+    tracemalloc.start()
+    got = counts([seqs])
+    peak = tracemalloc.get_traced_memory()[1] / 1e6
+    tracemalloc.stop()
+    for x, y in zip(got, counts([seqs[:1], seqs[1:]]), strict=True):
+        assert np.allclose(x, y)
+    assert peak < 100
+
+
 # ---- toxicity
 
 
