@@ -276,8 +276,11 @@ def older_document(doc: Column, gold: bool = True) -> Column:
     def item(x: Column) -> Column:
         obj = F.try_variant_get(x, "$", "map<string,variant>")
         text = lambda k: F.try_variant_get(x, f"$.{k}", "string")
-        value, unit = to_float(text("value")), text("unit")
-        by = factor(F.coalesce(unit, F.lit("")), GOLD_UNITS) if gold else factor(F.coalesce(unit, F.lit("")))
+        known = factor(F.coalesce(text("unit"), F.lit("")), GOLD_UNITS) if gold else factor(F.coalesce(text("unit"), F.lit("")))
+        read = F.struct(to_float(text("value")).alias("value"), text("unit").alias("unit"), known.alias("by"))
+        return F.transform(F.array(read), lambda r: filled(x, obj, text, r["value"], r["unit"], r["by"]))[0]  # bound to a variable, so that they are read once
+
+    def filled(x: Column, obj: Column, text, value: Column, unit: Column, by: Column) -> Column:
         ok = value.isNotNull() & by.isNotNull()
         si = F.when(F.lower(unit).isin("pa", "kpa", "mpa", "gpa"), F.lit("Pa")).otherwise(unit)
         new = {"value": F.when(ok, value).cast("variant"), "value_SI": F.when(ok, value * by).cast("variant"), "unit_SI": F.when(ok, F.coalesce(si.cast("variant"), F.parse_json(F.lit("null"))))}

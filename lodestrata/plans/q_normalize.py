@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from lodestrata.functions import numeric, text
 from lodestrata.operators import normalize, params, review
 from lodestrata.plans.registry import query
-from lodestrata.session import table
+from lodestrata.session import spread, table
 
 UNIT = "CASE event_type WHEN 'click' THEN 'MPa' WHEN 'view' THEN ' gpa ' WHEN 'purchase' THEN 's^-1' ELSE NULL END"
 FACTOR = "CASE lower(trim(u)) WHEN 'pa' THEN 1.0 WHEN 'kpa' THEN 1e3 WHEN 'mpa' THEN 1e6 WHEN 'gpa' THEN 1e9 END"
@@ -284,7 +284,7 @@ def _older(spark, sf_dir):
     unit = F.element_at(F.array(F.lit('"GPa"'), F.lit('" mpa"'), F.lit('"s^-1"'), F.lit('"K"'), F.lit("null")), (k % 5 + 1).cast("int"))
     item = F.concat(F.lit('{"value":'), value, F.lit(',"unit":'), unit, F.lit(',"symbol":"","canonical_name":" c'), k.cast("string"), F.lit(' ","more":{"k":1}}'))
     doc = F.concat(F.lit('{"record_id":"r","elastic_parameters":{"constants":['), item, F.lit(',7],"note":"n"},"plastic_parameters":'), F.when(k % 3 == 0, '{"parameters":5}').otherwise(F.concat(F.lit('{"parameters":['), item, F.lit("]}"))), F.lit("}"))
-    return table(spark, sf_dir, "part").select("p_partkey", F.try_parse_json(doc).alias("doc"))
+    return spread(table(spark, sf_dir, "part").select("p_partkey", "p_retailprice")).select("p_partkey", F.try_parse_json(doc).alias("doc"))
 
 
 @query(

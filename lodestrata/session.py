@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "lodestrata", master: str | None = None, **conf: str) -> SparkSession:
@@ -27,6 +27,11 @@ def table(spark: SparkSession, sf_dir: str, name: str):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """``rows`` dealt out evenly to as many tasks as a shuffle has, for work that takes long on small rows: a scan cuts its files by bytes, and a million short rows are one task's."""
+    return rows.repartition(max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), rows.sparkSession.sparkContext.defaultParallelism))
+
+
 def short_batches(spark: SparkSession, rows: int = 2_000, size: int = 8 << 20) -> None:
     """Bounds the rows and bytes of an Arrow batch in this session, so that batches of long texts stay small in memory.
 

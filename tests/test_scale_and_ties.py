@@ -113,3 +113,12 @@ def test_served_pages_do_not_pass_through_the_driver(spark, tiny, monkeypatch):
     monkeypatch.setattr(type(spark.range(1)), "toLocalIterator", refused)
     got = q_records.paged_search_stream(spark, tiny)
     assert got.count() == spark.read.parquet(f"{tiny}/part.parquet").count()
+
+
+def test_small_rows_of_long_work_are_dealt_out_to_several_tasks(spark, tiny):
+    from lodestrata.plans import q_normalize
+    from lodestrata.session import spread
+
+    assert spark.read.parquet(f"{tiny}/part.parquet").rdd.getNumPartitions() == 1
+    assert q_normalize.gold_documents(spark, tiny).rdd.getNumPartitions() == 6
+    assert spread(spark.range(3).coalesce(1)).count() == 3
