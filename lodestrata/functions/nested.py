@@ -133,10 +133,18 @@ def problems(docs: DataFrame, node: dict, doc: str = "doc", key: str = "record_i
 
 def depth(doc: Column) -> Column:
     """How deep the objects and lists of a JSON text are nested; 0 for a scalar."""
-    plain = F.regexp_replace(F.regexp_replace(doc, r"\\.", ""), '"[^"]*"', "")
-    marks = F.regexp_replace(plain, r"[^\[\]{}]", "")
-    step = lambda s, c: F.struct((s["now"] + F.when(c.isin("{", "["), 1).otherwise(-1)).alias("now"), F.greatest(s["most"], s["now"] + F.when(c.isin("{", "["), 1).otherwise(-1)).alias("most"))
-    return F.when(marks == "", 0).otherwise(F.aggregate(F.split(marks, "(?<=.)(?=.)"), F.struct(F.lit(0).alias("now"), F.lit(0).alias("most")), step)["most"])
+    unescaped = F.when(F.contains(doc, F.lit("\\")), F.regexp_replace(doc, r"\\.", "")).otherwise(doc)
+    marks = F.translate(F.regexp_replace(F.regexp_replace(unescaped, '"[^"]*"', ""), r"[^\[\]{}]+", ""), "{}", "[]")
+    up = lambda s, c: s["now"] + F.when(c == "[", 1).otherwise(-1)
+    step = lambda s, c: F.struct(up(s, c).alias("now"), F.greatest(s["most"], up(s, c)).alias("most"))
+
+    def level(m: Column, rounds: int) -> Column:
+        if not rounds:
+            return F.when(m == "", 0).otherwise(F.aggregate(F.split(m, "(?<=.)(?=.)"), F.struct(F.lit(0).alias("now"), F.lit(0).alias("most")), step)["most"])
+        # Without its innermost pairs, which are most of the marks, a text is one level less deep.
+        return F.when(m == "", 0).otherwise(1 + F.transform(F.array(F.replace(m, F.lit("[]"), F.lit(""))), lambda x: level(x, rounds - 1))[0])
+
+    return F.transform(F.array(marks), lambda x: level(x, 3))[0]
 
 
 def deepest(docs: DataFrame, doc: str = "doc") -> int:
@@ -155,17 +163,16 @@ def flatten(docs: DataFrame, key: str = "record_id", doc: str = "doc") -> DataFr
     through. Null leaves keep a row, and so does a scalar, with an empty path. Null texts, and texts
     that are no JSON or nested deeper than 1000 levels, give none.
     """
-    path, v = F.col("path"), F.col("v")
-    entries = F.map_entries(F.try_variant_get(v, "$", "map<string,variant>"))
-    items = F.try_variant_get(v, "$", "array<variant>")
-    of_object = F.transform(entries, lambda e: F.struct(F.concat(path, F.when(path == "", F.lit("")).otherwise(F.lit(".")), e["key"]).alias("path"), e["value"].alias("v")))
-    of_list = F.transform(items, lambda x, i: F.struct(F.concat(path, F.lit("["), i.cast("string"), F.lit("]")).alias("path"), x.alias("v")))
-    opened = F.coalesce(of_object, of_list, F.array(F.struct(path.alias("path"), v.alias("v"))))
+    path, v, spark = F.col("path"), F.col("v"), docs.sparkSession
+    step = F.when(F.col("_key").isNull(), F.concat(F.lit("["), F.col("_pos").cast("string"), F.lit("]"))).when(path == "", F.col("_key")).otherwise(F.concat(F.lit("."), F.col("_key")))
+    # What gives no element is a leaf, or an empty object or list.
+    empty = F.col("_pos").isNull() & F.coalesce(F.schema_of_variant(v).rlike("^(OBJECT|ARRAY)<"), F.lit(False))
     at = docs.select(F.col(key), F.lit("").alias("path"), F.try_parse_json(doc).alias("v")).filter("v is not null")
     for level in range(deepest(docs, doc)):
         if level and level % LEVELS == 0:
             at = stored(at, "levels")
-        at = at.select(key, F.explode(opened).alias("x")).select(key, "x.path", "x.v")
+        inner = spark.tvf.variant_explode_outer(v.outer()).toDF("_pos", "_key", "_value")
+        at = at.lateralJoin(inner).filter(~empty).select(key, F.when(F.col("_pos").isNull(), path).otherwise(F.concat(path, step)).alias("path"), F.when(F.col("_pos").isNull(), v).otherwise(F.col("_value")).alias("v"))
     return at.select(key, "path", v.cast("string").alias("value"))
 
 

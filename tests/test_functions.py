@@ -159,3 +159,14 @@ def test_citations_in_any_number_of_brackets(spark):
     for raw in ("[[[[[1]]]]]", "[[1]", "[[[1,2]] x", "([1]; [2]) [[ [3] ]]", "a", "", "[[[[[[[[7; 8]]]]]]]] [1], [2]"):
         assert one(spark, text.compress_citations(F.lit(raw))) == {"[[[1,2]] x": "[[1,2] x", "([1]; [2]) [[ [3] ]]": "[1,2] [3]"}.get(raw, compress(raw)), raw
     assert one(spark, text.compress_citations(F.lit(None).cast("string"))) is None
+
+
+def test_flatten_opens_levels_by_a_generator_over_the_values_themselves(spark):
+    """No level makes maps and lists of all values, leaves of upper levels included; texts that look like empty objects stay, empty objects do not."""
+    texts = ['{"a":"{}","b":"[]","c":{},"d":[],"e":[null,[{}],"",{"":{"x.y":1}}]}', "3", "null", '"[x]"', "[[1,2],[]]", '{"q\\\\\\"{[":[{"]}":[[7]]}]}', "{", None]
+    d = spark.createDataFrame(list(enumerate(texts)), "record_id int, doc string")
+    flat = nested.flatten(d)
+    want = [(k, *x) for k, t in enumerate(texts[:6]) for x in _leaves(json.loads(t))]
+    assert sorted(map(tuple, flat.collect()), key=repr) == sorted(want, key=repr)
+    assert [r[0] for r in d.limit(6).select(nested.depth(F.col("doc"))).collect()] == [4, 0, 0, 0, 2, 5]
+    assert "map_entries" not in flat._jdf.queryExecution().optimizedPlan().toString()
