@@ -266,7 +266,7 @@ _PATTERN = r"""CASE WHEN item_id % 6 = 0 THEN substr(text, 3, 2) WHEN item_id %
 def infix_search(spark, sf_dir):
     """Which documents hold each pattern: parts of the benchmark texts, short ones and ones with wildcards among them."""
     index = infix.build(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", "text")
-    return infix.search(index, table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), F.expr(_PATTERN).alias("pattern"))).select("query_id", "doc_id")
+    return infix.matches(index, table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), F.expr(_PATTERN).alias("pattern"))).withColumnRenamed("id", "doc_id")
 
 
 _FOUND = """

@@ -5,6 +5,7 @@ import re
 
 from pathlib import Path
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -217,6 +218,54 @@ def test_infix_search_reads_the_rarest_runs(spark):
     assert infix.search(infix.build(rows.limit(0), "doc_id", "text"), asked).count() == 0
 
 
+def test_infix_index_has_a_row_for_each_run_of_a_block(spark):
+    rows = spark.range(2000).select(F.col("id").alias("doc_id"), F.concat(F.lit("the common part "), F.col("id").cast("string")).alias("text"))
+    index = infix.build(rows, "doc_id", "text")
+    assert index.blocks.count() < 20_000 < 80_000 < index.postings.count() == index.sizes.agg(F.sum("n")).first()[0]
+    assert index.blocks.filter("n <> size(ids)").count() == 0
+
+
+def test_infix_blocks_hold_all_runs_of_all_texts(monkeypatch):
+    rng = random.Random(4)
+    wide = "".join(chr(c) for c in range(0x20, 0x22000) if not 0xD800 <= c < 0xE000)
+    texts = ["".join(rng.choice("ab é😀中") for _ in range(rng.choice([0, 1, 2, 3, 9, 40]))) for _ in range(300)]
+
+    def inverted(texts, size):
+        at = [*range(0, len(texts), size), len(texts)]
+        batches = [pa.RecordBatch.from_arrays([pa.array(range(a, b)), pa.array(texts[a:b])], ["id", "text"]) for a, b in itertools.pairwise(at)]
+        out = [r for b in infix._blocks(iter(batches)) for r in b.to_pylist()]
+        assert all(r["n"] == len(r["ids"]) == len(set(r["ids"])) for r in out)
+        return out
+
+    def want(texts):
+        return sorted({(x[k : k + n], i) for i, x in enumerate(texts) for n in (0, 1, 2, 3) for k in range(len(x) - n + 1)})
+
+    whole = want(texts)
+    for block, piece, size in ((4 << 20, 4 << 20, 300), (4 << 20, 4 << 20, 7), (900, 5, 300), (900, 1, 11), (1, 3, 300)):
+        monkeypatch.setattr(infix, "BLOCK_BYTES", block)
+        monkeypatch.setattr(infix, "PIECE", piece)
+        assert sorted((r["run"], i) for r in inverted(texts, size) for i in r["ids"]) == whole
+    monkeypatch.undo()
+    many = ["a b"] * 5000 + [wide]  # three of so many characters and the row do not fit a key
+    assert len(wide) ** 3 * len(many) > 1 << 63
+    assert sorted((r["run"], i) for r in inverted(many, 5001) for i in r["ids"]) == want(many)
+
+
+def test_infix_matches_equal_ilike(spark):
+    rng = random.Random(11)
+    texts = ["".join(rng.choice("abAB _%\\\nÄΣσς") for _ in range(rng.randrange(14))) for _ in range(200)] + ["İstanbul", "", None, "100%", "a%", "ab%c"]
+    patterns = ["a", "%a", "A%%", "ab", "abA", "aΣ", "Σ%", "İ", "i̇s", "", "%", "%%", "_", "__%a", "a_%_b", "a%a%a", "ab_", "_ab%b_", "\\\\", "a\\%", "\\_", "0%\\", "%\\", "b\\", "abab", "a%b", "ab%ab", None]
+    patterns += ["".join(rng.choice("abΣ%_ ") for _ in range(rng.randrange(1, 7))) for _ in range(60)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    asked = spark.createDataFrame(list(enumerate(patterns)), "query_id int, pattern string")
+    want = sorted(tuple(r) for r in rows.crossJoin(asked).filter("text ILIKE concat('%', pattern, '%')").select("query_id", "doc_id", "text").collect())
+    index = infix.build(rows, "doc_id", "text")
+    assert sorted(tuple(r) for r in infix.search(index, asked).collect()) == want and len({q for q, _, _ in want}) > 60
+    assert sorted(tuple(r) for r in infix.matches(index, asked).collect()) == [w[:2] for w in want]
+    with pytest.raises(Exception, match="no escape"):
+        infix.matches(index, spark.createDataFrame([(1, "a\\a")], "query_id int, pattern string")).collect()
+
+
 def test_parameter_hits_show_three_fields(spark):
     docs = [(1, '{"material": {"name": "Copper"}, "plastic_parameters": {"flow_rule": "power"}}'), (2, '{"notes": "copper", "constitutive_model": {"framework": "CP"}}'), (3, '{"material": {"name": "Iron"}}'), (4, None)]
     got = retrieval.parameter_search(spark.createDataFrame(docs, "doi int, doc string"), "doc", "COPPER", retrieval.PARAMETER_FIELDS, "doi", 5)
