@@ -131,7 +131,7 @@ def build(rows: DataFrame, id_col: str, text_col: str) -> InfixIndex:
     """
     short_batches(rows.sparkSession)
     texts = rows.filter(F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.lower(text_col).alias("text"))
-    lowered = stored(texts, "lowered")  # lower-casing takes longer than all else
+    lowered = stored(texts, "lowered")  # for the runs, and for searches
     blocks = stored(lowered.mapInArrow(_blocks, f"run string, n long, ids array<{texts.schema['id'].dataType.simpleString()}>"), "postings")
     return InfixIndex(rows, id_col, lowered, blocks, stored(blocks.groupBy("run").agg(F.sum("n").alias("n")), "run-sizes"))
 
